@@ -1,0 +1,27 @@
+"""Registry of driver queries: name -> (Spark callable, DuckDB SQL or None)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, QueryFn] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, oracle: str | None = None):
+    """Register a query. ``oracle`` is DuckDB SQL over the driver's views;
+    leave it out only when the result is not expressible in SQL."""
+
+    def wrap(fn: QueryFn) -> QueryFn:
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLE[name] = oracle
+        return fn
+
+    return wrap
