@@ -10,35 +10,12 @@ from strata.operators.aggregate import account_summary
 from strata.operators.dedup import latest_per_key
 from strata.plans import fixtures as fx
 from strata.plans import oracle as O
+from strata.plans.jobs import clean_transactions_frame, transaction_key
 from strata.plans.registry import query
 
 # Fixed values used by the queries below.
 FIXED_NOW = "2024-05-01 20:30:00"  # UTC wall clock of a load
 MISSING_DATE_DEFAULT = "1900-01-01"
-KEY_NULLS_AS_EMPTY = ("CHQNo", "WithdrawalAMT", "DepositAMT", "BalanceAMT")
-KEY_COLUMNS = (
-    "AccountNo",
-    "Date",
-    "TransactionDetails",
-    "CHQNo",
-    "WithdrawalAMT",
-    "DepositAMT",
-    "BalanceAMT",
-)
-
-
-def transaction_key() -> F.Column:
-    """The silver-layer surrogate key: SHA-256 over seven columns joined
-    without separator; the last four default to '' when NULL."""
-    return C.surrogate_key(KEY_COLUMNS, sep="", null_as={c: "" for c in KEY_NULLS_AS_EMPTY})
-
-
-def clean_transactions_frame(raw_text: DataFrame) -> DataFrame:
-    """B1 body: rename, strip apostrophes, type, drop the ``.`` column."""
-    df = C.rename_columns(raw_text, fx.SOURCE_HEADERS)
-    df = df.withColumn("AccountNo", C.strip_chars("AccountNo", "'"))
-    df = C.clean_columns(df, ["."])
-    return C.conform(df, fx.TRANSACTION_SCHEMA)
 
 
 @query(
