@@ -89,3 +89,64 @@ def silver_transactions(
 def gold_accounts(spark: SparkSession, silver: DataFrame, table: str) -> LoadResult:
     """Per-account aggregate upserted on ``AccountNo``."""
     return load_table(spark, table, account_summary(silver), keys="AccountNo")
+
+
+# --- DQ after each hop (Q5-Q7) ----------------------------------------------
+
+
+def bronze_quality(
+    batch: DataFrame,
+    bronze: DataFrame,
+    file_path: str,
+    table_name: str = "transactions_raw",
+    data_format: str = "xlsx",
+    now: _dt.datetime | str | None = None,
+) -> DataFrame:
+    """Q5: this load's rows against the whole bronze table on ``AccountNo``
+    (bronze is append-only, so observations FAIL from the second load on;
+    pass ``bronze`` filtered on the batch's load time for a batch check)."""
+    from strata.operators.quality import dq_record, reconcile
+
+    rec = reconcile(batch, bronze, "AccountNo")
+    return dq_record(rec, "integration", "xlsx_to_bronze", data_format, file_path, table_name, now)
+
+
+def silver_quality(
+    bronze: DataFrame,
+    silver: DataFrame,
+    file_path: str,
+    table_name: str = "transactions_clean",
+    now: _dt.datetime | str | None = None,
+) -> DataFrame:
+    """Q6: keyed bronze against silver on ``Id``; duplicates show as an
+    observation FAIL while distinct keys PASS."""
+    from strata.operators.quality import dq_record, reconcile
+
+    rec = reconcile(keyed_bronze(bronze), silver, "Id")
+    return dq_record(rec, "platform", "bronze_to_silver", "parquet", file_path, table_name, now)
+
+
+def gold_quality(
+    silver: DataFrame,
+    gold: DataFrame,
+    file_path: str,
+    table_name: str = "transactions_datamart",
+    now: _dt.datetime | str | None = None,
+) -> DataFrame:
+    """Q7: silver re-aggregated against gold on ``AccountNo``."""
+    from strata.operators.quality import dq_record, reconcile
+
+    rec = reconcile(account_summary(silver), gold, "AccountNo")
+    return dq_record(rec, "datamart", "silver_to_gold", "parquet", file_path, table_name, now)
+
+
+def silver_frame(bronze: DataFrame) -> DataFrame:
+    """What B2 stores, as a frame: keyed, NULL keys dropped, latest per key,
+    partition date added."""
+    from strata.operators.dedup import latest_per_key
+
+    keyed = keyed_bronze(bronze).filter(F.col("Id").isNotNull())
+    tie = ["TxnNo"] if "TxnNo" in bronze.columns else []
+    return latest_per_key(keyed, ["Id"], SILVER_ORDER, tie).withColumn(
+        "Date_Partition", C.partition_date("Date", "ValueDate")
+    )
