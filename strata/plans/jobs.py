@@ -150,3 +150,41 @@ def silver_frame(bronze: DataFrame) -> DataFrame:
     return latest_per_key(keyed, ["Id"], SILVER_ORDER, tie).withColumn(
         "Date_Partition", C.partition_date("Date", "ValueDate")
     )
+
+
+# --- the three layers in sequence (B6) -----------------------------------------
+
+
+def run_medallion(
+    spark: SparkSession,
+    workbook_paths: str | list[str],
+    database: str,
+    source_name: str,
+    sheet: str = "Sheet1",
+    now: _dt.datetime | str | None = None,
+) -> DataFrame:
+    """B1 -> Q5 -> B2 -> Q6 -> B3 -> Q7 with the monitoring table upserted
+    after each hop; returns the monitoring table.
+
+    ``source_name`` is the file name recorded in the DQ records (the
+    physical paths may be many part files)."""
+    from strata.operators.quality import dq_report
+    from strata.sources.xlsx import read_xlsx
+
+    bronze_t = f"{database}.transactions_raw"
+    silver_t = f"{database}.transactions_clean"
+    gold_t = f"{database}.transactions_datamart"
+    monitor = f"{database}.quality_monitoring"
+
+    raw_text = read_xlsx(spark, workbook_paths, sheet)
+    _, batch = bronze_transactions(spark, raw_text, bronze_t, now=now)
+    dq_report(spark, monitor, bronze_quality(batch, spark.table(bronze_t), source_name, now=now))
+
+    bronze = spark.table(bronze_t)
+    silver_transactions(spark, bronze, silver_t, rejects_table=f"{database}.transactions_rejects")
+    dq_report(spark, monitor, silver_quality(bronze, spark.table(silver_t), bronze_t, now=now))
+
+    silver = spark.table(silver_t)
+    gold_accounts(spark, silver, gold_t)
+    dq_report(spark, monitor, gold_quality(silver, spark.table(gold_t), silver_t, now=now))
+    return spark.table(monitor)

@@ -270,7 +270,9 @@ def write_xlsx(df: DataFrame, directory: str, sheet: str = "Sheet1") -> list[str
             fh.write(workbook_bytes(cols, rows, sheet))
         yield pd.DataFrame({"path": [path], "rows": [len(rows)]})
 
-    out = df.mapInPandas(write, "path string, rows long").select("path").collect()
+    # positional names inside the task: header names may hold dots or spaces
+    positional = df.toDF(*[f"c{i}" for i in range(len(cols))])
+    out = positional.mapInPandas(write, "path string, rows long").select("path").collect()
     return [r[0] for r in out]
 
 
