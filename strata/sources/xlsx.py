@@ -195,17 +195,25 @@ def _xml_text(v: object) -> str:
 def workbook_bytes(header: Sequence[str], rows: Sequence[Sequence[object]], sheet: str = "Sheet1") -> bytes:
     """A minimal workbook: inline strings, numbers as numbers."""
 
-    def cell(v: object) -> str:
+    def letters(i: int) -> str:
+        out = ""
+        i += 1
+        while i:
+            i, r = divmod(i - 1, 26)
+            out = chr(65 + r) + out
+        return out
+
+    def cell(v: object, ref: str) -> str:
         if v is None:
             return ""
         if isinstance(v, bool):
-            return f'<c t="b"><v>{int(v)}</v></c>'
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
-            return f"<c><v>{v!r}</v></c>" if isinstance(v, float) else f"<c><v>{v}</v></c>"
-        return f'<c t="inlineStr"><is><t>{_xml_text(v)}</t></is></c>'
+            return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
+        if isinstance(v, (int, float)):
+            return f'<c r="{ref}"><v>{v!r}</v></c>' if isinstance(v, float) else f'<c r="{ref}"><v>{v}</v></c>'
+        return f'<c r="{ref}" t="inlineStr"><is><t>{_xml_text(v)}</t></is></c>'
 
     body = "".join(
-        f'<row r="{i + 1}">' + "".join(cell(v) for v in r) + "</row>"
+        f'<row r="{i + 1}">' + "".join(cell(v, f"{letters(j)}{i + 1}") for j, v in enumerate(r)) + "</row>"
         for i, r in enumerate([list(header), *rows])
     )
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
