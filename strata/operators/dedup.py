@@ -31,19 +31,45 @@ def latest_per_key(
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def key_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def data_bytes(df: DataFrame) -> Column:
+    """Aggregate that bounds the in-memory size of a frame: exact byte length
+    of every string / binary value plus a fixed width per field and row."""
+    from pyspark.sql import types as T
+
+    fixed = 16 + 8 * len(df.columns)
+    parts = [F.lit(fixed)]
+    for f in df.schema.fields:
+        c = F.col(quote(f.name))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            parts.append(F.lit(16))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return F.sum(total.cast("long"))
+
+
+def key_stats(df: DataFrame, keys: Sequence[str], with_bytes: bool = False) -> DataFrame:
     """One-row frame: ``rows``, ``distinct_keys`` (a NULL key counts as one
     value, like ``distinct()``), ``null_keys`` (rows with any key NULL) and
-    ``is_unique``. A single aggregate with map-side partial aggregation."""
+    ``is_unique``; with ``with_bytes`` also ``bytes``, a bound on the frame's
+    in-memory size measured in the same pass. A single aggregate with
+    map-side partial aggregation."""
     key = F.struct(*[F.col(quote(k)) for k in keys])
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(quote(k)).isNull()
-    agg = df.agg(
+    aggs = [
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct(key).alias("distinct_keys"),
         F.count_if(any_null).alias("null_keys"),
-    )
+    ]
+    if with_bytes:
+        aggs.append(F.coalesce(data_bytes(df), F.lit(0)).alias("bytes"))
+    agg = df.agg(*aggs)
     return agg.withColumn("is_unique", F.col("rows") == F.col("distinct_keys"))
 
 

@@ -98,6 +98,76 @@ def merge_frames(
     return joined.select(*out, op.alias(OP))
 
 
+def merge_frames_broadcast(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+) -> DataFrame:
+    """Same result as ``merge_frames`` for a source known to be small.
+
+    The target is streamed once through a broadcast left join (updated or
+    kept rows) and once, keys only, through a broadcast semi join that finds
+    the matched keys; the source rows whose key is not among them are the
+    inserts. Neither pass shuffles the target, which is what matters when a
+    small batch lands in a very large table. Callers must bound the source
+    size first (see ``strata.sinks.tables``).
+    """
+    tcols = target.columns
+    ttypes = {f.name: f.dataType for f in target.schema.fields}
+    source = source.select(
+        *[
+            F.col(quote(c)).cast(ttypes[c]).alias(c) if c in ttypes else F.col(quote(c))
+            for c in source.columns
+        ]
+    )
+    scols = source.columns
+    s = F.broadcast(source.withColumn(_S, F.lit(True))).alias("s")
+    t = target.alias("t")
+
+    def tc(c: str) -> Column:
+        return F.col("t." + quote(c))
+
+    def sc(c: str) -> Column:
+        return F.col("s." + quote(c))
+
+    def on(left, right) -> Column:
+        cond = None
+        for k in keys:
+            eq = left(k).eqNullSafe(right(k)) if null_safe else left(k) == right(k)
+            cond = eq if cond is None else cond & eq
+        return cond
+
+    in_s = F.col("s." + _S).isNotNull()
+    kept_or_updated = t.join(s, on(tc, sc), "left").select(
+        *[(F.when(in_s, sc(c)).otherwise(tc(c)) if c in scols else tc(c)).alias(c) for c in tcols],
+        *[sc(c).alias(c) for c in scols if c not in tcols],
+        F.when(in_s, F.lit("updated")).otherwise(F.lit("kept")).alias(OP),
+    )
+    src_keys = F.broadcast(source.select(*[F.col(quote(k)).alias(k) for k in keys]).distinct()).alias("sk")
+    matched = (
+        target.select(*[F.col(quote(k)).alias(k) for k in keys])
+        .alias("tk")
+        .join(src_keys, on(lambda c: F.col("tk." + quote(c)), lambda c: F.col("sk." + quote(c))), "left_semi")
+        .distinct()
+        .alias("mk")
+    )
+    inserted = (
+        source.alias("s2")
+        .join(
+            F.broadcast(matched),
+            on(lambda c: F.col("s2." + quote(c)), lambda c: F.col("mk." + quote(c))),
+            "left_anti",
+        )
+        .select(
+            *[(F.col("s2." + quote(c)) if c in scols else F.lit(None).cast(ttypes[c])).alias(c) for c in tcols],
+            *[F.col("s2." + quote(c)).alias(c) for c in scols if c not in tcols],
+            F.lit("inserted").alias(OP),
+        )
+    )
+    return kept_or_updated.unionByName(inserted)
+
+
 def op_counts(merged: DataFrame) -> list[Column]:
     """Aggregates over ``_op`` for ``DataFrame.observe``."""
     return [

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import partition_date, quote
-from strata.operators.dedup import is_unique_key, latest_per_key
-from strata.operators.merge import OP, align_to, merge_frames, op_counts
+from strata.operators.dedup import data_bytes, key_stats, latest_per_key
+from strata.operators.merge import OP, align_to, merge_frames, merge_frames_broadcast, op_counts
 from strata.session import checkpoint_root, conf, scratch_path, unique_name
 
 # Above this many distinct partition dates in one source batch the target is
@@ -95,6 +96,36 @@ def _home_for_new_table(spark: SparkSession, name: str) -> str:
     return f"{base}/{tbl}"
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (-1: broadcasting is off)."""
+    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text)
+    if not m:
+        return -1
+    n = int(m.group(1))
+    return n if n < 0 else n * _UNITS.get(m.group(2), 1)
+
+
+def merge_state(
+    spark: SparkSession,
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool,
+    source_bytes: int | None,
+) -> DataFrame:
+    """Pick the merge plan from the **measured** source size: broadcast the
+    source (target streamed, never shuffled) when it fits under the
+    session's broadcast threshold, else a full outer sort-merge join."""
+    limit = broadcast_limit(spark)
+    if source_bytes is not None and 0 <= source_bytes <= limit:
+        return merge_frames_broadcast(target, source, keys, null_safe)
+    return merge_frames(target, source, keys, null_safe)
+
+
 def _observe(df: DataFrame, *aggs) -> tuple[DataFrame, Observation]:
     obs = Observation(unique_name("obs"))
     return df.observe(obs, *aggs), obs
@@ -178,14 +209,16 @@ def merge_into(
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
+    source_bytes: int | None = None,
 ) -> LoadResult:
     """Upsert into an unpartitioned table (matched -> update all columns,
-    not matched -> insert, no delete)."""
+    not matched -> insert, no delete). ``source_bytes`` (a measured bound)
+    enables the broadcast plan for small batches."""
     if partition_columns(spark, name):
         raise ValueError(f"{name} is partitioned: use load_partitioned")
     evolve_schema(spark, name, source)
     target = spark.table(name)
-    state = merge_frames(target, source, keys, null_safe)
+    state = merge_state(spark, target, source, keys, null_safe, source_bytes)
     state, obs = _observe(state, *op_counts(state))
     _swap_write(spark, name, state.select(*[quote(c) for c in target.columns]))
     m = obs.get
@@ -217,8 +250,9 @@ def load_table(
         res = append_table(spark, name, df)
     else:
         staged = _stage(df)
-        if is_unique_key(staged, keys):
-            res = merge_into(spark, name, staged, keys, null_safe)
+        stats = key_stats(staged, keys, with_bytes=True).first()
+        if stats["is_unique"]:
+            res = merge_into(spark, name, staged, keys, null_safe, int(stats["bytes"]))
         else:
             res = append_table(spark, name, staged)
     if history:
@@ -261,9 +295,17 @@ def load_partitioned(
     src = _stage(evolve_schema(spark, name, src))
     table_cols = spark.table(name).columns
     target = spark.table(name)
+    # Partition dates of this batch (bounded by the calendar, not the data)
+    # and the batch's byte size, in one pass over the staged batch.
+    per_date = (
+        src.groupBy(part)
+        .agg(data_bytes(src).alias("bytes"))
+        .limit(MAX_LITERAL_PARTITIONS + 1)
+        .collect()
+    )
+    dates = [r[0] for r in per_date]
+    src_bytes = sum(int(r[1] or 0) for r in per_date) if len(per_date) <= MAX_LITERAL_PARTITIONS else None
     if match_partition:
-        # Partition dates of this batch: bounded by the calendar, not the data.
-        dates = [r[0] for r in src.select(part).distinct().limit(MAX_LITERAL_PARTITIONS + 1).collect()]
         if len(dates) <= MAX_LITERAL_PARTITIONS:
             keep = F.col(part).isin([d for d in dates if d is not None])
             if any(d is None for d in dates):
@@ -275,7 +317,7 @@ def load_partitioned(
         match_keys = [*keys, part]
     else:
         match_keys = list(keys)
-    state = merge_frames(target, src, match_keys, null_safe)
+    state = merge_state(spark, target, src, match_keys, null_safe, src_bytes)
     state, obs = _observe(state, *op_counts(state))
     with conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         write_balanced(state.select(*[quote(c) for c in table_cols]), part).write.insertInto(

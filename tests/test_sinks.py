@@ -107,3 +107,15 @@ def test_staged_table_is_dropped(spark, db):
     with staged_table(spark, spark.range(3), f"{db}.stage") as name:
         assert spark.table(name).count() == 3
     assert not table_exists(spark, f"{db}.stage")
+
+
+def test_merge_strategy_follows_measured_size(spark, db):
+    from strata.session import conf
+
+    for limit in ("10MB", "-1"):
+        name = f"{db}.strategy_{'b' if limit != '-1' else 'f'}"
+        with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": limit}):
+            load_table(spark, name, spark.range(100).withColumn("v", F.lit("a")), keys="id")
+            r = load_table(spark, name, spark.range(90, 120).withColumn("v", F.lit("b")), keys="id")
+        assert (r.updated, r.inserted) == (10, 20)
+        assert spark.table(name).count() == 120
