@@ -56,18 +56,16 @@ def _corrected_kurtosis(g2: Column, n: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
-def _entries(df: DataFrame, kinds: dict[str, str], approx_distinct: bool):
+def _entries(df: DataFrame, kinds: dict[str, str], approx_distinct: bool, exact_numeric_distinct: bool = False):
     """(column, metric, value expr, text expr) for the one-pass aggregate."""
     out: list[tuple[str, str, Column | None, Column | None]] = []
     rows = F.count(F.lit(1))
     for c, kind in kinds.items():
         x = F.col(quote(c))
         distinct = F.approx_count_distinct(x) if approx_distinct else F.count_distinct(x)
-        out += [
-            (c, "n", rows, None),
-            (c, "missing", F.count_if(x.isNull()), None),
-            (c, "n_distinct", distinct, None),
-        ]
+        out += [(c, "n", rows, None), (c, "missing", F.count_if(x.isNull()), None)]
+        if kind != "numeric" or approx_distinct or not exact_numeric_distinct:
+            out.append((c, "n_distinct", distinct, None))
         if kind == "numeric":
             v = x.cast("double")
             n = F.count(v)
@@ -122,38 +120,42 @@ def _long(agg_row: DataFrame, entries) -> DataFrame:
     return agg_row.select(F.explode(F.array(*structs)).alias("e")).select("e.*")
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUANTILES
-) -> DataFrame:
-    """Exact linear-interpolated quantiles (``quantile_cont``) of numeric
-    columns, distributed.
-
-    1. count each distinct value per column (map-side combine: a value that
-       fills a third of the table is one row after the first stage);
-    2. range-partition the (column, value) pairs and freeze the assignment
-       with a checkpoint on the shared folder;
-    3. running count inside each range partition plus the totals of the
-       partitions before it (a table of at most partitions x columns rows,
-       broadcast) give every distinct value its rank interval;
-    4. one aggregate picks the values at ranks floor/ceil of p*(n-1).
+def _ranged_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per distinct (column, value), range-partitioned by value and
+    frozen with a checkpoint on the shared folder (the partition ids must not
+    change if a stage is recomputed).
 
-    Also emits ``iqr`` (p75 - p25) when both are requested.
+    ``v`` is the value as double (for ordering); long and decimal values also
+    keep an exact text key ``k``, so distinct counts stay exact beyond 2^53.
+    Map-side combine makes a value that fills a third of the table one row
+    after the first stage.
     """
-    if not columns:
-        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double")
-    pairs = F.explode(
-        F.array(
-            *[F.struct(F.lit(c).alias("column_name"), F.col(quote(c)).cast("double").alias("v")) for c in columns]
+    fields = []
+    for c in columns:
+        dt = df.schema[c].dataType
+        x = F.col(quote(c))
+        exact = x.cast("string") if isinstance(dt, (T.LongType, T.DecimalType)) else F.lit(None).cast("string")
+        fields.append(
+            F.struct(F.lit(c).alias("column_name"), exact.alias("k"), x.cast("double").alias("v"))
         )
-    )
-    vals = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = vals.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
+    vals = df.select(F.explode(F.array(*fields)).alias("p")).select("p.*").where(F.col("v").isNotNull())
+    counts = vals.groupBy("column_name", "k", "v").agg(F.count(F.lit(1)).alias("c"))
     checkpoint_root(df.sparkSession)
-    ranged = (
+    return (
         counts.repartitionByRange("column_name", "v")
         .withColumn("pid", F.spark_partition_id())
         .checkpoint(eager=True)
     )
+
+
+def _distinct_from_counts(ranged: DataFrame) -> DataFrame:
+    return ranged.groupBy("column_name").agg(
+        F.lit("n_distinct").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")
+    )
+
+
+def _quantiles_from_counts(ranged: DataFrame, probs: Sequence[float]) -> DataFrame:
+    ranged = ranged.where(~F.isnan("v"))
     within = ranged.withColumn(
         "cum",
         F.sum("c").over(
@@ -170,6 +172,7 @@ def exact_quantiles(
         F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("off"),
         F.sum("tot").over(Window.partitionBy("column_name")).alias("n"),
     )
+    # offsets: at most (range partitions x columns) rows - a bounded broadcast
     ranked = within.join(F.broadcast(offsets), ["column_name", "pid"]).select(
         "column_name",
         "v",
@@ -191,14 +194,34 @@ def exact_quantiles(
     }
     if "p25" in qs and "p75" in qs:
         qs["iqr"] = qs["p75"] - qs["p25"]
-    structs = [
-        F.struct(F.lit(m).alias("metric"), e.cast("double").alias("value")) for m, e in qs.items()
-    ]
+    structs = [F.struct(F.lit(m).alias("metric"), e.cast("double").alias("value")) for m, e in qs.items()]
     return per_col.select("column_name", F.explode(F.array(*structs)).alias("q")).select(
         "column_name", "q.metric", "q.value"
     )
 
 
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUANTILES
+) -> DataFrame:
+    """Exact linear-interpolated quantiles (``quantile_cont``) of numeric
+    columns, distributed.
+
+    1. count each distinct value per column (map-side combine);
+    2. range-partition the (column, value) counts and freeze the assignment
+       with a checkpoint on the shared folder;
+    3. running count inside each range partition plus the totals of the
+       partitions before it (a table of at most partitions x columns rows,
+       broadcast) give every distinct value its rank interval;
+    4. one aggregate picks the values at ranks floor/ceil of p*(n-1).
+
+    No task ever holds more than one range partition of distinct values.
+    Also emits ``iqr`` (p75 - p25) when both are requested.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double")
+    return _quantiles_from_counts(_ranged_value_counts(df, columns), probs)
+
+
 def top_values(df: DataFrame, columns: Sequence[str], k: int = TOP_K) -> DataFrame:
     """Top ``k`` values with counts per text column (ties by value).
 
@@ -241,7 +264,11 @@ def profile(
     columns = list(columns or df.columns)
     kinds = {c: _kind(df.schema[c].dataType) for c in columns}
     kinds = {c: k for c, k in kinds.items() if k != "other"}
-    entries = _entries(df, kinds, approx_distinct)
+    numeric = [c for c, k in kinds.items() if k == "numeric"]
+    # numeric distinct counts come from the value counts the quantiles need
+    # anyway, which keeps exact distinct counts out of the one-pass aggregate
+    shared = bool(numeric and quantiles and not approx_distinct)
+    entries = _entries(df, kinds, approx_distinct, exact_numeric_distinct=shared)
     aggs = []
     for i, (_, _, v, t) in enumerate(entries):
         if v is not None:
@@ -249,13 +276,14 @@ def profile(
         if t is not None:
             aggs.append(t.alias(f"t{i}"))
     main = _long(df.agg(*aggs), entries)
-    numeric = [c for c, k in kinds.items() if k == "numeric"]
     text = [c for c, k in kinds.items() if k == "text"]
     parts = [main]
     if numeric and quantiles:
-        parts.append(
-            exact_quantiles(df, numeric, quantiles).withColumn("text", F.lit(None).cast("string"))
-        )
+        ranged = _ranged_value_counts(df, numeric)
+        no_text = F.lit(None).cast("string").alias("text")
+        parts.append(_quantiles_from_counts(ranged, quantiles).select("*", no_text))
+        if shared:
+            parts.append(_distinct_from_counts(ranged).select("*", no_text))
     if text and top_k:
         parts.append(top_values(df, text, top_k))
     out = parts[0]

@@ -1,9 +1,10 @@
 """Data quality: reconcile two frames and keep a monitoring table (Q1-Q7).
 
-``reconcile`` is one aggregate over the union of both key columns, so source
-and destination are scanned once each, nothing is collected and no join is
-needed. ``dq_record`` turns its one row into the 16-column monitoring record
-and ``dq_report`` upserts it by ``ID``.
+``reconcile`` aggregates the union of both key columns (rows per side and
+key, then one small aggregate), so source and destination are scanned once
+each, nothing is collected and no join is needed. ``dq_record`` turns its
+one row into the 16-column monitoring record and ``dq_report`` upserts it by
+``ID``.
 """
 
 from __future__ import annotations
@@ -57,11 +58,14 @@ def reconcile(
     ktype = source.schema[key].dataType
     s = source.select(F.col(quote(key)).alias("k"), F.lit(True).alias("src"))
     d = destination.select(F.col(quote(dkey)).cast(ktype).alias("k"), F.lit(False).alias("src"))
-    counts = s.unionByName(d).agg(
-        F.count_if(F.col("src")).alias("Source_Observation"),
-        F.count_if(~F.col("src")).alias("Destination_Observation"),
-        F.count_distinct(F.when(F.col("src"), F.col("k"))).alias("Source_Rows"),
-        F.count_distinct(F.when(~F.col("src"), F.col("k"))).alias("Destination_Rows"),
+    # rows per (side, key) with map-side combine, then one small aggregate:
+    # the observations are the sums, the distinct keys the non-NULL groups
+    per_key = s.unionByName(d).groupBy("src", "k").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_key.agg(
+        F.coalesce(F.sum(F.when(F.col("src"), F.col("n"))), F.lit(0)).alias("Source_Observation"),
+        F.coalesce(F.sum(F.when(~F.col("src"), F.col("n"))), F.lit(0)).alias("Destination_Observation"),
+        F.count_if(F.col("src") & F.col("k").isNotNull()).alias("Source_Rows"),
+        F.count_if(~F.col("src") & F.col("k").isNotNull()).alias("Destination_Rows"),
     )
     obs_diff, obs_status = count_status("Source_Observation", "Destination_Observation", zero_is_unknown)
     row_diff, row_status = count_status("Source_Rows", "Destination_Rows", zero_is_unknown)

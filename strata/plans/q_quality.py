@@ -2,7 +2,7 @@
 
 Profile values are doubles computed by different algorithms in Spark and in
 DuckDB, so the registered queries print them with seven significant digits
-(``%.6e``) on both sides; the operators themselves return doubles.
+on both sides (see ``_sig``); the operators themselves return doubles.
 """
 
 from __future__ import annotations
@@ -33,29 +33,36 @@ SILVER_PATH = "/lake/silver_data/transactions_clean"
 PROFILE_SPLIT = "1998-06-01 00:00:00"  # orders before / from this date
 
 
-# Metrics whose value is a count or a data value: identical in both engines,
-# printed with ten digits. The rest are float accumulations (mean, std,
-# moments, interpolated quantiles) that differ in the last bits between
-# engines: printed with seven digits after rounding to 9 decimals (float
-# noise around zero prints as zero; ``+ 0.0`` turns -0.0 into 0.0).
-EXACT_METRICS = (
-    "n", "missing", "n_distinct", "min", "max", "zeros", "negatives", "true", "false",
-    "min_length", "max_length", "range_days", "top_1", "top_2", "top_3", "top_4", "top_5",
-)
+# Profile values are printed with seven significant digits. The rounding is
+# done numerically with the same IEEE steps in both engines (mantissa scaled
+# to 7 digits, floor(x + 0.5)), so a value both engines compute bit-identically
+# prints identically even on an exact tie, where Java's and C's formatters
+# round differently; only float noise between engines (relative ~1e-15) can
+# differ, and only if it straddles a rounding boundary. Values within 1e-9 of
+# zero print as zero (noise around an exact zero).
+SIG = 7
+
+
+def _sig(v: F.Column) -> F.Column:
+    e = F.floor(F.log10(F.abs(v))).cast("double")
+    scale = F.pow(F.lit(10.0), e)
+    m = v / scale
+    r = F.floor(m * F.lit(10.0 ** (SIG - 1)) + F.lit(0.5)).cast("double") / F.lit(10.0 ** (SIG - 1))
+    return F.when(F.abs(v) < F.lit(1e-9), F.lit(0.0)).otherwise(r * scale)
 
 
-def _fmt(col: str, metric: str = "metric") -> F.Column:
+def _fmt(col: str) -> F.Column:
     v = F.col(col)
-    return F.when(v.isNull(), F.lit(None)).when(
-        F.col(metric).isin(list(EXACT_METRICS)), F.format_string("%.9e", v)
-    ).otherwise(F.format_string("%.6e", F.round(v, 9) + F.lit(0.0)))
+    return F.when(v.isNotNull(), F.format_string(f"%.{SIG - 1}e", _sig(v)))
 
 
-def _fmt_sql(value: str, metric: str = "metric") -> str:
-    exact = ", ".join(f"'{m}'" for m in EXACT_METRICS)
+def _fmt_sql(value: str) -> str:
+    e = f"floor(log10(abs({value})))"
+    m = f"({value}) / pow(10.0, {e})"
+    r = f"floor({m} * {10.0 ** (SIG - 1)} + 0.5) / {10.0 ** (SIG - 1)} * pow(10.0, {e})"
     return (
-        f"CASE WHEN {value} IS NULL THEN NULL WHEN {metric} IN ({exact}) THEN printf('%.9e', {value}) "
-        f"ELSE printf('%.6e', round({value}, 9) + 0.0) END"
+        f"CASE WHEN {value} IS NULL THEN NULL WHEN abs({value}) < 1e-9 THEN printf('%.{SIG - 1}e', 0.0) "
+        f"ELSE printf('%.{SIG - 1}e', {r}) END"
     )
 
 
@@ -201,9 +208,9 @@ def profile_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH a AS {_numeric_profile_sql(f"(SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{PROFILE_SPLIT}')", ORDER_NUMERIC)},
 b AS {_numeric_profile_sql(f"(SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{PROFILE_SPLIT}')", ORDER_NUMERIC)}
 SELECT coalesce(a.column_name, b.column_name) AS column_name, coalesce(a.metric, b.metric) AS metric,
-       {_fmt_sql("a.value", "coalesce(a.metric, b.metric)")} AS value_1,
-       {_fmt_sql("b.value", "coalesce(a.metric, b.metric)")} AS value_2,
-       {_fmt_sql("a.value - b.value", "coalesce(a.metric, b.metric)")} AS difference,
+       {_fmt_sql("a.value")} AS value_1,
+       {_fmt_sql("b.value")} AS value_2,
+       {_fmt_sql("a.value - b.value")} AS difference,
        CAST(NULL AS VARCHAR) AS text_1, CAST(NULL AS VARCHAR) AS text_2
 FROM a FULL OUTER JOIN b ON a.column_name = b.column_name AND a.metric = b.metric""",
 )

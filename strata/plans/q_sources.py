@@ -329,3 +329,40 @@ def read_xlsx_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "xlsx", "nation")
     write_xlsx(fx.table(spark, sf_dir, "nation").repartition(3), path)
     return _with_region(spark, sf_dir, conform(read_xlsx(spark, path, "Sheet1"), NATION_SCHEMA))
+
+
+@query(
+    "documents_stream_partitioned",
+    """
+SELECT lower(lpad(hex(event_id), 24, '0')) AS _id, event_id, ts, user_id, event_type, value,
+       CAST(ts AS DATE) AS ts_Partition
+FROM events WHERE event_type <> 'error'""",
+)
+def documents_stream_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 as a stream: the event documents (several files) are loaded in
+    micro-batches of two files, each upserted into the daily table."""
+    from strata.streaming.incremental import stream_documents_partitioned
+
+    db = scratch_database(spark)
+    table = f"{db}.events_stream"
+    path = scratch_path(spark, "docs", "events_stream")
+    _events(spark, sf_dir).repartition(6).select(
+        F.struct(_oid(F.col("event_id")).alias("$oid")).alias("_id"),
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+        "user_id",
+        "event_type",
+        "value",
+    ).write.json(path)
+    stream_documents_partitioned(
+        spark,
+        path,
+        EVENT_DOC_SCHEMA,
+        table,
+        keys=["event_id"],
+        order_by=["ts"],
+        date_col="ts",
+        query={"event_type": {"$ne": "error"}},
+        max_files_per_trigger=2,
+    )
+    return spark.table(table)
