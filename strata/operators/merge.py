@@ -2,9 +2,8 @@
 
 ``merge_frames`` is pure: it returns the new state of the target plus an
 ``_op`` column, and the sinks decide how to store it. Parquet tables have no
-row-level update, so the state is computed with one full outer equi-join,
-which Spark plans as a sort-merge (or shuffled hash) join on the keys: both
-sides are hash-partitioned by key, neither is collected or broadcast.
+row-level update, so the state is computed with joins on the keys (see the
+function for the plan and its skew handling).
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import types as T
 from strata.functions.columns import quote
 
 OP = "_op"
-_T = "__strata_tgt"
 _S = "__strata_src"
 
 
@@ -44,6 +42,7 @@ def merge_frames(
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
+    broadcast_source: bool = False,
 ) -> DataFrame:
     """New state of ``target`` after upserting ``source`` on ``keys``.
 
@@ -57,61 +56,18 @@ def merge_frames(
     uses ``<=>``. The source must hold at most one row per non-NULL key (the
     sinks check or guarantee it). ``_op`` is ``updated``, ``inserted`` or
     ``kept``. Output columns: target columns in order, then new source ones.
-    """
-    tcols = target.columns
-    ttypes = {f.name: f.dataType for f in target.schema.fields}
-    source = source.select(
-        *[
-            F.col(quote(c)).cast(ttypes[c]).alias(c) if c in ttypes else F.col(quote(c))
-            for c in source.columns
-        ]
-    )
-    scols = source.columns
-    t = target.withColumn(_T, F.lit(True)).alias("t")
-    s = source.withColumn(_S, F.lit(True)).alias("s")
 
-    def tc(c: str) -> Column:
-        return F.col("t." + quote(c))
+    Planned as two joins instead of one full outer join:
 
-    def sc(c: str) -> Column:
-        return F.col("s." + quote(c))
-
-    cond = None
-    for k in keys:
-        eq = tc(k).eqNullSafe(sc(k)) if null_safe else tc(k) == sc(k)
-        cond = eq if cond is None else cond & eq
-    joined = t.join(s, cond, "full_outer")
-    in_s = F.col("s." + _S).isNotNull()
-    in_t = F.col("t." + _T).isNotNull()
-    out = []
-    for c in tcols:
-        if c in scols:
-            out.append(F.when(in_s, sc(c)).otherwise(tc(c)).alias(c))
-        else:
-            out.append(tc(c).alias(c))
-    out += [sc(c).alias(c) for c in scols if c not in tcols]
-    op = (
-        F.when(in_t & in_s, F.lit("updated"))
-        .when(in_s, F.lit("inserted"))
-        .otherwise(F.lit("kept"))
-    )
-    return joined.select(*out, op.alias(OP))
+    * ``target LEFT JOIN source`` gives the kept and updated rows. A left
+      join lets AQE split a skewed target partition (a key repeated by
+      earlier appends), which it cannot do for a full outer join;
+    * ``source LEFT ANTI JOIN distinct(target keys)`` gives the inserts; the
+      distinct is pre-aggregated map-side, so a hot key is one row per task.
 
-
-def merge_frames_broadcast(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    null_safe: bool = False,
-) -> DataFrame:
-    """Same result as ``merge_frames`` for a source known to be small.
-
-    The target is streamed once through a broadcast left join (updated or
-    kept rows) and once, keys only, through a broadcast semi join that finds
-    the matched keys; the source rows whose key is not among them are the
-    inserts. Neither pass shuffles the target, which is what matters when a
-    small batch lands in a very large table. Callers must bound the source
-    size first (see ``strata.sinks.tables``).
+    With ``broadcast_source`` (a batch whose size the caller has measured)
+    the source is broadcast into the first join and the matched keys are
+    found with a broadcast semi join, so the target is never shuffled.
     """
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
@@ -122,8 +78,14 @@ def merge_frames_broadcast(
         ]
     )
     scols = source.columns
-    s = F.broadcast(source.withColumn(_S, F.lit(True))).alias("s")
-    t = target.alias("t")
+
+    def on(left: str, right: str) -> Column:
+        cond = None
+        for k in keys:
+            a, b = F.col(f"{left}." + quote(k)), F.col(f"{right}." + quote(k))
+            eq = a.eqNullSafe(b) if null_safe else a == b
+            cond = eq if cond is None else cond & eq
+        return cond
 
     def tc(c: str) -> Column:
         return F.col("t." + quote(c))
@@ -131,34 +93,25 @@ def merge_frames_broadcast(
     def sc(c: str) -> Column:
         return F.col("s." + quote(c))
 
-    def on(left, right) -> Column:
-        cond = None
-        for k in keys:
-            eq = left(k).eqNullSafe(right(k)) if null_safe else left(k) == right(k)
-            cond = eq if cond is None else cond & eq
-        return cond
-
+    flagged = source.withColumn(_S, F.lit(True))
+    s = (F.broadcast(flagged) if broadcast_source else flagged).alias("s")
     in_s = F.col("s." + _S).isNotNull()
-    kept_or_updated = t.join(s, on(tc, sc), "left").select(
+    kept_or_updated = target.alias("t").join(s, on("t", "s"), "left").select(
         *[(F.when(in_s, sc(c)).otherwise(tc(c)) if c in scols else tc(c)).alias(c) for c in tcols],
         *[sc(c).alias(c) for c in scols if c not in tcols],
         F.when(in_s, F.lit("updated")).otherwise(F.lit("kept")).alias(OP),
     )
-    src_keys = F.broadcast(source.select(*[F.col(quote(k)).alias(k) for k in keys]).distinct()).alias("sk")
-    matched = (
-        target.select(*[F.col(quote(k)).alias(k) for k in keys])
-        .alias("tk")
-        .join(src_keys, on(lambda c: F.col("tk." + quote(c)), lambda c: F.col("sk." + quote(c))), "left_semi")
-        .distinct()
-        .alias("mk")
-    )
+
+    target_keys = target.select(*[F.col(quote(k)).alias(k) for k in keys])
+    if broadcast_source:
+        src_keys = F.broadcast(source.select(*[F.col(quote(k)).alias(k) for k in keys]).distinct())
+        matched = target_keys.alias("tk").join(src_keys.alias("sk"), on("tk", "sk"), "left_semi")
+        matched = F.broadcast(matched.distinct())
+    else:
+        matched = target_keys.distinct()
     inserted = (
         source.alias("s2")
-        .join(
-            F.broadcast(matched),
-            on(lambda c: F.col("s2." + quote(c)), lambda c: F.col("mk." + quote(c))),
-            "left_anti",
-        )
+        .join(matched.alias("mk"), on("s2", "mk"), "left_anti")
         .select(
             *[(F.col("s2." + quote(c)) if c in scols else F.lit(None).cast(ttypes[c])).alias(c) for c in tcols],
             *[F.col("s2." + quote(c)).alias(c) for c in scols if c not in tcols],
@@ -168,6 +121,17 @@ def merge_frames_broadcast(
     return kept_or_updated.unionByName(inserted)
 
 
+def merge_frames_broadcast(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+) -> DataFrame:
+    """``merge_frames`` with the source broadcast; callers must bound the
+    source size first (see ``strata.sinks.tables.merge_state``)."""
+    return merge_frames(target, source, keys, null_safe, broadcast_source=True)
+
+
 def op_counts(merged: DataFrame) -> list[Column]:
     """Aggregates over ``_op`` for ``DataFrame.observe``."""
     return [

@@ -119,7 +119,7 @@ def merge_state(
 ) -> DataFrame:
     """Pick the merge plan from the **measured** source size: broadcast the
     source (target streamed, never shuffled) when it fits under the
-    session's broadcast threshold, else a full outer sort-merge join."""
+    session's broadcast threshold, else shuffled joins on the keys."""
     limit = broadcast_limit(spark)
     if source_bytes is not None and 0 <= source_bytes <= limit:
         return merge_frames_broadcast(target, source, keys, null_safe)

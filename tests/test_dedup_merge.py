@@ -81,3 +81,32 @@ def test_broadcast_merge_does_not_shuffle_target(spark, tmp_path):
     plan = merge_frames_broadcast(spark.read.parquet(p), spark.range(5).withColumn("v", F.lit("s")), ["id"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_merge_splits_a_hot_target_key(spark):
+    """A key holding a third of the target (left by earlier appends) is split
+    over several tasks by AQE, which a full outer join would not allow."""
+    from strata.session import conf
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    with conf(spark, **settings):
+        t = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        )
+        s = spark.range(0, 100).select(F.col("id").alias("k"), F.lit("s").alias("v"))
+        m = merge_frames(t, s, ["k"])
+        counts = {r[0]: r[1] for r in m.groupBy(OP).count().collect()}
+        rows = m.collect()
+        plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+    # key 7: the 10,000 multiples of 3 plus id 7 itself, all updated
+    assert sum(1 for r in rows if r.k == 7 and r.v == "s") == 10001
+    # source keys 0..99 match the 66 non-multiples of 3 (7 among them)
+    assert counts == {"updated": 65 + 10001, "kept": 30000 - 10066, "inserted": 100 - 66}
