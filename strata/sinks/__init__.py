@@ -11,6 +11,7 @@ from strata.sinks.tables import (
     merge_into,
     staged_table,
     table_exists,
+    vacuum_versions,
     write_balanced,
 )
 
@@ -27,5 +28,6 @@ __all__ = [
     "merge_into",
     "staged_table",
     "table_exists",
+    "vacuum_versions",
     "write_balanced",
 ]

@@ -350,6 +350,31 @@ def compact_partitions(
     return int(obs.get["rows"])
 
 
+def vacuum_versions(spark: SparkSession, name: str, keep_previous: int = 1) -> list[str]:
+    """Delete old version directories of an unpartitioned table, keeping the
+    current one and the ``keep_previous`` most recent before it (a fallback
+    for readers that started before the last swap). Returns what was
+    deleted. Run it when no reader can still be on an old version."""
+    if partition_columns(spark, name):
+        return []
+    current = table_location(spark, name).rstrip("/")
+    parent = current.rsplit("/", 1)[0]
+    jvm = spark.sparkContext._jvm
+    home = jvm.org.apache.hadoop.fs.Path(parent)
+    fs = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = [st for st in fs.listStatus(home) if st.isDirectory()]
+    older = sorted(
+        (st for st in versions if st.getPath().toString().rstrip("/") != current),
+        key=lambda st: st.getModificationTime(),
+        reverse=True,
+    )
+    deleted = []
+    for st in older[max(keep_previous, 0):]:
+        fs.delete(st.getPath(), True)
+        deleted.append(st.getPath().toString())
+    return deleted
+
+
 @contextlib.contextmanager
 def staged_table(spark: SparkSession, df: DataFrame, name: str | None = None):
     """Write a frame to a scratch table, yield its name, drop it after."""

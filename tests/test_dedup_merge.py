@@ -110,3 +110,28 @@ def test_merge_splits_a_hot_target_key(spark):
     assert sum(1 for r in rows if r.k == 7 and r.v == "s") == 10001
     # source keys 0..99 match the 66 non-multiples of 3 (7 among them)
     assert counts == {"updated": 65 + 10001, "kept": 30000 - 10066, "inserted": 100 - 66}
+
+
+def test_account_summary_latest_balance_is_deterministic(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from strata.operators.aggregate import account_summary
+
+    rows = [
+        ("A", dt.date(2024, 1, 1), None, Decimal("1.00"), Decimal("10.00"), 1),
+        ("A", dt.date(2024, 1, 3), Decimal("2.00"), None, None, 2),  # latest date: NULL balance kept
+        ("A", None, None, None, Decimal("99.00"), 9),  # NULL date is lowest
+        ("B", dt.date(2024, 1, 2), None, None, Decimal("5.00"), 1),
+        ("B", dt.date(2024, 1, 2), None, None, Decimal("6.00"), 2),  # same date: higher tie-break wins
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "AccountNo string, Date date, WithdrawalAMT decimal(18,2), DepositAMT decimal(18,2), "
+        "BalanceAMT decimal(18,2), TxnNo long",
+    )
+    out = {r.AccountNo: r for r in account_summary(df).collect()}
+    assert out["A"].NetBalance is None and out["A"].LastTransactionDate == dt.date(2024, 1, 3)
+    assert out["A"].TotalDeposits == Decimal("1.00") and out["A"].TotalWithdrawals == Decimal("2.00")
+    assert out["B"].NetBalance == Decimal("6.00") and out["B"].TotalDeposits is None
+    assert dict(account_summary(df).dtypes)["TotalDeposits"] == "decimal(28,2)"

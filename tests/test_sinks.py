@@ -119,3 +119,20 @@ def test_merge_strategy_follows_measured_size(spark, db):
             r = load_table(spark, name, spark.range(90, 120).withColumn("v", F.lit("b")), keys="id")
         assert (r.updated, r.inserted) == (10, 20)
         assert spark.table(name).count() == 120
+
+
+def test_vacuum_keeps_current_and_previous(spark, db):
+    import os
+
+    from strata.sinks.tables import vacuum_versions
+
+    name = f"{db}.versions"
+    for i in range(4):
+        load_table(spark, name, spark.range(10).withColumn("v", F.lit(i)), keys="id")
+    current = table_location(spark, name).replace("file:", "").rstrip("/")
+    home = current.rsplit("/", 1)[0]
+    assert len([d for d in os.listdir(home)]) == 4
+    deleted = vacuum_versions(spark, name, keep_previous=1)
+    assert len(deleted) == 2 and sorted(os.listdir(home)).count(current.rsplit("/", 1)[1]) == 1
+    assert len(os.listdir(home)) == 2
+    assert {r.v for r in spark.table(name).collect()} == {3}
