@@ -140,7 +140,11 @@ def read_xlsx(
 
     Column names come from ``columns`` or from the header row of the first
     file (only that row reaches the driver)."""
-    files = spark.read.format("binaryFile").load(list(paths) if not isinstance(paths, str) else paths)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.[xX][lL][sS][xX]")  # skips temporary and other files
+        .load(list(paths) if not isinstance(paths, str) else paths)
+    )
 
     if columns is None:
         if not header:
@@ -260,22 +264,36 @@ def workbook_bytes(header: Sequence[str], rows: Sequence[Sequence[object]], shee
 def write_xlsx(df: DataFrame, directory: str, sheet: str = "Sheet1") -> list[str]:
     """Write one workbook per partition into ``directory`` (a folder every
     executor can write, e.g. a shared mount). Returns the file paths (one
-    short row per file reaches the driver)."""
+    short row per file reaches the driver).
+
+    Each file is named after its partition and written to a temporary name
+    first, then renamed: a task that is retried after a lost executor
+    replaces its file instead of adding a second copy.
+    """
     cols = df.columns
     local_dir = directory[len("file:") :] if directory.startswith("file:") else directory
 
     def write(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
-        os.makedirs(local_dir, exist_ok=True)
+        from pyspark import TaskContext
+
         frames = list(it)
         if not frames:
             return
+        os.makedirs(local_dir, exist_ok=True)
         pdf = pd.concat(frames)
-        rows = [[None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in r] for r in pdf.itertuples(index=False)]
-        path = f"{local_dir}/part-{uuid.uuid4().hex}.xlsx"
-        with open(path, "wb") as fh:
+        rows = [
+            [None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in r]
+            for r in pdf.itertuples(index=False)
+        ]
+        ctx = TaskContext.get()
+        part = ctx.partitionId() if ctx is not None else 0
+        path = f"{local_dir}/part-{part:05d}.xlsx"
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        with open(tmp, "wb") as fh:
             fh.write(workbook_bytes(cols, rows, sheet))
+        os.replace(tmp, path)
         yield pd.DataFrame({"path": [path], "rows": [len(rows)]})
 
     # positional names inside the task: header names may hold dots or spaces
