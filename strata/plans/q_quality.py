@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import account_summary
-from strata.operators.dedup import latest_per_key
 from strata.operators.profile import QUANTILES, TOP_K, _pct_name, compare_profiles, profile
 from strata.operators.quality import dq_record, dq_report, reconcile
 from strata.plans import fixtures as fx
@@ -391,8 +390,6 @@ def dq_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
-__all__ = ["latest_per_key"]
-
 
 MEDALLION_SOURCE = "Transactions.xlsx"
 

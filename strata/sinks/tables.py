@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import partition_date, quote
 from strata.operators.dedup import data_bytes, key_stats, latest_per_key
-from strata.operators.merge import OP, align_to, merge_frames, merge_frames_broadcast, op_counts
+from strata.operators.merge import align_to, merge_frames, merge_frames_broadcast, op_counts
 from strata.session import checkpoint_root, conf, scratch_path, unique_name
 
 # Above this many distinct partition dates in one source batch the target is

@@ -2,7 +2,6 @@ import datetime as dt
 import hashlib
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import columns as C

@@ -1,7 +1,5 @@
-import datetime as dt
 import io
 import json
-import os
 import zipfile
 
 import pytest
