@@ -249,25 +249,62 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int = TOP_K) -> DataFra
     )
 
 
+def approx_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUANTILES, accuracy: int = 10_000
+) -> DataFrame:
+    """Quantiles from Spark's ``percentile_approx`` sketch: one pass, memory
+    bounded by ``accuracy`` per column, rank error about n / accuracy. Values
+    are data values (no interpolation)."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double")
+    aggs = [
+        F.percentile_approx(F.col(quote(c)).cast("double"), list(probs), accuracy).alias(f"q{i}")
+        for i, c in enumerate(columns)
+    ]
+    row = df.agg(*aggs)
+    structs = []
+    for i, c in enumerate(columns):
+        for j, p in enumerate(probs):
+            structs.append(
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.lit(_pct_name(p)).alias("metric"),
+                    F.col(f"q{i}")[j].alias("value"),
+                )
+            )
+        if 0.25 in probs and 0.75 in probs:
+            structs.append(
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.lit("iqr").alias("metric"),
+                    (F.col(f"q{i}")[list(probs).index(0.75)] - F.col(f"q{i}")[list(probs).index(0.25)]).alias("value"),
+                )
+            )
+    return row.select(F.explode(F.array(*structs)).alias("e")).select("e.*")
+
+
 def profile(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     quantiles: Sequence[float] = QUANTILES,
     top_k: int = TOP_K,
     approx_distinct: bool = False,
+    approx_quantile_accuracy: int | None = None,
 ) -> DataFrame:
     """Profile the given columns (default: all) as a long frame.
 
     ``approx_distinct`` switches ``n_distinct`` to HyperLogLog++ for very
     wide tables, where exact distinct counts expand every row once per
-    column."""
+    column. ``approx_quantile_accuracy`` switches the exact distributed
+    quantiles to ``percentile_approx`` sketches of that accuracy (one pass,
+    bounded memory) when exact values are not needed."""
     columns = list(columns or df.columns)
     kinds = {c: _kind(df.schema[c].dataType) for c in columns}
     kinds = {c: k for c, k in kinds.items() if k != "other"}
     numeric = [c for c, k in kinds.items() if k == "numeric"]
     # numeric distinct counts come from the value counts the quantiles need
     # anyway, which keeps exact distinct counts out of the one-pass aggregate
-    shared = bool(numeric and quantiles and not approx_distinct)
+    shared = bool(numeric and quantiles and not approx_distinct and approx_quantile_accuracy is None)
     entries = _entries(df, kinds, approx_distinct, exact_numeric_distinct=shared)
     aggs = []
     for i, (_, _, v, t) in enumerate(entries):
@@ -278,7 +315,10 @@ def profile(
     main = _long(df.agg(*aggs), entries)
     text = [c for c, k in kinds.items() if k == "text"]
     parts = [main]
-    if numeric and quantiles:
+    if numeric and quantiles and approx_quantile_accuracy is not None:
+        no_text = F.lit(None).cast("string").alias("text")
+        parts.append(approx_quantiles(df, numeric, quantiles, approx_quantile_accuracy).select("*", no_text))
+    elif numeric and quantiles:
         ranged = _ranged_value_counts(df, numeric)
         no_text = F.lit(None).cast("string").alias("text")
         parts.append(_quantiles_from_counts(ranged, quantiles).select("*", no_text))

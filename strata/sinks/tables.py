@@ -173,7 +173,7 @@ def create_table(
 ) -> LoadResult:
     """Create an external Parquet table from a frame."""
     home = location or _home_for_new_table(spark, name)
-    path = home if partition_by else f"{home}/{uuid.uuid4().hex}"
+    path = f"{home}/{uuid.uuid4().hex}"
     counted, obs = _observe(df, F.count(F.lit(1)).alias("rows"))
     writer = write_balanced(counted, *partition_by).write.format("parquet").option("path", path)
     if partition_by:
@@ -193,13 +193,31 @@ def append_table(spark: SparkSession, name: str, df: DataFrame) -> LoadResult:
     return LoadResult(name, "append", n, 0, n)
 
 
-def _swap_write(spark: SparkSession, name: str, state: DataFrame) -> None:
-    """Write a full new state of an unpartitioned table and re-point it."""
+def _swap_write(
+    spark: SparkSession, name: str, state: DataFrame, partition_by: Sequence[str] = ()
+) -> None:
+    """Write a full new state of a table to a fresh folder and re-point the
+    table to it; the old folder is untouched until the swap."""
     current = table_location(spark, name).rstrip("/")
     parent = current.rsplit("/", 1)[0]
     new_path = f"{parent}/{uuid.uuid4().hex}"
-    state.write.format("parquet").mode("errorifexists").save(new_path)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
+    writer = state.write.format("parquet").mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(new_path)
+    if partition_by:
+        # The catalog keeps one location per partition, so re-pointing the
+        # table is not enough: register the (external) table again on the
+        # new folder and let Spark discover its partitions. Dropping an
+        # external table leaves its files in place.
+        schema = spark.table(name).schema
+        cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        parts = ", ".join(quote(c) for c in partition_by)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY ({parts}) LOCATION '{new_path}'")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
     spark.catalog.refreshTable(name)
 
 
@@ -280,6 +298,8 @@ def load_partitioned(
     so a key whose date moved is inserted in its new partition and the old row
     stays, as in the original; this is also what lets the merge read only the
     touched partitions. Rows whose partition date is NULL never match.
+    With ``match_partition=False`` the match is on the keys alone (a moved
+    row leaves its old partition), which needs the whole table rewritten.
     """
     part = f"{date_col}_Partition"
     fallbacks = [fallback_date_col] if fallback_date_col else []
@@ -319,10 +339,16 @@ def load_partitioned(
         match_keys = list(keys)
     state = merge_state(spark, target, src, match_keys, null_safe, src_bytes)
     state, obs = _observe(state, *op_counts(state))
-    with conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        write_balanced(state.select(*[quote(c) for c in table_cols]), part).write.insertInto(
-            name, overwrite=True
-        )
+    ordered = write_balanced(state.select(*[quote(c) for c in table_cols]), part)
+    if match_partition:
+        # only the touched partitions are rewritten
+        with conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            ordered.write.insertInto(name, overwrite=True)
+    else:
+        # a matched row may move to another date, which can leave its old
+        # partition empty; dynamic overwrite never clears a partition, so
+        # the whole table is rewritten to a new folder and swapped
+        _swap_write(spark, name, ordered, partition_by=[part])
     m = obs.get
     res = LoadResult(name, "merge", int(m["updated"] + m["inserted"]), int(m["updated"]), int(m["inserted"]))
     if history:
@@ -351,18 +377,21 @@ def compact_partitions(
 
 
 def vacuum_versions(spark: SparkSession, name: str, keep_previous: int = 1) -> list[str]:
-    """Delete old version directories of an unpartitioned table, keeping the
-    current one and the ``keep_previous`` most recent before it (a fallback
-    for readers that started before the last swap). Returns what was
-    deleted. Run it when no reader can still be on an old version."""
-    if partition_columns(spark, name):
-        return []
+    """Delete old version folders of a table written by this module, keeping
+    the current one and the ``keep_previous`` most recent before it (a
+    fallback for readers that started before the last swap). Only sibling
+    folders named like a version (32 hex characters) are touched. Returns
+    what was deleted. Run it when no reader can still be on an old version."""
     current = table_location(spark, name).rstrip("/")
     parent = current.rsplit("/", 1)[0]
     jvm = spark.sparkContext._jvm
     home = jvm.org.apache.hadoop.fs.Path(parent)
     fs = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [st for st in fs.listStatus(home) if st.isDirectory()]
+    versions = [
+        st
+        for st in fs.listStatus(home)
+        if st.isDirectory() and re.fullmatch(r"[0-9a-f]{32}", st.getPath().getName())
+    ]
     older = sorted(
         (st for st in versions if st.getPath().toString().rstrip("/") != current),
         key=lambda st: st.getModificationTime(),

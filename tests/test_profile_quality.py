@@ -76,3 +76,9 @@ def test_dq_record_identity_and_upsert(spark, db):
     assert spark.table(table).count() == 1  # same day: update
     dq_report(spark, table, dq_record(rec, "a", "b", "c", "/p/f.x", "t", "2024-05-02 20:30:00"))
     assert spark.table(table).count() == 2  # next day: insert
+
+
+def test_approximate_quantiles_option(spark):
+    df = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"))
+    p = {r.metric: r.value for r in profile(df, ["x"], approx_quantile_accuracy=10_000).collect()}
+    assert p["p50"] == 500.0 and p["p5"] == 50.0 and p["n_distinct"] == 1000 and p["iqr"] == 500.0

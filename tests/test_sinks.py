@@ -136,3 +136,21 @@ def test_vacuum_keeps_current_and_previous(spark, db):
     assert len(deleted) == 2 and sorted(os.listdir(home)).count(current.rsplit("/", 1)[1]) == 1
     assert len(os.listdir(home)) == 2
     assert {r.v for r in spark.table(name).collect()} == {3}
+
+
+def test_partitioned_upsert_on_keys_only_moves_rows(spark, db):
+    name = f"{db}.daily_keys"
+    load_partitioned(spark, name, _events(spark), keys=["id"], order_by=["ts"], date_col="ts")
+    batch = spark.createDataFrame(
+        [(2, dt.datetime(2024, 1, 3, 9), 20.0), (9, dt.datetime(2024, 1, 4, 9), 9.0)],
+        "id long, ts timestamp_ntz, v double",
+    )
+    res = load_partitioned(
+        spark, name, batch, keys=["id"], order_by=["ts"], date_col="ts", match_partition=False
+    )
+    assert (res.updated, res.inserted) == (1, 1)
+    got = sorted((r.id, r.v, str(r.ts_Partition)) for r in spark.table(name).collect())
+    # id 2 left 2024-01-02 (now empty) for 2024-01-03
+    assert got == [(1, 1.0, "2024-01-01"), (2, 20.0, "2024-01-03"), (3, 3.0, "None"), (9, 9.0, "2024-01-04")]
+    parts = {str(r[0]) for r in spark.table(name).select("ts_Partition").distinct().collect()}
+    assert "2024-01-02" not in parts
