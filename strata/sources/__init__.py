@@ -1,10 +1,12 @@
 from strata.sources.databases import (
+    ConnectorMissingError,
     MissingCredentialsError,
     check_credentials,
     documents_to_df,
     documents_uri,
     jdbc_spec,
     read_database,
+    read_collection,
     read_documents,
     read_jdbc,
 )
@@ -12,11 +14,13 @@ from strata.sources.files import read_csv, read_sql, read_table, read_txt, write
 from strata.sources.xlsx import read_xlsx, write_xlsx
 
 __all__ = [
+    "ConnectorMissingError",
     "MissingCredentialsError",
     "check_credentials",
     "documents_to_df",
     "documents_uri",
     "jdbc_spec",
+    "read_collection",
     "read_csv",
     "read_database",
     "read_documents",

@@ -191,6 +191,51 @@ def documents_uri(
     return uri + ("?" + "&".join(params) if params else "")
 
 
+# Fixed value: the data source name and provider class of the document-store
+# Spark connector (10.x).
+COLLECTION_FORMAT = "mongodb"
+COLLECTION_PROVIDER = "com.mongodb.spark.sql.connector.MongoTableProvider"
+
+
+class ConnectorMissingError(RuntimeError):
+    """The Spark connector for a source is not on the class path."""
+
+
+def collection_options(uri: str, database: str, collection: str) -> dict[str, str]:
+    return {"connection.uri": uri, "database": database, "collection": collection}
+
+
+def read_collection(
+    spark: SparkSession,
+    uri: str,
+    database: str,
+    collection: str,
+    schema: T.StructType | None = None,
+    query: Mapping | None = None,
+    projection: Mapping | None = None,
+    limit: int = 0,
+    skip_none: bool = False,
+    id_field: str = "_id",
+) -> DataFrame:
+    """S7 against a live collection through the document store's Spark
+    connector: partitions are read in parallel by the executors and the
+    compiled filter is pushed to the server by the connector. Raises
+    ``ConnectorMissingError`` when the connector jar is absent."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(COLLECTION_PROVIDER)
+    except Exception as e:  # noqa: BLE001 - py4j wraps the JVM error
+        raise ConnectorMissingError(
+            f"the '{COLLECTION_FORMAT}' Spark connector is not on the class path; "
+            "add it with spark.jars.packages, or export the collection as JSON lines "
+            "and use read_documents"
+        ) from e
+    reader = spark.read.format(COLLECTION_FORMAT).options(**collection_options(uri, database, collection))
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = normalise_id(reader.load(), id_field)
+    return find(df, query, projection, limit, skip_none=skip_none, id_field=id_field)
+
+
 def normalise_id(df: DataFrame, id_field: str = "_id") -> DataFrame:
     """Document ids as plain strings: an extended-JSON ``{"$oid": ...}``
     object (read as text) is reduced to its hex value."""

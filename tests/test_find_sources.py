@@ -135,3 +135,16 @@ def test_workbook_date_cells():
         for n, b in parts.items():
             z.writestr(n, b)
     assert list(iter_rows(out.getvalue()))[1] == ["2024-01-02"]
+
+
+def test_collection_reader_needs_its_connector(spark):
+    from strata.sources.databases import ConnectorMissingError, collection_options, read_collection
+
+    uri = documents_uri("h", 27017, "u", "p", "db", auth_source="admin")
+    assert collection_options(uri, "db", "product") == {
+        "connection.uri": "mongodb://u:p@h:27017/db?authSource=admin",
+        "database": "db",
+        "collection": "product",
+    }
+    with pytest.raises(ConnectorMissingError):
+        read_collection(spark, uri, "db", "product", query={"product_id": 2})
