@@ -101,12 +101,21 @@ def bronze_quality(
     table_name: str = "transactions_raw",
     data_format: str = "xlsx",
     now: _dt.datetime | str | None = None,
+    scope: str = "table",
 ) -> DataFrame:
-    """Q5: this load's rows against the whole bronze table on ``AccountNo``
-    (bronze is append-only, so observations FAIL from the second load on;
-    pass ``bronze`` filtered on the batch's load time for a batch check)."""
+    """Q5: this load's rows against bronze on ``AccountNo``.
+
+    ``scope="table"`` compares with the whole bronze table, which is
+    append-only, so observations FAIL from the second load on (as in the
+    original); ``scope="batch"`` compares only the bronze rows that carry
+    this batch's ingestion time."""
     from strata.operators.quality import dq_record, reconcile
 
+    if scope == "batch":
+        stamps = batch.select("IngestionTime").distinct()
+        bronze = bronze.join(stamps, "IngestionTime", "left_semi")
+    elif scope != "table":
+        raise ValueError(f"unknown scope {scope!r}")
     rec = reconcile(batch, bronze, "AccountNo")
     return dq_record(rec, "integration", "xlsx_to_bronze", data_format, file_path, table_name, now)
 

@@ -82,3 +82,19 @@ def test_approximate_quantiles_option(spark):
     df = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"))
     p = {r.metric: r.value for r in profile(df, ["x"], approx_quantile_accuracy=10_000).collect()}
     assert p["p50"] == 500.0 and p["p5"] == 50.0 and p["n_distinct"] == 1000 and p["iqr"] == 500.0
+
+
+def test_bronze_quality_scopes(spark, db):
+    from strata.functions.columns import stamp_ingestion
+    from strata.plans.jobs import bronze_quality
+    from strata.sinks.tables import load_table
+
+    name = f"{db}.bronze"
+    first = stamp_ingestion(spark.createDataFrame([("1",), ("2",)], "AccountNo string"), now="2024-01-01 00:00:00")
+    second = stamp_ingestion(spark.createDataFrame([("1",), ("3",)], "AccountNo string"), now="2024-01-02 00:00:00")
+    load_table(spark, name, first)
+    load_table(spark, name, second)
+    table_scope = bronze_quality(second, spark.table(name), "/x/f.xlsx").first()
+    batch_scope = bronze_quality(second, spark.table(name), "/x/f.xlsx", scope="batch").first()
+    assert (table_scope.Status_Observation, table_scope.Destination_Observation) == ("FAIL", 4)
+    assert (batch_scope.Status_Observation, batch_scope.Status_Rows) == ("PASS", "PASS")
