@@ -83,7 +83,8 @@ def local_time(tz: str, now: _dt.datetime | str | None = None) -> Column:
     ``now`` is a UTC wall-clock time; when omitted the query start time is used.
     """
     if now is None:
-        return F.convert_timezone(F.lit(tz), F.current_timestamp().cast("timestamp_ntz"))
+        # current time as wall clock of the session zone, converted from it
+        return F.convert_timezone(None, F.lit(tz), F.current_timestamp().cast("timestamp_ntz"))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), ntz_literal(now))
 
 

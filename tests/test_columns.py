@@ -96,3 +96,13 @@ def test_conform_keeps_null_as_null(spark):
     )
     r = C.conform(df, schema).first()
     assert tuple(r) == (1, None, dt.date(2024, 1, 2), Decimal("3.46"), None)
+
+
+def test_local_time_without_fixed_now(spark):
+    import datetime as _dt
+
+    df = spark.createDataFrame([(1,)], "a int")
+    got = df.select(C.local_time("+07:00").alias("t")).first().t
+    expected = _dt.datetime.now(_dt.UTC).replace(tzinfo=None) + _dt.timedelta(hours=7)
+    assert abs((got - expected).total_seconds()) < 120
+    assert C.stamp_ingestion(df).schema["IngestionTime"].dataType.simpleString() == "timestamp_ntz"
