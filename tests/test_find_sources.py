@@ -148,3 +148,23 @@ def test_collection_reader_needs_its_connector(spark):
     }
     with pytest.raises(ConnectorMissingError):
         read_collection(spark, uri, "db", "product", query={"product_id": 2})
+
+
+def test_csv_keeps_malformed_lines(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("k,v\n1,a\nnot-a-number,b\n")
+    rows = read_csv(spark, str(p), "k int, v string", corrupt_column="_bad").collect()
+    got = [(r.k, r.v, r._bad) for r in rows]
+    assert (1, "a", None) in got and any(b == "not-a-number,b" for _, _, b in got)
+
+
+def test_text_without_header(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("1|x\n2|y|extra\n3\n")
+    got = sorted(map(tuple, read_txt(spark, str(tmp_path / "t.txt"), columns=["k", "s"], header=False).collect()))
+    assert got == [("1", "x"), ("2", "y"), ("3", None)]
+
+
+def test_nested_field_filter(spark):
+    df = spark.createDataFrame([("a", (1, "x")), ("b", (2, "y"))], "_id string, meta struct<n:int, s:string>")
+    assert ids(find(df, {"meta.n": {"$gt": 1}})) == ["b"]
+    assert find(df, {"meta.s": "x"}, projection={"meta.s": 1}).columns == ["_id", "meta.s"]

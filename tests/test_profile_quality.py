@@ -98,3 +98,13 @@ def test_bronze_quality_scopes(spark, db):
     batch_scope = bronze_quality(second, spark.table(name), "/x/f.xlsx", scope="batch").first()
     assert (table_scope.Status_Observation, table_scope.Destination_Observation) == ("FAIL", 4)
     assert (batch_scope.Status_Observation, batch_scope.Status_Rows) == ("PASS", "PASS")
+
+
+def test_approx_distinct_and_decimal_columns(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(Decimal("1.50"), 9007199254740993), (Decimal("2.25"), 9007199254740992)], "m decimal(18,2), big long")
+    p = {(r.column_name, r.metric): r.value for r in profile(df).collect()}
+    assert p[("m", "sum")] == 3.75 and p[("big", "n_distinct")] == 2  # exact beyond 2^53
+    a = {(r.column_name, r.metric): r.value for r in profile(df, approx_distinct=True, quantiles=()).collect()}
+    assert a[("m", "n_distinct")] == 2

@@ -154,3 +154,24 @@ def test_partitioned_upsert_on_keys_only_moves_rows(spark, db):
     assert got == [(1, 1.0, "2024-01-01"), (2, 20.0, "2024-01-03"), (3, 3.0, "None"), (9, 9.0, "2024-01-04")]
     parts = {str(r[0]) for r in spark.table(name).select("ts_Partition").distinct().collect()}
     assert "2024-01-02" not in parts
+
+
+def test_compact_selected_partitions_and_guards(spark, db):
+    from strata.sinks.tables import append_table, merge_into
+
+    name = f"{db}.sel"
+    base = spark.range(40).select("id", (F.col("id") % 2).alias("p"))
+    load_table(spark, name, base.filter("p = 0"))
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('note' = 'unpartitioned')")
+    assert compact_partitions(spark, name) == 20
+    pname = f"{db}.psel"
+    dated = base.withColumn("d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("p").cast("int")))
+    load_partitioned(spark, pname, dated, keys=["id"], order_by=["id"], date_col="d")
+    with pytest.raises(ValueError):
+        merge_into(spark, pname, dated, ["id"])
+    append_table(spark, pname, dated.withColumn("d_Partition", F.col("d")))
+    assert compact_partitions(spark, pname, partitions=[dt.date(2024, 1, 1)]) == 40
+    assert spark.table(pname).count() == 80
+
+
+import pytest  # noqa: E402
