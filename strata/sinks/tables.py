@@ -21,6 +21,7 @@ from __future__ import annotations
 import contextlib
 import datetime as _dt
 import re
+import threading
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -38,6 +39,19 @@ from strata.session import checkpoint_root, conf, scratch_path, unique_name
 # pruned with a semi join instead of a literal IN list.
 MAX_LITERAL_PARTITIONS = 2000
 
+# ``insertInto`` takes the overwrite mode only from the session conf (a
+# writer option is ignored, and a static overwrite would clear every other
+# partition), so partition overwrites switch the conf for the write and are
+# serialised within this process: two loads in threads cannot interleave
+# the switch and restore.
+_OVERWRITE_LOCK = threading.Lock()
+
+
+@contextlib.contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    with _OVERWRITE_LOCK, conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        yield
+
 HISTORY_TABLE = "load_history"
 HISTORY_SCHEMA = T.StructType(
     [
@@ -187,8 +201,7 @@ def append_table(spark: SparkSession, name: str, df: DataFrame) -> LoadResult:
     aligned = evolve_schema(spark, name, df)
     counted, obs = _observe(aligned, F.count(F.lit(1)).alias("rows"))
     parts = partition_columns(spark, name)
-    with conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        write_balanced(counted, *parts).write.insertInto(name, overwrite=False)
+    write_balanced(counted, *parts).write.insertInto(name, overwrite=False)
     n = int(obs.get["rows"])
     return LoadResult(name, "append", n, 0, n)
 
@@ -342,7 +355,7 @@ def load_partitioned(
     ordered = write_balanced(state.select(*[quote(c) for c in table_cols]), part)
     if match_partition:
         # only the touched partitions are rewritten
-        with conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        with _dynamic_overwrite(spark):
             ordered.write.insertInto(name, overwrite=True)
     else:
         # a matched row may move to another date, which can leave its old
@@ -369,7 +382,7 @@ def compact_partitions(
         df = df.filter(F.col(parts[0]).isin(list(partitions)))
     df, obs = _observe(df, F.count(F.lit(1)).alias("rows"))
     if parts:
-        with conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        with _dynamic_overwrite(spark):
             write_balanced(df, *parts).write.insertInto(name, overwrite=True)
     else:
         _swap_write(spark, name, write_balanced(df))

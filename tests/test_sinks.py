@@ -175,3 +175,32 @@ def test_compact_selected_partitions_and_guards(spark, db):
 
 
 import pytest  # noqa: E402
+
+
+def test_concurrent_partitioned_loads_keep_other_partitions(spark, db):
+    """Two partitioned upserts in threads: neither may run as a static
+    overwrite (which would clear the other partitions)."""
+    import threading
+
+    names = [f"{db}.conc_{i}" for i in range(2)]
+    for n in names:
+        load_partitioned(spark, n, _events(spark), keys=["id"], order_by=["ts"], date_col="ts")
+    batch = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 12), 7.0)], "id long, ts timestamp_ntz, v double")
+    errors = []
+
+    def run(n):
+        try:
+            for _ in range(2):
+                load_partitioned(spark, n, batch, keys=["id"], order_by=["ts"], date_col="ts", history=False)
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in names]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors
+    for n in names:
+        assert sorted((r.id, r.v) for r in spark.table(n).collect()) == [(1, 7.0), (2, 2.0), (3, 3.0)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
