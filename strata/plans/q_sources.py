@@ -250,7 +250,7 @@ def documents_to_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sql_source",
     """
-SELECT o_orderstatus, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
+SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
 FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' GROUP BY o_orderstatus""",
 )
 def sql_source(spark: SparkSession, sf_dir: str) -> DataFrame:
