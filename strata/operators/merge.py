@@ -65,6 +65,10 @@ def merge_frames(
     * ``source LEFT ANTI JOIN distinct(target keys)`` gives the inserts; the
       distinct is pre-aggregated map-side, so a hot key is one row per task.
 
+    Compared with one full outer join this shuffles the target's key columns
+    a second time (keys only, usually a small fraction of the row width),
+    which is the price of being able to split a hot key.
+
     With ``broadcast_source`` (a batch whose size the caller has measured)
     the source is broadcast into the first join and the matched keys are
     found with a broadcast semi join, so the target is never shuffled.
