@@ -56,15 +56,24 @@ def _corrected_kurtosis(g2: Column, n: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
-def _entries(df: DataFrame, kinds: dict[str, str], approx_distinct: bool, exact_numeric_distinct: bool = False):
-    """(column, metric, value expr, text expr) for the one-pass aggregate."""
+def _entries(
+    df: DataFrame,
+    kinds: dict[str, str],
+    approx_distinct: bool,
+    exact_numeric_distinct: bool = False,
+    exact_text_distinct: bool = False,
+):
+    """(column, metric, value expr, text expr) for the one-pass aggregate.
+    Distinct counts that come from the value-count jobs are left out, so the
+    aggregate needs no ``Expand``."""
     out: list[tuple[str, str, Column | None, Column | None]] = []
     rows = F.count(F.lit(1))
     for c, kind in kinds.items():
         x = F.col(quote(c))
         distinct = F.approx_count_distinct(x) if approx_distinct else F.count_distinct(x)
         out += [(c, "n", rows, None), (c, "missing", F.count_if(x.isNull()), None)]
-        if kind != "numeric" or approx_distinct or not exact_numeric_distinct:
+        shared = (kind == "numeric" and exact_numeric_distinct) or (kind == "text" and exact_text_distinct)
+        if approx_distinct or not shared:
             out.append((c, "n_distinct", distinct, None))
         if kind == "numeric":
             v = x.cast("double")
@@ -222,23 +231,30 @@ def exact_quantiles(
     return _quantiles_from_counts(_ranged_value_counts(df, columns), probs)
 
 
-def top_values(df: DataFrame, columns: Sequence[str], k: int = TOP_K) -> DataFrame:
-    """Top ``k`` values with counts per text column (ties by value).
-
-    ``row_number() <= k`` lets Catalyst put a partial ``WindowGroupLimit``
-    before the shuffle, so each task forwards at most k rows per column."""
-    if not columns:
-        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double, text string")
+def _text_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per non-NULL (column, value), combined map-side."""
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(quote(c)).alias("t")) for c in columns])
     )
-    counts = (
+    return (
         df.select(pairs.alias("p"))
         .select("p.*")
         .where(F.col("t").isNotNull())
         .groupBy("column_name", "t")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
+
+
+def top_values(
+    df: DataFrame, columns: Sequence[str], k: int = TOP_K, counts: DataFrame | None = None
+) -> DataFrame:
+    """Top ``k`` values with counts per text column (ties by value).
+
+    ``row_number() <= k`` lets Catalyst put a partial ``WindowGroupLimit``
+    before the shuffle, so each task forwards at most k rows per column."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double, text string")
+    counts = counts if counts is not None else _text_value_counts(df, columns)
     w = Window.partitionBy("column_name").orderBy(F.col("cnt").desc(), F.col("t").asc())
     top = counts.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
     return top.select(
@@ -304,8 +320,10 @@ def profile(
     numeric = [c for c, k in kinds.items() if k == "numeric"]
     # numeric distinct counts come from the value counts the quantiles need
     # anyway, which keeps exact distinct counts out of the one-pass aggregate
+    text = [c for c, k in kinds.items() if k == "text"]
     shared = bool(numeric and quantiles and not approx_distinct and approx_quantile_accuracy is None)
-    entries = _entries(df, kinds, approx_distinct, exact_numeric_distinct=shared)
+    shared_text = bool(text and top_k and not approx_distinct)
+    entries = _entries(df, kinds, approx_distinct, exact_numeric_distinct=shared, exact_text_distinct=shared_text)
     aggs = []
     for i, (_, _, v, t) in enumerate(entries):
         if v is not None:
@@ -313,7 +331,6 @@ def profile(
         if t is not None:
             aggs.append(t.alias(f"t{i}"))
     main = _long(df.agg(*aggs), entries)
-    text = [c for c, k in kinds.items() if k == "text"]
     parts = [main]
     if numeric and quantiles and approx_quantile_accuracy is not None:
         no_text = F.lit(None).cast("string").alias("text")
@@ -325,7 +342,19 @@ def profile(
         if shared:
             parts.append(_distinct_from_counts(ranged).select("*", no_text))
     if text and top_k:
-        parts.append(top_values(df, text, top_k))
+        # one value-count plan feeds both; Spark reuses its shuffle
+        counts = _text_value_counts(df, text)
+        parts.append(top_values(df, text, top_k, counts))
+        if shared_text:
+            # reading ``cnt`` (always > 0) keeps this plan identical to the
+            # top-values input, so the shuffle is shared
+            parts.append(
+                counts.groupBy("column_name").agg(
+                    F.lit("n_distinct").alias("metric"),
+                    F.count_if(F.col("cnt") > 0).cast("double").alias("value"),
+                    F.lit(None).cast("string").alias("text"),
+                )
+            )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
