@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import logging
 import re
 import threading
 import uuid
@@ -35,6 +36,8 @@ from strata.operators.dedup import data_bytes, key_stats, latest_per_key
 from strata.operators.merge import align_to, merge_frames, merge_frames_broadcast, op_counts
 from strata.session import checkpoint_root, conf, scratch_path, unique_name
 
+log = logging.getLogger("strata")
+
 # Above this many distinct partition dates in one source batch the target is
 # pruned with a semi join instead of a literal IN list.
 MAX_LITERAL_PARTITIONS = 2000
@@ -438,6 +441,11 @@ def history_table_for(spark: SparkSession, name: str) -> str:
 
 
 def record_load(spark: SparkSession, res: LoadResult) -> None:
+    """Append one row to the table's load history (and log it)."""
+    log.info(
+        "%s: %s, %d source rows, %d updated, %d inserted",
+        res.table, res.operation, res.rows, res.updated, res.inserted,
+    )
     hist = history_table_for(spark, res.table)
     row = [
         (

@@ -37,7 +37,6 @@ DRIVERS = {
 }
 DEFAULT_PORTS = {"mysql": 3306, "sqlserver": 1433}
 DEFAULT_SSLMODE = "require"
-DEFAULT_AUTH_SOURCE = "admin"
 
 
 def check_credentials(kind: str, **fields: object) -> None:
