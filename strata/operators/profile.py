@@ -129,26 +129,47 @@ def _long(agg_row: DataFrame, entries) -> DataFrame:
     return agg_row.select(F.explode(F.array(*structs)).alias("e")).select("e.*")
 
 
+def _exact_keys(df: DataFrame, c: str) -> tuple[Column, Column]:
+    """(long key, text key) that identify a value exactly where its double
+    may not: longs as themselves, decimals up to 18 digits as their unscaled
+    long, wider decimals as text; other types need no key (the double is
+    exact)."""
+    dt = df.schema[c].dataType
+    x = F.col(quote(c))
+    none_long, none_text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    if isinstance(dt, T.LongType):
+        return x, none_text
+    if isinstance(dt, T.DecimalType) and dt.precision <= 18:
+        unscaled = (x * F.lit(10**dt.scale).cast(T.DecimalType(dt.scale + 1, 0))).cast("long")
+        return unscaled, none_text
+    if isinstance(dt, T.DecimalType):
+        return none_long, x.cast("string")
+    return none_long, none_text
+
+
 def _ranged_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per distinct (column, value), range-partitioned by value and
     frozen with a checkpoint on the shared folder (the partition ids must not
     change if a stage is recomputed).
 
-    ``v`` is the value as double (for ordering); long and decimal values also
-    keep an exact text key ``k``, so distinct counts stay exact beyond 2^53.
-    Map-side combine makes a value that fills a third of the table one row
-    after the first stage.
+    ``v`` is the value as double (for ordering); ``k`` / ``ks`` keep long and
+    decimal values exact (fixed-width long keys where possible), so distinct
+    counts stay exact beyond 2^53. Map-side combine makes a value that fills
+    a third of the table one row after the first stage.
     """
     fields = []
     for c in columns:
-        dt = df.schema[c].dataType
-        x = F.col(quote(c))
-        exact = x.cast("string") if isinstance(dt, (T.LongType, T.DecimalType)) else F.lit(None).cast("string")
+        k, ks = _exact_keys(df, c)
         fields.append(
-            F.struct(F.lit(c).alias("column_name"), exact.alias("k"), x.cast("double").alias("v"))
+            F.struct(
+                F.lit(c).alias("column_name"),
+                k.alias("k"),
+                ks.alias("ks"),
+                F.col(quote(c)).cast("double").alias("v"),
+            )
         )
     vals = df.select(F.explode(F.array(*fields)).alias("p")).select("p.*").where(F.col("v").isNotNull())
-    counts = vals.groupBy("column_name", "k", "v").agg(F.count(F.lit(1)).alias("c"))
+    counts = vals.groupBy("column_name", "k", "ks", "v").agg(F.count(F.lit(1)).alias("c"))
     checkpoint_root(df.sparkSession)
     return (
         counts.repartitionByRange("column_name", "v")

@@ -108,3 +108,13 @@ def test_approx_distinct_and_decimal_columns(spark):
     assert p[("m", "sum")] == 3.75 and p[("big", "n_distinct")] == 2  # exact beyond 2^53
     a = {(r.column_name, r.metric): r.value for r in profile(df, approx_distinct=True, quantiles=()).collect()}
     assert a[("m", "n_distinct")] == 2
+
+
+def test_exact_distinct_for_wide_decimals(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame(
+        [(Decimal("12345678901234567890.1"),), (Decimal("12345678901234567890.2"),), (None,)], "d decimal(30,1)"
+    )
+    p = {r.metric: r.value for r in profile(df, ["d"]).collect()}
+    assert p["n_distinct"] == 2 and p["missing"] == 1
