@@ -55,4 +55,8 @@ def stream_documents_partitioned(
         .start()
     )
     q.awaitTermination()
+    # micro-batches run in a cloned session: drop this session's cached file
+    # listing of the table, whose files the batches may have replaced
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
     return q
