@@ -267,14 +267,36 @@ def read_documents(
     return find(df, query, projection, limit, skip_none=skip_none, id_field=id_field)
 
 
+def _doc_json(doc: Mapping) -> str:
+    import datetime as _dt
+    import json
+
+    def default(v):
+        if isinstance(v, (_dt.datetime, _dt.date)):
+            return v.isoformat()
+        return str(v)  # object ids and other scalar wrappers
+
+    return json.dumps(doc, default=default)
+
+
 def documents_to_df(
-    docs: DataFrame,
+    docs: DataFrame | Sequence[Mapping],
     schema: T.StructType,
     column: str = "value",
     id_field: str = "_id",
+    spark: SparkSession | None = None,
 ) -> DataFrame:
-    """A frame of JSON documents (one per row, e.g. from
-    ``spark.read.text``) to typed columns, matched by name."""
+    """Documents to typed columns, matched by name.
+
+    ``docs`` is a frame of JSON documents (one per row, e.g. from
+    ``spark.read.text``), or a list of dicts a caller already holds (a small
+    result of a document query); the list is serialised to JSON and parsed
+    by the same expression, so both paths give the same rows."""
+    if not isinstance(docs, DataFrame):
+        from pyspark.sql import SparkSession as _S
+
+        session = spark or _S.getActiveSession()
+        docs = session.createDataFrame([(_doc_json(d),) for d in docs], f"{column} string")
     fields = schema
     if id_field in schema.fieldNames():
         # read the id as text so an {"$oid": ...} object survives parsing

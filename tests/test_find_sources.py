@@ -168,3 +168,29 @@ def test_nested_field_filter(spark):
     df = spark.createDataFrame([("a", (1, "x")), ("b", (2, "y"))], "_id string, meta struct<n:int, s:string>")
     assert ids(find(df, {"meta.n": {"$gt": 1}})) == ["b"]
     assert find(df, {"meta.s": "x"}, projection={"meta.s": 1}).columns == ["_id", "meta.s"]
+
+
+def test_documents_from_a_list_of_dicts(spark):
+    import datetime as _dt
+
+    class Oid:
+        def __init__(self, h):
+            self.h = h
+
+        def __str__(self):
+            return self.h
+
+    schema = T.StructType(
+        [
+            T.StructField("_id", T.StringType()),
+            T.StructField("product_id", T.LongType()),
+            T.StructField("updated", T.TimestampNTZType()),
+            T.StructField("missing", T.StringType()),
+        ]
+    )
+    docs = [
+        {"updated": _dt.datetime(2024, 10, 17, 9, 30), "_id": Oid("67118a28"), "product_id": 2, "extra": [1, 2]},
+        {"_id": Oid("67118a29"), "product_id": 5, "updated": None},
+    ]
+    got = sorted(map(tuple, documents_to_df(docs, schema, spark=spark).collect()), key=str)
+    assert got == [("67118a28", 2, _dt.datetime(2024, 10, 17, 9, 30), None), ("67118a29", 5, None, None)]
