@@ -171,12 +171,16 @@ def run_medallion(
     source_name: str,
     sheet: str = "Sheet1",
     now: _dt.datetime | str | None = None,
+    bronze_source: str | None = None,
+    silver_source: str | None = None,
 ) -> DataFrame:
     """B1 -> Q5 -> B2 -> Q6 -> B3 -> Q7 with the monitoring table upserted
     after each hop; returns the monitoring table.
 
-    ``source_name`` is the file name recorded in the DQ records (the
-    physical paths may be many part files)."""
+    ``source_name`` is the file name recorded in the DQ record of the first
+    hop (the physical paths may be many part files); ``bronze_source`` and
+    ``silver_source`` name the sources of the later hops in their records
+    (default: the table names)."""
     from strata.operators.quality import dq_report
     from strata.sources.xlsx import read_xlsx
 
@@ -191,9 +195,9 @@ def run_medallion(
 
     bronze = spark.table(bronze_t)
     silver_transactions(spark, bronze, silver_t, rejects_table=f"{database}.transactions_rejects")
-    dq_report(spark, monitor, silver_quality(bronze, spark.table(silver_t), bronze_t, now=now))
+    dq_report(spark, monitor, silver_quality(bronze, spark.table(silver_t), bronze_source or bronze_t, now=now))
 
     silver = spark.table(silver_t)
     gold_accounts(spark, silver, gold_t)
-    dq_report(spark, monitor, gold_quality(silver, spark.table(gold_t), silver_t, now=now))
+    dq_report(spark, monitor, gold_quality(silver, spark.table(gold_t), silver_source or silver_t, now=now))
     return spark.table(monitor)

@@ -393,8 +393,51 @@ def dq_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MEDALLION_SOURCE = "Transactions.xlsx"
 
+# Bronze as B1 stores it: the workbook rows cleaned and typed (as in the
+# clean_transactions oracle), then the silver key and the layers' key sets.
+MEDALLION_SQL = (
+    "WITH "
+    + O.RAW_TEXT
+    + """,
+bronze AS (
+  SELECT replace("Account No", chr(39), '') AS AccountNo,
+         TRY_CAST("DATE" AS DATE) AS Date,
+         "TRANSACTION DETAILS" AS TransactionDetails,
+         "CHQ.NO." AS CHQNo,
+         CAST(CASE WHEN isnan(TRY_CAST("WITHDRAWAL AMT" AS DOUBLE)) THEN NULL
+                   ELSE round_even(TRY_CAST("WITHDRAWAL AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS WithdrawalAMT,
+         CAST(CASE WHEN isnan(TRY_CAST("DEPOSIT AMT" AS DOUBLE)) THEN NULL
+                   ELSE round_even(TRY_CAST("DEPOSIT AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS DepositAMT,
+         CAST(CASE WHEN isnan(TRY_CAST("BALANCE AMT" AS DOUBLE)) THEN NULL
+                   ELSE round_even(TRY_CAST("BALANCE AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS BalanceAMT
+  FROM raw_text),
+keyed AS (SELECT *, """
+    + O.SURROGATE_KEY
+    + """ AS Id FROM bronze),
+silver AS (SELECT DISTINCT Id, AccountNo FROM keyed WHERE Id IS NOT NULL),
+gold AS (SELECT DISTINCT AccountNo FROM silver)
+"""
+)
 
-@query("run_medallion")
+
+@query(
+    "run_medallion",
+    MEDALLION_SQL
+    + _record_sql(
+        _reconcile_sql("bronze", "AccountNo", "bronze", "AccountNo"),
+        REPORT_NOW, "integration", "xlsx_to_bronze", "xlsx", MEDALLION_SOURCE, "transactions_raw",
+    )
+    + "\nUNION ALL "
+    + _record_sql(
+        _reconcile_sql("keyed", "Id", "silver", "Id"),
+        REPORT_NOW, "platform", "bronze_to_silver", "parquet", BRONZE_PATH, "transactions_clean",
+    )
+    + "\nUNION ALL "
+    + _record_sql(
+        _reconcile_sql("gold", "AccountNo", "gold", "AccountNo"),
+        REPORT_NOW, "datamart", "silver_to_gold", "parquet", SILVER_PATH, "transactions_datamart",
+    ),
+)
 def run_medallion_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bank workbook (as part files) through all three layers with
     DQ after each hop; returns the monitoring table (three records)."""
@@ -404,4 +447,6 @@ def run_medallion_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = scratch_database(spark)
     path = scratch_path(spark, "xlsx", "transactions")
     write_xlsx(fx.raw_text(spark, sf_dir).repartition(4), path)
-    return jobs.run_medallion(spark, path, db, MEDALLION_SOURCE, now=REPORT_NOW)
+    return jobs.run_medallion(
+        spark, path, db, MEDALLION_SOURCE, now=REPORT_NOW, bronze_source=BRONZE_PATH, silver_source=SILVER_PATH
+    )
