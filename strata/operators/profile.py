@@ -178,13 +178,27 @@ def _ranged_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _distinct_from_counts(ranged: DataFrame) -> DataFrame:
-    return ranged.groupBy("column_name").agg(
-        F.lit("n_distinct").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")
+def _column_names(spark, columns: Sequence[str]) -> DataFrame:
+    """One row per profiled column: a column whose values are all NULL has
+    no value counts but still gets its metrics (0 or NULL)."""
+    return spark.createDataFrame([(c,) for c in columns], "column_name string")
+
+
+def _distinct_from_counts(ranged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    per = ranged.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+    # the name list has one row per column: a bounded broadcast
+    names = F.broadcast(_column_names(ranged.sparkSession, columns))
+    return names.join(per, "column_name", "left").select(
+        "column_name",
+        F.lit("n_distinct").alias("metric"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("double").alias("value"),
     )
 
 
-def _quantiles_from_counts(ranged: DataFrame, probs: Sequence[float]) -> DataFrame:
+def _quantiles_from_counts(
+    ranged: DataFrame, probs: Sequence[float], columns: Sequence[str] | None = None
+) -> DataFrame:
+    spark = ranged.sparkSession
     ranged = ranged.where(~F.isnan("v"))
     within = ranged.withColumn(
         "cum",
@@ -218,6 +232,9 @@ def _quantiles_from_counts(ranged: DataFrame, probs: Sequence[float]) -> DataFra
             aggs.append(F.max(F.when(hit, F.col("v"))).alias(f"{side}{i}"))
         aggs.append(F.max(h - F.floor(h)).alias(f"d{i}"))
     per_col = ranked.groupBy("column_name").agg(*aggs)
+    if columns is not None:
+        # columns without any value get NULL quantiles (bounded broadcast of names)
+        per_col = F.broadcast(_column_names(spark, columns)).join(per_col, "column_name", "left")
     qs = {
         _pct_name(p): F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"d{i}")
         for i, p in enumerate(probs)
@@ -249,7 +266,7 @@ def exact_quantiles(
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "column_name string, metric string, value double")
-    return _quantiles_from_counts(_ranged_value_counts(df, columns), probs)
+    return _quantiles_from_counts(_ranged_value_counts(df, columns), probs, columns)
 
 
 def _text_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -359,9 +376,9 @@ def profile(
     elif numeric and quantiles:
         ranged = _ranged_value_counts(df, numeric)
         no_text = F.lit(None).cast("string").alias("text")
-        parts.append(_quantiles_from_counts(ranged, quantiles).select("*", no_text))
+        parts.append(_quantiles_from_counts(ranged, quantiles, numeric).select("*", no_text))
         if shared:
-            parts.append(_distinct_from_counts(ranged).select("*", no_text))
+            parts.append(_distinct_from_counts(ranged, numeric).select("*", no_text))
     if text and top_k:
         # one value-count plan feeds both; Spark reuses its shuffle
         counts = _text_value_counts(df, text)
@@ -369,10 +386,13 @@ def profile(
         if shared_text:
             # reading ``cnt`` (always > 0) keeps this plan identical to the
             # top-values input, so the shuffle is shared
+            per = counts.groupBy("column_name").agg(F.count_if(F.col("cnt") > 0).alias("n"))
+            names = F.broadcast(_column_names(df.sparkSession, text))
             parts.append(
-                counts.groupBy("column_name").agg(
+                names.join(per, "column_name", "left").select(
+                    "column_name",
                     F.lit("n_distinct").alias("metric"),
-                    F.count_if(F.col("cnt") > 0).cast("double").alias("value"),
+                    F.coalesce(F.col("n"), F.lit(0)).cast("double").alias("value"),
                     F.lit(None).cast("string").alias("text"),
                 )
             )

@@ -148,6 +148,15 @@ def _observe(df: DataFrame, *aggs) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *aggs), obs
 
 
+def _rows(obs: Observation, df: DataFrame) -> int:
+    """Rows observed in the write; when Catalyst removed an empty plan (and
+    with it the observation), count the frame instead."""
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - the metrics of an empty plan never arrive
+        return int(df.count())
+
+
 def _stage(df: DataFrame) -> DataFrame:
     """Cut lineage on the shared checkpoint folder when a frame feeds more
     than one job (a key check and a write)."""
@@ -196,7 +205,8 @@ def create_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.mode("errorifexists").saveAsTable(name)
-    return LoadResult(name, "create", int(obs.get["rows"]), 0, int(obs.get["rows"]))
+    n = _rows(obs, df)
+    return LoadResult(name, "create", n, 0, n)
 
 
 def append_table(spark: SparkSession, name: str, df: DataFrame) -> LoadResult:
@@ -205,7 +215,7 @@ def append_table(spark: SparkSession, name: str, df: DataFrame) -> LoadResult:
     counted, obs = _observe(aligned, F.count(F.lit(1)).alias("rows"))
     parts = partition_columns(spark, name)
     write_balanced(counted, *parts).write.insertInto(name, overwrite=False)
-    n = int(obs.get["rows"])
+    n = _rows(obs, aligned)
     return LoadResult(name, "append", n, 0, n)
 
 
@@ -285,7 +295,9 @@ def load_table(
     else:
         staged = _stage(df)
         stats = key_stats(staged, keys, with_bytes=True).first()
-        if stats["is_unique"]:
+        if stats["rows"] == 0:
+            res = LoadResult(name, "merge", 0, 0, 0)  # nothing to write
+        elif stats["is_unique"]:
             res = merge_into(spark, name, staged, keys, null_safe, int(stats["bytes"]))
         else:
             res = append_table(spark, name, staged)
@@ -339,6 +351,11 @@ def load_partitioned(
         .limit(MAX_LITERAL_PARTITIONS + 1)
         .collect()
     )
+    if not per_date:  # empty batch: nothing to write
+        res = LoadResult(name, "merge", 0, 0, 0)
+        if history:
+            record_load(spark, res)
+        return res
     dates = [r[0] for r in per_date]
     src_bytes = sum(int(r[1] or 0) for r in per_date) if len(per_date) <= MAX_LITERAL_PARTITIONS else None
     if match_partition:
@@ -384,6 +401,7 @@ def compact_partitions(
     df = spark.table(name)
     if parts and partitions is not None:
         df = df.filter(F.col(parts[0]).isin(list(partitions)))
+    source = df
     df, obs = _observe(df, F.count(F.lit(1)).alias("rows"))
     if parts:
         with _dynamic_overwrite(spark):
@@ -391,7 +409,7 @@ def compact_partitions(
         spark.catalog.refreshTable(name)
     else:
         _swap_write(spark, name, write_balanced(df))
-    return int(obs.get["rows"])
+    return _rows(obs, source)
 
 
 def vacuum_versions(spark: SparkSession, name: str, keep_previous: int = 1) -> list[str]:
