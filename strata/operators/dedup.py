@@ -27,6 +27,8 @@ def latest_per_key(
     ``tie_break`` ties are resolved arbitrarily, as in the original.
     """
     order = [F.col(quote(c)).desc_nulls_last() for c in (*order_by, *tie_break)]
+    if not order:  # no ordering given: any one row per key
+        order = [F.col(quote(k)) for k in keys]
     w = Window.partitionBy(*[F.col(quote(k)) for k in keys]).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 

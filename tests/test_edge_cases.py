@@ -57,3 +57,11 @@ def test_create_from_an_empty_filtered_frame(spark, db):
     res = create_table(spark, f"{db}.empty", df)
     assert (res.operation, res.rows) == ("create", 0)
     assert compact_partitions(spark, f"{db}.empty") == 0
+
+
+def test_latest_per_key_without_ordering(spark):
+    from strata.operators.dedup import latest_per_key
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    out = latest_per_key(df, ["k"], [])
+    assert sorted(r.k for r in out.collect()) == [1, 2]
