@@ -182,8 +182,10 @@ def run_medallion(
     ``silver_source`` name the sources of the later hops in their records
     (default: the table names)."""
     from strata.operators.quality import dq_report
+    from strata.sinks.tables import ensure_database
     from strata.sources.xlsx import read_xlsx
 
+    ensure_database(spark, database)
     bronze_t = f"{database}.transactions_raw"
     silver_t = f"{database}.transactions_clean"
     gold_t = f"{database}.transactions_datamart"
