@@ -123,3 +123,52 @@ def dq_report(spark: SparkSession, name: str, record: DataFrame) -> LoadResult:
     """Q4: upsert monitoring records by ``ID``."""
     ensure_monitoring_table(spark, name)
     return load_table(spark, name, record, keys="ID")
+
+
+def counts_frame(
+    spark: SparkSession,
+    source_observation: int | None,
+    destination_observation: int | None,
+    source_rows: int | None,
+    destination_rows: int | None,
+    zero_is_unknown: bool = True,
+) -> DataFrame:
+    """The reconcile row from counts a caller already holds (one row with an
+    explicit schema, so missing counts are NULL and give UNKNOWN)."""
+    schema = "so long, do long, sr long, dr long"
+    row = spark.createDataFrame(
+        [(source_observation, destination_observation, source_rows, destination_rows)], schema
+    )
+    obs_diff, obs_status = count_status("so", "do", zero_is_unknown)
+    row_diff, row_status = count_status("sr", "dr", zero_is_unknown)
+    return row.select(
+        obs_status.alias("Status_Observation"),
+        F.col("so").alias("Source_Observation"),
+        F.col("do").alias("Destination_Observation"),
+        obs_diff.alias("Difference_Observation"),
+        row_status.alias("Status_Rows"),
+        F.col("sr").alias("Source_Rows"),
+        F.col("dr").alias("Destination_Rows"),
+        row_diff.alias("Difference_Rows"),
+    )
+
+
+def report_counts(
+    spark: SparkSession,
+    monitoring_table: str,
+    source_observation: int | None,
+    destination_observation: int | None,
+    source_rows: int | None,
+    destination_rows: int | None,
+    table_name: str,
+    process: str | None,
+    etl_type: str | None,
+    data_format: str | None,
+    file_path: str | None,
+    now: _dt.datetime | str | None = None,
+) -> LoadResult:
+    """Q2-Q4 for callers that pass the four counts directly: build the
+    record and upsert it into the monitoring table by ``ID``."""
+    rec = counts_frame(spark, source_observation, destination_observation, source_rows, destination_rows)
+    record = dq_record(rec, etl_type, process, data_format, file_path, table_name, now)
+    return dq_report(spark, monitoring_table, record)

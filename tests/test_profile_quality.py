@@ -118,3 +118,17 @@ def test_exact_distinct_for_wide_decimals(spark):
     )
     p = {r.metric: r.value for r in profile(df, ["d"]).collect()}
     assert p["n_distinct"] == 2 and p["missing"] == 1
+
+
+def test_report_from_counts(spark, db):
+    from strata.operators.quality import report_counts
+
+    table = f"{db}.monitor_counts"
+    now = "2024-05-01 20:30:00"
+    report_counts(spark, table, 10, 10, 5, 4, "t", "xlsx_to_bronze", "integration", "xlsx", "/tmp/Example.xlsx", now)
+    report_counts(spark, table, 10, None, 5, 0, "t", "bronze_to_silver", "platform", "parquet", "/lake/b", now)
+    rows = {r.Process: r for r in spark.table(table).collect()}
+    a, b = rows["xlsx_to_bronze"], rows["bronze_to_silver"]
+    assert (a.Status_Observation, a.Status_Rows, a.Difference_Rows) == ("PASS", "FAIL", 1)
+    assert (b.Status_Observation, b.Difference_Observation, b.Status_Rows) == ("UNKNOWN", None, "UNKNOWN")
+    assert a.ID == hashlib.sha256(b"20240502_example_integration_xlsx_to_bronze").hexdigest()
