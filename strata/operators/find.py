@@ -14,7 +14,7 @@ document store, ``$ne`` and ``$nin`` also match a missing (NULL) field.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,11 @@ def _lit(v: Any) -> Column:
     return F.lit(v)
 
 
-def _field(name: str) -> Column:
+def _field(name: str, columns: frozenset[str] | None = None) -> Column:
+    """The field as a Column; a top-level field the frame does not have is a
+    missing value (NULL), as in a schemaless collection."""
+    if columns is not None and name.split(".")[0] not in columns:
+        return F.lit(None)
     return F.col(".".join(quote(p) for p in name.split(".")))
 
 
@@ -73,16 +77,20 @@ def _field_ops(col: Column, spec: Mapping[str, Any]) -> Column:
     return out if out is not None else F.lit(True)
 
 
-def compile_filter(query: Mapping[str, Any] | None, skip_none: bool = False) -> Column:
+def compile_filter(
+    query: Mapping[str, Any] | None, skip_none: bool = False, columns: Iterable[str] | None = None
+) -> Column:
     """Turn a filter dict into a Column (F2-F6, F11). An empty or missing
     filter matches everything; ``skip_none`` drops fields whose value is
-    ``None`` (optional filters) instead of matching NULL."""
+    ``None`` (optional filters) instead of matching NULL. With ``columns``
+    (the frame's columns) a field the frame lacks counts as missing."""
     if not query:
         return F.lit(True)
+    cols = frozenset(columns) if columns is not None else None
     out: Column | None = None
     for k, v in query.items():
         if k in ("$and", "$or", "$nor"):
-            parts = [compile_filter(q, skip_none) for q in v]
+            parts = [compile_filter(q, skip_none, cols) for q in v]
             e = parts[0]
             for p in parts[1:]:
                 e = (e & p) if k == "$and" else (e | p)
@@ -93,9 +101,9 @@ def compile_filter(query: Mapping[str, Any] | None, skip_none: bool = False) ->
         elif v is None and skip_none:
             continue
         elif isinstance(v, Mapping) and any(str(x).startswith("$") for x in v):
-            e = _field_ops(_field(k), v)
+            e = _field_ops(_field(k, cols), v)
         else:
-            e = _field(k).isNull() if v is None else _field(k) == _lit(v)
+            e = _field(k, cols).isNull() if v is None else _field(k, cols) == _lit(v)
         out = e if out is None else out & e
     # A NULL predicate already drops the row; keeping the bare comparison
     # lets Catalyst push it into the scan.
@@ -125,7 +133,7 @@ def find(
     id_field: str = "_id",
 ) -> DataFrame:
     """Rows matching ``query``; ``limit`` 0 means no limit (L1)."""
-    out = _project(df.filter(compile_filter(query, skip_none)), projection, id_field)
+    out = _project(df.filter(compile_filter(query, skip_none, df.columns)), projection, id_field)
     return out.limit(limit) if limit and limit > 0 else out
 
 
@@ -148,7 +156,7 @@ def find_one(
 ) -> DataFrame:
     """F8: the matching row with the smallest id (a frame of 0 or 1 rows).
     Planned as a distributed top-1, so no partition is gathered."""
-    matches = df.filter(compile_filter(query))
+    matches = df.filter(compile_filter(query, columns=df.columns))
     first = matches.orderBy(F.col(quote(id_field)).asc_nulls_last()).limit(1)
     return _project(first, projection, id_field)
 
@@ -162,4 +170,4 @@ def find_by_id(
 
 def count_documents(df: DataFrame, query: Mapping[str, Any] | None = None) -> DataFrame:
     """one-row frame with the number of matching rows."""
-    return df.filter(compile_filter(query)).agg(F.count(F.lit(1)).alias("count"))
+    return df.filter(compile_filter(query, columns=df.columns)).agg(F.count(F.lit(1)).alias("count"))

@@ -194,3 +194,11 @@ def test_documents_from_a_list_of_dicts(spark):
     ]
     got = sorted(map(tuple, documents_to_df(docs, schema, spark=spark).collect()), key=str)
     assert got == [("67118a28", 2, _dt.datetime(2024, 10, 17, 9, 30), None), ("67118a29", 5, None, None)]
+
+
+def test_filter_on_a_field_the_frame_lacks(docs):
+    assert ids(find(docs, {"nope": None})) == ["a", "b", "c"]
+    assert ids(find(docs, {"nope": 5})) == []
+    assert ids(find(docs, {"nope": {"$exists": False}})) == ["a", "b", "c"]
+    assert ids(find(docs, {"nope": {"$ne": 5}, "n": 1})) == ["a"]
+    assert count_documents(docs, {"nope": {"$gt": 1}}).first()["count"] == 0
