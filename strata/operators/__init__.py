@@ -1,9 +1,10 @@
 from strata.operators.aggregate import account_summary, last_by
 from strata.operators.dedup import is_unique_key, key_stats, latest_per_key
+# ``find`` and ``profile`` are also submodule names, so those two functions
+# are not re-exported here (use ``strata.find`` / ``strata.profile``).
 from strata.operators.find import (
     compile_filter,
     count_documents,
-    find,
     find_by_id,
     find_one,
     find_with_optional_filters,
@@ -13,7 +14,6 @@ from strata.operators.profile import (
     approx_quantiles,
     compare_profiles,
     exact_quantiles,
-    profile,
     profile_boolean,
     profile_date,
     profile_numeric,
@@ -42,7 +42,6 @@ __all__ = [
     "dq_report",
     "ensure_monitoring_table",
     "exact_quantiles",
-    "find",
     "find_by_id",
     "find_one",
     "find_with_optional_filters",
@@ -52,7 +51,6 @@ __all__ = [
     "latest_per_key",
     "merge_frames",
     "merge_frames_broadcast",
-    "profile",
     "profile_boolean",
     "profile_date",
     "profile_numeric",
