@@ -1,6 +1,6 @@
 """Every query of this subpackage; importing the modules registers them."""
 
-from . import mixing, quoting, sharding, urlfilter  # noqa: F401
+from . import langid, mixing, quoting, sharding, simhash, urlfilter  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
