@@ -175,7 +175,7 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_
                 right = ((mine * m.codes[i]) > 0).sum(axis=0)
                 yield pa.RecordBatch.from_pydict({"i": [i] * len(right), "b": list(range(len(right))), "n": [len(mine)] * len(right), "ok": right.tolist()})
 
-    hits = sample.mapInArrow(judge, "i int, b int, n long, ok long").groupBy("i", "b").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok")).collect()
+    hits = sample.mapInArrow(judge, "i long, b long, n long, ok long").groupBy("i", "b").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok")).collect()
     reliable = np.ones(codes.shape)
     for r in hits:
         reliable[r["i"], r["b"]] = (r["ok"] + 1) / (r["n"] + 2)
@@ -216,6 +216,14 @@ def identify(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     return out.select(*[F.col(f"`{c}`") for c in names], held.alias("held_out"), "__guess.lang_pred", "__guess.score", "__guess.ambiguous")
 
 
+def keep_identified(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
+    """The input rows whose language is known: those predicted ``und`` or flagged ambiguous go."""
+    model = fit(docs.filter(common.crc_mod(id_col, 4) != 2), text_col=text_col, lang_col=lang_col, id_col=id_col)
+    g = F.col("__guess")
+    guessed = docs.withColumn("__guess", predict(model, docs.sparkSession, F.col(text_col)))
+    return guessed.filter((g["lang_pred"] != UNKNOWN) & ~g["ambiguous"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -72,6 +72,7 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
     seed: int = SEED,
+    prefix: str = "",
 ) -> DataFrame:
     """The input rows with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
 
@@ -82,9 +83,9 @@ def mix(
     Defined cases: a null source is a source of its own, sorted last; a row without
     words takes nothing but complete epochs of zero words; rows with the same id and text
     stand or fall together; an empty table gives no rows; input columns named like
-    an output column are replaced.
+    an output column are replaced (``prefix`` goes before every output name).
     """
-    out_names = ["size", "source_size", "target", "copies", "taken"]
+    out_names = [prefix + c for c in ("size", "source_size", "target", "copies", "taken")]
     w = F.coalesce(F.when(quality > 0, quality.cast("double")), F.lit(1.0)) if quality is not None else F.lit(1.0)
     keyed = docs.select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in out_names],
@@ -125,41 +126,41 @@ def mix(
     joined = common.bounded_join(keyed, plan, F.col("__mix_source").eqNullSafe(F.col("__plan_source")))
     return joined.select(
         *[F.col(f"`{x}`") for x in docs.columns if x not in out_names],
-        F.col("__mix_size").alias("size"),
-        F.col("__plan_size").alias("source_size"),
-        F.col("__plan_target").alias("target"),
-        (F.col("__plan_epochs") + extra).alias("copies"),
-        (F.col("__mix_size") * (F.col("__plan_epochs") + extra)).alias("taken"),
+        F.col("__mix_size").alias(out_names[0]),
+        F.col("__plan_size").alias(out_names[1]),
+        F.col("__plan_target").alias(out_names[2]),
+        (F.col("__plan_epochs") + extra).alias(out_names[3]),
+        (F.col("__mix_size") * (F.col("__plan_epochs") + extra)).alias(out_names[4]),
     )
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
-    """(label_id, quality_weight) from a labels table, one row per document: the mean
+    """(__label_id, __quality) from a labels table, one row per document: the mean
     weight when a document has several labels; rows without id or label are left out."""
     w = F.when(F.col("quality") == 1, F.lit(QUALITY[1])).when(F.col("quality") == 0, F.lit(QUALITY[0]))
     return (
-        labels.select(F.col("doc_id").alias("label_id"), w.alias("w"))
-        .filter("label_id is not null and w is not null")
-        .groupBy("label_id")
-        .agg(F.avg("w").alias("quality_weight"))
+        labels.select(F.col("doc_id").alias("__label_id"), w.alias("w"))
+        .filter("__label_id is not null and w is not null")
+        .groupBy("__label_id")
+        .agg(F.avg("w").alias("__quality"))
     )
 
 
-def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def mix_documents(docs: DataFrame, labels: DataFrame, prefix: str = "") -> DataFrame:
     """``mix`` over documents weighed by their labels; texts are counted before the
     join, so a caller that drops the text shuffles only ids and sizes."""
     sized = docs.withColumn("__size", common.word_count(F.col("text")))
     q = quality_weights(labels)
-    joined = sized.join(q, sized["doc_id"] == q["label_id"], "left").drop("label_id")
-    out = mix(joined, size=F.col("__size"), quality=F.col("quality_weight"))
-    return out.drop("__size", "quality_weight")
+    joined = sized.join(q, sized["doc_id"] == q["__label_id"], "left").drop("__label_id")
+    out = mix(joined, size=F.col("__size"), quality=F.col("__quality"), prefix=prefix)
+    return out.drop("__size", "__quality")
 
 
 def apply_mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mixed documents: rows the mix leaves out go, rows it takes n times stand n times."""
     names = docs.columns
-    mixed = mix_documents(docs, labels).filter("copies > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")
+    mixed = mix_documents(docs, labels, prefix="__mixed_").filter("__mixed_copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("__mixed_copies"))).alias("__copy")
     return mixed.select(*[F.col(f"`{c}`") for c in names], copies).drop("__copy")
 
 

@@ -1,6 +1,10 @@
 """Every query of this subpackage; importing the modules registers them."""
 
-from . import langid, mixing, quoting, sharding, simhash, urlfilter  # noqa: F401
-from .registry import ORACLE, QUERIES
+import corpus_pipeline
+
+from . import decontaminate, langid, mixing, quoting, sharding, simhash, tokenfiles, urlfilter  # noqa: F401
+from .registry import ORACLE, QUERIES, query
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -18,6 +18,8 @@ SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_NO_WORD = np.ones(256, dtype=bool)
+_NO_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -71,14 +73,29 @@ def text_buffer(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
 
 def split_words(col: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
     """Words of every document of a text column, a slice of documents at a time."""
+    return _split(col, slice_bytes, _LOWER, _SPACE)
+
+
+def letter_words(col: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
+    """As ``split_words``, but words are runs of ASCII letters and digits and of bytes beyond
+    ASCII; upper-case Latin-1 letters (two UTF-8 bytes) are lower-cased as well."""
+    for w in _split(col, slice_bytes, _LOWER, _NO_WORD):
+        d = w.data
+        if len(d) > 1:
+            upper = (d[:-1] == 0xC3) & (d[1:] >= 0x80) & (d[1:] <= 0x9E) & (d[1:] != 0x97)
+            d[1:][upper] += 0x20
+        yield w
+
+
+def _split(col: pa.Array | pa.ChunkedArray, slice_bytes: int, lower: np.ndarray, space: np.ndarray) -> Iterator[Words]:
     data, off = text_buffer(col)
     n, lo = len(off) - 1, 0
     while lo < n:
         hi = int(np.searchsorted(off, off[lo] + slice_bytes, side="right")) - 1
         hi = min(max(hi, lo + 1), n)
-        part = _LOWER[data[off[lo] : off[hi]]]
+        part = lower[data[off[lo] : off[hi]]]
         rows = off[lo : hi + 1] - off[lo]
-        inside = ~_SPACE[part]
+        inside = ~space[part]
         edge = np.zeros(len(part) + 1, dtype=bool)
         edge[rows] = True  # a document's first byte starts anew
         begins = inside.copy()
