@@ -57,7 +57,7 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     def without_attribution(r: Column, k: Column) -> Column:
         last = F.element_at(r["lines"], -1)
         bare = F.when(quoted_next(k) & last.rlike(ATTRIBUTION), F.slice(r["lines"], 1, F.size(r["lines"]) - 1)).otherwise(r["lines"])
-        return F.struct(r["level"].alias("level"), F.trim(F.array_join(bare, "\n")).alias("text"))
+        return F.struct(r["level"].alias("level"), F.btrim(F.array_join(bare, "\n"), F.lit(" \t\r\n")).alias("text"))
 
     m = m.withColumn("__runs", F.transform("__runs", without_attribution))
     own = F.array_join(F.filter(F.filter("__runs", lambda r: r["level"] == 0)["text"], lambda t: t != ""), "\n")

@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 Within each source the rows are shuffled by a seeded hash and ranked; rank r of n
-becomes the fraction (r - 0.5) / n. Sorted by fraction, every stretch of the whole
-holds each source in its overall share, so cutting the order into equal stretches
-gives shards that all match the mixture, with row counts at most one apart.
+becomes the fraction (r - t) / n, t a phase in (0, 1) of the source, so that sources of equal
+size do not come in clumps. Sorted by fraction, every stretch of the whole holds each
+source in its overall share, so cutting the order into equal stretches gives shards that
+all match the mixture, with row counts at most one apart. With s sources, a source of share q
+stays within 2 + q * s / 2 rows of its share in every shard.
 
 Both rankings are range-partitioned (``common.ranked``): neither one source nor the
 whole table is sorted in one task.
@@ -45,7 +47,8 @@ def interleave_shards(
     counts = common.cut(dealt.groupBy(F.col("__stratum").alias("__c_stratum")).agg(F.count(F.lit(1)).alias("__c_rows")))
     total = counts.agg(F.coalesce(F.sum("__c_rows"), F.lit(0))).first()[0]
     r = common.bounded_join(r, counts, F.col("__stratum").eqNullSafe(F.col("__c_stratum")))
-    r = r.withColumn("__at", (F.col("__in_n") - F.lit(0.5)) / F.col("__c_rows"))
+    phase = (F.pmod(F.xxhash64(F.lit(seed), "__stratum"), F.lit(1024)) + F.lit(0.5)) / 1024
+    r = r.withColumn("__at", (F.col("__in_n") - phase) / F.col("__c_rows"))
     p = common.ranked(r, [], [F.col("__at").asc(), F.col("__hash").asc(), F.col("__tie").asc(), F.col("__stratum").asc_nulls_last()], prefix="__all")
     shard = F.expr(f"(__all_n - 1) * {n_shards} div {max(total, 1)}")
     p = p.withColumn("shard", shard.cast("int"))
