@@ -13,13 +13,16 @@ only, so a task that runs again leaves the same file.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +37,24 @@ SEQ_LEN = 2048
 BATCH_ROWS = 64
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Encoded words a worker keeps; beyond it the cache starts anew.
-CACHE_BYTES = 120 << 20
+#: Encoded words a worker keeps; beyond it only those met more than once stay.
+CACHE_BYTES = 192 << 20
+_CALL_WORDS = 500
+_TAIL = b".,;:!?"
+_CASE_MATTERS = (b"\xcc", b"\xcd", b"<|")
+#: Lower-case letters of ASCII and Latin-1, in UTF-8.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+").fullmatch
 _SLICE = 2 << 20
 
 
 class WordEncoder:
     """Encodes texts by their blank-separated words, remembering each word's ids.
 
-    Exact for tokenizers that drop white space and never match across it (the word BPE
-    here): the ids of a text are then those of its words in order. ``by_word=False`` encodes whole
-    texts instead, for any other tokenizer.
+    Exact for tokenizers that lower-case, drop white space and never match across it (the word BPE
+    here): the ids of a text are then those of its words in order. ASCII capitals are lower-cased
+    before the look-up, except in texts where that could matter (combining marks, which compose with some
+    letters in one case only, and special tokens). ``by_word=False`` encodes whole texts instead, for any
+    other tokenizer.
     """
 
     def __init__(self, path: str, by_word: bool = True):
@@ -53,49 +63,114 @@ class WordEncoder:
 
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.forget()
-
-    def forget(self) -> None:
+        self.closes = np.zeros(self.vocabulary, dtype=bool)
+        self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.index: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.first, self.size, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))
         self.used = self.weight = 0
 
-    def _learn(self, words: list[bytes]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        n, total = len(self.index), int(size.sum())
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, by the tokenizer itself: a few hundred to a call, told apart by their offsets."""
+        parts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(words), _CALL_WORDS):
+            texts = [w.decode() for w in words[lo : lo + _CALL_WORDS]]
+            got = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            at = np.searchsorted(ends, np.fromiter((o[0] for o in got.offsets), np.int64, len(got.ids)), side="right")
+            parts.append(np.array(got.ids, np.uint32))
+            sizes.append(np.bincount(at, minlength=len(texts)))
+        return np.concatenate(parts), np.concatenate(sizes)
+
+    def _letter_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, which the vocabulary closes with a word-end token each."""
+        texts = ["\n".join(w.decode() for w in words[lo : lo + _CALL_WORDS]) for lo in range(0, len(words), _CALL_WORDS)]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(got), np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):  # not such a vocabulary
+            return self._ids(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def _add(self, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        n, total = len(self.index), len(ids)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(got) > len(self.first):
-            self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
-        self.ids[self.used : self.used + total] = np.fromiter((i for g in got for i in g), np.uint32, total)
-        self.first[n : n + len(got)] = self.used + np.cumsum(size) - size
-        self.size[n : n + len(got)] = size
+        while n + len(words) > len(self.first):
+            self.first, self.size, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size, self.hits))
+        self.ids[self.used : self.used + total] = ids
+        self.first[n : n + len(words)] = self.used + np.cumsum(size) - size
+        self.size[n : n + len(words)] = size
         self.used += total
-        self.index.update(zip(words, range(n, n + len(got)), strict=True))
-        self.weight += sum(map(len, words)) + 150 * len(words) + 4 * total
+        self.index.update(zip(words, range(n, n + len(words)), strict=True))
+        self.weight += sum(map(len, words)) + 160 * len(words) + 4 * total
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Words that end in punctuation are a word and its punctuation: the tokenizer never
+        matches from an ASCII letter or digit on into what follows it."""
+        cores = {w: c for w in new if (c := w.rstrip(_TAIL)) != w and c[-1:].isalnum()}
+        known = self.index
+        plain = (new - cores.keys()).union(cores.values(), [w[len(c) :] for w, c in cores.items()]).difference(known)
+        letters = [w for w in plain if _LETTERS(w)]
+        if letters:
+            self._add(letters, *self._letter_ids(letters))
+        if rest := list(plain.difference(letters)):
+            self._add(rest, *self._ids(rest))
+        if cores:
+            pairs = np.array([(known[c], known[w[len(c) :]]) for w, c in cores.items()])
+            ids, size = self._gather(pairs.ravel())
+            self._add(list(cores), ids, size.reshape(-1, 2).sum(axis=1))
+
+    def _shrink(self) -> None:
+        """Keep the words met more than once since the last time; all, if that is none."""
+        words, hits = list(self.index), self.hits[: len(self.index)]
+        keep = np.flatnonzero(hits > 1)
+        if len(keep) > len(words) // 2:  # even these are many: only the more frequent half
+            keep = np.flatnonzero(hits > np.median(hits))
+        ids, size = self._gather(keep)
+        old = [words[i] for i in keep.tolist()]
+        self.index = dict(zip(old, range(len(old)), strict=True))
+        self.ids, self.used = np.append(ids, np.zeros(1 << 16, np.uint32)), len(ids)
+        room = np.zeros(1 << 14, np.int64)
+        self.first, self.size, self.hits = np.append(np.cumsum(size) - size, room), np.append(size, room), np.zeros(len(old) + len(room), np.int64)
+        self.weight = sum(map(len, old)) + 160 * len(old) + 4 * len(ids)
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of words in a row, size of each) by their numbers."""
+        size = self.size[at]
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        return self.ids[np.repeat(self.first[at] - (end - size), size) + np.arange(total)], size
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each)."""
+    def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each); the texts are not null."""
         if not self.by_word:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             n = np.fromiter(map(len, got), np.int64, len(got))
-            return np.fromiter((i for g in got for i in g), np.uint32, int(n.sum())), n
+            return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
         if self.weight > CACHE_BYTES:
-            self.forget()
-        split = [t.split() for t in texts]  # bytes.split(): 0x20 and 0x09-0x0D
-        words = [w for s in split for w in s]
-        if new := list(dict.fromkeys(w for w in words if w not in self.index)):
+            self._shrink()
+        lists = pc.ascii_split_whitespace(_lowered(texts))  # 0x20 and 0x09-0x0D; may yield empty words
+        found = lists.flatten().dictionary_encode()
+        words = found.dictionary.cast(pa.large_binary()).to_pylist()
+        if new := set(words).difference(self.index):
             self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        size = self.size[at]
-        end = np.cumsum(size)
-        total = int(end[-1]) if len(end) else 0
-        ids = self.ids[np.repeat(self.first[at] - (end - size), size) + np.arange(total)]
-        bounds = np.cumsum([0] + [len(s) for s in split])
-        return ids, np.diff(np.concatenate([[0], end])[bounds])
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))[found.indices.to_numpy()]
+        self.hits[: len(self.index)] += np.bincount(at, minlength=len(self.index))
+        ids, size = self._gather(at)
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else np.zeros(1, np.int64)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(size)])[bounds])
+
+
+def _lowered(texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """ASCII capitals lower-cased, but for texts with combining marks (U+0300-U+036F) or special tokens."""
+    lower = pc.ascii_lower(texts)
+    data, off = text_buffer(texts)
+    raw = data[off[0] : off[-1]].tobytes()
+    if not any(x in raw for x in _CASE_MATTERS):
+        return lower
+    keep = [any(x in t for x in _CASE_MATTERS) for t in texts.cast(pa.large_binary()).to_pylist()]
+    return pc.if_else(pa.array(keep), texts, lower)
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
@@ -219,12 +294,13 @@ def write_token_files(
                 name, temp = f"{base}/part-{part:06d}", f"{base}/_{part:06d}.{os.getpid()}.{os.urandom(4).hex()}"
                 sink = fs.open_output_stream(f"{temp}.arrow")
                 writer = SequenceWriter(sink, seq_len, kind)
-            data, off = text_buffer(b.column("text"))
+            texts = b.column("text").cast(pa.large_string()).fill_null("")
+            _, off = text_buffer(texts)
             ids_of.append(b.column("doc_id"))
             lo, n = 0, b.num_rows
             while lo < n:
                 hi = min(n, max(lo + 1, int(np.searchsorted(off, off[lo] + _SLICE, side="right")) - 1))
-                ids, size = enc.encode([data[off[i] : off[i + 1]].tobytes() for i in range(lo, hi)])
+                ids, size = enc.encode(texts.slice(lo, hi - lo))
                 ends = np.cumsum(size)
                 writer.add(np.insert(ids, ends, end_id).astype(kind))
                 sizes.append(size + 1)

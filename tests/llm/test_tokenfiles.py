@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.fs as pafs
 from tokenizers import Tokenizer
 
@@ -24,19 +25,27 @@ def plain(rows, end=2):
 
 def odd_texts():
     return [None, "", "   ", "plain words here", "Tabs\tand\nlines\r\n", "ÀÉ é ́ x", "it's they'll 12 345", "a<|endoftext|>b <|startoftext|> c",
-            "non breaking wide", "x\x1cy\x85z", "你好 123 \U0001f600\U0001f600", "w" * 3000, "long text " * 9000, "ΟΔΟΣ ΣΑΣ"]
+            "non breaking wide", "x\x1cy\x85z", "你好 123 \U0001f600\U0001f600", "w" * 3000, "T\u0308 H\u0331 E\u0301 \u0301x \u0345", "x<|ENDOFTEXT|>y A<|endoftext|> <| B", "word. Word, WORD;:!?", "long text " * 9000, "ΟΔΟΣ ΣΑΣ"]
 
 
 def test_words_encode_like_whole_texts():
     enc, tok = T.WordEncoder(PATH), Tokenizer.from_file(PATH)
     texts = [t or "" for t in odd_texts()]
+    arrow = lambda x: pa.array(x, pa.large_string())
     for _ in range(2):  # the second time from the cache
-        ids, n = enc.encode([t.encode() for t in texts])
+        ids, n = enc.encode(arrow(texts))
         got = np.split(ids, np.cumsum(n)[:-1])
         assert [g.tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
-        assert [g.tolist() for g in np.split(*(lambda r: (r[0], np.cumsum(r[1])[:-1]))(T.WordEncoder(PATH, by_word=False).encode([t.encode() for t in texts])))] == [g.tolist() for g in got]
+        assert [g.tolist() for g in np.split(*(lambda r: (r[0], np.cumsum(r[1])[:-1]))(T.WordEncoder(PATH, by_word=False).encode(arrow(texts))))] == [g.tolist() for g in got]
+    for _ in range(3):  # also after the cache was cut
+        enc.weight = T.CACHE_BYTES + 1
+        ids, n = enc.encode(arrow(texts[::2]))
+        assert [g.tolist() for g in np.split(ids, np.cumsum(n)[:-1])] == [tok.encode(t, add_special_tokens=False).ids for t in texts[::2]]
+    part = arrow(texts).slice(3, 5)
+    ids, n = enc.encode(part)
+    assert [g.tolist() for g in np.split(ids, np.cumsum(n)[:-1])] == [tok.encode(t, add_special_tokens=False).ids for t in texts[3:8]]
     enc.weight = T.CACHE_BYTES + 1
-    assert enc.encode([b"plain words here"])[0].tolist() == tok.encode("plain words here", add_special_tokens=False).ids
+    assert enc.encode(arrow(["plain words here"]))[0].tolist() == tok.encode("plain words here", add_special_tokens=False).ids
 
 
 def test_round_trip(spark):
