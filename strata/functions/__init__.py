@@ -1,5 +1,7 @@
 from strata.functions.columns import (
+    DATE_FORMATS,
     as_text,
+    cast_failures,
     clean_columns,
     conform,
     count_status,
@@ -22,7 +24,9 @@ from strata.functions.columns import (
 )
 
 __all__ = [
+    "DATE_FORMATS",
     "as_text",
+    "cast_failures",
     "clean_columns",
     "conform",
     "count_status",

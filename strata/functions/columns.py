@@ -7,6 +7,7 @@ so all of it stays inside whole-stage codegen; there is no Python per row.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,26 +49,51 @@ def strip_chars(col: ColumnOrName, chars: str = "'") -> Column:
     return F.translate(_c(col), chars, "")
 
 
-def parse_date(col: ColumnOrName, formats: Sequence[str] = ("yyyy-MM-dd",)) -> Column:
-    """Text to DATE; a value no format accepts becomes NULL (never raises,
-    also under ANSI mode)."""
-    c = _c(col).cast("string")
-    return F.to_date(F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]))
+# Date texts accepted by default: what the workbook reader emits (a day, or a
+# day with a time) and the text forms of bank exports; month first in slashes.
+DATE_FORMATS = (
+    "yyyy-MM-dd",
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "d-MMM-yy",
+    "d-MMM-yyyy",
+    "M/d/yyyy",
+)
+# Two-digit years up to this one are 20xx, later ones 19xx.
+LAST_SHORT_YEAR = 68
+
+
+def parse_date(col: ColumnOrName, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Text to DATE by the first format that accepts it; a value no format
+    accepts becomes NULL (never raises, also under ANSI mode). Blanks around
+    the text are ignored."""
+    c = F.trim(_c(col).cast("string"))
+
+    def one(fmt: str) -> Column:
+        day = F.to_date(F.try_to_timestamp(c, F.lit(fmt)))
+        if re.search(r"(?<!y)yy(?!y)", fmt):
+            day = F.when(F.year(day) > 2000 + LAST_SHORT_YEAR, F.to_date(F.add_months(day, -1200))).otherwise(day)
+        return day
+
+    return F.coalesce(*[one(f) for f in formats])
 
 
 def to_money(col: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
     """Number or numeric text to ``decimal(precision, scale)``.
 
-    NaN and unparsable text become NULL. Rounding is half-even on the value's
-    shortest decimal text (``bround``); inputs with at most ``scale`` decimals
-    are unchanged.
+    The value is read as an exact decimal (18 digits after the point) and, only
+    where that fails (``1.5e3`` beyond its range), as a double; it is rounded
+    half-even. NaN, infinities, unparsable text and values too large for the
+    target become NULL: nothing fails the job.
     """
-    x = _c(col).try_cast("double")
-    return (
-        F.when(F.isnan(x), F.lit(None))
-        .otherwise(F.bround(x, scale))
-        .cast(T.DecimalType(precision, scale))
-    )
+    c = _c(col)
+    target = T.DecimalType(precision, scale)
+    exact = F.bround(c.try_cast(T.DecimalType(38, 18)), scale).try_cast(target)
+    x = c.try_cast("double")
+    finite = F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+    return F.coalesce(exact, F.bround(finite, scale).try_cast(target))
 
 
 def ntz_literal(ts: _dt.datetime | str) -> Column:
@@ -191,32 +217,58 @@ def count_status(
     return diff, status
 
 
+# Texts that stand for a missing cell, so not a failed cast.
+MISSING_TEXTS = ("", "nan", "nat", "none", "null")
+
+
+def _typed(src: Column, have: T.DataType, want: T.DataType, date_formats: Sequence[str]) -> Column:
+    if have == want:
+        return src
+    if isinstance(want, T.DateType) and isinstance(have, T.StringType):
+        return parse_date(src, date_formats)
+    if isinstance(want, T.DecimalType):
+        return to_money(src, want.precision, want.scale)
+    return src.try_cast(want)
+
+
 def conform(
     df: DataFrame,
     schema: T.StructType,
-    date_formats: Sequence[str] = ("yyyy-MM-dd",),
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Select the schema's fields in order with its types.
 
     Text to DATE goes through ``parse_date``; decimals through ``to_money``;
     everything else through ``try_cast``, so a bad value becomes NULL rather
-    than failing the job. NULL stays NULL (no ``'nan'`` / ``'None'`` text).
-    Missing fields are added as NULL.
+    than failing the job (``cast_failures`` counts them). NULL stays NULL (no
+    ``'nan'`` / ``'None'`` text). Missing fields are added as NULL.
     """
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schema.fields:
-        if f.name not in types:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
-            continue
-        src = F.col(quote(f.name))
-        if types[f.name] == f.dataType:
-            expr = src
-        elif isinstance(f.dataType, T.DateType) and isinstance(types[f.name], T.StringType):
-            expr = parse_date(src, date_formats)
-        elif isinstance(f.dataType, T.DecimalType):
-            expr = to_money(src, f.dataType.precision, f.dataType.scale)
+        if f.name in types:
+            expr = _typed(F.col(quote(f.name)), types[f.name], f.dataType, date_formats)
         else:
-            expr = src.try_cast(f.dataType)
+            expr = F.lit(None).cast(f.dataType)
         out.append(expr.alias(f.name))
     return df.select(*out)
+
+
+def cast_failures(
+    df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = DATE_FORMATS
+) -> dict[str, Column]:
+    """P5: per field, an aggregate counting the cells that hold a value which
+    ``conform`` turns into NULL. Missing cells (NULL, blank, ``NaN`` and the
+    like) are not failures. Use it in ``agg`` or ``observe`` on the same frame."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {}
+    for f in schema.fields:
+        if f.name in types:
+            src = F.col(quote(f.name))
+            typed = _typed(src, types[f.name], f.dataType, date_formats)
+            text = F.lower(F.trim(src.cast("string")))
+            lost = src.isNotNull() & ~text.isin(*MISSING_TEXTS) & typed.isNull()
+            out[f.name] = F.count_if(lost)
+        else:
+            out[f.name] = F.lit(0).cast("long")
+    return out

@@ -57,6 +57,8 @@ FIRST_LOAD = "2024-01-01 08:00:00"
 SECOND_LOAD = "2024-01-02 08:00:00"
 # Priority whose orders are delivered a second time in the second batch.
 REDELIVERED_PRIORITY = "1-URGENT"
+# The largest amount that decimal(18,2) holds.
+LARGEST_AMOUNT = "9999999999999999.99"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,26 +100,42 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
-def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _date_text(day: F.Column) -> F.Column:
+    """A day as the workbook reader or a bank export writes it: with or without
+    a time, ISO, day-month or month/day."""
+    form = F.col("o_orderkey") % 5
+    return (
+        F.when(form == 1, F.concat(day.cast("string"), F.lit(" 10:30:00")))
+        .when(form == 2, F.concat(day.cast("string"), F.lit("T00:00:00")))
+        .when(form == 3, F.date_format(day, "dd-MMM-yy"))
+        .when(form == 4, F.date_format(day, "MM/dd/yyyy"))
+        .otherwise(day.cast("string"))
+    )
+
+
+def raw_text(spark: SparkSession, sf_dir: str, large_amounts: bool = False) -> DataFrame:
     """The workbook as read: source headers, every cell text, apostrophes on
-    account numbers, some unparsable dates, ``NaN`` amounts and a ``.``
-    column."""
+    account numbers, dates in several forms and some unparsable ones, ``NaN``,
+    infinite and oversized amounts and a ``.`` column. With ``large_amounts``
+    some balances are the largest the target type holds."""
     o = table(spark, sf_dir, "orders")
     total_text = F.col("o_totalprice").cast(MONEY).cast("string")
+    odd = F.floor(F.col("o_orderkey") / 89) % 3
+    balance = F.when(F.col("o_orderkey") % 101 == 0, F.lit(LARGEST_AMOUNT)).otherwise(total_text) if large_amounts else total_text
     return o.select(
         F.concat(F.col("o_custkey").cast("string"), F.lit("'")).alias("Account No"),
-        F.when(F.col("o_orderkey") % 97 == 0, F.lit("not a date"))
-        .otherwise(_order_date().cast("string"))
-        .alias("DATE"),
+        F.when(F.col("o_orderkey") % 97 == 0, F.lit("not a date")).otherwise(_date_text(_order_date())).alias("DATE"),
         F.col("o_orderpriority").alias("TRANSACTION DETAILS"),
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("string"))
         .otherwise((F.col("o_orderkey") % 1000).cast("string"))
         .alias("CHQ.NO."),
         F.date_add(_order_date(), 2).cast("string").alias("VALUE DATE"),
         F.when(F.col("o_orderstatus") == "F", total_text)
-        .when(F.col("o_orderkey") % 89 == 0, F.lit("NaN"))
+        .when((F.col("o_orderkey") % 89 == 0) & (odd == 0), F.lit("NaN"))
+        .when((F.col("o_orderkey") % 89 == 0) & (odd == 1), F.lit("1e20"))
+        .when(F.col("o_orderkey") % 89 == 0, F.lit("Infinity"))
         .alias("WITHDRAWAL AMT"),
         F.when(F.col("o_orderstatus") == "O", total_text).alias("DEPOSIT AMT"),
-        total_text.alias("BALANCE AMT"),
+        balance.alias("BALANCE AMT"),
         F.lit(".").alias("."),
     )

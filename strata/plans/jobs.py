@@ -7,6 +7,7 @@ in ``strata.operators.quality``.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions import columns as C
 from strata.operators.aggregate import account_summary
 from strata.plans import fixtures as fx
-from strata.sinks.tables import LoadResult, load_partitioned, load_table
+from strata.sinks.tables import LoadResult, load_partitioned, load_table, observe, table_exists
 
 # Fixed values of the silver key: seven columns joined without separator;
 # the last four default to '' when NULL.
@@ -35,12 +36,23 @@ def transaction_key() -> F.Column:
     return C.surrogate_key(KEY_COLUMNS, sep="", null_as={c: "" for c in KEY_NULLS_AS_EMPTY})
 
 
-def clean_transactions_frame(raw_text: DataFrame) -> DataFrame:
-    """B1 body: rename, strip apostrophes, type, drop the ``.`` column."""
+def prepared_transactions(raw_text: DataFrame) -> DataFrame:
+    """Source headers renamed, apostrophes stripped, the ``.`` column dropped;
+    cells are still text."""
     df = C.rename_columns(raw_text, fx.SOURCE_HEADERS)
     df = df.withColumn("AccountNo", C.strip_chars("AccountNo", "'"))
-    df = C.clean_columns(df, ["."])
-    return C.conform(df, fx.TRANSACTION_SCHEMA)
+    return C.clean_columns(df, ["."])
+
+
+def clean_transactions_frame(raw_text: DataFrame) -> DataFrame:
+    """B1 body: rename, strip apostrophes, type, drop the ``.`` column."""
+    return C.conform(prepared_transactions(raw_text), fx.TRANSACTION_SCHEMA)
+
+
+def job_time(now: _dt.datetime | str | None) -> _dt.datetime | str:
+    """The load time of a job, taken once: a lazy clock would give another time
+    each time a plan runs again."""
+    return now if now is not None else _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
 
 
 def bronze_transactions(
@@ -52,9 +64,17 @@ def bronze_transactions(
 ) -> tuple[LoadResult, DataFrame]:
     """B1: clean a workbook frame, stamp the load time and append to bronze.
 
-    Returns the load result and the loaded batch (for the DQ step)."""
-    batch = C.stamp_ingestion(clean_transactions_frame(raw_text), "IngestionTime", tz, now)
-    return load_table(spark, table, batch), batch
+    Returns the load result, with the cells per column that typing had to drop,
+    and the loaded batch as bronze holds it (for the DQ step)."""
+    now = job_time(now)
+    prepared = prepared_transactions(raw_text)
+    counts = C.cast_failures(prepared, fx.TRANSACTION_SCHEMA)
+    counted, seen = observe(prepared, *[c.alias(n) for n, c in counts.items()])
+    batch = C.stamp_ingestion(C.conform(counted, fx.TRANSACTION_SCHEMA), "IngestionTime", tz, now)
+    result = load_table(spark, table, batch)
+    failures = {n: int(v) for n, v in seen.get.items() if v} if result.rows else {}
+    loaded = spark.table(table).filter(F.col("IngestionTime") == C.local_time(tz, now))
+    return replace(result, failures=failures), loaded
 
 
 def keyed_bronze(bronze: DataFrame) -> DataFrame:
@@ -69,10 +89,15 @@ def silver_transactions(
 ) -> LoadResult:
     """B2: key, de-duplicate (latest by date then load time) and upsert into
     the date-partitioned silver table. Rows whose key is NULL (no date) would
-    all collapse into one group; they go to ``rejects_table`` instead."""
+    all collapse into one group; they go to ``rejects_table`` instead, once per
+    load: rows of load times that the table already holds are not added again."""
     keyed = keyed_bronze(bronze)
     if rejects_table:
-        load_table(spark, rejects_table, keyed.filter(F.col("Id").isNull()))
+        rejects = keyed.filter(F.col("Id").isNull())
+        if table_exists(spark, rejects_table):
+            done = spark.table(rejects_table).select(F.col("IngestionTime").alias("__done")).distinct()
+            rejects = rejects.join(done, F.col("IngestionTime").eqNullSafe(F.col("__done")), "left_anti")
+        load_table(spark, rejects_table, rejects)
     tie = ["TxnNo"] if "TxnNo" in bronze.columns else []
     return load_partitioned(
         spark,
@@ -185,6 +210,7 @@ def run_medallion(
     from strata.sinks.tables import ensure_database
     from strata.sources.xlsx import read_xlsx
 
+    now = job_time(now)
     ensure_database(spark, database)
     bronze_t = f"{database}.transactions_raw"
     silver_t = f"{database}.transactions_clean"

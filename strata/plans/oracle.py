@@ -35,18 +35,35 @@ RAW_TEXT = """
 raw_text AS (
   SELECT CAST(o_custkey AS VARCHAR) || '''' AS "Account No",
          CASE WHEN o_orderkey % 97 = 0 THEN 'not a date'
+              WHEN o_orderkey % 5 = 1 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' 10:30:00'
+              WHEN o_orderkey % 5 = 2 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T00:00:00'
+              WHEN o_orderkey % 5 = 3 THEN strftime(CAST(o_orderdate AS DATE), '%d-%b-%y')
+              WHEN o_orderkey % 5 = 4 THEN strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y')
               ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS "DATE",
          o_orderpriority AS "TRANSACTION DETAILS",
          CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS "CHQ.NO.",
          CAST(CAST(o_orderdate AS DATE) + 2 AS VARCHAR) AS "VALUE DATE",
          CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
-              WHEN o_orderkey % 89 = 0 THEN 'NaN' END AS "WITHDRAWAL AMT",
+              WHEN o_orderkey % 89 = 0 THEN ['NaN', '1e20', 'Infinity'][(o_orderkey // 89) % 3 + 1] END AS "WITHDRAWAL AMT",
          CASE WHEN o_orderstatus = 'O' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS "DEPOSIT AMT",
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "BALANCE AMT",
+         CASE WHEN o_orderkey % 101 = 0 THEN '9999999999999999.99'
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS "LARGE BALANCE AMT",
          '.' AS "."
   FROM orders
 )"""
 
+
+def typed_date(column: str) -> str:
+    """The day in a text cell, NULL when no accepted form fits."""
+    forms = "['%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%d-%b-%y', '%m/%d/%Y']"
+    return f'CAST(try_strptime("{column}", {forms}) AS DATE)'
+
+
+def typed_money(column: str) -> str:
+    return f'TRY_CAST("{column}" AS DECIMAL(18,2))'
+
+
 # Surrogate key of the silver layer over a relation with transaction columns.
 SURROGATE_KEY = """sha256(
     AccountNo || CAST(Date AS VARCHAR) || TransactionDetails

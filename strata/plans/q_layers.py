@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions import columns as C
 from strata.operators.aggregate import account_summary
 from strata.operators.dedup import latest_per_key
 from strata.plans import fixtures as fx
 from strata.plans import oracle as O
-from strata.plans.jobs import clean_transactions_frame, transaction_key
+from strata.plans.jobs import clean_transactions_frame, prepared_transactions, transaction_key
 from strata.plans.registry import query
 
 # Fixed values used by the queries below.
@@ -31,20 +32,52 @@ def gold_account_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     + O.RAW_TEXT
     + """
 SELECT replace("Account No", '''', '') AS AccountNo,
-       TRY_CAST("DATE" AS DATE) AS Date,
+       """
+    + O.typed_date("DATE")
+    + """ AS Date,
        "TRANSACTION DETAILS" AS TransactionDetails,
        "CHQ.NO." AS CHQNo,
-       TRY_CAST("VALUE DATE" AS DATE) AS ValueDate,
-       CAST(CASE WHEN isnan(TRY_CAST("WITHDRAWAL AMT" AS DOUBLE)) THEN NULL
-                 ELSE round_even(TRY_CAST("WITHDRAWAL AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS WithdrawalAMT,
-       CAST(CASE WHEN isnan(TRY_CAST("DEPOSIT AMT" AS DOUBLE)) THEN NULL
-                 ELSE round_even(TRY_CAST("DEPOSIT AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS DepositAMT,
-       CAST(CASE WHEN isnan(TRY_CAST("BALANCE AMT" AS DOUBLE)) THEN NULL
-                 ELSE round_even(TRY_CAST("BALANCE AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS BalanceAMT
-FROM raw_text""",
+       """
+    + O.typed_date("VALUE DATE")
+    + " AS ValueDate, "
+    + O.typed_money("WITHDRAWAL AMT")
+    + " AS WithdrawalAMT, "
+    + O.typed_money("DEPOSIT AMT")
+    + " AS DepositAMT, "
+    + O.typed_money("LARGE BALANCE AMT")
+    + " AS BalanceAMT FROM raw_text",
 )
 def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_transactions_frame(fx.raw_text(spark, sf_dir))
+    return clean_transactions_frame(fx.raw_text(spark, sf_dir, large_amounts=True))
+
+
+def _failures_sql(name: str, column: str, typed: str) -> str:
+    lost = f'"{column}" IS NOT NULL AND lower("{column}") <> \'nan\' AND {typed} IS NULL'
+    return f"SELECT '{name}' AS column_name, count(*) FILTER (WHERE {lost}) AS failures FROM raw_text"
+
+
+@query(
+    "cast_failures",
+    "WITH "
+    + O.RAW_TEXT
+    + " UNION ALL ".join(
+        [
+            _failures_sql("Date", "DATE", O.typed_date("DATE")),
+            _failures_sql("ValueDate", "VALUE DATE", O.typed_date("VALUE DATE")),
+            _failures_sql("WithdrawalAMT", "WITHDRAWAL AMT", O.typed_money("WITHDRAWAL AMT")),
+            _failures_sql("DepositAMT", "DEPOSIT AMT", O.typed_money("DEPOSIT AMT")),
+            _failures_sql("BalanceAMT", "LARGE BALANCE AMT", O.typed_money("LARGE BALANCE AMT")),
+        ]
+    ),
+)
+def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: cells of the workbook that typing turns into NULL, per typed column."""
+    prepared = prepared_transactions(fx.raw_text(spark, sf_dir, large_amounts=True))
+    counts = C.cast_failures(prepared, fx.TRANSACTION_SCHEMA)
+    names = [f.name for f in fx.TRANSACTION_SCHEMA.fields if f.dataType.typeName() != "string"]
+    one = prepared.agg(*[counts[n].alias(n) for n in names])
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("failures")) for n in names]))
+    return one.select(pairs.alias("p")).select("p.column_name", "p.failures")
 
 
 @query(

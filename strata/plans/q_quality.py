@@ -401,15 +401,18 @@ MEDALLION_SQL = (
     + """,
 bronze AS (
   SELECT replace("Account No", chr(39), '') AS AccountNo,
-         TRY_CAST("DATE" AS DATE) AS Date,
+         """
+    + O.typed_date("DATE")
+    + """ AS Date,
          "TRANSACTION DETAILS" AS TransactionDetails,
          "CHQ.NO." AS CHQNo,
-         CAST(CASE WHEN isnan(TRY_CAST("WITHDRAWAL AMT" AS DOUBLE)) THEN NULL
-                   ELSE round_even(TRY_CAST("WITHDRAWAL AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS WithdrawalAMT,
-         CAST(CASE WHEN isnan(TRY_CAST("DEPOSIT AMT" AS DOUBLE)) THEN NULL
-                   ELSE round_even(TRY_CAST("DEPOSIT AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS DepositAMT,
-         CAST(CASE WHEN isnan(TRY_CAST("BALANCE AMT" AS DOUBLE)) THEN NULL
-                   ELSE round_even(TRY_CAST("BALANCE AMT" AS DOUBLE), 2) END AS DECIMAL(18,2)) AS BalanceAMT
+         """
+    + O.typed_money("WITHDRAWAL AMT")
+    + " AS WithdrawalAMT, "
+    + O.typed_money("DEPOSIT AMT")
+    + " AS DepositAMT, "
+    + O.typed_money("BALANCE AMT")
+    + """ AS BalanceAMT
   FROM raw_text),
 keyed AS (SELECT *, """
     + O.SURROGATE_KEY

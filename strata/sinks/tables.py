@@ -25,7 +25,7 @@ import re
 import threading
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +76,7 @@ class LoadResult:
     rows: int  # source rows handled by this load
     updated: int = 0
     inserted: int = 0
+    failures: dict[str, int] = field(default_factory=dict)  # cells lost to typing, by column
 
 
 # --- catalog helpers ----------------------------------------------------------
@@ -143,7 +144,7 @@ def merge_state(
     return merge_frames(target, source, keys, null_safe)
 
 
-def _observe(df: DataFrame, *aggs) -> tuple[DataFrame, Observation]:
+def observe(df: DataFrame, *aggs) -> tuple[DataFrame, Observation]:
     obs = Observation(unique_name("obs"))
     return df.observe(obs, *aggs), obs
 
@@ -200,7 +201,7 @@ def create_table(
     """Create an external Parquet table from a frame."""
     home = location or _home_for_new_table(spark, name)
     path = f"{home}/{uuid.uuid4().hex}"
-    counted, obs = _observe(df, F.count(F.lit(1)).alias("rows"))
+    counted, obs = observe(df, F.count(F.lit(1)).alias("rows"))
     writer = write_balanced(counted, *partition_by).write.format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -212,7 +213,7 @@ def create_table(
 def append_table(spark: SparkSession, name: str, df: DataFrame) -> LoadResult:
     """Bag union by append, after schema evolution."""
     aligned = evolve_schema(spark, name, df)
-    counted, obs = _observe(aligned, F.count(F.lit(1)).alias("rows"))
+    counted, obs = observe(aligned, F.count(F.lit(1)).alias("rows"))
     parts = partition_columns(spark, name)
     write_balanced(counted, *parts).write.insertInto(name, overwrite=False)
     n = _rows(obs, aligned)
@@ -263,7 +264,7 @@ def merge_into(
     evolve_schema(spark, name, source)
     target = spark.table(name)
     state = merge_state(spark, target, source, keys, null_safe, source_bytes)
-    state, obs = _observe(state, *op_counts(state))
+    state, obs = observe(state, *op_counts(state))
     _swap_write(spark, name, state.select(*[quote(c) for c in target.columns]))
     m = obs.get
     return LoadResult(name, "merge", int(m["updated"] + m["inserted"]), int(m["updated"]), int(m["inserted"]))
@@ -371,7 +372,7 @@ def load_partitioned(
     else:
         match_keys = list(keys)
     state = merge_state(spark, target, src, match_keys, null_safe, src_bytes)
-    state, obs = _observe(state, *op_counts(state))
+    state, obs = observe(state, *op_counts(state))
     ordered = write_balanced(state.select(*[quote(c) for c in table_cols]), part)
     if match_partition:
         # only the touched partitions are rewritten
@@ -402,7 +403,7 @@ def compact_partitions(
     if parts and partitions is not None:
         df = df.filter(F.col(parts[0]).isin(list(partitions)))
     source = df
-    df, obs = _observe(df, F.count(F.lit(1)).alias("rows"))
+    df, obs = observe(df, F.count(F.lit(1)).alias("rows"))
     if parts:
         with _dynamic_overwrite(spark):
             write_balanced(df, *parts).write.insertInto(name, overwrite=True)

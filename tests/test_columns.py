@@ -106,3 +106,32 @@ def test_local_time_without_fixed_now(spark):
     expected = _dt.datetime.now(_dt.UTC).replace(tzinfo=None) + _dt.timedelta(hours=7)
     assert abs((got - expected).total_seconds()) < 120
     assert C.stamp_ingestion(df).schema["IngestionTime"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_parse_date_forms(spark):
+    texts = ["2017-06-29 10:30:00", "2017-06-29T00:00:00", "29-Jun-17", " 06/29/2017 ", "6/29/2017", "2017-06-29 10:30:00.123456", "29-Jun-1997"]
+    got = one(spark, C.parse_date("x"), [(t,) for t in texts])
+    assert got == [dt.date(2017, 6, 29)] * 6 + [dt.date(1997, 6, 29)]
+    assert one(spark, C.parse_date("x"), [("01-Feb-92",), ("31/12/2017",), ("",)]) == [dt.date(1992, 2, 1), None, None]
+
+
+def test_to_money_never_fails_or_loses_digits(spark):
+    texts = ["9999999999999999.99", "99999999999999999.99", "1e20", "Infinity", "-inf", "1.5e3", "0.135", "0.145", "1234567890123456.785"]
+    got = one(spark, C.to_money("x"), [(t,) for t in texts])
+    D = Decimal
+    assert got == [D("9999999999999999.99"), None, None, None, None, D("1500.00"), D("0.14"), D("0.14"), D("1234567890123456.78")]
+    doubles = one(spark, C.to_money("x"), [(0.125,), (float("nan"),), (float("inf"),), (1e300,), (2.675,)], "x double")
+    assert doubles == [D("0.12"), None, None, None, D("2.68")]
+
+
+def test_cast_failures_are_counted(spark):
+    df = spark.createDataFrame(
+        [("1", "x", "nan"), ("oops", "2024-01-02", "1e20"), (" ", "None", "12,5"), (None, None, None)], "n string, d string, m string"
+    )
+    schema = T.StructType(
+        [T.StructField("n", T.IntegerType()), T.StructField("d", T.DateType()), T.StructField("m", T.DecimalType(18, 2)), T.StructField("gone", T.DateType())]
+    )
+    counts = C.cast_failures(df, schema)
+    row = df.agg(*[c.alias(n) for n, c in counts.items()]).first()
+    assert row.asDict() == {"n": 1, "d": 1, "m": 2, "gone": 0}
+    assert C.conform(df, schema).collect()[0].n == 1
