@@ -27,10 +27,10 @@ from .registry import query
 
 K = 20
 SCALE = 64
-CELL_BITS = 5
+CELL_BITS = 6
 #: Classes on which the cell borders are fitted (in expectation, by hash); all are indexed.
 SAMPLE_ROWS = 20_000
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 QUERY_BLOCK_ROWS = 512
 #: A component beyond this could overflow a long score; such vectors take no part.
 MOST = 1 << 26
@@ -55,11 +55,22 @@ class Cells:
 
 
 def fit_cells(sample: np.ndarray, least: np.ndarray, most: np.ndarray, bits: int = CELL_BITS) -> Cells:
-    """Equal-frequency borders from a sample; the outer cells reach to the true extremes."""
+    """Borders of each dimension: equal-frequency ones from a sample, and where several fall on one whole
+    number, the cells so freed halve the widest. The outer cells reach to the true extremes."""
     n = 1 << bits
-    inner = np.quantile(sample, np.arange(1, n) / n, axis=0, method="lower").T if len(sample) else np.zeros((len(least), n - 1))
-    low = np.concatenate([least[:, None], np.maximum(inner, least[:, None])], axis=1).astype(np.float64)
-    high = np.concatenate([np.maximum(low[:, 1:] - 1, low[:, :-1]), most[:, None]], axis=1)
+    low, high = np.full((len(least), n), np.inf), np.zeros((len(least), n))
+    for d, (a, b) in enumerate(zip(least, most, strict=True)):
+        if b - a < n:  # a cell for every value
+            starts = np.arange(a, b + 1)
+        else:
+            inner = np.quantile(sample[:, d], np.arange(1, n) / n, method="lower") if len(sample) else []
+            starts = np.unique(np.clip(np.append(inner, a), a, b))
+            while len(starts) < n:
+                width = np.diff(np.append(starts, b + 1))
+                widest = int(width.argmax())
+                starts = np.insert(starts, widest + 1, starts[widest] + width[widest] // 2)
+        low[d, : len(starts)] = starts
+        high[d, : len(starts)] = np.append(starts[1:] - 1, b)
     return Cells(low, high)
 
 
@@ -121,8 +132,9 @@ def _search(classes: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -
     cells = fit_cells(_matrix(sample.column("v"), dim), np.min([p["least"] for p in parts], axis=0), np.max([p["most"] for p in parts], axis=0), bits)
     held = spark.sparkContext.broadcast(cells)
 
-    approximation = common.cut(_blocks(classes, dim, BLOCK_ROWS, held).withColumn("part", F.spark_partition_id()))
-    queries = _blocks(asked, dim, QUERY_BLOCK_ROWS).select(F.col("cids").alias("qcids"), F.col("data").alias("q"))
+    # Full blocks: the more vectors are bounded together, the more of them rule each other out.
+    approximation = common.cut(_blocks(classes.coalesce(-(-total // BLOCK_ROWS)), dim, BLOCK_ROWS, held).withColumn("part", F.spark_partition_id()))
+    queries = _blocks(asked.coalesce(-(-asked.count() // QUERY_BLOCK_ROWS)), dim, QUERY_BLOCK_ROWS).select(F.col("cids").alias("qcids"), F.col("data").alias("q"))
     # Every query block visits every part of the approximation file.
     n_parts = [r[0] for r in approximation.select("part").distinct().collect()]
     visits = queries.withColumn("at", F.explode(F.array(*[F.lit(p) for p in n_parts])))
