@@ -8,6 +8,7 @@ function for the plan and its skew handling).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import quote
+from strata.operators.dedup import data_bytes
 
 OP = "_op"
 _S = "__strata_src"
@@ -42,8 +44,13 @@ def merge_frames(
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
-    broadcast_source: bool = False,
 ) -> DataFrame:
+    """New state of ``target`` after upserting ``source`` on ``keys``; the join
+    strategy is left to Spark (see ``merge_frames_broadcast``)."""
+    return _merge(target, source, keys, null_safe, broadcast_source=False)
+
+
+def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool, broadcast_source: bool) -> DataFrame:
     """New state of ``target`` after upserting ``source`` on ``keys``.
 
     * matched: the source row replaces the target row; columns the source
@@ -68,10 +75,6 @@ def merge_frames(
     Compared with one full outer join this shuffles the target's key columns
     a second time (keys only, usually a small fraction of the row width),
     which is the price of being able to split a hot key.
-
-    With ``broadcast_source`` (a batch whose size the caller has measured)
-    the source is broadcast into the first join and the matched keys are
-    found with a broadcast semi join, so the target is never shuffled.
     """
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
@@ -125,15 +128,28 @@ def merge_frames(
     return kept_or_updated.unionByName(inserted)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (-1: broadcasting is off)."""
+    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text)
+    if not m:
+        return -1
+    n = int(m.group(1))
+    return n if n < 0 else n << (10 * " kmgt".index(m.group(2) or " "))
+
+
 def merge_frames_broadcast(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
 ) -> DataFrame:
-    """``merge_frames`` with the source broadcast; callers must bound the
-    source size first (see ``strata.sinks.tables.merge_state``)."""
-    return merge_frames(target, source, keys, null_safe, broadcast_source=True)
+    """``merge_frames`` with the source broadcast, so that the target is never
+    shuffled. The source is measured first (one job); beyond the session's
+    broadcast threshold this is ``merge_frames``."""
+    size = source.agg(F.coalesce(data_bytes(source), F.lit(0))).first()[0]
+    fits = size <= broadcast_limit(source.sparkSession)
+    return _merge(target, source, keys, null_safe, broadcast_source=fits)
 
 
 def op_counts(merged: DataFrame) -> list[Column]:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import count_status, file_stem, local_time, lower_or_unknown, quote
-from strata.sinks.tables import LoadResult, create_table, load_table, table_exists
+from strata.session import staged_rows
+from strata.sinks.tables import LoadResult, create_table, evolve_schema, merge_partitions, record_load, table_exists
 
 # Fixed value: offset of the monitoring clock (UTC+7).
 REPORT_ZONE = "+07:00"
@@ -114,15 +115,25 @@ def dq_record(
 
 
 def ensure_monitoring_table(spark: SparkSession, name: str) -> None:
-    """Q3: create the monitoring table (empty, fixed schema) if absent."""
+    """Q3: create the monitoring table (empty, fixed schema, one partition per
+    day) if absent."""
     if not table_exists(spark, name):
-        create_table(spark, name, spark.createDataFrame([], MONITORING_SCHEMA))
+        create_table(spark, name, spark.createDataFrame([], MONITORING_SCHEMA), partition_by=["Updated_Date"])
 
 
 def dq_report(spark: SparkSession, name: str, record: DataFrame) -> LoadResult:
-    """Q4: upsert monitoring records by ``ID``."""
+    """Q4: upsert monitoring records by ``ID``. The ID holds the day, so only
+    the day's partition is read and rewritten."""
     ensure_monitoring_table(spark, name)
-    return load_table(spark, name, record, keys="ID")
+    with staged_rows(evolve_schema(spark, name, record)) as rows:
+        result = merge_partitions(spark, name, rows, ["ID"], "Updated_Date")
+    record_load(spark, result)
+    return result
+
+
+def monitoring(spark: SparkSession, name: str) -> DataFrame:
+    """The monitoring records with their columns in the documented order."""
+    return spark.table(name).select(*[f.name for f in MONITORING_SCHEMA.fields])
 
 
 def counts_frame(

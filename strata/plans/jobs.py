@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions import columns as C
 from strata.operators.aggregate import account_summary
 from strata.plans import fixtures as fx
-from strata.sinks.tables import LoadResult, load_partitioned, load_table, observe, table_exists
+from strata.sinks.tables import LoadResult, load_partitioned, load_table, observe, observed, table_exists
 
 # Fixed values of the silver key: seven columns joined without separator;
 # the last four default to '' when NULL.
@@ -72,7 +72,7 @@ def bronze_transactions(
     counted, seen = observe(prepared, *[c.alias(n) for n, c in counts.items()])
     batch = C.stamp_ingestion(C.conform(counted, fx.TRANSACTION_SCHEMA), "IngestionTime", tz, now)
     result = load_table(spark, table, batch)
-    failures = {n: int(v) for n, v in seen.get.items() if v} if result.rows else {}
+    failures = {n: int(v) for n, v in (observed(seen) or {}).items() if v}
     loaded = spark.table(table).filter(F.col("IngestionTime") == C.local_time(tz, now))
     return replace(result, failures=failures), loaded
 
@@ -206,7 +206,7 @@ def run_medallion(
     hop (the physical paths may be many part files); ``bronze_source`` and
     ``silver_source`` name the sources of the later hops in their records
     (default: the table names)."""
-    from strata.operators.quality import dq_report
+    from strata.operators.quality import dq_report, monitoring
     from strata.sinks.tables import ensure_database
     from strata.sources.xlsx import read_xlsx
 
@@ -228,4 +228,4 @@ def run_medallion(
     silver = spark.table(silver_t)
     gold_accounts(spark, silver, gold_t)
     dq_report(spark, monitor, gold_quality(silver, spark.table(gold_t), silver_source or silver_t, now=now))
-    return spark.table(monitor)
+    return monitoring(spark, monitor)

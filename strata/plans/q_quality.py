@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.aggregate import account_summary
 from strata.operators.profile import QUANTILES, TOP_K, _pct_name, compare_profiles, profile
-from strata.operators.quality import dq_record, dq_report, reconcile
+from strata.operators.quality import dq_record, dq_report, monitoring, reconcile
 from strata.plans import fixtures as fx
 from strata.plans import jobs
 from strata.plans import oracle as O
@@ -387,7 +387,7 @@ def dq_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.bronze_quality(t, raw, WORKBOOK_PATH, now=NEXT_DAY_NOW),
     ):
         dq_report(spark, table, rec)
-    return spark.table(table)
+    return monitoring(spark, table)
 
 
 

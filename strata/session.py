@@ -6,17 +6,19 @@ Nothing here creates a session; every function takes the caller's one.
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Only when
-    the session has none (a local test) do we create and register our own.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Only a
+    local session that has none gets a folder of its own; on a cluster a
+    folder of the driver would not be seen by the executors, so that raises.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -27,6 +29,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(root)
     return root
@@ -37,6 +41,27 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), "strata", *parts, uuid.uuid4().hex])
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a scratch folder on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(target, True))
+
+
+@contextlib.contextmanager
+def staged_rows(df: DataFrame):
+    """A frame that feeds several jobs, written once to the shared scratch
+    folder; the copy goes when the block ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "rows")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
@@ -68,6 +93,13 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def drop_scratch_database(spark: SparkSession, name: str) -> None:
+    """Drop a scratch database with its tables and their files."""
+    location = spark.catalog.getDatabase(name).locationUri
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+    remove_path(spark, location)
+
+
 def scratch_database(spark: SparkSession, prefix: str = "strata") -> str:
     """Create a database whose location is a fresh folder under the shared
     scratch root, so nothing lands in the driver's working directory."""

@@ -8,9 +8,9 @@ new state with ``merge_frames`` and then stored in one of two ways:
   ``ALTER TABLE ... SET LOCATION``. The old directory is untouched until the
   swap, so a failed or retried job never leaves a half-written table.
 * **date-partitioned table** - only the partitions that the source touches
-  are read (static partition filter, or a null-safe semi join when there are
-  very many dates), merged, and written back with dynamic partition
-  overwrite. Untouched partitions are never read or rewritten.
+  are read (the batch's date range as a static partition filter, then a semi
+  join on its dates), merged, and written back with dynamic partition
+  overwrite. Untouched partitions are never rewritten.
 
 Counts come from ``DataFrame.observe`` on the write itself, so no second
 job runs to count rows. One writer per table is assumed.
@@ -27,21 +27,18 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import partition_date, quote
-from strata.operators.dedup import data_bytes, key_stats, latest_per_key
-from strata.operators.merge import align_to, merge_frames, merge_frames_broadcast, op_counts
-from strata.session import checkpoint_root, conf, scratch_path, unique_name
+from strata.operators.dedup import key_stats, latest_per_key
+from strata.operators.merge import align_to, merge_frames, op_counts
+from strata.session import conf, remove_path, scratch_path, staged_rows, unique_name
 
 log = logging.getLogger("strata")
 
-# Above this many distinct partition dates in one source batch the target is
-# pruned with a semi join instead of a literal IN list.
-MAX_LITERAL_PARTITIONS = 2000
-
 # ``insertInto`` takes the overwrite mode only from the session conf (a
 # writer option is ignored, and a static overwrite would clear every other
 # partition), so partition overwrites switch the conf for the write and are
@@ -56,6 +53,8 @@ def _dynamic_overwrite(spark: SparkSession):
         yield
 
 HISTORY_TABLE = "load_history"
+# A history of this many one-row files is rewritten into one.
+HISTORY_FILES = 64
 HISTORY_SCHEMA = T.StructType(
     [
         T.StructField("load_id", T.StringType()),
@@ -114,55 +113,26 @@ def _home_for_new_table(spark: SparkSession, name: str) -> str:
     return f"{base}/{tbl}"
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (-1: broadcasting is off)."""
-    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text)
-    if not m:
-        return -1
-    n = int(m.group(1))
-    return n if n < 0 else n * _UNITS.get(m.group(2), 1)
-
-
-def merge_state(
-    spark: SparkSession,
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    null_safe: bool,
-    source_bytes: int | None,
-) -> DataFrame:
-    """Pick the merge plan from the **measured** source size: broadcast the
-    source (target streamed, never shuffled) when it fits under the
-    session's broadcast threshold, else shuffled joins on the keys."""
-    limit = broadcast_limit(spark)
-    if source_bytes is not None and 0 <= source_bytes <= limit:
-        return merge_frames_broadcast(target, source, keys, null_safe)
-    return merge_frames(target, source, keys, null_safe)
-
-
 def observe(df: DataFrame, *aggs) -> tuple[DataFrame, Observation]:
     obs = Observation(unique_name("obs"))
     return df.observe(obs, *aggs), obs
 
 
-def _rows(obs: Observation, df: DataFrame) -> int:
-    """Rows observed in the write; when Catalyst removed an empty plan (and
-    with it the observation), count the frame instead."""
+def observed(obs: Observation) -> dict | None:
+    """The metrics of a write; None when Catalyst found the plan empty and removed
+    it together with the observation (Spark then holds no row to convert)."""
     try:
-        return int(obs.get["rows"])
-    except Exception:  # noqa: BLE001 - the metrics of an empty plan never arrive
-        return int(df.count())
+        return obs.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return None
 
 
-def _stage(df: DataFrame) -> DataFrame:
-    """Cut lineage on the shared checkpoint folder when a frame feeds more
-    than one job (a key check and a write)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _rows(obs: Observation, df: DataFrame) -> int:
+    """Rows observed in the write; an unobserved (empty) plan is counted."""
+    seen = observed(obs)
+    return int(df.count()) if seen is None else int(seen["rows"])
 
 
 # --- schema evolution (W6) ---------------------------------------------------
@@ -202,7 +172,9 @@ def create_table(
     home = location or _home_for_new_table(spark, name)
     path = f"{home}/{uuid.uuid4().hex}"
     counted, obs = observe(df, F.count(F.lit(1)).alias("rows"))
-    writer = write_balanced(counted, *partition_by).write.format("parquet").option("path", path)
+    if partition_by:
+        counted = write_balanced(counted, *partition_by)  # else a load needs no shuffle
+    writer = counted.write.format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.mode("errorifexists").saveAsTable(name)
@@ -215,16 +187,38 @@ def append_table(spark: SparkSession, name: str, df: DataFrame) -> LoadResult:
     aligned = evolve_schema(spark, name, df)
     counted, obs = observe(aligned, F.count(F.lit(1)).alias("rows"))
     parts = partition_columns(spark, name)
-    write_balanced(counted, *parts).write.insertInto(name, overwrite=False)
+    if parts:
+        counted = write_balanced(counted, *parts)
+    counted.write.insertInto(name, overwrite=False)
     n = _rows(obs, aligned)
     return LoadResult(name, "append", n, 0, n)
 
 
+_NEXT, _PREVIOUS = "__strata_next", "__strata_previous"
+
+
+def finish_swap(spark: SparkSession, name: str) -> None:
+    """Complete or undo a table switch that a crash left half-done.
+
+    A switch registers the new state as ``<name>__strata_next``, renames the
+    table to ``<name>__strata_previous`` and the new one to its name. So an
+    absent table with a next state takes it, with only a previous one goes back;
+    leftovers beside the table are dropped (tables are external: files stay)."""
+    if not table_exists(spark, name):
+        for suffix in (_NEXT, _PREVIOUS):
+            if table_exists(spark, name + suffix):
+                spark.sql(f"ALTER TABLE {name}{suffix} RENAME TO {name}")
+                break
+    if table_exists(spark, name):
+        for suffix in (_NEXT, _PREVIOUS):
+            spark.sql(f"DROP TABLE IF EXISTS {name}{suffix}")
+
+
 def _swap_write(
     spark: SparkSession, name: str, state: DataFrame, partition_by: Sequence[str] = ()
 ) -> None:
     """Write a full new state of a table to a fresh folder and re-point the
-    table to it; the old folder is untouched until the swap."""
+    table to it; the old folder is untouched until the switch."""
     current = table_location(spark, name).rstrip("/")
     parent = current.rsplit("/", 1)[0]
     new_path = f"{parent}/{uuid.uuid4().hex}"
@@ -234,36 +228,56 @@ def _swap_write(
     writer.save(new_path)
     if partition_by:
         # The catalog keeps one location per partition, so re-pointing the
-        # table is not enough: register the (external) table again on the
-        # new folder and let Spark discover its partitions. Dropping an
-        # external table leaves its files in place.
-        schema = spark.table(name).schema
-        cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-        parts = ", ".join(quote(c) for c in partition_by)
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY ({parts}) LOCATION '{new_path}'")
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        # table is not enough: a complete table on the new folder takes its
+        # name by two renames, and ``finish_swap`` mends a crash between them.
+        finish_swap(spark, name)
+        properties = ", ".join(
+            f"'{_sql_text(r[0])}' = '{_sql_text(r[1])}'"
+            for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+            if not r[0].startswith(("transient_", "spark.sql."))
+        )
+        with_properties = f" TBLPROPERTIES ({properties})" if properties else ""
+        spark.sql(f"CREATE TABLE {name}{_NEXT} LIKE {name} USING parquet LOCATION '{new_path}'{with_properties}")
+        spark.sql(f"ALTER TABLE {name}{_NEXT} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}{_PREVIOUS}")
+        spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {name}")
+        finish_swap(spark, name)
     else:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
     spark.catalog.refreshTable(name)
 
 
+def _sql_text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def require_unique(source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> None:
+    """Raise when several source rows would update the same target row. NULL
+    keys match nothing under plain equality, so they may repeat."""
+    keyed = source if null_safe else source.dropna(subset=list(keys))
+    twice = keyed.groupBy(*[F.col(quote(k)) for k in keys]).count().filter("count > 1").head(1)
+    if twice:
+        raise ValueError(f"several source rows for the key {tuple(twice[0])[:-1]}")
+
+
 def merge_into(
     spark: SparkSession,
     name: str,
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
-    source_bytes: int | None = None,
+    checked: bool = False,
 ) -> LoadResult:
     """Upsert into an unpartitioned table (matched -> update all columns,
-    not matched -> insert, no delete). ``source_bytes`` (a measured bound)
-    enables the broadcast plan for small batches."""
+    not matched -> insert, no delete). Raises when the source holds a key twice;
+    a caller that has just checked that says so with ``checked``."""
+    if not checked:
+        require_unique(source, keys, null_safe)
     if partition_columns(spark, name):
         raise ValueError(f"{name} is partitioned: use load_partitioned")
     evolve_schema(spark, name, source)
     target = spark.table(name)
-    state = merge_state(spark, target, source, keys, null_safe, source_bytes)
+    state = merge_frames(target, source, keys, null_safe)
     state, obs = observe(state, *op_counts(state))
     _swap_write(spark, name, state.select(*[quote(c) for c in target.columns]))
     m = obs.get
@@ -289,19 +303,20 @@ def load_table(
     """
     if isinstance(keys, str):
         keys = [keys]
+    finish_swap(spark, name)
     if not table_exists(spark, name):
         res = create_table(spark, name, df)
     elif not keys:
         res = append_table(spark, name, df)
     else:
-        staged = _stage(df)
-        stats = key_stats(staged, keys, with_bytes=True).first()
-        if stats["rows"] == 0:
-            res = LoadResult(name, "merge", 0, 0, 0)  # nothing to write
-        elif stats["is_unique"]:
-            res = merge_into(spark, name, staged, keys, null_safe, int(stats["bytes"]))
-        else:
-            res = append_table(spark, name, staged)
+        with staged_rows(df) as staged:
+            stats = key_stats(staged, keys).first()
+            if stats["rows"] == 0:
+                res = LoadResult(name, "merge", 0, 0, 0)  # nothing to write
+            elif stats["is_unique"]:
+                res = merge_into(spark, name, staged, keys, null_safe, checked=True)
+            else:
+                res = append_table(spark, name, staged)
     if history:
         record_load(spark, res)
     return res
@@ -335,45 +350,59 @@ def load_partitioned(
     src = latest_per_key(df, keys, order_by, tie_break).withColumn(
         part, partition_date(date_col, *fallbacks)
     )
+    finish_swap(spark, name)
     if not table_exists(spark, name):
         res = create_table(spark, name, src, partition_by=[part])
-        if history:
-            record_load(spark, res)
-        return res
+    else:
+        with staged_rows(evolve_schema(spark, name, src)) as batch:
+            res = merge_partitions(spark, name, batch, keys, part, match_partition, null_safe)
+    if history:
+        record_load(spark, res)
+    return res
+
+
+def touched_partitions(target: DataFrame, batch: DataFrame, part: str) -> DataFrame | None:
+    """The target rows in the partitions of a materialised batch; None for an empty one.
 
-    src = _stage(evolve_schema(spark, name, src))
-    table_cols = spark.table(name).columns
+    One plan for any number of partitions: the batch's range is a static filter on
+    the partition column (so other folders are not even listed), a semi join on its
+    values leaves out what lies between, and NULL partitions are a branch of their own.
+    """
+    p = F.col(quote(part))
+    seen = batch.agg(F.min(p), F.max(p), F.count_if(p.isNull()), F.count(F.lit(1))).first()
+    if not seen[3]:
+        return None
+    parts = []
+    if seen[0] is not None:
+        within = p.between(F.lit(seen[0]), F.lit(seen[1]))
+        values = batch.filter(within).select(p.alias("__touched")).distinct()
+        parts.append(target.filter(within).join(values, p == F.col("__touched"), "left_semi"))
+    if seen[2]:
+        parts.append(target.filter(p.isNull()))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def merge_partitions(
+    spark: SparkSession,
+    name: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    part: str,
+    match_partition: bool = True,
+    null_safe: bool = False,
+) -> LoadResult:
+    """Upsert a materialised batch (one row per key) into a partitioned table."""
     target = spark.table(name)
-    # Partition dates of this batch (bounded by the calendar, not the data)
-    # and the batch's byte size, in one pass over the staged batch.
-    per_date = (
-        src.groupBy(part)
-        .agg(data_bytes(src).alias("bytes"))
-        .limit(MAX_LITERAL_PARTITIONS + 1)
-        .collect()
-    )
-    if not per_date:  # empty batch: nothing to write
-        res = LoadResult(name, "merge", 0, 0, 0)
-        if history:
-            record_load(spark, res)
-        return res
-    dates = [r[0] for r in per_date]
-    src_bytes = sum(int(r[1] or 0) for r in per_date) if len(per_date) <= MAX_LITERAL_PARTITIONS else None
+    columns = [quote(c) for c in target.columns]
+    old = touched_partitions(target, batch, part)
+    if old is None:  # empty batch: nothing to write
+        return LoadResult(name, "merge", 0, 0, 0)
     if match_partition:
-        if len(dates) <= MAX_LITERAL_PARTITIONS:
-            keep = F.col(part).isin([d for d in dates if d is not None])
-            if any(d is None for d in dates):
-                keep = keep | F.col(part).isNull()
-            target = target.filter(keep)
-        else:
-            batch = src.select(F.col(part).alias("__d")).distinct()
-            target = target.join(batch, target[part].eqNullSafe(batch["__d"]), "left_semi")
-        match_keys = [*keys, part]
+        state = merge_frames(old, batch, [*keys, part], null_safe)
     else:
-        match_keys = list(keys)
-    state = merge_state(spark, target, src, match_keys, null_safe, src_bytes)
+        state = merge_frames(target, batch, keys, null_safe)
     state, obs = observe(state, *op_counts(state))
-    ordered = write_balanced(state.select(*[quote(c) for c in table_cols]), part)
+    ordered = write_balanced(state.select(*columns), part)
     if match_partition:
         # only the touched partitions are rewritten
         with _dynamic_overwrite(spark):
@@ -385,10 +414,7 @@ def load_partitioned(
         # the whole table is rewritten to a new folder and swapped
         _swap_write(spark, name, ordered, partition_by=[part])
     m = obs.get
-    res = LoadResult(name, "merge", int(m["updated"] + m["inserted"]), int(m["updated"]), int(m["inserted"]))
-    if history:
-        record_load(spark, res)
-    return res
+    return LoadResult(name, "merge", int(m["updated"] + m["inserted"]), int(m["updated"]), int(m["inserted"]))
 
 
 def compact_partitions(
@@ -443,7 +469,8 @@ def vacuum_versions(spark: SparkSession, name: str, keep_previous: int = 1) -> l
 
 @contextlib.contextmanager
 def staged_table(spark: SparkSession, df: DataFrame, name: str | None = None):
-    """Write a frame to a scratch table, yield its name, drop it after."""
+    """Write a frame to a scratch table, yield its name, drop it and its
+    files after."""
     name = name or unique_name("staged")
     path = scratch_path(spark, "staged")
     df.write.format("parquet").option("path", path).saveAsTable(name)
@@ -451,6 +478,7 @@ def staged_table(spark: SparkSession, df: DataFrame, name: str | None = None):
         yield name
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_path(spark, path)
 
 
 # --- load history (W9, L2) ---------------------------------------------------
@@ -479,12 +507,14 @@ def record_load(spark: SparkSession, res: LoadResult) -> None:
             _dt.datetime.now(_dt.UTC).replace(tzinfo=None),
         )
     ]
-    df = spark.createDataFrame(row, HISTORY_SCHEMA)
+    df = spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1)
     if table_exists(spark, hist):
         df.write.insertInto(hist)
+        if len(spark.table(hist).inputFiles()) >= HISTORY_FILES:
+            compact_partitions(spark, hist)
     else:
         home = _home_for_new_table(spark, hist)
-        df.write.format("parquet").option("path", home).saveAsTable(hist)
+        df.write.format("parquet").option("path", f"{home}/{uuid.uuid4().hex}").saveAsTable(hist)
 
 
 def load_history(spark: SparkSession, name: str) -> DataFrame:
@@ -494,4 +524,4 @@ def load_history(spark: SparkSession, name: str) -> DataFrame:
 
 def last_load(spark: SparkSession, name: str) -> DataFrame:
     """L2: the latest history entry of a table (one row)."""
-    return load_history(spark, name).orderBy(F.col("loaded_at").desc()).limit(1)
+    return load_history(spark, name).orderBy(F.col("loaded_at").desc(), F.col("load_id").desc()).limit(1)

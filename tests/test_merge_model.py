@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from strata.operators.merge import OP, merge_frames
+from strata.operators.merge import OP, merge_frames, merge_frames_broadcast
 
 keys = st.one_of(st.none(), st.integers(0, 6))
 
@@ -33,6 +33,6 @@ def test_merge_matches_model(spark, target, source, null_safe, broadcast):
     t = spark.createDataFrame(target, "k int, v string")
     s = spark.createDataFrame(source, "k int, v string")
     got = sorted(
-        ((r.k, r.v, r[OP]) for r in merge_frames(t, s, ["k"], null_safe, broadcast).collect()), key=str
+        ((r.k, r.v, r[OP]) for r in (merge_frames_broadcast if broadcast else merge_frames)(t, s, ["k"], null_safe).collect()), key=str
     )
     assert got == model(target, source, null_safe)

@@ -204,3 +204,141 @@ def test_concurrent_partitioned_loads_keep_other_partitions(spark, db):
     for n in names:
         assert sorted((r.id, r.v) for r in spark.table(n).collect()) == [(1, 7.0), (2, 2.0), (3, 3.0)]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def _filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "PartitionFilters" in line]
+
+
+@pytest.mark.parametrize("days", [3, 3000])
+def test_touched_partitions_are_pruned(spark, tmp_path, days):
+    """The target scan has a static partition filter for few and many dates."""
+    from strata.sinks.tables import touched_partitions
+
+    path = str(tmp_path / "t")
+    day = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    spark.range(8).select("id", day.alias("d")).write.partitionBy("d").parquet(path)
+    batch = spark.range(days).select("id", day.alias("d"))
+    target = spark.read.parquet(path)
+    old = touched_partitions(target, batch, "d")
+    pruned = [line for line in _filters(old) if ">= 2000-01-01" in line and "<= " in line]
+    assert pruned
+    assert old.count() == min(days, 8)
+    assert touched_partitions(target, batch.limit(0), "d") is None
+
+
+def test_plain_loads_do_not_shuffle(spark, db, monkeypatch):
+    from strata.sinks import tables as T
+
+    plans = []
+    real = T._rows
+    monkeypatch.setattr(T, "_rows", lambda obs, df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(obs, df))[1])
+    hints = []
+    monkeypatch.setattr(T, "write_balanced", lambda df, *cols: (hints.append(cols), df)[1])
+    load_table(spark, f"{db}.plain", spark.range(5), history=False)
+    load_table(spark, f"{db}.plain", spark.range(5), history=False)
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans) and not hints
+
+
+def test_duplicate_source_keys_raise(spark, db):
+    from strata.sinks.tables import merge_into
+
+    name = f"{db}.dups"
+    load_table(spark, name, spark.createDataFrame([(1, "a")], "k long, v string"))
+    with pytest.raises(ValueError, match="several source rows"):
+        merge_into(spark, name, spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string"), ["k"])
+    twice_null = spark.createDataFrame([(None, "b"), (None, "c"), (2, "d")], "k long, v string")
+    assert merge_into(spark, name, twice_null, ["k"]).inserted == 3
+    with pytest.raises(ValueError):
+        merge_into(spark, name, twice_null, ["k"], null_safe=True)
+
+
+@pytest.mark.parametrize("step", ["CREATE TABLE", "RECOVER", "RENAME TO", "second RENAME TO", "DROP TABLE"])
+def test_crash_in_a_switch_loses_nothing(spark, db, monkeypatch, step):
+    """Whichever catalog step fails, the retry ends with all rows."""
+    name = f"{db}.crash"
+    load_partitioned(spark, name, _events(spark), keys=["id"], order_by=["ts"], date_col="ts")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner_note' = 'it''s kept')")
+    batch = spark.createDataFrame([(2, dt.datetime(2024, 1, 3, 9), 20.0), (9, None, 9.0)], "id long, ts timestamp_ntz, v double")
+
+    def load():
+        return load_partitioned(spark, name, batch, keys=["id"], order_by=["ts"], date_col="ts", match_partition=False)
+
+    real, seen = type(spark).sql, []
+
+    def failing(self, text, *a, **k):
+        wanted = step.removeprefix("second ")
+        if wanted in text and "__strata" in text and (wanted != "DROP TABLE" or "PREVIOUS" in text.upper()):
+            seen.append(text)
+            if len(seen) == (2 if step.startswith("second") or wanted == "DROP TABLE" else 1):
+                raise RuntimeError("injected")
+        return real(self, text, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    try:
+        with pytest.raises(RuntimeError, match="injected"):
+            load()
+    finally:
+        monkeypatch.undo()
+    load()
+    got = sorted((r.id, r.v, str(r.ts_Partition)) for r in spark.table(name).collect())
+    assert got == [(1, 1.0, "2024-01-01"), (2, 20.0, "2024-01-03"), (3, 3.0, "None"), (9, 9.0, "None")]
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert props.get("owner_note") == "it's kept"
+    assert not [t.name for t in spark.catalog.listTables(db) if "__strata" in t.name]
+
+
+def test_scratch_is_empty_after_loads(spark, db):
+    import os
+
+    from strata.session import checkpoint_root, drop_scratch_database, scratch_database
+
+    own = scratch_database(spark, "gone")
+    root = checkpoint_root(spark).replace("file:", "")
+
+    def rows_and_staged():
+        return {d: len(os.listdir(f"{root}/strata/{d}")) if os.path.isdir(f"{root}/strata/{d}") else 0 for d in ("rows", "staged")}
+
+    before = rows_and_staged()
+    for _ in range(2):
+        load_table(spark, f"{own}.a", spark.range(9), keys="id")
+        load_partitioned(spark, f"{own}.b", _events(spark), keys=["id"], order_by=["ts"], date_col="ts")
+        with staged_table(spark, spark.range(3), f"{own}.stage"):
+            pass
+    assert rows_and_staged() == before
+    place = spark.catalog.getDatabase(own).locationUri.replace("file:", "")
+    drop_scratch_database(spark, own)
+    assert not os.path.exists(place)
+
+
+def test_history_is_compacted(spark, db, monkeypatch):
+    from strata.sinks import tables as T
+
+    monkeypatch.setattr(T, "HISTORY_FILES", 4)
+    for i in range(9):
+        load_table(spark, f"{db}.h", spark.range(i + 1))
+    hist = f"{db}.{T.HISTORY_TABLE}"
+    assert spark.table(hist).count() == 9 and len(spark.table(hist).inputFiles()) < 5
+
+
+def test_no_local_scratch_on_a_cluster(spark):
+    from strata.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return default
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
