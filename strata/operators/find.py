@@ -19,23 +19,44 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import quote
 
 
 def _lit(v: Any) -> Column:
     if isinstance(v, _dt.datetime):
+        # stored times are UTC wall clock: an aware time is that instant in UTC
+        if v.tzinfo is not None:
+            v = v.astimezone(_dt.UTC).replace(tzinfo=None)
         return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
     if isinstance(v, _dt.date):
         return F.lit(v.isoformat()).cast("date")
     return F.lit(v)
 
 
+def _paths(schema: T.StructType, prefix: str = "") -> frozenset[str]:
+    """Every field of a schema by its dotted path, nested structs included."""
+    out = set()
+    for f in schema.fields:
+        out.add(prefix + f.name)
+        kind = f.dataType
+        while isinstance(kind, T.ArrayType):  # a path may go through arrays of structs
+            kind = kind.elementType
+        if isinstance(kind, T.StructType):
+            out |= _paths(kind, f"{prefix}{f.name}.")
+        elif isinstance(kind, (T.MapType, T.VariantType)):
+            out.add(f"{prefix}{f.name}.*")
+    return frozenset(out)
+
+
 def _field(name: str, columns: frozenset[str] | None = None) -> Column:
-    """The field as a Column; a top-level field the frame does not have is a
-    missing value (NULL), as in a schemaless collection."""
-    if columns is not None and name.split(".")[0] not in columns:
-        return F.lit(None)
+    """The field as a Column; a field the frame does not have, at the top or
+    nested, is a missing value (NULL), as in a schemaless collection."""
+    if columns is not None and name not in columns:
+        parents = [name.rsplit(".", i)[0] for i in range(1, name.count(".") + 1)]
+        if not any(f"{p}.*" in columns for p in parents):
+            return F.lit(None)
     return F.col(".".join(quote(p) for p in name.split(".")))
 
 
@@ -78,19 +99,24 @@ def _field_ops(col: Column, spec: Mapping[str, Any]) -> Column:
 
 
 def compile_filter(
-    query: Mapping[str, Any] | None, skip_none: bool = False, columns: Iterable[str] | None = None
+    query: Mapping[str, Any] | None,
+    skip_none: bool = False,
+    columns: Iterable[str] | T.StructType | None = None,
 ) -> Column:
     """Turn a filter dict into a Column (F2-F6, F11). An empty or missing
     filter matches everything; ``skip_none`` drops fields whose value is
     ``None`` (optional filters) instead of matching NULL. With ``columns``
-    (the frame's columns) a field the frame lacks counts as missing."""
+    (the frame's schema, or field paths) a field the frame lacks counts as
+    missing. An empty ``$and``, ``$or`` or ``$nor`` is an error, as in the store."""
     if not query:
         return F.lit(True)
-    cols = frozenset(columns) if columns is not None else None
+    cols = _paths(columns) if isinstance(columns, T.StructType) else frozenset(columns) if columns is not None else None
     out: Column | None = None
     for k, v in query.items():
         if k in ("$and", "$or", "$nor"):
             parts = [compile_filter(q, skip_none, cols) for q in v]
+            if not parts:
+                raise ValueError(f"{k} needs at least one filter")
             e = parts[0]
             for p in parts[1:]:
                 e = (e & p) if k == "$and" else (e | p)
@@ -133,7 +159,7 @@ def find(
     id_field: str = "_id",
 ) -> DataFrame:
     """Rows matching ``query``; ``limit`` 0 means no limit (L1)."""
-    out = _project(df.filter(compile_filter(query, skip_none, df.columns)), projection, id_field)
+    out = _project(df.filter(compile_filter(query, skip_none, df.schema)), projection, id_field)
     return out.limit(limit) if limit and limit > 0 else out
 
 
@@ -156,7 +182,7 @@ def find_one(
 ) -> DataFrame:
     """F8: the matching row with the smallest id (a frame of 0 or 1 rows).
     Planned as a distributed top-1, so no partition is gathered."""
-    matches = df.filter(compile_filter(query, columns=df.columns))
+    matches = df.filter(compile_filter(query, columns=df.schema))
     first = matches.orderBy(F.col(quote(id_field)).asc_nulls_last()).limit(1)
     return _project(first, projection, id_field)
 
@@ -170,4 +196,4 @@ def find_by_id(
 
 def count_documents(df: DataFrame, query: Mapping[str, Any] | None = None) -> DataFrame:
     """one-row frame with the number of matching rows."""
-    return df.filter(compile_filter(query, columns=df.columns)).agg(F.count(F.lit(1)).alias("count"))
+    return df.filter(compile_filter(query, columns=df.schema)).agg(F.count(F.lit(1)).alias("count"))

@@ -445,11 +445,11 @@ def run_medallion_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bank workbook (as part files) through all three layers with
     DQ after each hop; returns the monitoring table (three records)."""
     from strata.session import scratch_path
-    from strata.sources.xlsx import write_xlsx
+    from strata.plans.workbooks import write_xlsx
 
     db = scratch_database(spark)
     path = scratch_path(spark, "xlsx", "transactions")
-    write_xlsx(fx.raw_text(spark, sf_dir).repartition(4), path)
+    write_xlsx(fx.raw_text(spark, sf_dir), path, rows_per_file=20_000)
     return jobs.run_medallion(
         spark, path, db, MEDALLION_SOURCE, now=REPORT_NOW, bronze_source=BRONZE_PATH, silver_source=SILVER_PATH
     )

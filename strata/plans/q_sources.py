@@ -23,7 +23,8 @@ from strata.session import scratch_database, scratch_path
 from strata.sinks.tables import create_table, load_partitioned, load_table, staged_table
 from strata.sources.databases import documents_to_df, read_documents
 from strata.sources.files import read_csv, read_sql, read_table, read_txt, write_text
-from strata.sources.xlsx import read_xlsx, write_xlsx
+from strata.plans.workbooks import write_xlsx
+from strata.sources.xlsx import read_xlsx
 
 # Fixed values of the filter examples.
 WINDOW_START = _dt.datetime(2024, 1, 10, 0, 0, 0)
@@ -287,48 +288,54 @@ def read_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("o_orderkey", "o_custkey", "o_totalprice", "order_date", "is_closed")
 
 
-NATION_SCHEMA = T.StructType(
+ORDER_FILE_SCHEMA = T.StructType(
     [
-        T.StructField("n_nationkey", T.IntegerType()),
-        T.StructField("n_name", T.StringType()),
-        T.StructField("n_regionkey", T.IntegerType()),
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DecimalType(18, 2)),
+        T.StructField("o_orderpriority", T.StringType()),
     ]
 )
-NATION_REGION_SQL = """
-SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_name
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"""
+ORDER_FILE_SQL = """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderpriority
+FROM orders"""
 
 
-def _with_region(spark: SparkSession, sf_dir: str, nation: DataFrame) -> DataFrame:
-    region = fx.table(spark, sf_dir, "region")
-    # region has five rows by definition of the schema: a bounded broadcast
-    return nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"]).select(
-        "n_nationkey", "n_name", "n_regionkey", "r_name"
-    )
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders table in the columns of the file queries; every query writes it
+    whole in its format and reads it back."""
+    return conform(fx.table(spark, sf_dir, "orders"), ORDER_FILE_SCHEMA)
 
 
-@query("read_csv", NATION_REGION_SQL)
+@query("read_csv", ORDER_FILE_SQL)
 def read_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation written as CSV files, read back with a schema."""
-    path = scratch_path(spark, "csv", "nation")
-    fx.table(spark, sf_dir, "nation").repartition(3).write.option("header", True).csv(path)
-    return _with_region(spark, sf_dir, read_csv(spark, path, NATION_SCHEMA))
+    """Orders written as CSV files, read back with a schema."""
+    path = scratch_path(spark, "csv", "orders")
+    _order_rows(spark, sf_dir).write.option("header", True).csv(path)
+    return read_csv(spark, path, ORDER_FILE_SCHEMA)
 
 
-@query("read_txt", NATION_REGION_SQL)
+@query("read_txt", ORDER_FILE_SQL)
 def read_txt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: nation written as '|'-separated text, split and typed."""
-    path = scratch_path(spark, "txt", "nation")
-    write_text(fx.table(spark, sf_dir, "nation").repartition(3), path)
-    return _with_region(spark, sf_dir, conform(read_txt(spark, path), NATION_SCHEMA))
+    """S3: orders written as '|'-separated text, split and typed."""
+    path = scratch_path(spark, "txt", "orders")
+    write_text(_order_rows(spark, sf_dir), path)
+    return conform(read_txt(spark, path), ORDER_FILE_SCHEMA)
 
 
-@query("read_xlsx", NATION_REGION_SQL)
+@query("read_xlsx", ORDER_FILE_SQL)
 def read_xlsx_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation written as workbooks (one per partition), read back."""
-    path = scratch_path(spark, "xlsx", "nation")
-    write_xlsx(fx.table(spark, sf_dir, "nation").repartition(3), path)
-    return _with_region(spark, sf_dir, conform(read_xlsx(spark, path, "Sheet1"), NATION_SCHEMA))
+    """Orders written as workbooks, the second half of the columns first in the
+    files of urgent orders; read back by name."""
+    path = scratch_path(spark, "xlsx", "orders")
+    texts = _order_rows(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in ORDER_FILE_SCHEMA.fieldNames()])
+    urgent = F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False))
+    write_xlsx(texts.filter(~urgent), f"{path}/a", rows_per_file=20_000)
+    names = ORDER_FILE_SCHEMA.fieldNames()
+    write_xlsx(texts.filter(urgent).select(*names[3:], *names[:3]), f"{path}/b", rows_per_file=20_000)
+    return conform(read_xlsx(spark, [f"{path}/a", f"{path}/b"], "Sheet1"), ORDER_FILE_SCHEMA)
 
 
 @query(

@@ -11,9 +11,10 @@ from strata.sources.databases import (
     read_jdbc,
 )
 from strata.sources.files import read_csv, read_sql, read_table, read_txt, write_text
-from strata.sources.xlsx import read_xlsx, write_xlsx
+from strata.sources.xlsx import WorkbookError, read_xlsx
 
 __all__ = [
+    "WorkbookError",
     "ConnectorMissingError",
     "MissingCredentialsError",
     "check_credentials",
@@ -30,5 +31,4 @@ __all__ = [
     "read_txt",
     "read_xlsx",
     "write_text",
-    "write_xlsx",
 ]

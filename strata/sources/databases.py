@@ -221,7 +221,9 @@ def read_collection(
     compiled filter is pushed to the server by the connector. Raises
     ``ConnectorMissingError`` when the connector jar is absent."""
     try:
-        spark.sparkContext._jvm.java.lang.Class.forName(COLLECTION_PROVIDER)
+        # the context class loader also sees jars added to the running session
+        loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        loader.loadClass(COLLECTION_PROVIDER)
     except Exception as e:  # noqa: BLE001 - py4j wraps the JVM error
         raise ConnectorMissingError(
             f"the '{COLLECTION_FORMAT}' Spark connector is not on the class path; "
@@ -231,7 +233,7 @@ def read_collection(
     reader = spark.read.format(COLLECTION_FORMAT).options(**collection_options(uri, database, collection))
     if schema is not None:
         reader = reader.schema(schema)
-    df = normalise_id(reader.load(), id_field)
+    df = normalise_id(raw_id_filter(reader.load(), query, id_field), id_field)
     return find(df, query, projection, limit, skip_none=skip_none, id_field=id_field)
 
 
@@ -245,6 +247,27 @@ def normalise_id(df: DataFrame, id_field: str = "_id") -> DataFrame:
     return df.withColumn(id_field, F.coalesce(oid, raw))
 
 
+def raw_id_filter(df: DataFrame, query: Mapping | None, id_field: str = "_id") -> DataFrame:
+    """Rows whose **raw** id can be the one asked for: an ``{id: text}`` or ``$in`` filter on the id,
+    in the forms the store exports it (plain text, or an ``{"$oid": ...}`` object).
+
+    ``normalise_id`` computes the id, so a filter after it never reaches the source; this one compares
+    the stored column and does. It only narrows: the exact filter still follows."""
+    want = (query or {}).get(id_field)
+    if isinstance(want, Mapping) and set(want) == {"$in"}:
+        want = list(want["$in"])
+    elif isinstance(want, Mapping) and set(want) == {"$eq"}:
+        want = [want["$eq"]]
+    elif isinstance(want, str):
+        want = [want]
+    if not isinstance(want, list) or not all(isinstance(x, str) for x in want) or id_field not in df.columns:
+        return df
+    if not isinstance(df.schema[id_field].dataType, T.StringType):
+        return df
+    forms = [f for x in want for f in (x, '{"$oid":"%s"}' % x, '{"$oid": "%s"}' % x)]
+    return df.filter(F.col(id_field).isin(forms))
+
+
 def read_documents(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -263,7 +286,8 @@ def read_documents(
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = normalise_id(reader.json(list(paths) if not isinstance(paths, str) else paths), id_field)
+    raw = reader.json(list(paths) if not isinstance(paths, str) else paths)
+    df = normalise_id(raw_id_filter(raw, query, id_field), id_field)
     return find(df, query, projection, limit, skip_none=skip_none, id_field=id_field)
 
 

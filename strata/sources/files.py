@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -46,26 +44,33 @@ def read_txt(
 ) -> DataFrame:
     """S3: text lines split on a separator into string columns.
 
-    With ``header`` the first line of the first file names the columns (one
-    line to the driver) and header lines are dropped from every file."""
-    lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths)
-    pattern = re.escape(sep)
-    head = None
+    With ``header`` the first line of a file names the columns (one line to the
+    driver) and the first line of **every** file is its header: it is dropped by
+    position, so a data row with the same text stays, and a file whose header
+    has other names or another order fails the read. An empty or missing field
+    is NULL; quotes have no meaning; fields beyond the columns are ignored."""
+    paths = list(paths) if not isinstance(paths, str) else paths
+    names = list(columns) if columns is not None else None
     if header:
-        first = lines.first()
-        head = first[0] if first is not None else ""
-        if columns is None:
-            columns = head.split(sep)
-        lines = lines.filter(F.col("value") != F.lit(head))
-    if columns is None:
+        first = spark.read.text(paths).first()
+        found = first[0].split(sep) if first is not None and first[0] else []
+        names = names or found
+        if len(names) < len(found):
+            raise ValueError(f"{len(found)} columns in the header, {len(names)} names given")
+        found += names[len(found):]
+    elif names is None:
         raise ValueError("columns are required when the files have no header")
-    parts = F.split(F.col("value"), pattern, -1)
-    return lines.select(
-        *[
-            F.when(F.size(parts) > i, parts.getItem(i)).alias(c)
-            for i, c in enumerate(columns)
-        ]
+    else:
+        found = names
+    reader = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in found]))
+        .option("sep", sep)
+        .option("quote", "")
+        .option("header", header)
+        .option("enforceSchema", not header)  # compare each file's header with the names
+        .option("mode", "PERMISSIVE")
     )
+    return reader.csv(paths).toDF(*names)
 
 
 def read_table(

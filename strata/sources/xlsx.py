@@ -1,4 +1,4 @@
-"""Workbook (.xlsx) scan (S1) and a small writer for test data.
+"""Workbook (.xlsx) scan.
 
 Spark has no workbook reader, so files are read with the built-in
 ``binaryFile`` source (any Hadoop file system, one row per file) and each
@@ -15,7 +15,6 @@ from __future__ import annotations
 import datetime as _dt
 import io
 import re
-import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree as ET
@@ -129,6 +128,41 @@ def iter_rows(content: bytes, sheet: str | None = None) -> Iterator[list[str | N
                 yield [cells.get(i) for i in range(width)]
 
 
+class WorkbookError(ValueError):
+    """A workbook that cannot be read without losing something."""
+
+
+def _rows_of(path: str, content: bytes, sheet: str | None) -> Iterator[list[str | None]]:
+    try:
+        yield from iter_rows(content, sheet)
+    except (zipfile.BadZipFile, KeyError) as e:
+        raise WorkbookError(f"{path} is not a readable workbook") from e
+
+
+def _named(path: str, rows: Iterator[list[str | None]], cols: Sequence[str], header: bool) -> Iterator[list[str | None]]:
+    """Rows of one workbook in the order of ``cols``: cells go by the names in its own
+    header. Raises for names that are unknown or stand twice and for cells beyond the header."""
+    place = list(range(len(cols)))
+    if header:
+        names = list(next(rows, []))
+        while names and names[-1] is None:
+            names.pop()
+        if not names:
+            return
+        unknown = [n for n in names if n not in cols]
+        if unknown or len(set(names)) < len(names):
+            raise WorkbookError(f"{path}: unknown or repeated columns {unknown or names}")
+        at = {n: i for i, n in enumerate(names)}
+        place, width = [at.get(c) for c in cols], len(names)
+    else:
+        width = len(cols)
+    for n, r in enumerate(rows, 1 + header):
+        if any(x is not None for x in r[width:]):
+            raise WorkbookError(f"{path}: row {n} has cells beyond the {width} columns")
+        if any(x is not None for x in r):
+            yield [r[i] if i is not None and i < len(r) else None for i in place]
+
+
 def read_xlsx(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -138,168 +172,43 @@ def read_xlsx(
 ) -> DataFrame:
     """Read one sheet of every workbook into text columns.
 
-    Column names come from ``columns`` or from the header row of the first
-    file (only that row reaches the driver)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[xX][lL][sS][xX]")  # skips temporary and other files
-        .load(list(paths) if not isinstance(paths, str) else paths)
-    )
+    Column names come from ``columns`` or from the header row of the first file by
+    path (only that file is opened for it). Every file's cells go by the names in
+    its own header, in any order; a column the file lacks is NULL. Nothing is
+    dropped silently: a file that is no workbook, an unknown column or a cell beyond
+    the header fails the read. Hidden files (``_``, ``.``) and the lock files that
+    office programs leave (``~$``) are not workbooks."""
+    load = list(paths) if not isinstance(paths, str) else paths
+    files = spark.read.format("binaryFile").load(load)
+    files = files.filter(~F.element_at(F.split("path", "/"), -1).startswith("~$"))
 
     if columns is None:
         if not header:
             raise ValueError("columns are required without a header row")
+        first = files.select("path").orderBy("path").first()  # the path column alone opens no file
 
-        def heads(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def head(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in it:
-                out = []
                 for p, content in zip(pdf["path"], pdf["content"]):
-                    first = next(iter_rows(content, sheet), [])
-                    out.append((p, [("" if x is None else str(x)) for x in first]))
-                yield pd.DataFrame(out, columns=["path", "header"])
-
-        row = (
-            files.select("path", "content")
-            .mapInPandas(heads, "path string, header array<string>")
-            .orderBy("path")
-            .select("header")
-            .first()
-        )
+                    names = [x for x in next(_rows_of(p, content, sheet), []) if x is not None]
+                    yield pd.DataFrame({"header": [names]})
+
+        one = files.filter(F.col("path") == first[0]).select("path", "content") if first is not None else None
+        row = one.mapInPandas(head, "header array<string>").first() if one is not None else None
         columns = list(row[0]) if row is not None else []
     cols = list(columns)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
 
     def rows(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            for content in pdf["content"]:
+            for path, content in zip(pdf["path"], pdf["content"]):
                 batch = []
-                for i, r in enumerate(iter_rows(content, sheet)):
-                    if header and i == 0:
-                        continue
-                    r = (r + [None] * len(cols))[: len(cols)]
-                    if any(x is not None for x in r):
-                        batch.append(r)
+                for r in _named(path, _rows_of(path, content, sheet), cols, header):
+                    batch.append(r)
                     if len(batch) >= 10_000:
                         yield pd.DataFrame(batch, columns=cols, dtype=object)
                         batch = []
                 if batch:
                     yield pd.DataFrame(batch, columns=cols, dtype=object)
 
-    return files.select("content").mapInPandas(rows, schema)
-
-
-# --- writer (test data) ------------------------------------------------------
-
-
-def _xml_text(v: object) -> str:
-    s = str(v)
-    return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-
-
-def workbook_bytes(header: Sequence[str], rows: Sequence[Sequence[object]], sheet: str = "Sheet1") -> bytes:
-    """A minimal workbook: inline strings, numbers as numbers."""
-
-    def letters(i: int) -> str:
-        out = ""
-        i += 1
-        while i:
-            i, r = divmod(i - 1, 26)
-            out = chr(65 + r) + out
-        return out
-
-    def cell(v: object, ref: str) -> str:
-        if v is None:
-            return ""
-        if isinstance(v, bool):
-            return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
-        if isinstance(v, (int, float)):
-            return f'<c r="{ref}"><v>{v!r}</v></c>' if isinstance(v, float) else f'<c r="{ref}"><v>{v}</v></c>'
-        return f'<c r="{ref}" t="inlineStr"><is><t>{_xml_text(v)}</t></is></c>'
-
-    body = "".join(
-        f'<row r="{i + 1}">' + "".join(cell(v, f"{letters(j)}{i + 1}") for j, v in enumerate(r)) + "</row>"
-        for i, r in enumerate([list(header), *rows])
-    )
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    parts = {
-        "[Content_Types].xml": (
-            '<?xml version="1.0" encoding="UTF-8"?>'
-            '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-            '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-            '<Default Extension="xml" ContentType="application/xml"/>'
-            '<Override PartName="/xl/workbook.xml" '
-            'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-            '<Override PartName="/xl/worksheets/sheet1.xml" '
-            'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-            "</Types>"
-        ),
-        "_rels/.rels": (
-            '<?xml version="1.0" encoding="UTF-8"?>'
-            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-            f'<Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/>'
-            "</Relationships>"
-        ),
-        "xl/workbook.xml": (
-            f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{main}" xmlns:r="{rel}">'
-            f'<sheets><sheet name="{_xml_text(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>'
-        ),
-        "xl/_rels/workbook.xml.rels": (
-            '<?xml version="1.0" encoding="UTF-8"?>'
-            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-            f'<Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/>'
-            "</Relationships>"
-        ),
-        "xl/worksheets/sheet1.xml": (
-            f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>'
-        ),
-    }
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, text in parts.items():
-            z.writestr(name, text)
-    return buf.getvalue()
-
-
-def write_xlsx(df: DataFrame, directory: str, sheet: str = "Sheet1") -> list[str]:
-    """Write one workbook per partition into ``directory`` (a folder every
-    executor can write, e.g. a shared mount). Returns the file paths (one
-    short row per file reaches the driver).
-
-    Each file is named after its partition and written to a temporary name
-    first, then renamed: a task that is retried after a lost executor
-    replaces its file instead of adding a second copy.
-    """
-    cols = df.columns
-    local_dir = directory[len("file:") :] if directory.startswith("file:") else directory
-
-    def write(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        from pyspark import TaskContext
-
-        frames = list(it)
-        if not frames:
-            return
-        os.makedirs(local_dir, exist_ok=True)
-        pdf = pd.concat(frames)
-        rows = [
-            [None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in r]
-            for r in pdf.itertuples(index=False)
-        ]
-        ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx is not None else 0
-        path = f"{local_dir}/part-{part:05d}.xlsx"
-        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
-        with open(tmp, "wb") as fh:
-            fh.write(workbook_bytes(cols, rows, sheet))
-        os.replace(tmp, path)
-        yield pd.DataFrame({"path": [path], "rows": [len(rows)]})
-
-    # positional names inside the task: header names may hold dots or spaces
-    positional = df.toDF(*[f"c{i}" for i in range(len(cols))])
-    out = positional.mapInPandas(write, "path string, rows long").select("path").collect()
-    return [r[0] for r in out]
-
-
-__all__ = ["iter_rows", "read_xlsx", "workbook_bytes", "write_xlsx", "F"]
+    return files.select("path", "content").mapInPandas(rows, schema)

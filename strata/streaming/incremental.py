@@ -41,7 +41,8 @@ def stream_documents_partitioned(
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    docs = normalise_id(reader.json(source_dir)).filter(compile_filter(query, skip_none=True))
+    docs = normalise_id(reader.json(source_dir))
+    docs = docs.filter(compile_filter(query, skip_none=True, columns=docs.schema))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         load_partitioned(

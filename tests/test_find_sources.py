@@ -15,7 +15,8 @@ from strata.sources.databases import (
     read_documents,
 )
 from strata.sources.files import read_csv, read_txt, write_text
-from strata.sources.xlsx import iter_rows, read_xlsx, workbook_bytes
+from strata.plans.workbooks import workbook_bytes, write_xlsx
+from strata.sources.xlsx import WorkbookError, iter_rows, read_xlsx
 
 
 @pytest.fixture()
@@ -202,3 +203,73 @@ def test_filter_on_a_field_the_frame_lacks(docs):
     assert ids(find(docs, {"nope": {"$exists": False}})) == ["a", "b", "c"]
     assert ids(find(docs, {"nope": {"$ne": 5}, "n": 1})) == ["a"]
     assert count_documents(docs, {"nope": {"$gt": 1}}).first()["count"] == 0
+
+
+def test_text_headers_go_by_position(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "1.txt").write_text("a|b\n1|x\na|b\n|\n")
+    (tmp_path / "t" / "2.txt").write_text("a|b\n2|\n")
+    got = sorted(map(tuple, read_txt(spark, str(tmp_path / "t")).collect()), key=str)
+    assert got == sorted([("1", "x"), ("a", "b"), ("2", None), (None, None)], key=str)  # an equal data row stays
+    (tmp_path / "t" / "3.txt").write_text("b|a\n3|y\n")
+    with pytest.raises(Exception, match="header"):
+        read_txt(spark, str(tmp_path / "t")).collect()
+
+
+def test_workbooks_by_name_and_nothing_dropped(spark, tmp_path):
+    d = tmp_path / "w"
+    d.mkdir()
+    (d / "1.xlsx").write_bytes(workbook_bytes(["a", "b", "c"], [["a1", "b1", None], [None, None, None]]))
+    (d / "2.xlsm").write_bytes(workbook_bytes(["b", "a"], [["b9", "a9"]]))
+    (d / "~$1.xlsx").write_bytes(b"lock")
+    got = sorted(map(tuple, read_xlsx(spark, str(d)).collect()))
+    assert got == [("a1", "b1", None), ("a9", "b9", None)]
+    for name, data in [
+        ("extra", workbook_bytes(["a", "b", "c"], [["a2", "b2", None, "EXTRA"]])),
+        ("unknown", workbook_bytes(["a", "z"], [["1", "2"]])),
+        ("twice", workbook_bytes(["a", "a"], [["1", "2"]])),
+        ("text", b"no workbook"),
+    ]:
+        bad = tmp_path / name
+        bad.mkdir()
+        (bad / "1.xlsx").write_bytes(workbook_bytes(["a", "b", "c"], [["a1", "b1", "c1"]]))
+        (bad / "2.xlsx").write_bytes(data)
+        with pytest.raises(Exception, match=WorkbookError.__name__):
+            read_xlsx(spark, str(bad)).collect()
+
+
+def test_workbook_fixture_splits_files(spark, tmp_path):
+    write_xlsx(spark.range(25).selectExpr("cast(id as string) id", "'x' v").coalesce(1), str(tmp_path / "o"), rows_per_file=10)
+    assert len(list((tmp_path / "o").iterdir())) == 3
+    assert read_xlsx(spark, str(tmp_path / "o")).count() == 25
+
+
+def test_aware_datetimes_are_instants(spark):
+    import datetime as _dt
+
+    df = spark.createDataFrame([("a", _dt.datetime(2024, 1, 1)), ("b", _dt.datetime(2023, 12, 31, 17))], "_id string, ts timestamp_ntz")
+    aware = _dt.datetime(2024, 1, 1, tzinfo=_dt.timezone(_dt.timedelta(hours=7)))
+    assert ids(find(df, {"ts": aware})) == ["b"]
+    assert ids(find(df, {"ts": {"$gt": aware}})) == ["a"]
+    assert ids(find(df, {"ts": {"$in": [_dt.datetime(2024, 1, 1)]}})) == ["a"]
+
+
+def test_empty_and_missing_nested_fields(spark):
+    df = spark.createDataFrame([("a", (1, "x"))], "_id string, meta struct<n:int, s:string>")
+    for op in ("$and", "$or", "$nor"):
+        with pytest.raises(ValueError, match="at least one"):
+            find(df, {op: []})
+    assert ids(find(df, {"meta.gone": None})) == ["a"]
+    assert ids(find(df, {"meta.gone.deeper": {"$gt": 1}})) == []
+    assert ids(find(df, {"meta.gone": {"$exists": False}, "meta.n": 1})) == ["a"]
+
+
+def test_id_filter_reaches_the_source(spark, tmp_path):
+    p = tmp_path / "d.json"
+    p.write_text('{"_id": {"$oid": "65f0"}, "a": "1"}\n{"_id": "plain", "a": "2"}\n{"_id": {"$oid": "65f1"}, "a": "3"}\n')
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("_id", "a")])
+    one = read_documents(spark, str(p), schema, {"_id": "65f0"})
+    assert [tuple(r) for r in one.collect()] == [("65f0", "1")]
+    assert "PushedFilters: [In(_id" in one._jdf.queryExecution().executedPlan().toString()
+    several = read_documents(spark, str(p), schema, {"_id": {"$in": ["plain", "65f1", "none"]}, "a": "3"})
+    assert [r.a for r in several.collect()] == ["3"]
