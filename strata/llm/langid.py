@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from . import common
 from .registry import query
-from .text import SLICE_BYTES, text_buffer
+from .text import text_buffer
 
 FEATURES = 1 << 17
+#: Texts are read in slices of so many bytes (or one longer text): a slice takes some 60 times its size.
+SLICE_BYTES = 1 << 19
 SMOOTHING = 0.5
 #: Rows (in expectation) on which the reliability of each classifier is measured; a bounded
 #: sample by hash of the id. The classifiers themselves are counted over every training row.

@@ -34,6 +34,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 _SEGMENTS = ((42, 22), (21, 21), (0, 21))  # shift and width
+_SLICE_BYTES = 1 << 19  # a slice takes some 100 times its size
 _GENERATOR = 0b101011100011  # x^11+x^9+x^7+x^6+x^5+x+1, a generator of the (23, 12) code
 
 
@@ -104,7 +105,7 @@ def shingle_hashes(w: Words, k: int = SHINGLE_WORDS, seed: int = SEED) -> tuple[
 def fingerprints(col: pa.Array, k: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
     """SimHash of every text of an Arrow column, as uint64; texts without words have 0."""
     out = np.zeros(len(col), dtype=np.uint64)
-    for w in split_words(col):
+    for w in split_words(col, _SLICE_BYTES):
         hashes, first = shingle_hashes(w, k, seed)
         full = np.flatnonzero(first[1:] > first[:-1])
         if not len(full):

@@ -38,7 +38,7 @@ BATCH_ROWS = 64
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Encoded words a worker keeps; beyond it only those met more than once stay.
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 128 << 20
 _CALL_WORDS = 500
 _TAIL = b".,;:!?"
 _CASE_MATTERS = (b"\xcc", b"\xcd", b"<|")
