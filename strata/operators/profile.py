@@ -5,7 +5,8 @@ pass; quantiles and top values are separate distributed jobs whose state is
 bounded (no group is collected into one task and nothing is collected to the
 driver). Metric names:
 
-* every column: ``n`` (rows), ``missing``, ``n_distinct`` (NULL excluded)
+* every column: ``n`` (rows) and ``missing`` (NULL, and NaN in floating point
+  columns); all but array, map, struct and binary ones: ``n_distinct``
 * numeric: ``min max mean std variance sum zeros negatives p5 p25 p50 p75
   p95 iqr cv skewness kurtosis`` (sample std / variance, bias-corrected
   skewness and excess kurtosis, linear-interpolated quantiles)
@@ -17,6 +18,7 @@ driver). Metric names:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,6 +74,8 @@ def _entries(
         x = F.col(quote(c))
         distinct = F.approx_count_distinct(x) if approx_distinct else F.count_distinct(x)
         out += [(c, "n", rows, None), (c, "missing", F.count_if(x.isNull()), None)]
+        if kind == "other":
+            continue
         shared = (kind == "numeric" and exact_numeric_distinct) or (kind == "text" and exact_text_distinct)
         if approx_distinct or not shared:
             out.append((c, "n_distinct", distinct, None))
@@ -147,15 +151,11 @@ def _exact_keys(df: DataFrame, c: str) -> tuple[Column, Column]:
     return none_long, none_text
 
 
-def _ranged_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per distinct (column, value), range-partitioned by value and
-    frozen with a checkpoint on the shared folder (the partition ids must not
-    change if a stage is recomputed).
+def _numeric_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per distinct (column, value), combined map-side.
 
-    ``v`` is the value as double (for ordering); ``k`` / ``ks`` keep long and
-    decimal values exact (fixed-width long keys where possible), so distinct
-    counts stay exact beyond 2^53. Map-side combine makes a value that fills
-    a third of the table one row after the first stage.
+    ``v`` is the value as double; ``k`` / ``ks`` keep long and decimal values exact
+    (fixed-width long keys where possible), so distinct counts stay exact beyond 2^53.
     """
     fields = []
     for c in columns:
@@ -169,13 +169,7 @@ def _ranged_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         )
     vals = df.select(F.explode(F.array(*fields)).alias("p")).select("p.*").where(F.col("v").isNotNull())
-    counts = vals.groupBy("column_name", "k", "ks", "v").agg(F.count(F.lit(1)).alias("c"))
-    checkpoint_root(df.sparkSession)
-    return (
-        counts.repartitionByRange("column_name", "v")
-        .withColumn("pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    return vals.groupBy("column_name", "k", "ks", "v").agg(F.count(F.lit(1)).alias("c"))
 
 
 def _column_names(spark, columns: Sequence[str]) -> DataFrame:
@@ -184,10 +178,10 @@ def _column_names(spark, columns: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(c,) for c in columns], "column_name string")
 
 
-def _distinct_from_counts(ranged: DataFrame, columns: Sequence[str]) -> DataFrame:
-    per = ranged.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+def _distinct_from_counts(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    per = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
     # the name list has one row per column: a bounded broadcast
-    names = F.broadcast(_column_names(ranged.sparkSession, columns))
+    names = F.broadcast(_column_names(counts.sparkSession, columns))
     return names.join(per, "column_name", "left").select(
         "column_name",
         F.lit("n_distinct").alias("metric"),
@@ -195,56 +189,9 @@ def _distinct_from_counts(ranged: DataFrame, columns: Sequence[str]) -> DataFram
     )
 
 
-def _quantiles_from_counts(
-    ranged: DataFrame, probs: Sequence[float], columns: Sequence[str] | None = None
-) -> DataFrame:
-    spark = ranged.sparkSession
-    ranged = ranged.where(~F.isnan("v"))
-    within = ranged.withColumn(
-        "cum",
-        F.sum("c").over(
-            Window.partitionBy("pid", "column_name")
-            .orderBy("v")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-    )
-    totals = ranged.groupBy("column_name", "pid").agg(F.sum("c").alias("tot"))
-    before = Window.partitionBy("column_name").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "column_name",
-        "pid",
-        F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("off"),
-        F.sum("tot").over(Window.partitionBy("column_name")).alias("n"),
-    )
-    # offsets: at most (range partitions x columns) rows - a bounded broadcast
-    ranked = within.join(F.broadcast(offsets), ["column_name", "pid"]).select(
-        "column_name",
-        "v",
-        "n",
-        (F.col("off") + F.col("cum") - F.col("c")).alias("start"),
-        (F.col("off") + F.col("cum")).alias("end"),
-    )
-    aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("n") - 1) * F.lit(float(p))
-        for side, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            hit = (F.col("start") <= r) & (r < F.col("end"))
-            aggs.append(F.max(F.when(hit, F.col("v"))).alias(f"{side}{i}"))
-        aggs.append(F.max(h - F.floor(h)).alias(f"d{i}"))
-    per_col = ranked.groupBy("column_name").agg(*aggs)
-    if columns is not None:
-        # columns without any value get NULL quantiles (bounded broadcast of names)
-        per_col = F.broadcast(_column_names(spark, columns)).join(per_col, "column_name", "left")
-    qs = {
-        _pct_name(p): F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"d{i}")
-        for i, p in enumerate(probs)
-    }
-    if "p25" in qs and "p75" in qs:
-        qs["iqr"] = qs["p75"] - qs["p25"]
-    structs = [F.struct(F.lit(m).alias("metric"), e.cast("double").alias("value")) for m, e in qs.items()]
-    return per_col.select("column_name", F.explode(F.array(*structs)).alias("q")).select(
-        "column_name", "q.metric", "q.value"
-    )
+# Accuracy of the sketch that brackets a rank: its rank error is at most rows / accuracy
+# (a guarantee of the summary, not an expectation), and the bracket allows twice that.
+BRACKET_ACCURACY = 10_000
 
 
 def exact_quantiles(
@@ -253,20 +200,71 @@ def exact_quantiles(
     """Exact linear-interpolated quantiles (``quantile_cont``) of numeric
     columns, distributed.
 
-    1. count each distinct value per column (map-side combine);
-    2. range-partition the (column, value) counts and freeze the assignment
-       with a checkpoint on the shared folder;
-    3. running count inside each range partition plus the totals of the
-       partitions before it (a table of at most partitions x columns rows,
-       broadcast) give every distinct value its rank interval;
-    4. one aggregate picks the values at ranks floor/ceil of p*(n-1).
+    1. the values are counted, and a sketch pass brackets each rank between two values
+       (one row of columns x ranks x 2 numbers comes to the driver);
+    2. one aggregate counts the values below each bracket;
+    3. only the values inside a bracket, some rows / 2,500 each, are counted, range-
+       partitioned and ranked: a running count inside each range partition plus
+       the totals of the partitions before it;
+    4. one aggregate picks the values at ranks floor / ceil of p*(n-1).
 
-    No task ever holds more than one range partition of distinct values.
-    Also emits ``iqr`` (p75 - p25) when both are requested.
+    No task ever holds more than one range partition of a bracket. Also emits
+    ``iqr`` (p75 - p25) when both are requested. A column without values has NULLs.
     """
-    if not columns:
-        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double")
-    return _quantiles_from_counts(_ranged_value_counts(df, columns), probs, columns)
+    spark = df.sparkSession
+    out_schema = "column_name string, metric string, value double"
+    columns, probs = list(columns), list(probs)
+    if not columns or not probs:
+        return spark.createDataFrame([], out_schema)
+    v = {c: F.col(quote(c)).cast("double") for c in columns}
+    v = {c: F.when(~F.isnan(x), x) for c, x in v.items()}
+    rows = df.agg(*[F.count(v[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+
+    def ends(n: int) -> list[float]:
+        reach = 2 / BRACKET_ACCURACY + 2 / max(n, 1)  # two ranks more, for the neighbours
+        return [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
+
+    sketch = df.agg(*[F.percentile_approx(v[c], ends(n), BRACKET_ACCURACY).alias(f"s{i}") for (i, c), n in zip(enumerate(columns), rows, strict=True)]).first()
+    wanted = [  # (column number, rank number, low, high)
+        (i, j, sketch[i][2 * j], sketch[i][2 * j + 1]) for i in range(len(columns)) for j in range(len(probs)) if sketch[i] is not None
+    ]
+    below_of = [F.count_if(v[columns[i]] < F.lit(low)).alias(f"b{i}_{j}") for i, j, low, _ in wanted]
+    seen = df.agg(*(below_of or [F.lit(0)])).first()
+    inside, picks = [], []
+    for i, j, low, high in wanted:
+        x = v[columns[i]]
+        entry = F.struct(F.lit(i).alias("col"), F.lit(j).alias("rank"), x.alias("v"))
+        inside.append(F.when((x >= F.lit(low)) & (x <= F.lit(high)), entry))
+        h = (rows[i] - 1) * float(probs[j])
+        below = seen[f"b{i}_{j}"]
+        picks.append((i, j, math.floor(h) - below, math.ceil(h) - below, h - math.floor(h)))
+    if not wanted:
+        inside = [F.lit(None).cast("struct<col:int,rank:int,v:double>")]
+    near = df.select(F.explode(F.filter(F.array(*inside), lambda e: e.isNotNull())).alias("e")).select("e.*")
+    counts = near.groupBy("col", "rank", "v").agg(F.count(F.lit(1)).alias("c"))
+    checkpoint_root(spark)  # the partition numbers must not change if a stage runs again
+    dealt = counts.repartitionByRange("col", "rank", "v").withColumn("pid", F.spark_partition_id()).checkpoint(eager=True)
+    upto = Window.partitionBy("pid", "col", "rank").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("col", "rank").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("col", "rank", "pid").agg(F.sum("c").alias("tot"))
+    offsets = totals.withColumn("off", F.coalesce(F.sum("tot").over(before), F.lit(0))).drop("tot")
+    placed = dealt.withColumn("cum", F.sum("c").over(upto)).join(offsets, ["col", "rank", "pid"])
+    # one row per column and rank: a bounded broadcast
+    at = F.broadcast(spark.createDataFrame(picks, "col int, rank int, lo long, hi long, part double"))
+    end = F.col("off") + F.col("cum")
+    hit = lambda r: (end - F.col("c") <= F.col(r)) & (F.col(r) < end)
+    ends_of = placed.join(at, ["col", "rank"]).groupBy("col", "rank", "part").agg(
+        F.max(F.when(hit("lo"), F.col("v"))).alias("a"), F.max(F.when(hit("hi"), F.col("v"))).alias("b")
+    )
+    values = ends_of.select("col", "rank", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("q"))
+    per_col = values.groupBy("col").agg(*[F.max(F.when(F.col("rank") == j, F.col("q"))).alias(f"q{j}") for j in range(len(probs))])
+    names = F.broadcast(spark.createDataFrame(list(enumerate(columns)), "col int, column_name string"))
+    named = names.join(per_col, "col", "left")
+    qs = {_pct_name(p): F.col(f"q{j}") for j, p in enumerate(probs)}
+    if "p25" in qs and "p75" in qs:
+        qs["iqr"] = qs["p75"] - qs["p25"]
+    structs = [F.struct(F.lit(m).alias("metric"), e.cast("double").alias("value")) for m, e in qs.items()]
+    return named.select("column_name", F.explode(F.array(*structs)).alias("q")).select("column_name", "q.metric", "q.value")
 
 
 def _text_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -352,14 +350,17 @@ def profile(
     column. ``approx_quantile_accuracy`` switches the exact distributed
     quantiles to ``percentile_approx`` sketches of that accuracy (one pass,
     bounded memory) when exact values are not needed."""
-    columns = list(columns or df.columns)
+    columns = list(df.columns if columns is None else columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, metric string, value double, text string")
     kinds = {c: _kind(df.schema[c].dataType) for c in columns}
-    kinds = {c: k for c, k in kinds.items() if k != "other"}
+    floats = [c for c in columns if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    df = df.withColumns({c: F.when(~F.isnan(F.col(quote(c))), F.col(quote(c))) for c in floats})
     numeric = [c for c, k in kinds.items() if k == "numeric"]
-    # numeric distinct counts come from the value counts the quantiles need
-    # anyway, which keeps exact distinct counts out of the one-pass aggregate
+    # exact distinct counts of numbers come from a value-count job of their own,
+    # which keeps them (and an ``Expand``) out of the one-pass aggregate
     text = [c for c, k in kinds.items() if k == "text"]
-    shared = bool(numeric and quantiles and not approx_distinct and approx_quantile_accuracy is None)
+    shared = bool(numeric and not approx_distinct)
     shared_text = bool(text and top_k and not approx_distinct)
     entries = _entries(df, kinds, approx_distinct, exact_numeric_distinct=shared, exact_text_distinct=shared_text)
     aggs = []
@@ -374,11 +375,11 @@ def profile(
         no_text = F.lit(None).cast("string").alias("text")
         parts.append(approx_quantiles(df, numeric, quantiles, approx_quantile_accuracy).select("*", no_text))
     elif numeric and quantiles:
-        ranged = _ranged_value_counts(df, numeric)
         no_text = F.lit(None).cast("string").alias("text")
-        parts.append(_quantiles_from_counts(ranged, quantiles, numeric).select("*", no_text))
-        if shared:
-            parts.append(_distinct_from_counts(ranged, numeric).select("*", no_text))
+        parts.append(exact_quantiles(df, numeric, quantiles).select("*", no_text))
+    if shared:
+        no_text = F.lit(None).cast("string").alias("text")
+        parts.append(_distinct_from_counts(_numeric_value_counts(df, numeric), numeric).select("*", no_text))
     if text and top_k:
         # one value-count plan feeds both; Spark reuses its shuffle
         counts = _text_value_counts(df, text)
@@ -402,24 +403,18 @@ def profile(
     return out
 
 
-def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
-    cols = [c for c in (columns or df.columns) if _kind(df.schema[c].dataType) == "numeric"]
-    return profile(df, cols, **kw)
-
-
-def profile_text(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
-    cols = [c for c in (columns or df.columns) if _kind(df.schema[c].dataType) == "text"]
-    return profile(df, cols, **kw)
-
+def _profile_kind(kind: str):
+    def of_kind(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
+        return profile(df, [c for c in (columns or df.columns) if _kind(df.schema[c].dataType) == kind], **kw)
 
-def profile_date(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
-    cols = [c for c in (columns or df.columns) if _kind(df.schema[c].dataType) == "date"]
-    return profile(df, cols, **kw)
+    of_kind.__doc__ = f"``profile`` of the {kind} columns."
+    return of_kind
 
 
-def profile_boolean(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
-    cols = [c for c in (columns or df.columns) if _kind(df.schema[c].dataType) == "boolean"]
-    return profile(df, cols, **kw)
+profile_numeric = _profile_kind("numeric")
+profile_text = _profile_kind("text")
+profile_date = _profile_kind("date")
+profile_boolean = _profile_kind("boolean")
 
 
 def compare_profiles(first: DataFrame, second: DataFrame) -> DataFrame:

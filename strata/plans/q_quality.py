@@ -65,8 +65,22 @@ def _fmt_sql(value: str) -> str:
     )
 
 
+# Metrics that are counts: printed whole.
+COUNTS = ("n", "missing", "n_distinct", "zeros", "negatives", "true", "false")
+
+
 def _formatted(p: DataFrame) -> DataFrame:
-    return p.select("column_name", "metric", _fmt("value").alias("value"), "text")
+    whole = F.col("metric").isin(*COUNTS) | F.col("metric").startswith("top_")
+    value = F.when(whole, F.col("value").cast("long").cast("string")).otherwise(_fmt("value"))
+    return p.select("column_name", "metric", value.alias("value"), "text")
+
+
+def _formatted_sql(value: str = "value") -> str:
+    names = ", ".join(f"'{c}'" for c in COUNTS)
+    return (
+        f"CASE WHEN metric IN ({names}) OR starts_with(metric, 'top_') THEN CAST(CAST({value} AS BIGINT) AS VARCHAR) "
+        f"ELSE {_fmt_sql(value)} END"
+    )
 
 
 # --- SQL builders for the oracle --------------------------------------------
@@ -114,7 +128,7 @@ ORDER_NUMERIC = ["o_orderkey", "o_custkey", "o_totalprice"]
 @query(
     "profile_orders",
     f"""
-SELECT column_name, metric, {_fmt_sql('value')} AS value, CAST(NULL AS VARCHAR) AS text
+SELECT column_name, metric, {_formatted_sql()} AS value, CAST(NULL AS VARCHAR) AS text
 FROM {_numeric_profile_sql("orders", ORDER_NUMERIC)}""",
 )
 def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,10 +161,33 @@ UNION ALL {tops}"""
 TEXT_COLUMNS = ["lang", "source"]
 
 
+MIXED_SQL = """(SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_totalprice AS DOUBLE) END AS price, o_orderkey FROM orders)"""
+
+
+@query(
+    "profile_mixed",
+    f"""
+SELECT column_name, metric, {_formatted_sql()} AS value, CAST(NULL AS VARCHAR) AS text
+FROM {_numeric_profile_sql(MIXED_SQL, ["price"])}
+UNION ALL SELECT 'parts', 'n', CAST(count(*) AS VARCHAR), NULL FROM orders
+UNION ALL SELECT 'parts', 'missing', CAST(count(*) FILTER (WHERE o_orderkey % 5 = 0) AS VARCHAR), NULL FROM orders""",
+)
+def profile_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN counts as missing, and a column of a type without metrics is
+    listed with its rows and missing values."""
+    o = fx.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    mixed = o.select(
+        F.when(key % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice").cast("double")).alias("price"),
+        F.when(key % 5 != 0, F.array(key, F.col("o_custkey"))).alias("parts"),
+    )
+    return _formatted(profile(mixed))
+
+
 @query(
     "profile_text",
     f"""
-SELECT column_name, metric, {_fmt_sql('value')} AS value, text
+SELECT column_name, metric, {_formatted_sql()} AS value, text
 FROM ({_text_profile_sql("documents", TEXT_COLUMNS)})""",
 )
 def profile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +198,7 @@ def profile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "profile_date",
     f"""
-SELECT column_name, metric, {_fmt_sql('value')} AS value, text FROM (
+SELECT column_name, metric, {_formatted_sql()} AS value, text FROM (
   SELECT 'ts' AS column_name, 'n' AS metric, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM events
   UNION ALL SELECT 'ts', 'missing', CAST(count(*) FILTER (WHERE ts IS NULL) AS DOUBLE), NULL FROM events
   UNION ALL SELECT 'ts', 'n_distinct', CAST(count(DISTINCT ts) AS DOUBLE), NULL FROM events
@@ -191,7 +228,7 @@ BOOL_METRICS = [
 @query(
     "profile_boolean",
     f"""
-SELECT column_name, metric, {_fmt_sql('value')} AS value, CAST(NULL AS VARCHAR) AS text
+SELECT column_name, metric, {_formatted_sql()} AS value, CAST(NULL AS VARCHAR) AS text
 FROM {_unpivot_sql("labels", BOOL_METRICS)}""",
 )
 def profile_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,3 +490,38 @@ def run_medallion_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_medallion(
         spark, path, db, MEDALLION_SOURCE, now=REPORT_NOW, bronze_source=BRONZE_PATH, silver_source=SILVER_PATH
     )
+
+
+@query(
+    "medallion_rerun",
+    MEDALLION_SQL
+    + """, silver_rows AS (SELECT DISTINCT Id, AccountNo, Date, DepositAMT, BalanceAMT FROM keyed WHERE Id IS NOT NULL),
+rejects AS (SELECT AccountNo, BalanceAMT FROM keyed WHERE Id IS NULL)
+SELECT 'silver' AS layer, Id AS row_key, AccountNo AS account, Date AS day, CAST(BalanceAMT AS DECIMAL(28,2)) AS amount FROM silver_rows
+UNION ALL SELECT 'gold', AccountNo, AccountNo, max(Date), CAST(sum(DepositAMT) AS DECIMAL(28,2)) FROM silver_rows GROUP BY AccountNo
+UNION ALL SELECT 'rejects', NULL, AccountNo, NULL, CAST(BalanceAMT AS DECIMAL(28,2)) FROM rejects
+UNION ALL SELECT 'rejects', NULL, AccountNo, NULL, CAST(BalanceAMT AS DECIMAL(28,2)) FROM rejects""",
+)
+def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6 run twice over the same workbooks, on two days: silver and gold are as after
+    one run, and rejects hold the undated rows once per load."""
+    from strata.plans.workbooks import write_xlsx
+    from strata.session import scratch_path
+
+    db = scratch_database(spark)
+    path = scratch_path(spark, "xlsx", "transactions")
+    write_xlsx(fx.raw_text(spark, sf_dir), path, rows_per_file=20_000)
+    for now in (REPORT_NOW, NEXT_DAY_NOW):
+        jobs.run_medallion(spark, path, db, MEDALLION_SOURCE, now=now)
+    amount = lambda c: F.col(c).cast("decimal(28,2)").alias("amount")
+    silver = spark.table(f"{db}.transactions_clean").select(
+        F.lit("silver").alias("layer"), F.col("Id").alias("row_key"), F.col("AccountNo").alias("account"), F.col("Date").alias("day"), amount("BalanceAMT")
+    )
+    gold = spark.table(f"{db}.transactions_datamart").select(
+        F.lit("gold").alias("layer"), F.col("AccountNo").alias("row_key"), F.col("AccountNo").alias("account"),
+        F.col("LastTransactionDate").alias("day"), amount("TotalDeposits"),
+    )
+    rejects = spark.table(f"{db}.transactions_rejects").select(
+        F.lit("rejects").alias("layer"), F.col("Id").alias("row_key"), F.col("AccountNo").alias("account"), F.col("Date").alias("day"), amount("BalanceAMT")
+    )
+    return silver.unionByName(gold).unionByName(rejects)

@@ -132,3 +132,40 @@ def test_report_from_counts(spark, db):
     assert (a.Status_Observation, a.Status_Rows, a.Difference_Rows) == ("PASS", "FAIL", 1)
     assert (b.Status_Observation, b.Difference_Observation, b.Status_Rows) == ("UNKNOWN", None, "UNKNOWN")
     assert a.ID == hashlib.sha256(b"20240502_example_integration_xlsx_to_bronze").hexdigest()
+
+
+def test_nan_is_missing_in_every_metric(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, [1], b"x"), (nan, None, None), (3.0, [2], b"y"), (None, [3], b"z")], "x double, a array<int>, b binary")
+    p = {(r.column_name, r.metric): r.value for r in profile(df).collect()}
+    assert (p["x", "n"], p["x", "missing"], p["x", "n_distinct"], p["x", "mean"], p["x", "p50"], p["x", "max"]) == (4, 2, 2, 2.0, 2.0, 3.0)
+    assert (p["a", "n"], p["a", "missing"], p["b", "n"], p["b", "missing"]) == (4, 1, 4, 1) and ("a", "n_distinct") not in p
+    only = {(r.column_name, r.metric): r.value for r in profile(df.select("a")).collect()}
+    assert only == {("a", "n"): 4, ("a", "missing"): 1}
+    assert profile(df, []).count() == 0
+    empty = {(r.column_name, r.metric): r.value for r in profile(df.select("x").filter("false")).collect()}
+    assert empty["x", "n"] == 0 and empty["x", "p50"] is None and empty["x", "n_distinct"] == 0
+
+
+@pytest.mark.parametrize("shape", ["uniform", "ties", "skewed", "tiny"])
+def test_bracketed_quantiles_are_exact(spark, monkeypatch, shape):
+    import numpy as np
+
+    from strata.operators import profile as P
+
+    rng = np.random.default_rng(8)
+    data = {
+        "uniform": rng.random(20_000),
+        "ties": rng.integers(0, 9, 20_000).astype(float),
+        "skewed": np.exp(rng.normal(size=20_000) * 3),
+        "tiny": rng.random(3),
+    }[shape]
+    df = spark.createDataFrame(pd.DataFrame({"x": data, "y": -data}))
+    probs = (0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0)
+    for accuracy in (P.BRACKET_ACCURACY, 100):
+        monkeypatch.setattr(P, "BRACKET_ACCURACY", accuracy)
+        got = {(r.column_name, r.metric): r.value for r in exact_quantiles(df, ["x", "y"], probs).collect()}
+        for p in probs:
+            assert got["x", P._pct_name(p)] == pytest.approx(np.quantile(data, p), rel=1e-12)
+            assert got["y", P._pct_name(p)] == pytest.approx(np.quantile(-data, p), rel=1e-12)
+        assert got["x", "iqr"] == pytest.approx(np.quantile(data, 0.75) - np.quantile(data, 0.25), rel=1e-9)
