@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_root
+from strata.session import checkpoint_root, conf, scratch_path
 
 #: Words as every contract here counts them: runs of anything but 0x20, 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,6 +41,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, path: str | None = None, *partition: str) -> DataFrame:
+    """Write a table to the shared folder (by default a fresh scratch one) and read it back.
+    The shuffle files behind it go when it is written: the table replaces them."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "llm")
+    with conf(spark, **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.partitionBy(*partition).option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def bounded_join(big: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
     """Join a materialised small frame: broadcast only when its counted rows are few."""
     if small.count() <= BROADCAST_ROWS:

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import conf, scratch_path
+from strata.session import scratch_path
 
 from . import common
 from .registry import query
@@ -70,14 +70,6 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], kinds.get(n, pa.binary())) for n in _NAMES], names=_NAMES)
 
 
-def _stored(df: DataFrame, path: str, *partition: str) -> DataFrame:
-    """Write a table to the shared folder and read it back. The shuffle files behind it go
-    when it is written: the table replaces them."""
-    with conf(df.sparkSession, **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        df.write.partitionBy(*partition).option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of sorted 64-bit keys by range."""
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -200,7 +192,7 @@ def encode_blocks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 yield block(b.num_rows)
 
     kind = "ids array<long>, n_docs long, n_train long, n_tokens long, n binary, train binary, tokens binary, words binary, counts binary"
-    table = _stored(rows.mapInArrow(encode, kind).withColumn("block", F.monotonically_increasing_id()), path)
+    table = common.stored(rows.mapInArrow(encode, kind).withColumn("block", F.monotonically_increasing_id()), path)
     s = table.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
     return Blocks(table, path, s[0], s[1])
 
@@ -515,7 +507,7 @@ def answers(blocks: Blocks, model: KatzModel, level: int) -> DataFrame:
             asked = _by_block(blocks, model, level - 1).applyInArrow(_gram_questions(held, level, False), _ROW)
             known = model.level(spark, level).filter("kind in (1, 2)").select("key", "kind", "part", "a", "b", "c", "d")
             found = asked.unionByName(_rows(known)).groupBy("key").applyInArrow(_find_grams(level), _ROW)
-        blocks.answers[model.path, level] = _stored(found, scratch_path(spark, "lm", "answers"))
+        blocks.answers[model.path, level] = common.stored(found, scratch_path(spark, "lm", "answers"))
     return blocks.answers[model.path, level]
 
 
@@ -534,7 +526,7 @@ def fit(
     path = path or scratch_path(spark, "lm", "model")
     buckets = max(1, -(-blocks.tokens // tokens_per_bucket))
     asked = blocks.table.select("block", "words", "counts").mapInArrow(_word_questions(buckets, True), _ROW)
-    words = _stored(asked.groupBy("key").applyInArrow(_count_words(buckets), _ROW), f"{path}/level=1", "kind")
+    words = common.stored(asked.groupBy("key").applyInArrow(_count_words(buckets), _ROW), f"{path}/level=1", "kind")
     n = _summed(words) or [0] * (GT_MAX + 3)
     above = max(1, n[0] // (buckets * split_share))
     katz = Katz(order, buckets, above, blocks.train_docs, Unigrams.of(n[0], n[1], n[2:]))
@@ -542,7 +534,7 @@ def fit(
     for level in range(2, order + 1):
         held = spark.sparkContext.broadcast(katz)
         asked = _by_block(blocks, model, level - 1).applyInArrow(_gram_questions(held, level, True), _ROW)
-        grams = _stored(asked.groupBy("key").applyInArrow(_count_grams(held, level), _ROW), f"{path}/level={level}", "kind")
+        grams = common.stored(asked.groupBy("key").applyInArrow(_count_grams(held, level), _ROW), f"{path}/level={level}", "kind")
         d = good_turing(_summed(grams.filter("kind = 1")) or [0] * (GT_MAX + 1))
         weights = grams.filter("kind = 1").select("key", "e", "f", "g").mapInArrow(_weigh(d), _ROW)
         weights.drop("kind").write.option("compression", "zstd").parquet(f"{path}/level={level}/kind=2")

@@ -151,7 +151,8 @@ def mix_documents(docs: DataFrame, labels: DataFrame, prefix: str = "") -> DataF
     join, so a caller that drops the text shuffles only ids and sizes."""
     sized = docs.withColumn("__size", common.word_count(F.col("text")))
     q = quality_weights(labels)
-    joined = sized.join(q, sized["doc_id"] == q["__label_id"], "left").drop("__label_id")
+    # Documents are partitioned by id at every size, whatever the labels weigh.
+    joined = sized.join(q.hint("merge"), sized["doc_id"] == q["__label_id"], "left").drop("__label_id")
     out = mix(joined, size=F.col("__size"), quality=F.col("__quality"), prefix=prefix)
     return out.drop("__size", "__quality")
 

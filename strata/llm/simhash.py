@@ -17,7 +17,7 @@ Only distinct fingerprints are joined: copies of a text are one row there.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -170,33 +170,42 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
 
 
 def near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    seed: int = SEED,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, fp, component_id, component) for every row: the fingerprint, the smallest id that can
+    """(id, fp, component_id, component, and the columns to ``carry``) for every row: the fingerprint, the smallest id that can
     be reached over links, the row itself included, and the smallest fingerprint so reached.
 
     Defined cases: null and empty texts have fingerprint 0, which links like any other; null ids
     are skipped by the minimum, and a component of null ids only has a null id; repeated rows
     stay; an empty table gives no rows. The id column keeps its name and type.
     """
-    fp = common.cut(docs.select(F.col(id_col), fingerprint_udf(k, seed)(F.col(text_col)).alias("fp")))
+    fp = common.cut(docs.select(F.col(id_col), *carry, fingerprint_udf(k, seed)(F.col(text_col)).alias("fp")))
     distinct = common.cut(fp.groupBy("fp").agg(F.min(id_col).alias("least")))
-    tree = components(link_fingerprints(distinct, max_bits).select("a", "b"))
+    tree = components(common.stored(link_fingerprints(distinct, max_bits)))
     tree = tree.select(F.col("node").alias("fp"), "component")
     named = distinct.join(tree, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     first = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = named.join(first, "component").select("fp", "component_id", "component")
-    return fp.join(by_fp, "fp").select(F.col(id_col), "fp", "component_id", "component")
+    return fp.join(by_fp, "fp").select(F.col(id_col), "fp", "component_id", "component", *carry)
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
     """The input rows less near-duplicates: one row per component, that with the smallest id."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, k=k, max_bits=max_bits, seed=seed)
+    # Rows are told apart by id and a hash of the text; rows alike in both are copies.
+    known = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__text": F.xxhash64(text_col)})
+    found = near_duplicates(known, id_col=id_col, text_col=text_col, k=k, max_bits=max_bits, seed=seed, carry=["__id", "__text"])
     heads = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("component")
-    heads = heads.agg(F.min("component_id").alias("__keep_id"), F.min("fp").alias("__keep_fp")).drop("component")
-    marked = docs.withColumn("__fp", fingerprint_udf(k, seed)(F.col(text_col)))
-    kept = marked.join(heads, F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__fp") == F.col("__keep_fp")))
-    return kept.dropDuplicates([id_col, "__fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    heads = common.stored(heads.agg(F.min(F.struct("__id", "__text")).alias("h")).select("h.*"))
+    # The texts are shuffled once: the join and the aggregate share the partitioning.
+    kept = known.join(heads, ["__id", "__text"]).dropDuplicates(["__id", "__text"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @query("op3_simhash_neardup")

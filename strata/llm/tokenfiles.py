@@ -40,11 +40,11 @@ TOKENIZER = "word_bpe_49k.json"
 #: Encoded words a worker keeps; beyond it only those met more than once stay.
 CACHE_BYTES = 128 << 20
 _CALL_WORDS = 500
-_TAIL = b".,;:!?"
+_TAIL = r"([A-Za-z0-9])([.,;:!?]+)([\x09-\x0D ]|$)"
 _CASE_MATTERS = (b"\xcc", b"\xcd", b"<|")
 #: Lower-case letters of ASCII and Latin-1, in UTF-8.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+").fullmatch
-_SLICE = 2 << 20
+_SLICE = 4 << 20
 
 
 class WordEncoder:
@@ -106,20 +106,11 @@ class WordEncoder:
         self.weight += sum(map(len, words)) + 160 * len(words) + 4 * total
 
     def _learn(self, new: set[bytes]) -> None:
-        """Words that end in punctuation are a word and its punctuation: the tokenizer never
-        matches from an ASCII letter or digit on into what follows it."""
-        cores = {w: c for w in new if (c := w.rstrip(_TAIL)) != w and c[-1:].isalnum()}
-        known = self.index
-        plain = (new - cores.keys()).union(cores.values(), [w[len(c) :] for w, c in cores.items()]).difference(known)
-        letters = [w for w in plain if _LETTERS(w)]
+        letters = [w for w in new if _LETTERS(w)]
         if letters:
             self._add(letters, *self._letter_ids(letters))
-        if rest := list(plain.difference(letters)):
+        if rest := list(new.difference(letters)):
             self._add(rest, *self._ids(rest))
-        if cores:
-            pairs = np.array([(known[c], known[w[len(c) :]]) for w, c in cores.items()])
-            ids, size = self._gather(pairs.ravel())
-            self._add(list(cores), ids, size.reshape(-1, 2).sum(axis=1))
 
     def _shrink(self) -> None:
         """Keep the words met more than once since the last time; all, if that is none."""
@@ -140,7 +131,10 @@ class WordEncoder:
         size = self.size[at]
         end = np.cumsum(size)
         total = int(end[-1]) if len(end) else 0
-        return self.ids[np.repeat(self.first[at] - (end - size), size) + np.arange(total)], size
+        kind = np.int32 if max(total, self.used) < 1 << 31 else np.int64
+        place = np.repeat((self.first[at] - (end - size)).astype(kind), size)
+        place += np.arange(total, dtype=kind)
+        return self.ids[place], size
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each); the texts are not null."""
@@ -150,7 +144,10 @@ class WordEncoder:
             return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
         if self.weight > CACHE_BYTES:
             self._shrink()
-        lists = pc.ascii_split_whitespace(_lowered(texts))  # 0x20 and 0x09-0x0D; may yield empty words
+        # The tokenizer never matches from an ASCII letter or digit on into the punctuation behind it, so
+        # that is a word of its own: fewer distinct words.
+        apart = pc.replace_substring_regex(_lowered(texts), _TAIL, r"\1 \2\3")
+        lists = pc.ascii_split_whitespace(apart)  # 0x20 and 0x09-0x0D; may yield empty words
         found = lists.flatten().dictionary_encode()
         words = found.dictionary.cast(pa.large_binary()).to_pylist()
         if new := set(words).difference(self.index):
