@@ -35,6 +35,8 @@ SMOOTHING = 0.5
 RELIABILITY_ROWS = 4_000
 #: Evidence per bit: mean log ratio x square root of the n-grams, at most this many.
 EVIDENCE_CAP = 20.0
+#: Largest weight of one n-gram, so that a short foreign passage does not outweigh the rest of a text.
+WEIGHT_CAP = 2.0
 #: Below this share of the (softmax) loss mass the best language counts as ambiguous.
 AMBIGUOUS_BELOW = 0.6
 UNKNOWN = "und"
@@ -159,7 +161,8 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_
     codes = codewords(len(names))
     weights = np.zeros((FEATURES + 1, codes.shape[1]), dtype=np.float32)
     for b in range(codes.shape[1]):
-        weights[:FEATURES, b] = np.log(p[codes[:, b] > 0].mean(axis=0)) - np.log(p[codes[:, b] < 0].mean(axis=0))
+        ratio = np.log(p[codes[:, b] > 0].mean(axis=0)) - np.log(p[codes[:, b] < 0].mean(axis=0))
+        weights[:FEATURES, b] = np.clip(ratio, -WEIGHT_CAP, WEIGHT_CAP)
     even = np.full(codes.shape, 1 / max(1, codes.shape[1]))
     model = LanguageModel(tuple(names), codes, weights, even)
     if not codes.shape[1]:
