@@ -25,7 +25,7 @@ def plain(rows, end=2):
 
 def odd_texts():
     return [None, "", "   ", "plain words here", "Tabs\tand\nlines\r\n", "ÀÉ é ́ x", "it's they'll 12 345", "a<|endoftext|>b <|startoftext|> c",
-            "non breaking wide", "x\x1cy\x85z", "你好 123 \U0001f600\U0001f600", "w" * 3000, "T\u0308 H\u0331 E\u0301 \u0301x \u0345", "x<|ENDOFTEXT|>y A<|endoftext|> <| B", "word. Word, WORD;:!?", "long text " * 9000, "ΟΔΟΣ ΣΑΣ"]
+            "non breaking wide", "x\x1cy\x85z", "你好 123 \U0001f600\U0001f600", "w" * 3000, "T\u0308 H\u0331 E\u0301 \u0301x \u0345", "x<|ENDOFTEXT|>y A<|endoftext|> <| B", "word. Word, WORD;:!?", "a.b. c, d ,e .. f...g! 1. 2: é. x.\ty;\n.z?", "long text " * 9000, "ΟΔΟΣ ΣΑΣ"]
 
 
 def test_words_encode_like_whole_texts():
