@@ -188,7 +188,7 @@ def near_duplicates(
     """
     fp = common.cut(docs.select(F.col(id_col), *carry, fingerprint_udf(k, seed)(F.col(text_col)).alias("fp")))
     distinct = common.cut(fp.groupBy("fp").agg(F.min(id_col).alias("least")))
-    tree = components(common.stored(link_fingerprints(distinct, max_bits)))
+    tree = components(link_fingerprints(distinct, max_bits))
     tree = tree.select(F.col("node").alias("fp"), "component")
     named = distinct.join(tree, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     first = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -202,7 +202,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     known = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__text": F.xxhash64(text_col)})
     found = near_duplicates(known, id_col=id_col, text_col=text_col, k=k, max_bits=max_bits, seed=seed, carry=["__id", "__text"])
     heads = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("component")
-    heads = common.stored(heads.agg(F.min(F.struct("__id", "__text")).alias("h")).select("h.*"))
+    heads = common.cut(heads.agg(F.min(F.struct("__id", "__text")).alias("h")).select("h.*"))
     # The texts are shuffled once: the join and the aggregate share the partitioning.
     kept = known.join(heads, ["__id", "__text"]).dropDuplicates(["__id", "__text"])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
