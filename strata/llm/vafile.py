@@ -133,11 +133,11 @@ def _search(classes: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -
     held = spark.sparkContext.broadcast(cells)
 
     # Full blocks: the more vectors are bounded together, the more of them rule each other out.
-    approximation = common.cut(_blocks(classes.coalesce(-(-total // BLOCK_ROWS)), dim, BLOCK_ROWS, held).withColumn("part", F.spark_partition_id()))
+    n_parts = -(-total // BLOCK_ROWS)
+    approximation = common.cut(_blocks(classes.coalesce(n_parts), dim, BLOCK_ROWS, held).withColumn("part", F.spark_partition_id()))
     queries = _blocks(asked.coalesce(-(-asked.count() // QUERY_BLOCK_ROWS)), dim, QUERY_BLOCK_ROWS).select(F.col("cids").alias("qcids"), F.col("data").alias("q"))
     # Every query block visits every part of the approximation file.
-    n_parts = [r[0] for r in approximation.select("part").distinct().collect()]
-    visits = queries.withColumn("at", F.explode(F.array(*[F.lit(p) for p in n_parts])))
+    visits = queries.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
