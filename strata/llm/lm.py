@@ -37,7 +37,9 @@ from .text import hash_words, mix64, split_words
 
 ORDER = 2
 GT_MAX = 5
-BLOCK_BYTES = 16 << 20
+#: A block's task takes some 25 times this.
+BLOCK_BYTES = 8 << 20
+_SLICE_BYTES = 1 << 20
 #: Buckets are sized by the tokens of the corpus; a context with more than a quarter of a bucket's is split.
 TOKENS_PER_BUCKET = 2_500_000
 SPLIT_SHARE = 4
@@ -181,7 +183,7 @@ def encode_blocks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     "n": [pack(n)], "train": [pack(learn.astype(np.uint8))], "tokens": [pack(at.astype(np.uint32))], "words": [pack(words)], "counts": [pack(counts)],
                 })
 
-            for w in split_words(b.column("text")):
+            for w in split_words(b.column("text"), _SLICE_BYTES):
                 if weight and weight + len(w.data) > BLOCK_BYTES:
                     yield block(w.offset)
                     hashes, sizes, weight, first = [], [], 0, w.offset
@@ -234,17 +236,20 @@ class Block:
     def grams(self, level: int, chosen: np.ndarray) -> Grams:
         """The distinct n-grams among the chosen tokens, in bucket order."""
         at = np.flatnonzero(chosen)
-        context, known = self.context(level)[at], self.context_count(level)[at]
+        context = self.context(level)[at]
         key = mix64(context)
-        parts = -(-known // self.model.split_above)
-        big = parts > 1
-        share = mix64(self.ids[at[big]] + _STEP) % parts[big].astype(np.uint64)
-        key[big] = mix64(context[big] + (share + np.uint64(1)) * _STEP)
+        parts = -(-self.context_count(level)[at] // self.model.split_above)
+        split = parts > 1
+        share = mix64(self.ids[at[split]] + _STEP) % parts[split].astype(np.uint64)
+        key[split] = mix64(context[split] + (share + np.uint64(1)) * _STEP)
+        del parts, share
         keys, rank = np.unique(key, return_inverse=True)
-        code = rank.astype(np.uint64) << np.uint64(32) | self.tokens[at].astype(np.uint64)
-        distinct, first, gram = np.unique(code, return_index=True, return_inverse=True)
+        rank = rank.astype(np.uint32)
+        del key
+        distinct, first, gram = np.unique(rank.astype(np.uint64) << np.uint64(32) | self.tokens[at], return_index=True, return_inverse=True)
         start, _ = _runs(distinct >> np.uint64(32))
-        return Grams(keys, start, at[first], at, rank, gram, context[first][start], big[first][start])
+        head = first[start]
+        return Grams(keys, start, at[first], at, rank, gram.astype(np.uint32), context[head], split[head])
 
     def count(self, level: int) -> np.ndarray:
         """How often training holds the n-gram that ends at each token."""
