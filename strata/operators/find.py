@@ -179,10 +179,14 @@ def find_one(
     query: Mapping[str, Any] | None = None,
     projection: Mapping[str, Any] | None = None,
     id_field: str = "_id",
+    any_match: bool = False,
 ) -> DataFrame:
     """F8: the matching row with the smallest id (a frame of 0 or 1 rows).
-    Planned as a distributed top-1, so no partition is gathered."""
+    Planned as a distributed top-1, so no partition is gathered. With
+    ``any_match`` whichever match is found first will do, and the scan stops there."""
     matches = df.filter(compile_filter(query, columns=df.schema))
+    if any_match:
+        return _project(matches.limit(1), projection, id_field)
     first = matches.orderBy(F.col(quote(id_field)).asc_nulls_last()).limit(1)
     return _project(first, projection, id_field)
 

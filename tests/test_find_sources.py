@@ -273,3 +273,14 @@ def test_id_filter_reaches_the_source(spark, tmp_path):
     assert "PushedFilters: [In(_id" in one._jdf.queryExecution().executedPlan().toString()
     several = read_documents(spark, str(p), schema, {"_id": {"$in": ["plain", "65f1", "none"]}, "a": "3"})
     assert [r.a for r in several.collect()] == ["3"]
+
+
+def test_find_one_may_stop_early(spark):
+    from strata.operators.find import find_one
+
+    df = spark.range(100).selectExpr("cast(id as string) _id", "id % 3 n")
+    assert find_one(df, {"n": 1}).first()["_id"] == "1"
+    early = find_one(df, {"n": 1}, any_match=True)
+    assert early.first()["n"] == 1 and early.count() == 1
+    assert "TakeOrdered" not in early._jdf.queryExecution().executedPlan().toString()
+    assert find_one(df, {"n": 9}, any_match=True).count() == 0
