@@ -1,10 +1,10 @@
 """Chat formatting by quotation linking (DataFrame functions only).
 
 A message's lines are read as quote levels (the number of leading ``>``); runs of one
-level are passages. Each quoted passage is normalised and hashed, whole and line by
-line, and joined to the messages whose own (unquoted) text has that hash. The quotes
-then leave the text, the best linked message becomes the parent, and messages
-are put into reply order: threads by their first message, turns within.
+level are passages. Each quoted passage, of whatever level, is normalised and hashed, whole and
+line by line, and joined to the messages whose own (unquoted) text has that hash. The quotes
+then leave the text, the best linked message of the shallowest level that links becomes the parent,
+and messages are put into reply order: threads by their first message, turns within.
 
 Before the join the originals are reduced to the first message per passage, once per
 conversation and once over all, so a passage that many messages share
@@ -79,30 +79,35 @@ def _keys(text: Column) -> Column:
     return F.array_distinct(F.concat(whole, F.filter(paragraphs, long), F.filter(lines, long)))
 
 
-def link_quotes(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
+def link_quotes(
+    messages: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", originals_col: str | None = None
+) -> DataFrame:
     """The input rows with the text freed of quotes, their parent, and their place.
 
     Added columns: ``n_quotes`` passages, ``quote_depth`` (deepest level), ``parent_conv`` /
-    ``parent_turn`` (the message that a level-1 passage was found in: of its conversation an
-    earlier turn if there is one, else the first message elsewhere that says it; of several
-    the one with most matched text, then the latest turn), ``thread_turn`` (first message of
-    the reply chain within the conversation), ``position`` (1-based reply order:
-    threads by ``thread_turn``, then turn). The text column holds the text without quotes.
+    ``parent_turn`` (the message that a passage of the shallowest level with any original was found
+    in: of its conversation an earlier turn if there is one, else the first message elsewhere that
+    says it; of several the one with most matched text, then the latest turn), ``thread_turn``
+    (first message of the reply chain within the conversation), ``position`` (1-based reply order:
+    threads by ``thread_turn``, then turn). With ``originals_col``, that column lists every passage
+    in order as (level, text, conv, turn, found), its original chosen as a parent is among what the
+    passage alone matches. The text column holds the text without quotes.
 
     Defined cases: a null text stays null and has no quotes; a message of quotes only keeps an
     empty text; null conversations form one of their own; repeated (conversation, turn) rows are
     kept and share parent and thread; an empty table gives no rows; input columns named like an
     added column are replaced.
     """
-    added = ("own_text", "passages", "n_quotes", "quote_depth", "parent_conv", "parent_turn", "thread_turn", "position")
+    added = ("own_text", "passages", "n_quotes", "quote_depth", "parent_conv", "parent_turn", "thread_turn", "position", originals_col)
     names = [c for c in messages.columns if c not in added]
     m = parse_quotes(messages.select(*[F.col(f"`{c}`") for c in names]), text_col)
     m = m.withColumns({"__conv": F.col(conv_col), "__turn": F.col(turn_col)})
 
     said = m.filter("own_text <> ''").select("__conv", "__turn", F.explode(_keys(F.col("own_text"))).alias("norm"))
     said = said.withColumn("hash", F.xxhash64("norm"))
-    quoted = m.filter(F.size("passages") > 0).select("__conv", "__turn", F.posexplode("passages").alias("passage", "p")).filter("p.level = 1")
-    quoted = quoted.select("__conv", "__turn", F.explode(_keys(F.col("p.text"))).alias("norm")).distinct()
+    quoted = m.filter(F.size("passages") > 0).select("__conv", "__turn", F.explode("passages").alias("p"))
+    quoted = quoted.select("__conv", "__turn", "p.level", F.xxhash64("p.text").alias("passage"), F.explode(_keys(F.col("p.text"))).alias("norm"))
+    quoted = quoted.groupBy("__conv", "__turn", "norm").agg(F.min("level").alias("level"), F.collect_set("passage").alias("of"))
     quoted = common.cut(quoted.withColumn("hash", F.xxhash64("norm")))
 
     asked = quoted.select("hash", "norm").distinct()
@@ -114,15 +119,18 @@ def link_quotes(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: str
     same = F.col("__conv").eqNullSafe(F.col("h_conv")) & (F.col("hash") == F.col("h_hash")) & (F.col("norm") == F.col("h_norm"))
     found = quoted.join(h, same, "left").join(anywhere, ["hash", "norm"], "left")
     earlier = F.col("first_turn") < F.col("__turn")
-    elsewhere = ~F.col("first.c").eqNullSafe(F.col("__conv"))
+    elsewhere = F.col("first").isNotNull() & ~F.col("first.c").eqNullSafe(F.col("__conv"))
     found = found.select(
-        "__conv", "__turn", F.length("norm").alias("chars"),
+        "__conv", "__turn", "level", "of", F.length("norm").alias("chars"),
         F.when(earlier, F.struct(F.lit(1).alias("near"), F.col("__conv").alias("c"), F.col("first_turn").alias("t")))
         .when(elsewhere, F.struct(F.lit(0).alias("near"), F.col("first.c").alias("c"), F.col("first.t").alias("t"))).alias("to"),
     ).filter("to is not null")
-    votes = found.groupBy("__conv", "__turn", "to").agg(F.max("chars").alias("most"), F.sum("chars").alias("all"))
-    best = F.max(F.struct(F.col("to.near").alias("near"), "most", "all", F.col("to.t").alias("t"), F.col("to.c").alias("c")))
-    parents = common.cut(votes.groupBy("__conv", "__turn").agg(best.alias("b")).select(
+    found = common.cut(found) if originals_col else found
+    best = [F.col("to.near").alias("near"), F.col("most"), F.col("all"), F.col("to.t").alias("t"), F.col("to.c").alias("c")]
+    matched = [F.max("chars").alias("most"), F.sum("chars").alias("all")]
+    votes = found.groupBy("__conv", "__turn", "level", "to").agg(*matched)
+    best_of_all = F.max(F.struct((-F.col("level")).alias("up"), *best)).alias("b")
+    parents = common.cut(votes.groupBy("__conv", "__turn").agg(best_of_all).select(
         F.col("__conv").alias("p_conv"), F.col("__turn").alias("p_turn"), F.col("b.c").alias("parent_conv"), F.col("b.t").alias("parent_turn")))
 
     roots = thread_roots(parents.filter(F.col("p_conv").eqNullSafe(F.col("parent_conv"))).select(
@@ -130,12 +138,27 @@ def link_quotes(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: str
     p = parents.join(roots, F.col("p_conv").eqNullSafe(F.col("conv")) & F.col("p_turn").eqNullSafe(F.col("turn")), "left").select(
         "p_conv", "p_turn", "parent_conv", "parent_turn", "root")
     linked = m.join(p, F.col("__conv").eqNullSafe(F.col("p_conv")) & F.col("__turn").eqNullSafe(F.col("p_turn")), "left")
+    originals = []
+    if originals_col:
+        each = found.withColumn("passage", F.explode("of")).groupBy("__conv", "__turn", "passage", "to").agg(*matched)
+        each = each.groupBy("__conv", "__turn", "passage").agg(F.max(F.struct(*best)).alias("b"))
+        entry = F.struct("passage", F.struct(F.col("b.c").alias("conv"), F.col("b.t").alias("turn")))
+        o = each.groupBy(F.col("__conv").alias("o_conv"), F.col("__turn").alias("o_turn")).agg(F.map_from_entries(F.collect_list(entry)).alias("o_of"))
+        linked = linked.join(o, F.col("__conv").eqNullSafe(F.col("o_conv")) & F.col("__turn").eqNullSafe(F.col("o_turn")), "left")
+
+        def with_original(p: Column) -> Column:
+            to = F.col("o_of")[F.xxhash64(p["text"])]
+            at = [to["conv"].alias("conv"), to["turn"].alias("turn"), to.isNotNull().alias("found")]
+            return F.struct(p["level"].alias("level"), p["text"].alias("text"), *at)
+
+        originals = [F.transform("passages", with_original).alias(originals_col)]
     out = linked.select(
         *[F.col("own_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
         F.size("passages").alias("n_quotes"),
         F.coalesce(F.array_max(F.col("passages")["level"]), F.lit(0)).alias("quote_depth"),
         F.col("parent_conv"), F.col("parent_turn"),
         F.coalesce("root", F.col("__turn")).alias("thread_turn"),
+        *originals,
         F.col("__conv"), F.col("__turn"),
         F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in names]).alias("__tie"),
     )
@@ -160,4 +183,4 @@ def thread_roots(links: DataFrame) -> DataFrame:
 
 @query("op6_quote_linking")
 def op6_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(common.table(spark, sf_dir, "conversations"))
+    return link_quotes(common.table(spark, sf_dir, "conversations"), originals_col="originals")

@@ -56,6 +56,18 @@ def test_parents_threads_and_text(spark):
     assert link[4, 1] == (4, 0) and out.count() == len(thread())
 
 
+def test_deeper_passages_link(spark):
+    rows = [(1, 0, "user", A), (1, 1, "user", B), (1, 2, "user", C), (1, 3, "user", quote(A, 2) + "\nonly a deeper quote"),
+            (1, 4, "user", f"> words that nobody ever said\n{quote(C, 3)}\n{quote(B, 2)}\nshallowest that links"),
+            (1, 5, "user", f"{quote(A + C, 2)}\n> {B.splitlines()[0]}\nlevel 1 first"), (1, 6, "user", ">>> " + C), (1, 7, "user", "plain")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(3)
+    got = {r.turn: r for r in Q.link_quotes(df, originals_col="originals").collect()}
+    assert [got[t].parent_turn for t in range(8)] == [None, None, None, 0, 1, 1, 2, None]
+    assert [got[t].thread_turn for t in range(8)] == [0, 1, 2, 0, 1, 1, 2, 7]
+    assert [[(p.level, p.text, p.turn, p.found) for p in got[t].originals] for t in (3, 4, 6, 7)] == [
+        [(2, A, 0, True)], [(1, "words that nobody ever said", None, False), (3, C, 2, True), (2, B, 1, True)], [(3, C, 2, True)], []]
+
+
 def test_long_chains_and_shared_lines(spark):
     chain = [(9, i, "user", f"message number {i} of the long chain" + (f"\n> message number {i - 1} of the long chain" if i else "")) for i in range(40)]
     shared = [(100 + i, 0, "user", "the very same opening line") for i in range(200)] + [(100 + i, 1, "user", "> the very same opening line\nmine") for i in range(200)]
