@@ -35,7 +35,7 @@ from . import common
 from .registry import query
 from .text import hash_words, mix64, split_words
 
-ORDER = 2
+ORDER = 3
 GT_MAX = 5
 #: A block's task takes some 25 times this.
 BLOCK_BYTES = 8 << 20

@@ -149,3 +149,11 @@ def test_query_matches_plain(spark):
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     compare(E.queries()["op1_katz_scores"](spark, SF_SMALL).collect(), rows, L.ORDER)
+
+
+def test_query_scores_with_trigrams(spark, tmp_path):
+    import __spark_entry__ as E
+
+    rows = [r for r in corpus() if r[0] is None or r[0] < 250]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    compare(E.queries()["op1_katz_scores"](spark, str(tmp_path)).collect(), rows, 3)
