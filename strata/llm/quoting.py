@@ -7,13 +7,13 @@ then leave the text, the best linked message of the shallowest level that links
 and messages are put into reply order: threads by their first message, turns within.
 
 Before the join the originals are reduced to the first message per passage, once per
-conversation and once over all, so a passage that many messages share
-yields at most two rows per quote.
+conversation and once over all (there with that of the next conversation, for quotes from the first
+one itself), so a passage that many messages share yields at most two rows per quote.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -113,17 +113,18 @@ def link_quotes(
     asked = quoted.select("hash", "norm").distinct()
     said = said.join(asked, ["hash", "norm"], "left_semi")
     here = said.groupBy("__conv", "hash", "norm").agg(F.min("__turn").alias("first_turn"))
-    first = F.min(F.struct(F.col("__conv").alias("c"), F.col("first_turn").alias("t"))).alias("first")
-    anywhere = here.groupBy("hash", "norm").agg(first)
+    two = here.withColumn("n", F.row_number().over(Window.partitionBy("hash", "norm").orderBy(F.col("__conv").asc_nulls_first()))).filter("n <= 2")
+    one = lambda n: F.max(F.when(F.col("n") == n, F.struct(F.col("__conv").alias("c"), F.col("first_turn").alias("t"))))
+    anywhere = two.groupBy("hash", "norm").agg(one(1).alias("first"), one(2).alias("second"))
     h = here.select(F.col("__conv").alias("h_conv"), F.col("hash").alias("h_hash"), F.col("norm").alias("h_norm"), "first_turn")
     same = F.col("__conv").eqNullSafe(F.col("h_conv")) & (F.col("hash") == F.col("h_hash")) & (F.col("norm") == F.col("h_norm"))
     found = quoted.join(h, same, "left").join(anywhere, ["hash", "norm"], "left")
     earlier = F.col("first_turn") < F.col("__turn")
-    elsewhere = F.col("first").isNotNull() & ~F.col("first.c").eqNullSafe(F.col("__conv"))
+    elsewhere = F.when(F.col("first.c").eqNullSafe(F.col("__conv")), F.col("second")).otherwise(F.col("first"))
     found = found.select(
         "__conv", "__turn", "level", "of", F.length("norm").alias("chars"),
         F.when(earlier, F.struct(F.lit(1).alias("near"), F.col("__conv").alias("c"), F.col("first_turn").alias("t")))
-        .when(elsewhere, F.struct(F.lit(0).alias("near"), F.col("first.c").alias("c"), F.col("first.t").alias("t"))).alias("to"),
+        .when(elsewhere.isNotNull(), F.struct(F.lit(0).alias("near"), elsewhere["c"].alias("c"), elsewhere["t"].alias("t"))).alias("to"),
     ).filter("to is not null")
     found = common.cut(found) if originals_col else found
     best = [F.col("to.near").alias("near"), F.col("most"), F.col("all"), F.col("to.t").alias("t"), F.col("to.c").alias("c")]

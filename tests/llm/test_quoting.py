@@ -68,6 +68,13 @@ def test_deeper_passages_link(spark):
         [(2, A, 0, True)], [(1, "words that nobody ever said", None, False), (3, C, 2, True), (2, B, 1, True)], [(3, C, 2, True)], []]
 
 
+def test_later_repeats_do_not_hide_another_conversation(spark):
+    rows = [(1, 0, "user", "> " + C + "\nfirst"), (1, 1, "user", "between"), (1, 2, "user", C), (5, 3, "user", C), (6, 0, "user", C),
+            (None, 0, "user", "> " + A), (None, 1, "user", A), (7, 4, "user", A), (7, 5, "user", "> " + A), (8, 0, "user", "> " + B), (8, 1, "user", B)]
+    got = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in rows_of(spark, rows).collect()}
+    assert got[1, 0] == (5, 3) and got[None, 0] == (7, 4) and got[7, 5] == (7, 4) and got[8, 0] == (None, None)
+
+
 def test_long_chains_and_shared_lines(spark):
     chain = [(9, i, "user", f"message number {i} of the long chain" + (f"\n> message number {i - 1} of the long chain" if i else "")) for i in range(40)]
     shared = [(100 + i, 0, "user", "the very same opening line") for i in range(200)] + [(100 + i, 1, "user", "> the very same opening line\nmine") for i in range(200)]
