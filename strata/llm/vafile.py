@@ -32,8 +32,8 @@ CELL_BITS = 6
 SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 8192
 QUERY_BLOCK_ROWS = 512
-#: A component beyond this could overflow a long score; such vectors take no part.
-MOST = 1 << 26
+#: Whole numbers below this are exact in float64; bounds that may pass it are widened by their rounding.
+EXACT = float(1 << 53)
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,7 @@ def fit_cells(sample: np.ndarray, least: np.ndarray, most: np.ndarray, bits: int
     n = 1 << bits
     low, high = np.full((len(least), n), np.inf), np.zeros((len(least), n))
     for d, (a, b) in enumerate(zip(least, most, strict=True)):
-        if b - a < n:  # a cell for every value
+        if b - a < n and max(abs(a), abs(b)) < EXACT:  # a cell for every value
             starts = np.arange(a, b + 1)
         else:
             inner = np.quantile(sample[:, d], np.arange(1, n) / n, method="lower") if len(sample) else []
@@ -77,7 +77,25 @@ def fit_cells(sample: np.ndarray, least: np.ndarray, most: np.ndarray, bits: int
 def score_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(lower, upper) bounds of q @ x for every query and every x between low and high."""
     plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-    return plus @ low.T + minus @ high.T, plus @ high.T + minus @ low.T
+    lower, upper = plus @ low.T + minus @ high.T, plus @ high.T + minus @ low.T
+    most = np.maximum(np.abs(low), np.abs(high))
+    if len(q) and len(most) and np.abs(q).max(axis=0) @ most.max(axis=0) >= EXACT:
+        # Each component, product and partial sum rounds by 2**-53 of its size at most.
+        slack = (np.abs(q) @ most.T) * (4 * q.shape[1] + 16) / EXACT
+        lower, upper = lower - slack, upper + slack
+    return lower, upper
+
+
+def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row the exact inner product of whole-number vectors; an error where it is beyond 64 bits."""
+    x, y = np.abs(a.astype(np.float64)), np.abs(b.astype(np.float64))
+    out = np.einsum("ij,ij->i", a, b)
+    for i in np.flatnonzero(np.einsum("ij,ij->i", x, y) >= 2.0**62).tolist():
+        score = sum(p * r for p, r in zip(a[i].tolist(), b[i].tolist(), strict=True))
+        if not -(1 << 63) <= score < 1 << 63:
+            raise OverflowError(f"inner product {score} is beyond 64 bits")
+        out[i] = score
+    return out
 
 
 def _matrix(col: pa.Array, dim: int, kind: type = np.float64) -> np.ndarray:
@@ -89,10 +107,12 @@ def _matrix(col: pa.Array, dim: int, kind: type = np.float64) -> np.ndarray:
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """(id, v): whole-number vectors; rows that take no part are left out (see ``top_k``)."""
     x = F.col("x")
-    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) <= F.lit(float(MOST))))
+    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    beyond = F.raise_error(F.lit("a vector component is beyond 64 bits after scaling")).cast("long")
+    fits = lambda c: (c * scale >= F.lit(-(2.0**63))) & (c * scale < F.lit(2.0**63))
     doubles = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
     return doubles.filter(F.col("id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & F.coalesce(finite, F.lit(False))).select(
-        "id", F.transform(x, lambda c: F.floor(c * scale).cast("int")).alias("v")
+        "id", F.transform(x, lambda c: F.when(fits(c), F.floor(c * scale).cast("long")).otherwise(beyond)).alias("v")
     )
 
 
@@ -102,7 +122,7 @@ def _blocks(rows: DataFrame, dim: int, size: int, encode=None) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, size):
                 part = b.slice(lo, size)
-                v = _matrix(part.column("v"), dim, np.int32)
+                v = _matrix(part.column("v"), dim, np.int64)
                 data = encode.value.encode(v) if encode else v
                 yield pa.RecordBatch.from_pydict({"cids": [part.column("cid").to_numpy().astype("<i8").tobytes()], "data": [data.tobytes()]})
 
@@ -143,7 +163,7 @@ def _search(classes: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -
         for b in batches:
             for r in b.to_pylist():
                 qcids, cids = np.frombuffer(r["qcids"], "<i8"), np.frombuffer(r["cids"], "<i8")
-                q = np.frombuffer(r["q"], np.int32).reshape(-1, dim).astype(np.float64)
+                q = np.frombuffer(r["q"], np.int64).reshape(-1, dim).astype(np.float64)
                 lower, upper = score_bounds(q, *held.value.bounds(np.frombuffer(r["data"], np.uint8).reshape(-1, dim)))
                 # Of k + 2 classes here at least k + 1 are not the query's own.
                 certain = np.partition(lower, -(k + 2), axis=1)[:, -(k + 2)] if len(cids) >= k + 2 else np.full(len(qcids), -np.inf)
@@ -176,7 +196,7 @@ def _search(classes: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -
 def _exact(wanted: DataFrame, classes: DataFrame, asked: DataFrame, dim: int) -> DataFrame:
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = np.einsum("ij,ij->i", _matrix(b.column("v"), dim, np.int64), _matrix(b.column("qv"), dim, np.int64))
+            s = inner_products(_matrix(b.column("v"), dim, np.int64), _matrix(b.column("qv"), dim, np.int64))
             yield pa.RecordBatch.from_arrays([b.column("qcid"), b.column("cid"), pa.array(s)], names=["qcid", "cid", "score"])
 
     q = asked.select(F.col("cid").alias("q_cid"), F.col("v").alias("qv"))
@@ -191,9 +211,9 @@ def top_k(
     the k rows with the largest integer inner product of floor(scale * x), its own row apart; ties go
     to the smaller id.
 
-    Defined cases: vectors that are null, empty, hold null or non-finite components or
-    components beyond 2**26 after scaling take no part, nor do rows without an id; only vectors of
-    equal length are compared; a repeated id is a row like any other, and a repeated query row gets its
+    Defined cases: vectors that are null, empty or hold null or non-finite components
+    take no part, nor do rows without an id; a finite component that is beyond 64 bits after scaling, and
+    an inner product beyond 64 bits that has to be read, is an error; only vectors of equal length are compared; a repeated id is a row like any other, and a repeated query row gets its
     results once per row; fewer than k other rows give all; an empty table gives none.
     """
     spark = rows.sparkSession

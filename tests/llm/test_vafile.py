@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import vafile as V
@@ -70,3 +71,20 @@ def test_bounds_hold():
     q = rng.integers(-90, 90, (30, 12)).astype(np.float64)
     lower, upper = V.score_bounds(q, low, high)
     assert (lower <= q @ x.T).all() and (q @ x.T <= upper).all()
+
+
+def test_large_vectors_take_part(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK_ROWS", 64)
+    rows = [(i, [(-1.0) ** i * (1 << 22), float(i * 37 % 101), 1.0], None) for i in range(300)]  # scores beyond 2**53
+    rows += [(300 + i, [float(i), 2.0, float(i * 11 % 7)], None) for i in range(100)] + [(400, [float(1 << 24), 3.0, 0.25], None)]
+    assert run(spark, rows, every=7, k=5) == brute(rows, lambda q: q % 7 == 0, k=5)
+    equal = [(i, [float(1 << 24), i / 64], None) for i in range(200)]  # bounds that round to one number
+    assert run(spark, equal, every=7, k=5) == brute(equal, lambda q: q % 7 == 0, k=5)
+
+
+def test_beyond_64_bits_is_an_error(spark):
+    for x in (1e30, float(1 << 30)):
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            run(spark, [(i, [x, 1.0], None) for i in range(3)], every=1)
+    a = np.array([[1 << 40, 1 << 40, 3]])
+    assert V.inner_products(a, a * [1, -1, 1]).tolist() == [9]
