@@ -25,7 +25,7 @@ from .registry import query
 from .text import SLICE_BYTES, hash_words, letter_words, mix64
 
 ERROR_SHARE = 0.2
-#: Shorter items hold too little to be told from chance; they count only as a document's whole text.
+#: Shorter items match without any error.
 MIN_WORDS = 5
 #: Words of benchmark items sent to the tasks at once (8 bytes each, and as much again for pieces).
 WORDS_PER_CHUNK = 4_000_000
@@ -63,7 +63,6 @@ class Pieces:
 
     items: tuple[tuple[int, np.ndarray, int], ...]  # id, words, errors allowed
     by_length: tuple[tuple[int, np.ndarray, np.ndarray, np.ndarray], ...]  # words, sorted hashes, item, offset
-    whole: dict[int, list[int]]  # hash of a short item's words -> items
 
 
 def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -80,16 +79,12 @@ def _sequence_hash(words: np.ndarray) -> int:
 
 def cut_pieces(items: list[tuple[int, np.ndarray]], error_share: float = ERROR_SHARE, min_words: int = MIN_WORDS) -> Pieces:
     """Even pieces, one more than the item's error budget; items without words are left out."""
-    kept, found, whole = [], {}, {}
+    kept, found = [], {}
     for item_id, words in items:
         if not len(words):
             continue
         n = len(kept)
-        if len(words) < min_words:
-            kept.append((item_id, words, 0))
-            whole.setdefault(_sequence_hash(words), []).append(n)
-            continue
-        errors = int(len(words) * error_share)
+        errors = int(len(words) * error_share) if len(words) >= min_words else 0
         kept.append((item_id, words, errors))
         at = np.linspace(0, len(words), errors + 2).astype(int)
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -98,7 +93,7 @@ def cut_pieces(items: list[tuple[int, np.ndarray]], error_share: float = ERROR_S
     for length, rows in sorted(found.items()):
         rows.sort()
         tables.append((length, np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])))
-    return Pieces(tuple(kept), tuple(tables), whole)
+    return Pieces(tuple(kept), tuple(tables))
 
 
 def match_column(col: pa.Array, pieces: Pieces) -> list[dict[int, tuple[int, int, int]]]:
@@ -124,21 +119,19 @@ def match_column(col: pa.Array, pieces: Pieces) -> list[dict[int, tuple[int, int
             at = np.repeat(pos, n)
             hits.append(np.stack([doc_of[at], item[rows], at - offset[rows]], axis=1))
         if hits:
+            exact = None
             for d, i, at in np.unique(np.concatenate(hits), axis=0).tolist():
+                if (d, i) == exact:  # a later window is no better
+                    continue
                 item_id, pattern, errors = pieces.items[i]
                 lo, hi = max(int(w.first[d]), at - errors), min(int(w.first[d + 1]), at + len(pattern) + errors)
                 found = myers(pattern.tolist(), words[lo:hi].tolist(), errors)
                 if found:
+                    exact = (d, i) if found[0] == 0 else None
                     first = int(w.first[d])
                     hit = (found[0], lo - first, lo + found[1] - first)
                     old = out[w.offset + d].get(item_id)
                     out[w.offset + d][item_id] = min(hit, old) if old else hit
-        if pieces.whole:
-            for d in np.flatnonzero((size > 0) & (size < 64)).tolist():
-                text = words[w.first[d] : w.first[d + 1]]
-                for i in pieces.whole.get(_sequence_hash(text), ()):
-                    if len(pieces.items[i][1]) == len(text):
-                        out[w.offset + d][pieces.items[i][0]] = (0, 0, len(text))
     return out
 
 
@@ -195,8 +188,8 @@ def find_leaks(
     benchmark item found in the text within its error budget, by item id; empty if none.
 
     Words are runs of letters and digits, lower-cased in ASCII and Latin-1, so case, blanks and
-    punctuation do not hide a copy. Defined cases: null and empty texts have no leaks; null
-    or empty items match nothing; items under ``min_words`` words match a whole text only;
+    punctuation do not hide a copy; scripts written without blanks count a word a character. Defined cases: null and empty texts have no leaks; null
+    or empty items match nothing; items under ``min_words`` words match without errors only;
     repeated items of one id are merged, best match kept; empty tables give no leaks; an input column
     of the output's name is replaced.
     """

@@ -8,7 +8,7 @@ UTF-8 buffer of a batch, one slice of documents at a time, so memory follows
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,8 +78,9 @@ def split_words(col: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICE_BYTES)
 
 def letter_words(col: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
     """As ``split_words``, but words are runs of ASCII letters and digits and of bytes beyond
-    ASCII; upper-case Latin-1 letters (two UTF-8 bytes) are lower-cased as well."""
-    for w in _split(col, slice_bytes, _LOWER, _NO_WORD):
+    ASCII, and each character of a script written without blanks is one; upper-case Latin-1 letters
+    (two UTF-8 bytes) are lower-cased as well."""
+    for w in _split(col, slice_bytes, _LOWER, _NO_WORD, _blank_free):
         d = w.data
         if len(d) > 1:
             upper = (d[:-1] == 0xC3) & (d[1:] >= 0x80) & (d[1:] <= 0x9E) & (d[1:] != 0x97)
@@ -87,7 +88,19 @@ def letter_words(col: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICE_BYTES
         yield w
 
 
-def _split(col: pa.Array | pa.ChunkedArray, slice_bytes: int, lower: np.ndarray, space: np.ndarray) -> Iterator[Words]:
+def _blank_free(data: np.ndarray) -> np.ndarray:
+    """Byte positions before and after every character of Chinese, Japanese, Thai, Lao, Burmese and Khmer."""
+    at = np.flatnonzero(data >= 0xE0)  # first bytes of the longer characters
+    a, b = data[at], data[at + 1]
+    three = ((a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)) | ((a == 0xE1) & ((b <= 0x82) | (b == 0x9E) | (b == 0x9F)))
+    three |= ((a >= 0xE3) & (a <= 0xE9)) | ((a == 0xEF) & (b >= 0xA4) & (b <= 0xAB))
+    four = (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)
+    return np.concatenate([at[three], at[three] + 3, at[four], at[four] + 4])
+
+
+def _split(
+    col: pa.Array | pa.ChunkedArray, slice_bytes: int, lower: np.ndarray, space: np.ndarray, alone: Callable[[np.ndarray], np.ndarray] | None = None
+) -> Iterator[Words]:
     data, off = text_buffer(col)
     n, lo = len(off) - 1, 0
     while lo < n:
@@ -98,6 +111,8 @@ def _split(col: pa.Array | pa.ChunkedArray, slice_bytes: int, lower: np.ndarray,
         inside = ~space[part]
         edge = np.zeros(len(part) + 1, dtype=bool)
         edge[rows] = True  # a document's first byte starts anew
+        if alone:
+            edge[alone(part)] = True
         begins = inside.copy()
         if len(part):
             begins[1:] &= ~inside[:-1] | edge[1:-1]

@@ -94,6 +94,16 @@ def test_edge_cases(spark):
     assert D.drop_leaks(df, bench.limit(0)).count() == len(docs)
 
 
+def test_short_items_and_blank_free_scripts(spark):
+    chinese = "水的沸点在海平面上是一百摄氏度"
+    docs = [(1, "well, it is Not a TINY, item at all"), (2, "tiny little item"), (3, "前面的话" + chinese + "后面的话"), (4, "前面" + chinese.replace("海", "湖") + "后面"), (5, "沸点"), (6, "tiny item tiny item")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "tiny item"), (2, chinese), (3, "沸点")], "item_id long, text string")
+    got = {r.doc_id: [(x.item_id, x.distance, x.first_word, x.end_word) for x in r.leaks] for r in D.find_leaks(df, bench).collect()}
+    assert got[1] == [(1, 0, 5, 7)] and got[2] == [] and got[5] == [(3, 0, 0, 2)] and got[6] == [(1, 0, 0, 2)]
+    assert [x[:2] for x in got[3]] == [(2, 0), (3, 0)] and [x[:2] for x in got[4]] == [(2, 1), (3, 0)]
+
+
 def test_query_finds_whole_items(spark):
     import __spark_entry__ as E
 
