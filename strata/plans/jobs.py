@@ -90,13 +90,15 @@ def silver_transactions(
     """B2: key, de-duplicate (latest by date then load time) and upsert into
     the date-partitioned silver table. Rows whose key is NULL (no date) would
     all collapse into one group; they go to ``rejects_table`` instead, once per
-    load: rows of load times that the table already holds are not added again."""
+    load: of every row (load time included) those that the table already holds
+    are not added again, so a second load with the same time adds its own."""
     keyed = keyed_bronze(bronze)
     if rejects_table:
         rejects = keyed.filter(F.col("Id").isNull())
         if table_exists(spark, rejects_table):
-            done = spark.table(rejects_table).select(F.col("IngestionTime").alias("__done")).distinct()
-            rejects = rejects.join(done, F.col("IngestionTime").eqNullSafe(F.col("__done")), "left_anti")
+            held = spark.table(rejects_table)
+            names = [F.col(f"`{f.name}`") if f.name in held.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in rejects.schema]
+            rejects = rejects.exceptAll(held.select(*names))
         load_table(spark, rejects_table, rejects)
     tie = ["TxnNo"] if "TxnNo" in bronze.columns else []
     return load_partitioned(

@@ -65,3 +65,17 @@ def test_latest_per_key_without_ordering(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     out = latest_per_key(df, ["k"], [])
     assert sorted(r.k for r in out.collect()) == [1, 2]
+
+
+def test_rejects_of_a_second_load_with_the_same_time(spark, db):
+    from strata.plans import fixtures as fx
+    from strata.plans.jobs import silver_transactions
+
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fx.TRANSACTION_SCHEMA) + ", IngestionTime timestamp_ntz"
+    now = dt.datetime(2024, 1, 1, 8)
+    row = lambda account, day=None: (account, day, "d", None, day, None, None, None, now)
+    first = [row("a"), row("b"), row("z", dt.date(2024, 1, 1))]
+    second = [*first, row("b"), row("c")]
+    for batch in (first, second, second):
+        silver_transactions(spark, spark.createDataFrame(batch, columns), f"{db}.clean", f"{db}.rejects")
+    assert sorted(r.AccountNo for r in spark.table(f"{db}.rejects").collect()) == ["a", "b", "b", "c"]
