@@ -51,6 +51,14 @@ def stored(df: DataFrame, path: str | None = None, *partition: str) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(stem: str, taken: Iterable[str]) -> str:
+    """A column name from ``stem`` that is none of ``taken``, whatever their case."""
+    held, name = {c.lower() for c in taken}, stem
+    while name in held:
+        name = f"_{name}"
+    return name
+
+
 def bounded_join(big: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
     """Join a materialised small frame: broadcast only when its counted rows are few."""
     if small.count() <= BROADCAST_ROWS:

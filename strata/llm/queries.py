@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import decontaminate, langid, lm, mixing, quoting, sharding, simhash, tokenfiles, urlfilter, vafile  # noqa: F401
+from . import credentials, decontaminate, langid, lm, mixing, quoting, sharding, simhash, tokenalign, tokenfiles, urlfilter, vafile, variants  # noqa: F401
 from .registry import ORACLE, QUERIES, query
 
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
