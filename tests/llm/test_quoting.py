@@ -45,14 +45,14 @@ def test_parents_threads_and_text(spark):
     got = {(r.conv_id, r.turn): r for r in out.collect()}
     link = {k: (r.parent_conv, r.parent_turn) for k, r in got.items()}
     assert link[1, 1] == (1, 0) and link[1, 2] == (1, 1) and link[1, 4] == (1, 1)
-    assert link[1, 0] == link[1, 3] == link[1, 5] == (None, None)
+    assert link[1, 0] == link[1, 3] == (None, None) and link[1, 5] == (1, 2)  # a deeper quote alone links as well
     assert link[2, 0] == (1, 2) and link[2, 1] == (2, 0) and link[None, 1] == (None, 0)
     assert got[1, 1].text == B and got[1, 2].text == C and got[1, 4].text == "before\nafter\nend" and got[1, 5].text == ""
     assert got[3, 0].text is None and got[3, 1].text == "" and got[3, 2].text == "" and got[1, 0].text == A
     assert [got[1, t].n_quotes for t in range(6)] == [0, 1, 2, 0, 2, 1]
     assert [got[1, t].quote_depth for t in range(6)] == [0, 1, 2, 0, 1, 2]
-    assert [got[1, t].thread_turn for t in range(6)] == [0, 0, 0, 3, 0, 5]
-    assert [got[1, t].position for t in range(6)] == [1, 2, 3, 5, 4, 6]
+    assert [got[1, t].thread_turn for t in range(6)] == [0, 0, 0, 3, 0, 0]
+    assert [got[1, t].position for t in range(6)] == [1, 2, 3, 6, 4, 5]
     assert link[4, 1] == (4, 0) and out.count() == len(thread())
 
 
