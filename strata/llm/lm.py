@@ -4,8 +4,9 @@ backoff weights, stored in partitioned tables and evaluated recursively per toke
 Layout. Documents are packed once into blocks: the block's distinct words (64-bit hashes, sorted)
 and every token as an index into them. A block asks for what it needs, each
 distinct word or n-gram once however often it occurs, so a frequent one costs a row entry
-per block; the answers come back in the order of the questions, so nothing but counts and weights
-travels back. N-grams are dealt to buckets by a hash of their context, all words that
+per block; the answers come back in the order of the questions, so nothing but counts and the sums of contexts
+travels back. While a level is learnt the same questions carry the training counts, so a block is counted and
+answered in one exchange. N-grams are dealt to buckets by a hash of their context, all words that
 follow a context together, as the normalisation needs them. A context so frequent that it would
 fill a bucket is split over many by its next word, and its partial sums are added up.
 
@@ -44,11 +45,14 @@ _SLICE_BYTES = 1 << 20
 TOKENS_PER_BUCKET = 2_500_000
 SPLIT_SHARE = 4
 
+#: Kind of the rows that answer a block's questions while a level is learnt.
+ANSWER = 9
+
 _END = np.uint64(1)  # the end token; word hashes are larger
 _UNKNOWN = np.uint32(0xFFFFFFFF)
 _START = np.uint64(1 << 40)  # the context before a document's first word
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_ROW = "key long, kind int, part long, a binary, b binary, c binary, d binary, e binary, f binary, g binary, stats array<long>"
+_ROW = "key long, kind int, part long, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary, stats array<long>"
 _NAMES = [c.split()[0] for c in _ROW.split(", ")]
 
 
@@ -204,14 +208,20 @@ class Block:
 
     def __init__(self, rows: pa.Table, model: Katz):
         by: dict[int, list[tuple]] = {}
-        for r in sorted(zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "a", "b", "c")), strict=True), key=lambda r: r[:2]):
+        for r in sorted(zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "a", "b", "c", "d", "e", "g")), strict=True), key=lambda r: r[:2]):
             by.setdefault(r[0], []).append(r[2:])
-        (tokens, n, train), self.model = by[0][0], model
+        (tokens, n, train, *_), self.model = by[0][0], model
         self.tokens, self.n = unpack(tokens, np.uint32), unpack(n, np.int64)
         self.first = np.cumsum(self.n) - self.n
         self.train = np.repeat(unpack(train, np.uint8).astype(bool), self.n)
         join = lambda level, i, kind: np.concatenate([unpack(r[i], kind) for r in by.get(level, [])] or [np.zeros(0, kind)])
-        self.answers = {level: (join(level, 0, np.uint32), join(level, 1, np.float64), join(level, 2, np.uint8)) for level in by if level > 1}
+        self.answers = {}
+        for level in (x for x in by if x > 1):
+            if by[level][0][3] is None:  # weights, as the stored model has them
+                weights = join(level, 1, np.float64), join(level, 2, np.uint8)
+            else:  # the sums of contexts, from the pass that learnt the level
+                weights = backoff_weights(join(level, 4, np.int64), join(level, 3, np.uint32).reshape(-1, GT_MAX), join(level, 5, np.float64), model.discounts[level])
+            self.answers[level] = (join(level, 0, np.uint32), *weights)
         ids, counts = join(1, 0, np.uint32), join(1, 1, np.uint64).astype(np.int64)
         self.ids, self.counts = ids[self.tokens].astype(np.uint64), {1: counts[self.tokens]}
         self.contexts: dict[int, np.ndarray] = {}
@@ -367,59 +377,97 @@ def _find_words(key: tuple, rows: pa.Table) -> pa.Table:
 
 def _gram_questions(held, level: int, counted: bool):
     """Rows of n-grams by bucket: contexts (a), run lengths (b), words (c); when counting also the training
-    counts (d), the lower-order evidence (e: counts for bigrams, probabilities above), and which contexts are
+    counts (d), the lower-order evidence (e: counts, h: totals of the lower contexts, above bigrams), and which contexts are
     parts of a split one (f: position, g: whole context)."""
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
         model = held.value
         block, out = Block(rows, model), []
-        chosen = block.train if counted else block.context_count(level) > 0
+        chosen = block.context_count(level) > 0  # all that training holds, as their contexts are in it
         if not chosen.any():
             return pa.Table.from_batches([_batch([])])
         g = block.grams(level, chosen)
         ids = block.ids[g.token].astype(np.uint32)
-        n = np.bincount(g.gram, minlength=len(g.token)).astype(np.uint32)
-        lower = block.counts[1][g.token] if level == 2 else block.probability(level - 1)[g.token]
         runs = np.diff(np.append(g.start, len(g.token))).astype(np.uint32)
+        if counted:
+            n = np.bincount(g.gram[block.train[g.at]], minlength=len(g.token)).astype(np.uint32)
+            lower = block.count(level - 1)[g.token]
+            if level > 2:
+                total = (block.context_count(level - 1) + block.more)[g.token[g.start]]
         for bucket, c, w in g.slices(model.buckets):
             row = {"key": bucket, "kind": 0, "part": key[0].as_py(), "a": pack(g.keys[c]), "b": pack(runs[c]), "c": pack(ids[w])}
             if counted:
                 big = np.flatnonzero(g.big[c])
                 row |= {"d": pack(n[w]), "e": pack(lower[w]), "f": pack(big.astype(np.uint32)), "g": pack(g.context[c][big])}
+                if level > 2:
+                    row["h"] = pack(total[c])
             out.append(row)
         return pa.Table.from_batches([_batch(out)])
 
     return ask
 
 
+def _look_up(keys: np.ndarray, code: np.ndarray, want: np.ndarray, runs: np.ndarray, w: np.ndarray):
+    """(place of each wanted context among ``keys``, whether it is there, place of each n-gram among the codes, whether
+    it is there)."""
+    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+    hit = keys[at] == want
+    asked = np.repeat(at.astype(np.uint64), runs) << np.uint64(32) | w.astype(np.uint64)
+    pos = np.minimum(np.searchsorted(code, asked), len(code) - 1)
+    return at, hit, pos, (code[pos] == asked) & np.repeat(hit, runs)
+
+
 def _count_grams(held, level: int):
+    """Rows of the model (kind 1; 3: parts of split contexts) and the answers to every block's questions (kind ``ANSWER``: counts a
+    in the order of its n-grams; of its contexts the numbers of words seen 1, 2, ... times d, totals e, lower mass g)."""
     def count(key: tuple, rows: pa.Table) -> pa.Table:
         model = held.value
         parts: dict[str, list[np.ndarray]] = {c: [] for c in "kcdefg"}
-        for a, b, c, d, e, f, g in zip(*(rows.column(x).to_pylist() for x in "abcdefg"), strict=True):
-            keys = unpack(a, np.uint64)
-            parts["k"].append(np.repeat(keys, unpack(b, np.uint32)))
-            parts["c"].append(unpack(c, np.uint32))
-            parts["d"].append(unpack(d, np.uint32))
-            parts["e"].append(model.unigrams.probability(unpack(e, np.int64)) if level == 2 else unpack(e, np.float64))
+        asked = []
+        for part, a, b, c, d, e, f, g, h in zip(*(rows.column(x).to_pylist() for x in ("part", *"abcdefgh")), strict=True):
+            keys, runs, words, n = unpack(a, np.uint64), unpack(b, np.uint32), unpack(c, np.uint32), unpack(d, np.uint32)
+            asked.append((part, a, b, c))
+            lower, mine = unpack(e, np.int64), n > 0
+            p = model.unigrams.probability(lower[mine])
+            if level > 2:
+                p = _discounted(lower[mine], model.discounts[level - 1]) / np.repeat(unpack(h, np.int64), runs)[mine]
+            parts["k"].append(np.repeat(keys, runs)[mine])
+            parts["c"].append(words[mine])
+            parts["d"].append(n[mine])
+            parts["e"].append(p)
             parts["f"].append(keys[unpack(f, np.uint32)])
             parts["g"].append(unpack(g, np.uint64))
-        k, w, n, p, split, whole = (np.concatenate(parts[x]) for x in "kcdefg")
+            del words, n, lower, mine, p
+        k, w, n, p, split, whole = (np.concatenate(parts.pop(x)) for x in "kcdefg")
         order = np.lexsort((w, k))
         k, w, n, p = k[order], w[order], n[order].astype(np.int64), p[order]
-        start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (w[1:] != w[:-1])]))
-        k, w, n, p = k[start], w[start], np.add.reduceat(n, start), p[start]
+        del order
+        start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), (k[1:] != k[:-1]) | (w[1:] != w[:-1])]))
+        k, w, n, p = k[start], w[start], np.add.reduceat(n, start) if len(k) else n, p[start]
         first, bounds = _runs(k)
-        total, seen = np.add.reduceat(n, first), np.add.reduceat(p, first)
-        few = np.stack([np.add.reduceat((n == r).astype(np.int64), first) for r in range(1, GT_MAX + 1)], axis=1)
+        sums = lambda x: np.add.reduceat(x, first) if len(first) else x
+        total, seen = sums(n), sums(p)
+        few = np.stack([sums((n == r).astype(np.int64)) for r in range(1, GT_MAX + 1)], axis=1).astype(np.uint32)
         keys, bucket = k[first], key[0].as_py()
+        del k, p
         out = [{
             "key": bucket, "kind": 1, "a": pack(keys), "b": pack(np.diff(bounds).astype(np.uint32)), "c": pack(w), "d": pack(n.astype(np.uint32)),
-            "e": pack(total), "f": pack(few.ravel().astype(np.uint32)), "g": pack(seen), "stats": _histogram(n),
+            "e": pack(total), "f": pack(few.ravel()), "g": pack(seen), "stats": _histogram(n),
         }]
-        if len(split):
+        if len(split) and len(keys):
             split, one = np.unique(split, return_index=True)
-            at = np.searchsorted(keys, split)
-            out.append({"key": bucket, "kind": 3, "a": pack(whole[one]), "e": pack(total[at]), "f": pack(few[at].ravel().astype(np.uint32)), "g": pack(seen[at])})
+            at = np.minimum(np.searchsorted(keys, split), len(keys) - 1)
+            held_here = keys[at] == split  # a part may hold words of held-out texts only
+            at, one = at[held_here], one[held_here]
+            out.append({"key": bucket, "kind": 3, "a": pack(whole[one]), "e": pack(total[at]), "f": pack(few[at].ravel()), "g": pack(seen[at])})
+        code = np.repeat(np.arange(len(keys), dtype=np.uint64), np.diff(bounds)) << np.uint64(32) | w.astype(np.uint64)
+        for part, a, b, c in asked:
+            want, runs, words = unpack(a, np.uint64), unpack(b, np.uint32), unpack(c, np.uint32)
+            got, one, of, lower = np.zeros(len(words), np.uint32), np.zeros((len(want), GT_MAX), np.uint32), np.zeros(len(want), np.int64), np.zeros(len(want))
+            if len(keys):
+                at, hit, pos, same = _look_up(keys, code, want, runs, words)
+                got[same] = n[pos[same]]
+                one[hit], of[hit], lower[hit] = few[at[hit]], total[at[hit]], seen[at[hit]]
+            out.append({"key": part, "kind": ANSWER, "part": bucket, "a": pack(got), "d": pack(one.ravel()), "e": pack(of), "g": pack(lower)})
         return pa.Table.from_batches([_batch(out)])
 
     return count
@@ -458,12 +506,8 @@ def _find_grams(level: int):
             want, runs, w = unpack(a, np.uint64), unpack(b, np.uint32), unpack(c, np.uint32)
             n, alpha, more = np.zeros(len(w), np.uint32), np.ones(len(want)), np.zeros(len(want), np.uint8)
             if len(keys):
-                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-                hit = keys[at] == want
+                at, hit, pos, same = _look_up(keys, code, want, runs, w)
                 alpha[hit], more[hit] = weight[at[hit]], once[at[hit]]
-                asked = np.repeat(at.astype(np.uint64), runs) << np.uint64(32) | w.astype(np.uint64)
-                pos = np.minimum(np.searchsorted(code, asked), len(code) - 1)
-                same = (code[pos] == asked) & np.repeat(hit, runs)
                 n[same] = counts[pos[same]]
             out.append({"key": part, "kind": level, "part": key[0].as_py(), "a": pack(n), "b": pack(alpha), "c": pack(more)})
         return pa.Table.from_batches([_batch(out)])
@@ -483,7 +527,7 @@ class KatzModel:
     katz: Katz
 
     def level(self, spark: SparkSession, k: int) -> DataFrame:
-        return spark.read.schema(_ROW).parquet(f"{self.path}/level={k}")
+        return spark.read.schema(_ROW).parquet(f"{self.path}/level={k}").filter(F.col("kind") != ANSWER)
 
 
 def _rows(df: DataFrame, **values: Column) -> DataFrame:
@@ -540,9 +584,10 @@ def fit(
         held = spark.sparkContext.broadcast(katz)
         asked = _by_block(blocks, model, level - 1).applyInArrow(_gram_questions(held, level, True), _ROW)
         grams = common.stored(asked.groupBy("key").applyInArrow(_count_grams(held, level), _ROW), f"{path}/level={level}", "kind")
+        blocks.answers[path, level] = _rows(grams.filter(F.col("kind") == ANSWER), kind=F.lit(level))
         d = good_turing(_summed(grams.filter("kind = 1")) or [0] * (GT_MAX + 1))
         weights = grams.filter("kind = 1").select("key", "e", "f", "g").mapInArrow(_weigh(d), _ROW)
-        weights.drop("kind").write.option("compression", "zstd").parquet(f"{path}/level={level}/kind=2")
+        common.stored(weights.drop("kind"), f"{path}/level={level}/kind=2")
         katz.discounts[level] = d
         katz.split[level] = _split_weights(grams.filter("kind = 3").select("a", "e", "f", "g").collect(), d)
     return model
