@@ -220,12 +220,23 @@ class Block:
             if by[level][0][3] is None:  # weights, as the stored model has them
                 weights = join(level, 1, np.float64), join(level, 2, np.uint8)
             else:  # the sums of contexts, from the pass that learnt the level
-                weights = backoff_weights(join(level, 4, np.int64), join(level, 3, np.uint32).reshape(-1, GT_MAX), join(level, 5, np.float64), model.discounts[level])
+                weights = self._weights(by[level], model.discounts[level])
             self.answers[level] = (join(level, 0, np.uint32), *weights)
         ids, counts = join(1, 0, np.uint32), join(1, 1, np.uint64).astype(np.int64)
         self.ids, self.counts = ids[self.tokens].astype(np.uint64), {1: counts[self.tokens]}
         self.contexts: dict[int, np.ndarray] = {}
 
+    @staticmethod
+    def _weights(rows: list[tuple], d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and once-more flags of the contexts; a context that no unseen word follows here needs no weight."""
+        once = [unpack(r[1], np.uint8) for r in rows]
+        first = np.cumsum([0, *map(len, once)])
+        at = np.concatenate([unpack(r[2], np.uint32) + f for r, f in zip(rows, first, strict=False)])
+        join = lambda i, kind: np.concatenate([unpack(r[i], kind) for r in rows])
+        weights = np.ones(first[-1])
+        weights[at], _ = backoff_weights(join(4, np.int64), join(3, np.uint32).reshape(-1, GT_MAX), join(5, np.float64), d)
+        return weights, np.concatenate(once)
+
     def _previous(self, values: np.ndarray, at_start) -> np.ndarray:
         out = np.empty_like(values)
         out[1:] = values[:-1]
@@ -418,7 +429,8 @@ def _look_up(keys: np.ndarray, code: np.ndarray, want: np.ndarray, runs: np.ndar
 
 def _count_grams(held, level: int):
     """Rows of the model (kind 1; 3: parts of split contexts) and the answers to every block's questions (kind ``ANSWER``: counts a
-    in the order of its n-grams; of its contexts the numbers of words seen 1, 2, ... times d, totals e, lower mass g)."""
+    in the order of its n-grams, once-more flags b of its contexts; of those contexts (c) that an unseen word follows the numbers of
+    words seen 1, 2, ... times d, totals e, lower mass g)."""
     def count(key: tuple, rows: pa.Table) -> pa.Table:
         model = held.value
         parts: dict[str, list[np.ndarray]] = {c: [] for c in "kcdefg"}
@@ -448,6 +460,7 @@ def _count_grams(held, level: int):
         total, seen = sums(n), sums(p)
         few = np.stack([sums((n == r).astype(np.int64)) for r in range(1, GT_MAX + 1)], axis=1).astype(np.uint32)
         keys, bucket = k[first], key[0].as_py()
+        never = (few.sum(axis=1) == 0).astype(np.uint8)  # no discount lies at 0 or 1: then and only then nothing is left
         del k, p
         out = [{
             "key": bucket, "kind": 1, "a": pack(keys), "b": pack(np.diff(bounds).astype(np.uint32)), "c": pack(w), "d": pack(n.astype(np.uint32)),
@@ -462,12 +475,18 @@ def _count_grams(held, level: int):
         code = np.repeat(np.arange(len(keys), dtype=np.uint64), np.diff(bounds)) << np.uint64(32) | w.astype(np.uint64)
         for part, a, b, c in asked:
             want, runs, words = unpack(a, np.uint64), unpack(b, np.uint32), unpack(c, np.uint32)
-            got, one, of, lower = np.zeros(len(words), np.uint32), np.zeros((len(want), GT_MAX), np.uint32), np.zeros(len(want), np.int64), np.zeros(len(want))
+            got, once, of = np.zeros(len(words), np.uint32), np.ones(len(want), np.uint8), np.zeros(len(want), np.int64)
             if len(keys):
                 at, hit, pos, same = _look_up(keys, code, want, runs, words)
                 got[same] = n[pos[same]]
-                one[hit], of[hit], lower[hit] = few[at[hit]], total[at[hit]], seen[at[hit]]
-            out.append({"key": part, "kind": ANSWER, "part": bucket, "a": pack(got), "d": pack(one.ravel()), "e": pack(of), "g": pack(lower)})
+                once[hit] = never[at[hit]]
+                of[hit] = at[hit] + 1
+            # Words that training has not seen after a context need its weight, the others only its total.
+            need = np.zeros(len(want), bool)
+            need[np.repeat(np.arange(len(want)), runs)[got == 0]] = True
+            at = of[need & (of > 0)] - 1
+            row = {"key": part, "kind": ANSWER, "part": bucket, "a": pack(got), "b": pack(once), "c": pack(np.flatnonzero(need & (of > 0)).astype(np.uint32))}
+            out.append(row | {"d": pack(few[at].ravel()), "e": pack(total[at]), "g": pack(seen[at])})
         return pa.Table.from_batches([_batch(out)])
 
     return count
