@@ -231,6 +231,12 @@ def _typed(src: Column, have: T.DataType, want: T.DataType, date_formats: Sequen
     return src.try_cast(want)
 
 
+def lost_cell(src: Column, typed: Column) -> Column:
+    """Whether a cell holds a value that typing made NULL; NULL, blank, ``NaN`` and the like are missing, not lost."""
+    text = F.lower(F.trim(src.cast("string")))
+    return src.isNotNull() & ~text.isin(*MISSING_TEXTS) & typed.isNull()
+
+
 def conform(
     df: DataFrame,
     schema: T.StructType,
@@ -266,9 +272,7 @@ def cast_failures(
         if f.name in types:
             src = F.col(quote(f.name))
             typed = _typed(src, types[f.name], f.dataType, date_formats)
-            text = F.lower(F.trim(src.cast("string")))
-            lost = src.isNotNull() & ~text.isin(*MISSING_TEXTS) & typed.isNull()
-            out[f.name] = F.count_if(lost)
+            out[f.name] = F.count_if(lost_cell(src, typed))
         else:
             out[f.name] = F.lit(0).cast("long")
     return out

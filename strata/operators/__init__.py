@@ -9,7 +9,7 @@ from strata.operators.find import (
     find_one,
     find_with_optional_filters,
 )
-from strata.operators.merge import OP, align_to, merge_frames, merge_frames_broadcast
+from strata.operators.merge import OP, align_to, merge_frames, op_name
 from strata.operators.profile import (
     approx_quantiles,
     compare_profiles,
@@ -50,7 +50,7 @@ __all__ = [
     "last_by",
     "latest_per_key",
     "merge_frames",
-    "merge_frames_broadcast",
+    "op_name",
     "profile_boolean",
     "profile_date",
     "profile_numeric",

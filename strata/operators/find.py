@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -35,22 +36,25 @@ def _lit(v: Any) -> Column:
     return F.lit(v)
 
 
-def _paths(schema: T.StructType, prefix: str = "") -> frozenset[str]:
-    """Every field of a schema by its dotted path, nested structs included."""
-    out = set()
+def _paths(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType | None]:
+    """Every field of a schema by its dotted path, nested structs included, with its type (None inside an array
+    or a map, where a path stands for several values)."""
+    out: dict[str, T.DataType | None] = {}
     for f in schema.fields:
-        out.add(prefix + f.name)
         kind = f.dataType
+        out[prefix + f.name] = kind
+        inside = isinstance(kind, T.ArrayType)
         while isinstance(kind, T.ArrayType):  # a path may go through arrays of structs
             kind = kind.elementType
         if isinstance(kind, T.StructType):
-            out |= _paths(kind, f"{prefix}{f.name}.")
+            nested = _paths(kind, f"{prefix}{f.name}.")
+            out |= dict.fromkeys(nested) if inside else nested
         elif isinstance(kind, (T.MapType, T.VariantType)):
-            out.add(f"{prefix}{f.name}.*")
-    return frozenset(out)
+            out[f"{prefix}{f.name}.*"] = None
+    return out
 
 
-def _field(name: str, columns: frozenset[str] | None = None) -> Column:
+def _field(name: str, columns: Mapping[str, T.DataType | None] | None = None) -> Column:
     """The field as a Column; a field the frame does not have, at the top or
     nested, is a missing value (NULL), as in a schemaless collection."""
     if columns is not None and name not in columns:
@@ -60,37 +64,61 @@ def _field(name: str, columns: frozenset[str] | None = None) -> Column:
     return F.col(".".join(quote(p) for p in name.split(".")))
 
 
-def _field_ops(col: Column, spec: Mapping[str, Any]) -> Column:
+def _fits(v: Any, kind: T.DataType | None) -> bool:
+    """Whether a value can equal one of the field's type: in a document collection a number is never a text, however it
+    is written. Fields of unknown or nested type are compared as they are."""
+    if isinstance(kind, T.BooleanType):
+        return isinstance(v, bool)
+    if isinstance(kind, T.NumericType):
+        return isinstance(v, (int, float, Decimal)) and not isinstance(v, bool)
+    if isinstance(kind, T.StringType):
+        return isinstance(v, str)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return isinstance(v, _dt.date)
+    if isinstance(kind, T.BinaryType):
+        return isinstance(v, (bytes, bytearray))
+    return True
+
+
+def _compare(col: Column, op: str, v: Any, kind: T.DataType | None) -> Column:
+    if not _fits(v, kind):
+        return F.lit(False)
+    x = _lit(v)
+    return {"$eq": lambda: col == x, "$gt": lambda: col > x, "$gte": lambda: col >= x, "$lt": lambda: col < x, "$lte": lambda: col <= x}[op]()
+
+
+def _among(col: Column, values: Iterable[Any], kind: T.DataType | None) -> Column:
+    fitting = [_lit(x) for x in values if x is not None and _fits(x, kind)]
+    return col.isin(fitting) if fitting else F.lit(False)
+
+
+def _matches(col: Column, pattern: str, kind: T.DataType | None) -> Column:
+    return col.rlike(pattern) if _fits(pattern, kind) else F.lit(False)
+
+
+def _field_ops(col: Column, spec: Mapping[str, Any], kind: T.DataType | None = None) -> Column:
     out: Column | None = None
     for op, v in spec.items():
         if op == "$eq":
-            e = col.isNull() if v is None else col == _lit(v)
+            e = col.isNull() if v is None else _compare(col, op, v, kind)
         elif op == "$ne":
-            e = col.isNotNull() if v is None else ~col.eqNullSafe(_lit(v))
-        elif op == "$gt":
-            e = col > _lit(v)
-        elif op == "$gte":
-            e = col >= _lit(v)
-        elif op == "$lt":
-            e = col < _lit(v)
-        elif op == "$lte":
-            e = col <= _lit(v)
+            e = col.isNotNull() if v is None else ~F.coalesce(_compare(col, "$eq", v, kind), F.lit(False))
+        elif op in ("$gt", "$gte", "$lt", "$lte"):
+            e = _compare(col, op, v, kind)
         elif op == "$in":
-            vals = [x for x in v if x is not None]
-            e = col.isin([_lit(x) for x in vals])
-            if len(vals) < len(v):
+            e = _among(col, v, kind)
+            if any(x is None for x in v):
                 e = e | col.isNull()
         elif op == "$nin":
-            vals = [x for x in v if x is not None]
-            e = ~F.coalesce(col.isin([_lit(x) for x in vals]), F.lit(False))
-            if len(vals) < len(v):
+            e = ~F.coalesce(_among(col, v, kind), F.lit(False))
+            if any(x is None for x in v):
                 e = e & col.isNotNull()
         elif op == "$exists":
             e = col.isNotNull() if v else col.isNull()
         elif op == "$regex":
-            e = col.rlike(v)
+            e = _matches(col, v, kind)
         elif op == "$not":
-            inner = _field_ops(col, v) if isinstance(v, Mapping) else col.rlike(v)
+            inner = _field_ops(col, v, kind) if isinstance(v, Mapping) else _matches(col, v, kind)
             e = ~F.coalesce(inner, F.lit(False))
         else:
             raise ValueError(f"unsupported operator {op}")
@@ -101,16 +129,19 @@ def _field_ops(col: Column, spec: Mapping[str, Any]) -> Column:
 def compile_filter(
     query: Mapping[str, Any] | None,
     skip_none: bool = False,
-    columns: Iterable[str] | T.StructType | None = None,
+    columns: Iterable[str] | Mapping[str, T.DataType | None] | T.StructType | None = None,
 ) -> Column:
     """Turn a filter dict into a Column (F2-F6, F11). An empty or missing
     filter matches everything; ``skip_none`` drops fields whose value is
     ``None`` (optional filters) instead of matching NULL. With ``columns``
     (the frame's schema, or field paths) a field the frame lacks counts as
-    missing. An empty ``$and``, ``$or`` or ``$nor`` is an error, as in the store."""
+    missing; with the schema a value of another type than the field's matches nothing (``$ne``, ``$nin`` and ``$not``
+    match) instead of being converted. An empty ``$and``, ``$or`` or ``$nor`` is an error, as in the store."""
     if not query:
         return F.lit(True)
-    cols = _paths(columns) if isinstance(columns, T.StructType) else frozenset(columns) if columns is not None else None
+    cols = None
+    if columns is not None:
+        cols = _paths(columns) if isinstance(columns, T.StructType) else columns if isinstance(columns, Mapping) else dict.fromkeys(columns)
     out: Column | None = None
     for k, v in query.items():
         if k in ("$and", "$or", "$nor"):
@@ -127,9 +158,9 @@ def compile_filter(
         elif v is None and skip_none:
             continue
         elif isinstance(v, Mapping) and any(str(x).startswith("$") for x in v):
-            e = _field_ops(_field(k, cols), v)
+            e = _field_ops(_field(k, cols), v, (cols or {}).get(k))
         else:
-            e = _field(k, cols).isNull() if v is None else _field(k, cols) == _lit(v)
+            e = _field_ops(_field(k, cols), {"$eq": v}, (cols or {}).get(k))
         out = e if out is None else out & e
     # A NULL predicate already drops the row; keeping the bare comparison
     # lets Catalyst push it into the scan.
@@ -195,7 +226,7 @@ def find_by_id(
     df: DataFrame, doc_id: Any, projection: Mapping[str, Any] | None = None, id_field: str = "_id"
 ) -> DataFrame:
     """the row with this id (0 or 1 rows)."""
-    return _project(df.filter(F.col(quote(id_field)) == _lit(doc_id)).limit(1), projection, id_field)
+    return _project(df.filter(compile_filter({id_field: doc_id}, columns=df.schema)).limit(1), projection, id_field)
 
 
 def count_documents(df: DataFrame, query: Mapping[str, Any] | None = None) -> DataFrame:

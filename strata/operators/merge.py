@@ -1,14 +1,13 @@
 """Keyed merge of two frames (J1, J2) and schema alignment.
 
-``merge_frames`` is pure: it returns the new state of the target plus an
-``_op`` column, and the sinks decide how to store it. Parquet tables have no
+``merge_frames`` is pure: it returns the new state of the target plus a column
+with what happened to each row, and the sinks decide how to store it. Parquet tables have no
 row-level update, so the state is computed with joins on the keys (see the
 function for the plan and its skew handling).
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,25 +15,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import quote
-from strata.operators.dedup import data_bytes
+from strata.operators.schema import free_name, lossless, match_names, merged_type, spelt_like
 
 OP = "_op"
-_S = "__strata_src"
+
+
+def op_name(target: DataFrame, source: DataFrame) -> str:
+    """The column that ``merge_frames`` adds: ``_op``, or a name that neither frame has."""
+    return free_name(OP, target.columns, source.columns)
 
 
 def align_to(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
-    """Cast ``df`` to the types of ``schema`` (by name), add its missing
-    fields as NULL and order columns as in ``schema``; extra columns of
-    ``df`` follow at the end unless ``keep_extra`` is False."""
-    have = set(df.columns)
+    """``df`` with the types of ``schema`` (by name, as the session resolves names), its missing
+    fields as NULL and columns in the order of ``schema``; extra columns of
+    ``df`` follow at the end unless ``keep_extra`` is False. TypeError where a type cannot
+    take the column's values without loss."""
+    df = match_names(df, schema.names)
+    have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
-        if f.name in have:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif lossless(have[f.name], f.dataType):
             cols.append(F.col(quote(f.name)).cast(f.dataType).alias(f.name))
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            raise TypeError(f"column {f.name}: {have[f.name].simpleString()} does not fit {f.dataType.simpleString()} without loss; type it first")
     if keep_extra:
-        names = {f.name for f in schema.fields}
+        names = set(schema.names)
         cols += [F.col(quote(c)) for c in df.columns if c not in names]
     return df.select(*cols)
 
@@ -44,27 +51,24 @@ def merge_frames(
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """New state of ``target`` after upserting ``source`` on ``keys``; the join
-    strategy is left to Spark (see ``merge_frames_broadcast``)."""
-    return _merge(target, source, keys, null_safe, broadcast_source=False)
-
-
-def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool, broadcast_source: bool) -> DataFrame:
     """New state of ``target`` after upserting ``source`` on ``keys``.
 
     * matched: the source row replaces the target row; columns the source
-      lacks keep the target value (schema auto-merge);
+      lacks keep the target value (schema auto-merge). With ``order_by`` only if it is not older: where the target's
+      row is greater by these columns (NULL lowest) it stays, so batches may arrive in any order;
     * source only: inserted; target-only columns are NULL;
     * target only: kept; source-only columns are NULL.
 
     With plain equality (default) a NULL key never matches, so such source
     rows are always inserted and such target rows always kept. ``null_safe``
     uses ``<=>``. The source must hold at most one row per non-NULL key (the
-    sinks check or guarantee it). ``_op`` is ``updated``, ``inserted`` or
-    ``kept``. Output columns: target columns in order, then new source ones.
+    sinks check or guarantee it). Columns are matched as the session resolves names; where types differ the result has the
+    narrowest type that holds both without loss (TypeError if there is none). ``_op`` (see ``op_name``) is ``updated``,
+    ``inserted`` or ``kept``. Output columns: target columns in order, then new source ones.
 
-    Planned as two joins instead of one full outer join:
+    Planned as two joins instead of one full outer join; their strategy is left to Spark:
 
     * ``target LEFT JOIN source`` gives the kept and updated rows. A left
       join lets AQE split a skewed target partition (a key repeated by
@@ -76,15 +80,14 @@ def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     a second time (keys only, usually a small fraction of the row width),
     which is the price of being able to split a hot key.
     """
-    tcols = target.columns
-    ttypes = {f.name: f.dataType for f in target.schema.fields}
-    source = source.select(
-        *[
-            F.col(quote(c)).cast(ttypes[c]).alias(c) if c in ttypes else F.col(quote(c))
-            for c in source.columns
-        ]
-    )
-    scols = source.columns
+    source = match_names(source, target.columns)
+    keys, order_by = spelt_like(target, keys), spelt_like(target, order_by)
+    tcols, scols = target.columns, source.columns
+    stypes = {f.name: f.dataType for f in source.schema.fields}
+    types = {f.name: merged_type(f.name, f.dataType, stypes[f.name]) if f.name in stypes else f.dataType for f in target.schema.fields}
+    target = target.select(*[F.col(quote(c)).cast(types[c]).alias(c) for c in tcols])
+    source = source.select(*[F.col(quote(c)).cast(types[c]).alias(c) if c in types else F.col(quote(c)) for c in scols])
+    op, mark = op_name(target, source), free_name("__strata_src", tcols, scols)
 
     def on(left: str, right: str) -> Column:
         cond = None
@@ -100,62 +103,32 @@ def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     def sc(c: str) -> Column:
         return F.col("s." + quote(c))
 
-    flagged = source.withColumn(_S, F.lit(True))
-    s = (F.broadcast(flagged) if broadcast_source else flagged).alias("s")
-    in_s = F.col("s." + _S).isNotNull()
+    s = source.withColumn(mark, F.lit(True)).alias("s")
+    taken = F.col("s." + mark).isNotNull()
+    if order_by:
+        taken = taken & ~(F.struct(*[tc(c) for c in order_by]) > F.struct(*[sc(c) for c in order_by]))
     kept_or_updated = target.alias("t").join(s, on("t", "s"), "left").select(
-        *[(F.when(in_s, sc(c)).otherwise(tc(c)) if c in scols else tc(c)).alias(c) for c in tcols],
-        *[sc(c).alias(c) for c in scols if c not in tcols],
-        F.when(in_s, F.lit("updated")).otherwise(F.lit("kept")).alias(OP),
+        *[(F.when(taken, sc(c)).otherwise(tc(c)) if c in scols else tc(c)).alias(c) for c in tcols],
+        *[F.when(taken, sc(c)).alias(c) for c in scols if c not in tcols],
+        F.when(taken, F.lit("updated")).otherwise(F.lit("kept")).alias(op),
     )
-
-    target_keys = target.select(*[F.col(quote(k)).alias(k) for k in keys])
-    if broadcast_source:
-        src_keys = F.broadcast(source.select(*[F.col(quote(k)).alias(k) for k in keys]).distinct())
-        matched = target_keys.alias("tk").join(src_keys.alias("sk"), on("tk", "sk"), "left_semi")
-        matched = F.broadcast(matched.distinct())
-    else:
-        matched = target_keys.distinct()
+    matched = target.select(*[F.col(quote(k)).alias(k) for k in keys]).distinct()
     inserted = (
         source.alias("s2")
         .join(matched.alias("mk"), on("s2", "mk"), "left_anti")
         .select(
-            *[(F.col("s2." + quote(c)) if c in scols else F.lit(None).cast(ttypes[c])).alias(c) for c in tcols],
+            *[(F.col("s2." + quote(c)) if c in scols else F.lit(None).cast(types[c])).alias(c) for c in tcols],
             *[F.col("s2." + quote(c)).alias(c) for c in scols if c not in tcols],
-            F.lit("inserted").alias(OP),
+            F.lit("inserted").alias(op),
         )
     )
     return kept_or_updated.unionByName(inserted)
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (-1: broadcasting is off)."""
-    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text)
-    if not m:
-        return -1
-    n = int(m.group(1))
-    return n if n < 0 else n << (10 * " kmgt".index(m.group(2) or " "))
-
-
-def merge_frames_broadcast(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    null_safe: bool = False,
-) -> DataFrame:
-    """``merge_frames`` with the source broadcast, so that the target is never
-    shuffled. The source is measured first (one job); beyond the session's
-    broadcast threshold this is ``merge_frames``."""
-    size = source.agg(F.coalesce(data_bytes(source), F.lit(0))).first()[0]
-    fits = size <= broadcast_limit(source.sparkSession)
-    return _merge(target, source, keys, null_safe, broadcast_source=fits)
-
-
-def op_counts(merged: DataFrame) -> list[Column]:
-    """Aggregates over ``_op`` for ``DataFrame.observe``."""
+def op_counts(op: str = OP) -> list[Column]:
+    """Aggregates over the column of ``op_name`` for ``DataFrame.observe``."""
     return [
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(OP) == "updated").alias("updated"),
-        F.count_if(F.col(OP) == "inserted").alias("inserted"),
+        F.count_if(F.col(op) == "updated").alias("updated"),
+        F.count_if(F.col(op) == "inserted").alias("inserted"),
     ]

@@ -189,8 +189,8 @@ def _distinct_from_counts(counts: DataFrame, columns: Sequence[str]) -> DataFram
     )
 
 
-# Accuracy of the sketch that brackets a rank: its rank error is at most rows / accuracy
-# (a guarantee of the summary, not an expectation), and the bracket allows twice that.
+# Accuracy of the sketch that brackets a rank: its rank error is at most rows / accuracy by its design,
+# and the bracket allows twice that. Whether the rank is inside is counted, not assumed.
 BRACKET_ACCURACY = 10_000
 
 
@@ -200,9 +200,10 @@ def exact_quantiles(
     """Exact linear-interpolated quantiles (``quantile_cont``) of numeric
     columns, distributed.
 
-    1. the values are counted, and a sketch pass brackets each rank between two values
-       (one row of columns x ranks x 2 numbers comes to the driver);
-    2. one aggregate counts the values below each bracket;
+    1. one pass counts the values, takes their ends and brackets each rank between two values by a
+       sketch (one row of columns x ranks x 2 numbers comes to the driver);
+    2. one aggregate counts the values below and inside each bracket; a rank that is not inside its own is
+       looked for among all values;
     3. only the values inside a bracket, some rows / 2,500 each, are counted, range-
        partitioned and ranked: a running count inside each range partition plus
        the totals of the partitions before it;
@@ -218,26 +219,38 @@ def exact_quantiles(
         return spark.createDataFrame([], out_schema)
     v = {c: F.col(quote(c)).cast("double") for c in columns}
     v = {c: F.when(~F.isnan(x), x) for c, x in v.items()}
-    rows = df.agg(*[F.count(v[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-
-    def ends(n: int) -> list[float]:
-        reach = 2 / BRACKET_ACCURACY + 2 / max(n, 1)  # two ranks more, for the neighbours
-        return [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
-
-    sketch = df.agg(*[F.percentile_approx(v[c], ends(n), BRACKET_ACCURACY).alias(f"s{i}") for (i, c), n in zip(enumerate(columns), rows, strict=True)]).first()
-    wanted = [  # (column number, rank number, low, high)
-        (i, j, sketch[i][2 * j], sketch[i][2 * j + 1]) for i in range(len(columns)) for j in range(len(probs)) if sketch[i] is not None
-    ]
-    below_of = [F.count_if(v[columns[i]] < F.lit(low)).alias(f"b{i}_{j}") for i, j, low, _ in wanted]
-    seen = df.agg(*(below_of or [F.lit(0)])).first()
+    reach = 2 / BRACKET_ACCURACY
+    ends = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
+    first = []
+    for i, c in enumerate(columns):
+        first += [F.count(v[c]).alias(f"n{i}"), F.min(v[c]).alias(f"l{i}"), F.max(v[c]).alias(f"h{i}")]
+        first.append(F.percentile_approx(v[c], ends, BRACKET_ACCURACY).alias(f"s{i}"))
+    sketch = df.agg(*first).first()
+    rows = [sketch[f"n{i}"] for i in range(len(columns))]
+
+    def bracket(i: int, j: int) -> tuple[float, float]:
+        if rows[i] <= 2 * BRACKET_ACCURACY:  # so few that the neighbours of a rank need more reach: all values
+            return sketch[f"l{i}"], sketch[f"h{i}"]
+        return sketch[f"s{i}"][2 * j], sketch[f"s{i}"][2 * j + 1]
+
+    wanted = [(i, j, *bracket(i, j)) for i in range(len(columns)) for j in range(len(probs)) if rows[i]]  # (column number, rank number, low, high)
+    counted = []
+    for i, j, low, high in wanted:
+        x = v[columns[i]]
+        counted += [F.count_if(x < F.lit(low)).alias(f"b{i}_{j}"), F.count_if((x >= F.lit(low)) & (x <= F.lit(high))).alias(f"i{i}_{j}")]
+    seen = df.agg(*(counted or [F.lit(0)])).first()
+    below = {(i, j): seen[f"b{i}_{j}"] for i, j, _, _ in wanted}
+    for k, (i, j, _, _) in enumerate(wanted):
+        h = (rows[i] - 1) * float(probs[j])
+        if not below[i, j] <= math.floor(h) <= math.ceil(h) < below[i, j] + seen[f"i{i}_{j}"]:
+            wanted[k], below[i, j] = (i, j, sketch[f"l{i}"], sketch[f"h{i}"]), 0
     inside, picks = [], []
     for i, j, low, high in wanted:
         x = v[columns[i]]
         entry = F.struct(F.lit(i).alias("col"), F.lit(j).alias("rank"), x.alias("v"))
         inside.append(F.when((x >= F.lit(low)) & (x <= F.lit(high)), entry))
         h = (rows[i] - 1) * float(probs[j])
-        below = seen[f"b{i}_{j}"]
-        picks.append((i, j, math.floor(h) - below, math.ceil(h) - below, h - math.floor(h)))
+        picks.append((i, j, math.floor(h) - below[i, j], math.ceil(h) - below[i, j], h - math.floor(h)))
     if not wanted:
         inside = [F.lit(None).cast("struct<col:int,rank:int,v:double>")]
     near = df.select(F.explode(F.filter(F.array(*inside), lambda e: e.isNotNull())).alias("e")).select("e.*")

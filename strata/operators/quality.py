@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import count_status, file_stem, local_time, lower_or_unknown, quote
+from strata.operators.content import comparable
 from strata.session import staged_rows
 from strata.sinks.tables import LoadResult, create_table, evolve_schema, merge_partitions, record_load, table_exists
 
@@ -54,11 +55,13 @@ def reconcile(
     zero_is_unknown: bool = True,
 ) -> DataFrame:
     """Q1: rows (observations) and distinct non-NULL keys of both frames,
-    their differences and PASS / FAIL / UNKNOWN statuses, as one row."""
-    dkey = destination_key or key
-    ktype = source.schema[key].dataType
-    s = source.select(F.col(quote(key)).alias("k"), F.lit(True).alias("src"))
-    d = destination.select(F.col(quote(dkey)).cast(ktype).alias("k"), F.lit(False).alias("src"))
+    their differences and PASS / FAIL / UNKNOWN statuses, as one row. Keys of different types are
+    compared in the type that holds both, else as text: no value ends the check. Equal counts do not mean
+    equal keys; ``content.reconcile_contents`` says which differ."""
+    s, d = comparable(
+        source.select(F.col(quote(key)).alias("k")), destination.select(F.col(quote(destination_key or key)).alias("k")), ["k"]
+    )
+    s, d = s.withColumn("src", F.lit(True)), d.withColumn("src", F.lit(False))
     # rows per (side, key) with map-side combine, then one small aggregate:
     # the observations are the sums, the distinct keys the non-NULL groups
     per_key = s.unionByName(d).groupBy("src", "k").agg(F.count(F.lit(1)).alias("n"))

@@ -24,7 +24,7 @@ import logging
 import re
 import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import partition_date, quote
 from strata.operators.dedup import key_stats, latest_per_key
-from strata.operators.merge import align_to, merge_frames, op_counts
+from strata.operators.merge import align_to, merge_frames, op_counts, op_name
+from strata.operators.schema import free_name, match_names, merged_type
 from strata.session import conf, remove_path, scratch_path, staged_rows, unique_name
 
 log = logging.getLogger("strata")
@@ -139,11 +140,19 @@ def _rows(obs: Observation, df: DataFrame) -> int:
 
 
 def evolve_schema(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Add the frame's new columns to the table, then return the frame cast
-    and ordered as the table (missing columns NULL)."""
+    """Make a table ready for a frame, then return the frame cast and ordered as the table (missing columns NULL).
+
+    New columns are added. A column whose type is too narrow for the frame's takes the narrowest type that holds
+    both without loss (``widen_table``); where there is none this raises a TypeError: values are never cut. Names are
+    matched as the session resolves them."""
     table_schema = spark.table(name).schema
-    have = {f.name for f in table_schema.fields}
-    new = [f for f in df.schema.fields if f.name not in have]
+    df = match_names(df, table_schema.names)
+    frame = {f.name: f.dataType for f in df.schema.fields}
+    wide = T.StructType([T.StructField(f.name, merged_type(f.name, f.dataType, frame[f.name]) if f.name in frame else f.dataType, f.nullable, f.metadata) for f in table_schema.fields])
+    if [f.dataType for f in wide] != [f.dataType for f in table_schema]:
+        widen_table(spark, name, wide)
+        table_schema = spark.table(name).schema
+    new = [f for f in df.schema.fields if f.name not in table_schema.names]
     if new:
         cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
@@ -152,6 +161,52 @@ def evolve_schema(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return align_to(df, table_schema, keep_extra=False)
 
 
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    start = next((i for i, r in enumerate(rows) if r[0].startswith("# Detailed Table")), 0)
+    return {r[0]: r[1] for r in rows[start:]}
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r[0]: r[1] for r in rows if not r[0].startswith(("transient_", "spark.sql."))}
+
+
+def widen_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Give columns of a Parquet table wider types without touching its files: Parquet readers widen the stored
+    values. A table of the new types on the same folder takes the name (``finish_swap`` mends a crash). Partition
+    columns cannot change, and a managed table cannot be replaced without losing its files: both raise."""
+    parts, info = partition_columns(spark, name), _described(spark, name)
+    old = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    changed = [f.name for f in schema.fields if old[f.name] != f.dataType]
+    if set(changed) & set(parts):
+        raise TypeError(f"{name}: the type of partition column {', '.join(sorted(set(changed) & set(parts)))} cannot change")
+    if info.get("Type") == "MANAGED" or info.get("Provider", "parquet").lower() != "parquet":
+        raise TypeError(f"{name}: only external Parquet tables can take wider types ({', '.join(changed)})")
+    finish_swap(spark, name)
+    _declare(spark, name + _NEXT, schema, parts, info["Location"], _properties(spark, name), info.get("Comment"))
+    _take_name(spark, name, bool(parts))
+    spark.catalog.refreshTable(name)
+
+
+def _declare(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+    location: str,
+    properties: Mapping[str, str],
+    comment: str | None = None,
+) -> None:
+    """An external Parquet table on a folder, which may hold files already."""
+    ddl = spark.sparkContext._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
+    by = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
+    with_comment = f" COMMENT '{_sql_text(comment)}'" if comment else ""
+    listed = ", ".join(f"'{_sql_text(k)}' = '{_sql_text(v)}'" for k, v in properties.items())
+    with_properties = f" TBLPROPERTIES ({listed})" if listed else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet{by} LOCATION '{location}'{with_comment}{with_properties}")
+
+
 # --- writes ------------------------------------------------------------------
 
 
@@ -214,11 +269,21 @@ def finish_swap(spark: SparkSession, name: str) -> None:
             spark.sql(f"DROP TABLE IF EXISTS {name}{suffix}")
 
 
+def _take_name(spark: SparkSession, name: str, partitioned: bool) -> None:
+    """Let ``<name>__strata_next``, complete but for its partitions, replace the table."""
+    if partitioned:
+        spark.sql(f"ALTER TABLE {name}{_NEXT} RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}{_PREVIOUS}")
+    spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {name}")
+    finish_swap(spark, name)
+
+
 def _swap_write(
-    spark: SparkSession, name: str, state: DataFrame, partition_by: Sequence[str] = ()
+    spark: SparkSession, name: str, state: DataFrame, partition_by: Sequence[str] = (), properties: Mapping[str, str] | None = None
 ) -> None:
     """Write a full new state of a table to a fresh folder and re-point the
-    table to it; the old folder is untouched until the switch."""
+    table to it; the old folder is untouched until the switch. A partitioned table takes the types of the state,
+    and ``properties`` beside its own."""
     current = table_location(spark, name).rstrip("/")
     parent = current.rsplit("/", 1)[0]
     new_path = f"{parent}/{uuid.uuid4().hex}"
@@ -231,17 +296,9 @@ def _swap_write(
         # table is not enough: a complete table on the new folder takes its
         # name by two renames, and ``finish_swap`` mends a crash between them.
         finish_swap(spark, name)
-        properties = ", ".join(
-            f"'{_sql_text(r[0])}' = '{_sql_text(r[1])}'"
-            for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-            if not r[0].startswith(("transient_", "spark.sql."))
-        )
-        with_properties = f" TBLPROPERTIES ({properties})" if properties else ""
-        spark.sql(f"CREATE TABLE {name}{_NEXT} LIKE {name} USING parquet LOCATION '{new_path}'{with_properties}")
-        spark.sql(f"ALTER TABLE {name}{_NEXT} RECOVER PARTITIONS")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {name}{_PREVIOUS}")
-        spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {name}")
-        finish_swap(spark, name)
+        info = _described(spark, name)
+        _declare(spark, name + _NEXT, state.schema, partition_by, new_path, _properties(spark, name) | dict(properties or {}), info.get("Comment"))
+        _take_name(spark, name, True)
     else:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
     spark.catalog.refreshTable(name)
@@ -267,18 +324,20 @@ def merge_into(
     keys: Sequence[str],
     null_safe: bool = False,
     checked: bool = False,
+    newest_by: Sequence[str] = (),
 ) -> LoadResult:
     """Upsert into an unpartitioned table (matched -> update all columns,
     not matched -> insert, no delete). Raises when the source holds a key twice;
-    a caller that has just checked that says so with ``checked``."""
+    a caller that has just checked that says so with ``checked``. With ``newest_by`` a row
+    of the table that is greater by these columns stays."""
     if not checked:
         require_unique(source, keys, null_safe)
     if partition_columns(spark, name):
         raise ValueError(f"{name} is partitioned: use load_partitioned")
     evolve_schema(spark, name, source)
     target = spark.table(name)
-    state = merge_frames(target, source, keys, null_safe)
-    state, obs = observe(state, *op_counts(state))
+    state = merge_frames(target, source, keys, null_safe, newest_by)
+    state, obs = observe(state, *op_counts(op_name(target, source)))
     _swap_write(spark, name, state.select(*[quote(c) for c in target.columns]))
     m = obs.get
     return LoadResult(name, "merge", int(m["updated"] + m["inserted"]), int(m["updated"]), int(m["inserted"]))
@@ -291,13 +350,15 @@ def load_table(
     keys: Sequence[str] | str | None = None,
     null_safe: bool = False,
     history: bool = True,
+    newest_by: Sequence[str] = (),
 ) -> LoadResult:
     """Load a frame into a table.
 
     * table absent: create it with every row (no key check, no de-dup);
     * no key, or the key is not unique in the source (NULL counts as a
       value): append;
-    * otherwise: upsert on the key.
+    * otherwise: upsert on the key, the batch's row replacing the table's; with ``newest_by``
+      only where the table's row is not greater by these columns.
 
     Only a missing table leads to a create; any other error propagates.
     """
@@ -314,7 +375,7 @@ def load_table(
             if stats["rows"] == 0:
                 res = LoadResult(name, "merge", 0, 0, 0)  # nothing to write
             elif stats["is_unique"]:
-                res = merge_into(spark, name, staged, keys, null_safe, checked=True)
+                res = merge_into(spark, name, staged, keys, null_safe, checked=True, newest_by=newest_by)
             else:
                 res = append_table(spark, name, staged)
     if history:
@@ -334,6 +395,7 @@ def load_partitioned(
     match_partition: bool = True,
     null_safe: bool = False,
     history: bool = True,
+    newest_wins: bool = False,
 ) -> LoadResult:
     """De-duplicate by key, derive ``<date_col>_Partition`` and
     create or upsert a date-partitioned table (K5, K24).
@@ -343,7 +405,10 @@ def load_partitioned(
     stays, as in the original; this is also what lets the merge read only the
     touched partitions. Rows whose partition date is NULL never match.
     With ``match_partition=False`` the match is on the keys alone (a moved
-    row leaves its old partition), which needs the whole table rewritten.
+    row leaves its old partition), which needs the whole table rewritten
+    (``sinks.located`` keeps a key locator and rewrites what moves only).
+    A batch's row replaces the table's; with ``newest_wins`` only where the table's row is
+    not greater by ``order_by`` and ``tie_break``, so batches may arrive in any order.
     """
     part = f"{date_col}_Partition"
     fallbacks = [fallback_date_col] if fallback_date_col else []
@@ -355,7 +420,8 @@ def load_partitioned(
         res = create_table(spark, name, src, partition_by=[part])
     else:
         with staged_rows(evolve_schema(spark, name, src)) as batch:
-            res = merge_partitions(spark, name, batch, keys, part, match_partition, null_safe)
+            newest_by = [*order_by, *tie_break] if newest_wins else []
+            res = merge_partitions(spark, name, batch, keys, part, match_partition, null_safe, newest_by)
     if history:
         record_load(spark, res)
     return res
@@ -375,8 +441,9 @@ def touched_partitions(target: DataFrame, batch: DataFrame, part: str) -> DataFr
     parts = []
     if seen[0] is not None:
         within = p.between(F.lit(seen[0]), F.lit(seen[1]))
-        values = batch.filter(within).select(p.alias("__touched")).distinct()
-        parts.append(target.filter(within).join(values, p == F.col("__touched"), "left_semi"))
+        touched = free_name("__touched", target.columns)
+        values = batch.filter(within).select(p.alias(touched)).distinct()
+        parts.append(target.filter(within).join(values, p == F.col(touched), "left_semi"))
     if seen[2]:
         parts.append(target.filter(p.isNull()))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -390,6 +457,7 @@ def merge_partitions(
     part: str,
     match_partition: bool = True,
     null_safe: bool = False,
+    newest_by: Sequence[str] = (),
 ) -> LoadResult:
     """Upsert a materialised batch (one row per key) into a partitioned table."""
     target = spark.table(name)
@@ -398,10 +466,10 @@ def merge_partitions(
     if old is None:  # empty batch: nothing to write
         return LoadResult(name, "merge", 0, 0, 0)
     if match_partition:
-        state = merge_frames(old, batch, [*keys, part], null_safe)
+        state = merge_frames(old, batch, [*keys, part], null_safe, newest_by)
     else:
-        state = merge_frames(target, batch, keys, null_safe)
-    state, obs = observe(state, *op_counts(state))
+        state = merge_frames(target, batch, keys, null_safe, newest_by)
+    state, obs = observe(state, *op_counts(op_name(target, batch)))
     ordered = write_balanced(state.select(*columns), part)
     if match_partition:
         # only the touched partitions are rewritten

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import quote
+from strata.operators.schema import free_name
+
 
 def read_csv(
     spark: SparkSession,
@@ -48,7 +53,7 @@ def read_txt(
     driver) and the first line of **every** file is its header: it is dropped by
     position, so a data row with the same text stays, and a file whose header
     has other names or another order fails the read. An empty or missing field
-    is NULL; quotes have no meaning; fields beyond the columns are ignored."""
+    is NULL; quotes have no meaning; a line with more fields than columns fails the read."""
     paths = list(paths) if not isinstance(paths, str) else paths
     names = list(columns) if columns is not None else None
     if header:
@@ -62,15 +67,24 @@ def read_txt(
         raise ValueError("columns are required when the files have no header")
     else:
         found = names
+    line = free_name("line", found, names)
     reader = (
-        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in found]))
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*found, line]]))
+        .option("columnNameOfCorruptRecord", line)  # holds a line with too few or too many fields
         .option("sep", sep)
         .option("quote", "")
         .option("header", header)
         .option("enforceSchema", not header)  # compare each file's header with the names
+        .option("columnPruning", False)  # a pruned parser does not count the fields
         .option("mode", "PERMISSIVE")
     )
-    return reader.csv(paths).toDF(*names)
+    df = reader.csv(paths).toDF(*names, line)
+    fields = F.size(F.split(F.col(quote(line)), re.escape(sep), -1))
+    # Names the first field too, as Spark does not read the line column alone.
+    start = F.coalesce(F.col(quote(names[0])), F.lit(""))
+    message = F.concat(F.lit(f"more than {len(names)} fields: "), F.left(F.col(quote(line)), F.lit(200)), F.lit(" (first field: "), start, F.lit(")"))
+    # A filter, so that it is evaluated whatever columns are read.
+    return df.filter(F.when(fields > len(names), F.raise_error(message)).otherwise(F.lit(True))).drop(line)
 
 
 def read_table(

@@ -54,35 +54,6 @@ def test_merge_row_count_property(spark):
     assert m.count() == 100 + c["inserted"] and c == {"kept": 50, "updated": 50, "inserted": 80}
 
 
-def _canon(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)
-
-
-def test_broadcast_merge_equals_full_outer_merge(spark):
-    from strata.operators.merge import merge_frames_broadcast
-
-    t = spark.range(0, 60).select(
-        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id")).alias("k"), F.lit("t").alias("v"), F.lit(1).alias("only_t")
-    )
-    s = spark.range(40, 90).select(
-        F.when(F.col("id") % 13 == 0, None).otherwise(F.col("id")).alias("k"), F.lit("s").alias("v"), F.lit(2).alias("only_s")
-    )
-    for null_safe in (False, True):
-        if null_safe:
-            s = s.filter(F.col("k").isNotNull()).unionByName(s.filter(F.col("k").isNull()).limit(1))
-        assert _canon(merge_frames_broadcast(t, s, ["k"], null_safe)) == _canon(merge_frames(t, s, ["k"], null_safe))
-
-
-def test_broadcast_merge_does_not_shuffle_target(spark, tmp_path):
-    from strata.operators.merge import merge_frames_broadcast
-
-    p = str(tmp_path / "t")
-    spark.range(1000).withColumn("v", F.lit("t")).write.parquet(p)
-    plan = merge_frames_broadcast(spark.read.parquet(p), spark.range(5).withColumn("v", F.lit("s")), ["id"])
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-
-
 def test_merge_splits_a_hot_target_key(spark):
     """A key holding a third of the target (left by earlier appends) is split
     over several tasks by AQE, which a full outer join would not allow."""
