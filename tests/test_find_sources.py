@@ -160,9 +160,12 @@ def test_csv_keeps_malformed_lines(spark, tmp_path):
 
 
 def test_text_without_header(spark, tmp_path):
-    (tmp_path / "t.txt").write_text("1|x\n2|y|extra\n3\n")
+    (tmp_path / "t.txt").write_text("1|x\n2|y\n3\n")
     got = sorted(map(tuple, read_txt(spark, str(tmp_path / "t.txt"), columns=["k", "s"], header=False).collect()))
     assert got == [("1", "x"), ("2", "y"), ("3", None)]
+    (tmp_path / "u.txt").write_text("1|x\n2|y|extra\n3\n")
+    with pytest.raises(Exception, match="more than 2 fields: 2\\|y\\|extra"):  # fields are not dropped
+        read_txt(spark, str(tmp_path / "u.txt"), columns=["k", "s"], header=False).collect()
 
 
 def test_nested_field_filter(spark):
