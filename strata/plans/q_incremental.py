@@ -181,15 +181,14 @@ def bags_differ(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.summary.select("status", "missing", "extra", "changed", "source_rows", "destination_rows")
 
 
-# The priorities that each load delivers; one priority comes twice.
-LOADS = (("1-URGENT", "2-HIGH"), ("1-URGENT", "3-MEDIUM", "4-NOT SPECIFIED"), ())
+# The value dates that each load delivers (from, before); some months come twice.
+LOADS = (("", "1994-07-01"), ("1994-04-01", "1996-07-01"), ("1996-07-01", "~"))
 LOAD_TIMES = ("2024-05-01 20:30:00", "2024-05-02 20:30:00", "2024-05-03 20:30:00")
 
 
 def _delivered(text: DataFrame, n: int) -> DataFrame:
-    known = [p for load in LOADS for p in load]
-    p = F.col("`TRANSACTION DETAILS`")
-    return text.filter(p.isin(list(LOADS[n]))) if LOADS[n] else text.filter(~p.isin(known) | p.isNull())
+    day = F.coalesce(F.col("`VALUE DATE`"), F.lit(""))
+    return text.filter((day >= LOADS[n][0]) & (day < LOADS[n][1]))
 
 
 @query(
@@ -210,15 +209,17 @@ bronze AS (
     + O.typed_money("DEPOSIT AMT")
     + " AS DepositAMT, "
     + O.typed_money("BALANCE AMT")
-    + f""" AS BalanceAMT
+    + f""" AS BalanceAMT,
+         "VALUE DATE" AS ValueText
   FROM raw_text),
 keyed AS (SELECT *, {O.SURROGATE_KEY} AS Id FROM bronze),
 silver_rows AS (SELECT DISTINCT Id, AccountNo, Date, DepositAMT, BalanceAMT FROM keyed WHERE Id IS NOT NULL),
-rejects AS (SELECT AccountNo, BalanceAMT, TransactionDetails FROM keyed WHERE Id IS NULL)
+rejects AS (SELECT AccountNo, BalanceAMT, ValueText FROM keyed WHERE Id IS NULL)
 SELECT 'silver' AS layer, Id AS row_key, AccountNo AS account, Date AS day, CAST(BalanceAMT AS DECIMAL(28,2)) AS amount FROM silver_rows
 UNION ALL SELECT 'gold', AccountNo, AccountNo, max(Date), CAST(sum(DepositAMT) AS DECIMAL(28,2)) FROM silver_rows GROUP BY AccountNo
 UNION ALL SELECT 'rejects', NULL, AccountNo, NULL, CAST(BalanceAMT AS DECIMAL(28,2)) FROM rejects
-UNION ALL SELECT 'rejects', NULL, AccountNo, NULL, CAST(BalanceAMT AS DECIMAL(28,2)) FROM rejects WHERE TransactionDetails = '1-URGENT'""",
+UNION ALL SELECT 'rejects', NULL, AccountNo, NULL, CAST(BalanceAMT AS DECIMAL(28,2)) FROM rejects
+WHERE ValueText >= '{LOADS[1][0]}' AND ValueText < '{LOADS[0][1]}'""",
 )
 def medallion_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B6 in three loads, the second landed twice: each run reads the loads and partitions it has not taken, and the
