@@ -112,3 +112,14 @@ def test_query_finds_whole_items(spark):
     want = {(d.doc_id, i.item_id) for d in docs for i in items if best_distance(words_of(i.text), words_of(d.text)) <= len(words_of(i.text)) // 5 and len(words_of(i.text)) >= 5}
     got = {(r.doc_id, r.item_id) for r in E.queries()["op4_benchmark_leaks"](spark, SF_SMALL).collect()}
     assert got == want
+
+
+def test_case_in_every_script_and_single_words(spark):
+    greek = "η γρήγορη καφέ αλεπού πηδάει πάνω από τον τεμπέλη σκύλος"
+    cyrillic = "быстрая коричневая лиса прыгает через ленивую собаку"
+    docs = [(1, "x " + greek.upper() + " y"), (2, "x " + cyrillic.title() + " y"), (3, "The rest is clean"), (4, "ΣΚΎΛΟΣ alone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, greek), (2, cyrillic), (3, "The"), (4, "σκύλος")], "item_id long, text string")
+    got = {r.doc_id: [(x.item_id, x.distance) for x in r.leaks] for r in D.find_leaks(df, bench).collect()}
+    assert got[1] == [(1, 0), (4, 0)] and got[2] == [(2, 0)] and got[3] == [(3, 0)] and got[4] == [(4, 0)]
+    assert sorted(r.doc_id for r in D.drop_leaks(df, bench).collect()) == [3, 4] and D.single_word_items(bench) == 2
