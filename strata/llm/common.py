@@ -59,6 +59,13 @@ def free(stem: str, taken: Iterable[str]) -> str:
     return name
 
 
+def set_aside(names: Iterable[str]) -> tuple[list[Column], list[Column]]:
+    """Columns an operator only carries: under numbered names for the time of its work, so that none is
+    taken for one of its own, and back under theirs."""
+    names = list(names)
+    return [F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(names)], [F.col(f"_in{i}").alias(c) for i, c in enumerate(names)]
+
+
 def bounded_join(big: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
     """Join a materialised small frame: broadcast only when its counted rows are few."""
     if small.count() <= BROADCAST_ROWS:

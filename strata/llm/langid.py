@@ -217,15 +217,18 @@ def identify(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     held = common.crc_mod(id_col, 4) == 2
     model = fit(docs.filter(~held), text_col=text_col, lang_col=lang_col, id_col=id_col)
     names = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score", "ambiguous")]
-    out = docs.withColumn("__guess", predict(model, docs.sparkSession, F.col(text_col)))
-    return out.select(*[F.col(f"`{c}`") for c in names], held.alias("held_out"), "__guess.lang_pred", "__guess.score", "__guess.ambiguous")
+    mark = common.free("guess", docs.columns)
+    out = docs.withColumn(mark, predict(model, docs.sparkSession, F.col(text_col)))
+    guessed = [F.col(f"{mark}.{c}") for c in ("lang_pred", "score", "ambiguous")]
+    return out.select(*[F.col(f"`{c}`") for c in names], held.alias("held_out"), *guessed)
 
 
 def keep_identified(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
     """The input rows whose language is known: those predicted ``und`` or flagged ambiguous go."""
     model = fit(docs.filter(common.crc_mod(id_col, 4) != 2), text_col=text_col, lang_col=lang_col, id_col=id_col)
-    g = F.col("__guess")
-    guessed = docs.withColumn("__guess", predict(model, docs.sparkSession, F.col(text_col)))
+    mark = common.free("guess", docs.columns)
+    g = F.col(mark)
+    guessed = docs.withColumn(mark, predict(model, docs.sparkSession, F.col(text_col)))
     return guessed.filter((g["lang_pred"] != UNKNOWN) & ~g["ambiguous"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -35,9 +35,10 @@ def interleave_shards(
     ``shard`` or ``slot`` are replaced.
     """
     names = [c for c in docs.columns if c not in ("shard", "slot")]
+    held, back = common.set_aside(names)
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ([id_col, tie] if tie else [id_col])]
     dealt = docs.select(
-        *[F.col(f"`{c}`") for c in names],
+        *held,
         F.xxhash64(F.lit(seed), *keys).alias("__hash"),
         F.concat_ws("\x00", *keys).alias("__tie"),
         F.col(source_col).cast("string").alias("__stratum"),
@@ -53,7 +54,7 @@ def interleave_shards(
     shard = F.expr(f"(__all_n - 1) * {n_shards} div {max(total, 1)}")
     p = p.withColumn("shard", shard.cast("int"))
     first = F.expr(f"(cast(shard as bigint) * {total} + {n_shards - 1}) div {n_shards}")
-    return p.withColumn("slot", (F.col("__all_n") - 1 - first).cast("long")).select(*[F.col(f"`{c}`") for c in names], "shard", "slot")
+    return p.withColumn("slot", (F.col("__all_n") - 1 - first).cast("long")).select(*back, "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -199,12 +199,13 @@ def near_duplicates(
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
     """The input rows less near-duplicates: one row per component, that with the smallest id."""
     # Rows are told apart by id and a hash of the text; rows alike in both are copies.
-    known = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__text": F.xxhash64(text_col)})
-    found = near_duplicates(known, id_col=id_col, text_col=text_col, k=k, max_bits=max_bits, seed=seed, carry=["__id", "__text"])
+    own = [common.free(c, docs.columns) for c in ("row_id", "text_hash")]
+    known = docs.withColumns(dict(zip(own, (F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col)), strict=True)))
+    found = near_duplicates(known, id_col=id_col, text_col=text_col, k=k, max_bits=max_bits, seed=seed, carry=own)
     heads = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("component")
-    heads = common.cut(heads.agg(F.min(F.struct("__id", "__text")).alias("h")).select("h.*"))
+    heads = common.cut(heads.agg(F.min(F.struct(*own)).alias("h")).select("h.*"))
     # The texts are shuffled once: the join and the aggregate share the partitioning.
-    kept = known.join(heads, ["__id", "__text"]).dropDuplicates(["__id", "__text"])
+    kept = known.join(heads, own).dropDuplicates(own)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -172,11 +172,8 @@ def judge(urls: DataFrame, array: DigestArray, url_col: str = "url", default: st
     names = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
     split = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
-    parsed = urls.select(
-        *[F.col(f"`{c}`") for c in names],
-        common.ascii_lower(F.regexp_extract(url, split, 1)).alias("__host"),
-        F.regexp_extract(url, split, 2).alias("__path"),
-    )
+    held, back = common.set_aside(names)
+    parsed = urls.select(*held, common.ascii_lower(F.regexp_extract(url, split, 1)).alias("host"), F.regexp_extract(url, split, 2).alias("path"))
     lengths = array.lengths
 
     @F.pandas_udf("rule string, verdict string")
@@ -207,15 +204,8 @@ def judge(urls: DataFrame, array: DigestArray, url_col: str = "url", default: st
                 "verdict": [("block" if found[best[i]] else "allow") if i in best else default for i in range(n)],
             })
 
-    m = match(F.col("__host"), F.col("__path"))
-    judged = parsed.withColumn("__m", m)
-    return judged.select(
-        *[F.col(f"`{c}`") for c in names],
-        F.col("__host").alias("host"),
-        F.col("__path").alias("path"),
-        F.col("__m.rule").alias("rule"),
-        F.col("__m.verdict").alias("verdict"),
-    )
+    judged = parsed.withColumn("judged", match(F.col("host"), F.col("path")))
+    return judged.select(*back, "host", "path", "judged.rule", "judged.verdict")
 
 
 # The rules of the query: fixed values of its contract.
