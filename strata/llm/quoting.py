@@ -1,11 +1,14 @@
 """Chat formatting by quotation linking (DataFrame functions only).
 
 A message's lines are read as quote levels (the number of leading ``>``); runs of one
-level are passages. Each quoted passage, of whatever level, is normalised and hashed, whole and
+level are passages. Each quoted passage, of whatever level, is normalised and hashed (two 64-bit hashes), whole and
 line by line, and joined to the messages whose own (unquoted) text has that hash. The quotes
 then leave the text, the best linked message of the shallowest level that links becomes the parent,
 and messages are put into reply order: threads by their first message, turns within.
 
+Messages are parsed once, into a stored table with a row number. Hashes, links and ranks are joined and sorted without
+texts; one join by row number brings the decisions back to them.
+
 Before the join the originals are reduced to the first message per passage, once per
 conversation and once over all (there with that of the next conversation, for quotes from the first
 one itself), so a passage that many messages share yields at most two rows per quote.
@@ -38,7 +41,10 @@ def _level(line: Column) -> Column:
 def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``own_text`` (without quotes and attribution lines) and ``passages``: array of
     (level, text), the runs of quoted lines in order. A null text stays null."""
-    lines = F.split(F.col(text_col), r"\r?\n")
+    held, back = common.set_aside(messages.columns)
+    text = F.col("__text")
+    messages = messages.select(*held, F.col(text_col).alias("__text"))
+    lines = F.split(text, r"\r?\n")
     tagged = F.transform(lines, lambda x: F.struct(_level(x).alias("level"), F.regexp_replace(x, _MARKS + " ?", "").alias("text")))
     m = messages.withColumn("__lines", tagged)
     level = lambda i: F.get(F.col("__lines"), i)["level"]
@@ -62,11 +68,11 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     m = m.withColumn("__runs", F.transform("__runs", without_attribution))
     own = F.array_join(F.filter(F.filter("__runs", lambda r: r["level"] == 0)["text"], lambda t: t != ""), "\n")
     quoted = F.filter("__runs", lambda r: (r["level"] > 0) & (normalised(r["text"]) != ""))
-    plain = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"(?m)" + _MARKS)
+    plain = ~F.coalesce(text, F.lit("")).rlike(r"(?m)" + _MARKS)
     return m.select(
-        *[F.col(f"`{c}`") for c in messages.columns],
-        F.when(plain, F.col(text_col)).otherwise(own).alias("own_text"),
-        F.when(plain | F.col(text_col).isNull(), F.array().cast("array<struct<level:int,text:string>>")).otherwise(quoted).alias("passages"),
+        *back,
+        F.when(plain, text).otherwise(own).alias("own_text"),
+        F.when(plain | text.isNull(), F.array().cast("array<struct<level:int,text:string>>")).otherwise(quoted).alias("passages"),
     )
 
 
@@ -100,52 +106,57 @@ def link_quotes(
     """
     added = ("own_text", "passages", "n_quotes", "quote_depth", "parent_conv", "parent_turn", "thread_turn", "position", originals_col)
     names = [c for c in messages.columns if c not in added]
-    m = parse_quotes(messages.select(*[F.col(f"`{c}`") for c in names]), text_col)
-    m = m.withColumns({"__conv": F.col(conv_col), "__turn": F.col(turn_col)})
-
-    said = m.filter("own_text <> ''").select("__conv", "__turn", F.explode(_keys(F.col("own_text"))).alias("norm"))
-    said = said.withColumn("hash", F.xxhash64("norm"))
-    quoted = m.filter(F.size("passages") > 0).select("__conv", "__turn", F.explode("passages").alias("p"))
-    quoted = quoted.select("__conv", "__turn", "p.level", F.xxhash64("p.text").alias("passage"), F.explode(_keys(F.col("p.text"))).alias("norm"))
-    quoted = quoted.groupBy("__conv", "__turn", "norm").agg(F.min("level").alias("level"), F.collect_set("passage").alias("of"))
-    quoted = common.cut(quoted.withColumn("hash", F.xxhash64("norm")))
-
-    asked = quoted.select("hash", "norm").distinct()
-    said = said.join(asked, ["hash", "norm"], "left_semi")
-    here = said.groupBy("__conv", "hash", "norm").agg(F.min("__turn").alias("first_turn"))
-    two = here.withColumn("n", F.row_number().over(Window.partitionBy("hash", "norm").orderBy(F.col("__conv").asc_nulls_first()))).filter("n <= 2")
-    one = lambda n: F.max(F.when(F.col("n") == n, F.struct(F.col("__conv").alias("c"), F.col("first_turn").alias("t"))))
-    anywhere = two.groupBy("hash", "norm").agg(one(1).alias("first"), one(2).alias("second"))
-    h = here.select(F.col("__conv").alias("h_conv"), F.col("hash").alias("h_hash"), F.col("norm").alias("h_norm"), "first_turn")
-    same = F.col("__conv").eqNullSafe(F.col("h_conv")) & (F.col("hash") == F.col("h_hash")) & (F.col("norm") == F.col("h_norm"))
-    found = quoted.join(h, same, "left").join(anywhere, ["hash", "norm"], "left")
-    earlier = F.col("first_turn") < F.col("__turn")
-    elsewhere = F.when(F.col("first.c").eqNullSafe(F.col("__conv")), F.col("second")).otherwise(F.col("first"))
+    held, back = common.set_aside(c for c in names if c != text_col)
+    tie = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in names]).alias("tie")
+    own = [F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(text_col).alias("text"), tie]
+    m = parse_quotes(messages.select(*held, *own), "text").drop("text").withColumn("row", F.monotonically_increasing_id())
+    m = common.stored(m)
+
+    hashes = [F.xxhash64("norm").alias("hash"), F.xxhash64(F.lit(1), "norm").alias("check")]
+    said = m.filter("own_text <> ''").select("conv", "turn", F.explode(_keys(F.col("own_text"))).alias("norm")).select("conv", "turn", *hashes)
+    quoted = m.filter(F.size("passages") > 0).select("conv", "turn", F.explode("passages").alias("p"))
+    quoted = quoted.select("conv", "turn", "p.level", F.xxhash64("p.text").alias("passage"), F.explode(_keys(F.col("p.text"))).alias("norm"))
+    quoted = quoted.select("conv", "turn", "level", "passage", F.length("norm").alias("chars"), *hashes).groupBy("conv", "turn", "hash", "check")
+    quoted = common.cut(quoted.agg(F.min("level").alias("level"), F.collect_set("passage").alias("of"), F.max("chars").alias("chars")))
+
+    said = said.join(quoted.select("hash", "check").distinct(), ["hash", "check"], "left_semi")
+    here = common.cut(said.groupBy("conv", "hash", "check").agg(F.min("turn").alias("first_turn")))
+    two = here.withColumn("n", F.row_number().over(Window.partitionBy("hash", "check").orderBy(F.col("conv").asc_nulls_first()))).filter("n <= 2")
+    one = lambda n: F.max(F.when(F.col("n") == n, F.struct(F.col("conv").alias("c"), F.col("first_turn").alias("t"))))
+    anywhere = two.groupBy("hash", "check").agg(one(1).alias("first"), one(2).alias("second"))
+    h = here.select(F.col("conv").alias("h_conv"), F.col("hash").alias("h_hash"), F.col("check").alias("h_check"), "first_turn")
+    same = F.col("conv").eqNullSafe(F.col("h_conv")) & (F.col("hash") == F.col("h_hash")) & (F.col("check") == F.col("h_check"))
+    found = quoted.join(h, same, "left").join(anywhere, ["hash", "check"], "left")
+    earlier = F.col("first_turn") < F.col("turn")
+    elsewhere = F.when(F.col("first.c").eqNullSafe(F.col("conv")), F.col("second")).otherwise(F.col("first"))
     found = found.select(
-        "__conv", "__turn", "level", "of", F.length("norm").alias("chars"),
-        F.when(earlier, F.struct(F.lit(1).alias("near"), F.col("__conv").alias("c"), F.col("first_turn").alias("t")))
+        "conv", "turn", "level", "of", "chars",
+        F.when(earlier, F.struct(F.lit(1).alias("near"), F.col("conv").alias("c"), F.col("first_turn").alias("t")))
         .when(elsewhere.isNotNull(), F.struct(F.lit(0).alias("near"), elsewhere["c"].alias("c"), elsewhere["t"].alias("t"))).alias("to"),
     ).filter("to is not null")
     found = common.cut(found) if originals_col else found
     best = [F.col("to.near").alias("near"), F.col("most"), F.col("all"), F.col("to.t").alias("t"), F.col("to.c").alias("c")]
     matched = [F.max("chars").alias("most"), F.sum("chars").alias("all")]
-    votes = found.groupBy("__conv", "__turn", "level", "to").agg(*matched)
+    votes = found.groupBy("conv", "turn", "level", "to").agg(*matched)
     best_of_all = F.max(F.struct((-F.col("level")).alias("up"), *best)).alias("b")
-    parents = common.cut(votes.groupBy("__conv", "__turn").agg(best_of_all).select(
-        F.col("__conv").alias("p_conv"), F.col("__turn").alias("p_turn"), F.col("b.c").alias("parent_conv"), F.col("b.t").alias("parent_turn")))
+    parents = common.cut(votes.groupBy("conv", "turn").agg(best_of_all).select(
+        F.col("conv").alias("p_conv"), F.col("turn").alias("p_turn"), F.col("b.c").alias("parent_conv"), F.col("b.t").alias("parent_turn")))
 
     roots = thread_roots(parents.filter(F.col("p_conv").eqNullSafe(F.col("parent_conv"))).select(
         F.col("p_conv").alias("conv"), F.col("p_turn").alias("turn"), F.col("parent_turn").alias("root")))
     p = parents.join(roots, F.col("p_conv").eqNullSafe(F.col("conv")) & F.col("p_turn").eqNullSafe(F.col("turn")), "left").select(
         "p_conv", "p_turn", "parent_conv", "parent_turn", "root")
-    linked = m.join(p, F.col("__conv").eqNullSafe(F.col("p_conv")) & F.col("__turn").eqNullSafe(F.col("p_turn")), "left")
+    linked = m.select("row", "conv", "turn", "tie").join(p, F.col("conv").eqNullSafe(F.col("p_conv")) & F.col("turn").eqNullSafe(F.col("p_turn")), "left")
+    linked = linked.select("row", "conv", "turn", "tie", "parent_conv", "parent_turn", F.coalesce("root", F.col("turn")).alias("thread_turn"))
+    order = [F.col("thread_turn").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("tie").asc()]
+    placed = common.ranked(linked, ["conv"], order, prefix="place")
     originals = []
     if originals_col:
-        each = found.withColumn("passage", F.explode("of")).groupBy("__conv", "__turn", "passage", "to").agg(*matched)
-        each = each.groupBy("__conv", "__turn", "passage").agg(F.max(F.struct(*best)).alias("b"))
+        each = found.withColumn("passage", F.explode("of")).groupBy("conv", "turn", "passage", "to").agg(*matched)
+        each = each.groupBy("conv", "turn", "passage").agg(F.max(F.struct(*best)).alias("b"))
         entry = F.struct("passage", F.struct(F.col("b.c").alias("conv"), F.col("b.t").alias("turn")))
-        o = each.groupBy(F.col("__conv").alias("o_conv"), F.col("__turn").alias("o_turn")).agg(F.map_from_entries(F.collect_list(entry)).alias("o_of"))
-        linked = linked.join(o, F.col("__conv").eqNullSafe(F.col("o_conv")) & F.col("__turn").eqNullSafe(F.col("o_turn")), "left")
+        o = each.groupBy(F.col("conv").alias("o_conv"), F.col("turn").alias("o_turn")).agg(F.map_from_entries(F.collect_list(entry)).alias("o_of"))
+        placed = placed.join(o, F.col("conv").eqNullSafe(F.col("o_conv")) & F.col("turn").eqNullSafe(F.col("o_turn")), "left")
 
         def with_original(p: Column) -> Column:
             to = F.col("o_of")[F.xxhash64(p["text"])]
@@ -153,19 +164,13 @@ def link_quotes(
             return F.struct(p["level"].alias("level"), p["text"].alias("text"), *at)
 
         originals = [F.transform("passages", with_original).alias(originals_col)]
-    out = linked.select(
-        *[F.col("own_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
+    carried = iter(back)
+    return m.drop("conv", "turn", "tie").join(placed.drop("conv", "turn", "tie"), "row").select(
+        *[F.col("own_text").alias(c) if c == text_col else next(carried) for c in names],
         F.size("passages").alias("n_quotes"),
         F.coalesce(F.array_max(F.col("passages")["level"]), F.lit(0)).alias("quote_depth"),
-        F.col("parent_conv"), F.col("parent_turn"),
-        F.coalesce("root", F.col("__turn")).alias("thread_turn"),
-        *originals,
-        F.col("__conv"), F.col("__turn"),
-        F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in names]).alias("__tie"),
+        "parent_conv", "parent_turn", "thread_turn", *originals, F.col("place_n").alias("position"),
     )
-    order = [F.col("thread_turn").asc_nulls_first(), F.col("__turn").asc_nulls_first(), F.col("__tie").asc()]
-    placed = common.ranked(out, ["__conv"], order, prefix="__pos")
-    return placed.withColumn("position", F.col("__pos_n")).drop("__pos_n", "__conv", "__turn", "__tie")
 
 
 def thread_roots(links: DataFrame) -> DataFrame:
