@@ -86,9 +86,10 @@ def mix(
     an output column are replaced (``prefix`` goes before every output name).
     """
     out_names = [prefix + c for c in ("size", "source_size", "target", "copies", "taken")]
+    held, back = common.set_aside(c for c in docs.columns if c not in out_names)
     w = F.coalesce(F.when(quality > 0, quality.cast("double")), F.lit(1.0)) if quality is not None else F.lit(1.0)
     keyed = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in out_names],
+        *held,
         F.col(source_col).cast("string").alias("__mix_source"),
         (size if size is not None else common.word_count(F.col(text_col))).cast("long").alias("__mix_size"),
         sampling_key(F.col(id_col), w, seed).alias("__mix_key"),
@@ -125,7 +126,7 @@ def mix(
     extra = F.coalesce((own <= F.col("__plan_last")) & (F.col("__mix_size") > 0), F.lit(False)).cast("int")
     joined = common.bounded_join(keyed, plan, F.col("__mix_source").eqNullSafe(F.col("__plan_source")))
     return joined.select(
-        *[F.col(f"`{x}`") for x in docs.columns if x not in out_names],
+        *back,
         F.col("__mix_size").alias(out_names[0]),
         F.col("__plan_size").alias(out_names[1]),
         F.col("__plan_target").alias(out_names[2]),
@@ -135,34 +136,39 @@ def mix(
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
-    """(__label_id, __quality) from a labels table, one row per document: the mean
+    """(label_id, weight) from a labels table, one row per document: the mean
     weight when a document has several labels; rows without id or label are left out."""
     w = F.when(F.col("quality") == 1, F.lit(QUALITY[1])).when(F.col("quality") == 0, F.lit(QUALITY[0]))
     return (
-        labels.select(F.col("doc_id").alias("__label_id"), w.alias("w"))
-        .filter("__label_id is not null and w is not null")
-        .groupBy("__label_id")
-        .agg(F.avg("w").alias("__quality"))
+        labels.select(F.col("doc_id").alias("label_id"), w.alias("w"))
+        .filter("label_id is not null and w is not null")
+        .groupBy("label_id")
+        .agg(F.avg("w").alias("weight"))
     )
 
 
-def mix_documents(docs: DataFrame, labels: DataFrame, prefix: str = "") -> DataFrame:
+def mix_documents(docs: DataFrame, labels: DataFrame, prefix: str = "", size_col: str | None = None) -> DataFrame:
     """``mix`` over documents weighed by their labels; texts are counted before the
-    join, so a caller that drops the text shuffles only ids and sizes."""
-    sized = docs.withColumn("__size", common.word_count(F.col("text")))
-    q = quality_weights(labels)
+    join, so a caller that drops the text shuffles only ids and sizes. With ``size_col`` they are
+    counted already."""
+    size, label, weight = (common.free(c, docs.columns) for c in ("words", "label_id", "weight"))
+    sized = docs.withColumn(size, F.col(size_col) if size_col else common.word_count(F.col("text")))
+    q = quality_weights(labels).toDF(label, weight)
     # Documents are partitioned by id at every size, whatever the labels weigh.
-    joined = sized.join(q.hint("merge"), sized["doc_id"] == q["__label_id"], "left").drop("__label_id")
-    out = mix(joined, size=F.col("__size"), quality=F.col("__quality"), prefix=prefix)
-    return out.drop("__size", "__quality")
+    joined = sized.join(q.hint("merge"), sized["doc_id"] == q[label], "left").drop(label)
+    out = mix(joined, size=F.col(size), quality=F.col(weight), prefix=prefix)
+    return out.drop(size, weight)
 
 
 def apply_mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mixed documents: rows the mix leaves out go, rows it takes n times stand n times."""
     names = docs.columns
-    mixed = mix_documents(docs, labels, prefix="__mixed_").filter("__mixed_copies > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.col("__mixed_copies"))).alias("__copy")
-    return mixed.select(*[F.col(f"`{c}`") for c in names], copies).drop("__copy")
+    prefix = "mixed_"
+    while any(c.lower().startswith(prefix) for c in names):
+        prefix = f"_{prefix}"
+    mixed = mix_documents(docs, labels, prefix=prefix).filter(F.col(f"{prefix}copies") > 0)
+    copies = F.explode(F.sequence(F.lit(1), F.col(f"{prefix}copies"))).alias(f"{prefix}copy")
+    return mixed.select(*[F.col(f"`{c}`") for c in names], copies).drop(f"{prefix}copy")
 
 
 OP9_SQL = r"""
@@ -197,6 +203,7 @@ FROM w
 
 @query("op9_source_mixing", OP9_SQL)
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = mix_documents(docs, common.table(spark, sf_dir, "labels"))
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", common.word_count(F.col("text")).alias("n"))
+    # The mix reads its rows twice; the words are counted once.
+    mixed = mix_documents(common.cut(docs), common.table(spark, sf_dir, "labels"), size_col="n")
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
