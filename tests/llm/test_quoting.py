@@ -1,5 +1,8 @@
 """Quotation linking against a plain implementation on planted conversations."""
 
+import random
+import re
+
 import pytest
 
 from strata.llm import quoting as Q
@@ -108,6 +111,75 @@ def test_parse_matches_plain(spark, text):
     assert [(p.level, p.text) for p in r.passages] == passages
 
 
+def plain_keys(text):
+    normal = lambda t: re.sub(r"[\W_]+", " ", t.lower()).strip()
+    long = [normal(t) for t in re.split(r"\n[ \t]*\n", text) + text.split("\n")]
+    return {k for k in [normal(text)] if k} | {k for k in long if len(k) >= Q.MIN_LINE_CHARS}
+
+
+def plain_link(rows):
+    """(parent, thread turn, position, originals) by (conversation, turn), message by message; null conversations are -1."""
+    parsed = {(c, t): plain_parse(text) for c, t, text in rows}
+    first = {}  # key -> conversation -> first turn that says it
+    for (c, t), (own, _) in parsed.items():
+        for k in plain_keys(own) if own else ():
+            says = first.setdefault(k, {})
+            says[c] = min(t, says.get(c, t))
+    out = {}
+    for (c, t), (_, passages) in parsed.items():
+        votes, levels, of = {}, {}, {}
+        for level, text in passages:
+            for k in plain_keys(text):
+                levels[k] = min(level, levels.get(k, level))
+        to = {}
+        for k in levels:
+            says = first.get(k, {})
+            others = sorted(x for x in says if x != c)
+            if says.get(c, t) < t:
+                to[k] = (1, c, says[c])
+            elif others:
+                to[k] = (0, others[0], says[others[0]])
+        best = lambda ks: max(
+            ((near, max(map(len, g)), sum(map(len, g)), tt, cc) for (near, cc, tt) in {to[k] for k in ks} for g in [[k for k in ks if to[k] == (near, cc, tt)]]), default=None)
+        shallow = min((levels[k] for k in to), default=None)
+        b = best([k for k in to if levels[k] == shallow])
+        for level, text in passages:
+            of[text] = best([k for k in plain_keys(text) if k in to])
+        out[c, t] = ((b[4], b[3]) if b else (None, None), [(lv, x, *((of[x][4], of[x][3], True) if of[x] else (None, None, False))) for lv, x in passages])
+
+    def root(c, t):
+        (pc, pt), _ = out[c, t]
+        return root(c, pt) if pc == c else t
+
+    place = {c: sorted((root(c, t), t) for (x, t) in out if x == c) for c in {c for c, _ in out}}
+    return {(c, t): (p, root(c, t), place[c].index((root(c, t), t)) + 1, o) for (c, t), (p, o) in out.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_match_plain(spark, seed):
+    rng = random.Random(seed)
+    pool = ["Yes.", "ok then", "The meeting is on Tuesday.", "Who brings the cake, then?", "Zoë will bring it along.", "nobody told me about this", "It was on the list (twice)!"]
+    pool += ["Ein längerer Satz über die Höhe.", "the list is wrong in places", "we should mend it soon"]
+
+    def message():
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            said = [rng.choice(pool) for _ in range(rng.randint(1, 3))]
+            mark = "> " * rng.choice([0, 0, 1, 1, 2, 3])
+            lines += [mark + (x.upper() if mark and rng.random() < 0.3 else x) for x in said] + [""] * (rng.random() < 0.3)
+        return "\n".join(lines)
+
+    rows = [(c, t, message()) for c in (-1, *range(1, 12)) for t in range(rng.randint(1, 7))]
+    df = spark.createDataFrame([(None if c < 0 else c, t, "user", text, "x") for c, t, text in rows], SCHEMA).repartition(5)
+    want = plain_link(rows)
+    conv = lambda c, found: None if not found else -1 if c is None else c
+    for r in Q.link_quotes(df, originals_col="originals").collect():
+        parent = (conv(r.parent_conv, r.parent_turn is not None), r.parent_turn)
+        originals = [(p.level, p.text, conv(p.conv, p.found), p.turn, p.found) for p in r.originals]
+        assert (parent, r.thread_turn, r.position, originals) == want[conv(r.conv_id, True), r.turn]
+    assert sum(p[0] != (None, None) for p in want.values()) > 20
+
+
 def test_query_covers_the_table(spark):
     import __spark_entry__ as E
 
