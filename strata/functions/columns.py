@@ -61,18 +61,35 @@ DATE_FORMATS = (
     "d-MMM-yyyy",
     "M/d/yyyy",
 )
+_NUMBER_FIELDS = frozenset(["yyyy", "yy", "y", "MM", "M", "dd", "d", "HH", "H", "mm", "m", "ss", "s", "SSSSSS", "SSS"])
 # Two-digit years up to this one are 20xx, later ones 19xx.
 LAST_SHORT_YEAR = 68
 
 
+def _shape(fmt: str) -> str:
+    """A pattern that every text which a date format accepts fits: its literal characters in any case, signed
+    digits for number fields, anything for other fields and optional parts."""
+    if "[" in fmt:
+        return ""
+    out = []
+    for part in re.finditer(r"'(?P<quoted>[^']*)'|(?P<field>([A-Za-z])\3*)|(?P<literal>.)", fmt):
+        field = part["field"]
+        if field is None:
+            out.append(re.escape(part["literal"] or part["quoted"] or "'"))
+        else:
+            out.append("[-+0-9]+" if field in _NUMBER_FIELDS else ".+")
+    return "(?is)^" + "".join(out) + "$"
+
+
 def parse_date(col: ColumnOrName, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Text to DATE by the first format that accepts it; a value no format
     accepts becomes NULL (never raises, also under ANSI mode). Blanks around
-    the text are ignored."""
+    the text are ignored. A format is tried only on text of its shape: a failed
+    try costs an exception."""
     c = F.trim(_c(col).cast("string"))
 
     def one(fmt: str) -> Column:
-        day = F.to_date(F.try_to_timestamp(c, F.lit(fmt)))
+        day = F.when(c.rlike(_shape(fmt)), F.to_date(F.try_to_timestamp(c, F.lit(fmt))))
         if re.search(r"(?<!y)yy(?!y)", fmt):
             day = F.when(F.year(day) > 2000 + LAST_SHORT_YEAR, F.to_date(F.add_months(day, -1200))).otherwise(day)
         return day
@@ -276,3 +293,21 @@ def cast_failures(
         else:
             out[f.name] = F.lit(0).cast("long")
     return out
+
+
+def conform_counted(
+    df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = DATE_FORMATS
+) -> tuple[DataFrame, dict[str, Column]]:
+    """``conform`` and ``cast_failures`` with every cell typed once: the schema's fields, followed by the cells as
+    they were in columns of other names, and the aggregates over that frame."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    typed = [f for f in schema.fields if f.name in types and types[f.name] != f.dataType]
+    stem = "__cell"
+    while any(n.startswith(stem) for n in schema.names):
+        stem = f"_{stem}"
+    cells = {f.name: f"{stem}{i}" for i, f in enumerate(typed)}
+    wide = df.select("*", *[F.col(quote(n)).alias(c) for n, c in cells.items()])
+    kept = [T.StructField(c, types[n]) for n, c in cells.items()]
+    out = conform(wide, T.StructType([*schema.fields, *kept]), date_formats)
+    lost = {n: F.count_if(lost_cell(F.col(c), F.col(quote(n)))) for n, c in cells.items()}
+    return out, {f.name: lost.get(f.name, F.lit(0).cast("long")) for f in schema.fields}

@@ -30,9 +30,9 @@ def bronze_load(
     """B1: clean a source frame, stamp the load time and land it as load ``load_id`` of bronze. Landing the same load again
     replaces it; the result carries the cells per column that typing had to drop."""
     prepared = prepared_transactions(raw_text)
-    counts = C.cast_failures(prepared, fx.TRANSACTION_SCHEMA)
-    counted, seen = observe(prepared, *[c.alias(n) for n, c in counts.items()])
-    batch = C.stamp_ingestion(C.conform(counted, fx.TRANSACTION_SCHEMA), "IngestionTime", tz, job_time(now))
+    typed, counts = C.conform_counted(prepared, fx.TRANSACTION_SCHEMA)
+    counted, seen = observe(typed, *[c.alias(n) for n, c in counts.items()])
+    batch = C.stamp_ingestion(counted.select(*fx.TRANSACTION_SCHEMA.names), "IngestionTime", tz, job_time(now))
     result = ledger.land(spark, table, batch, load_id)
     return replace(result, failures={n: int(v) for n, v in (observed(seen) or {}).items() if v})
 

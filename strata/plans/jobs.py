@@ -68,9 +68,9 @@ def bronze_transactions(
     and the loaded batch as bronze holds it (for the DQ step)."""
     now = job_time(now)
     prepared = prepared_transactions(raw_text)
-    counts = C.cast_failures(prepared, fx.TRANSACTION_SCHEMA)
-    counted, seen = observe(prepared, *[c.alias(n) for n, c in counts.items()])
-    batch = C.stamp_ingestion(C.conform(counted, fx.TRANSACTION_SCHEMA), "IngestionTime", tz, now)
+    typed, counts = C.conform_counted(prepared, fx.TRANSACTION_SCHEMA)
+    counted, seen = observe(typed, *[c.alias(n) for n, c in counts.items()])
+    batch = C.stamp_ingestion(counted.select(*fx.TRANSACTION_SCHEMA.names), "IngestionTime", tz, now)
     result = load_table(spark, table, batch)
     failures = {n: int(v) for n, v in (observed(seen) or {}).items() if v}
     loaded = spark.table(table).filter(F.col("IngestionTime") == C.local_time(tz, now))

@@ -1,7 +1,9 @@
 import datetime as dt
 import hashlib
+import re
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import columns as C
@@ -135,3 +137,25 @@ def test_cast_failures_are_counted(spark):
     row = df.agg(*[c.alias(n) for n, c in counts.items()]).first()
     assert row.asDict() == {"n": 1, "d": 1, "m": 2, "gone": 0}
     assert C.conform(df, schema).collect()[0].n == 1
+
+
+def test_cells_are_typed_once_and_formats_tried_by_shape(spark):
+    from strata.functions.columns import DATE_FORMATS, _shape, conform_counted
+
+    texts = ["2024-01-02", "2024-01-02 10:30:00", "2024-01-02t00:00:00", "2024-01-02T10:30:00.123456", "2-Jan-24", "02-JAN-1970", "1/2/2024",
+             "2-Jan-70", "2024-13-01", "not a date", "", None, "2024-01-02x", "+12024-01-02", "1/2/24", " 2024-01-02 ", "2024-1-2", "NaN"]
+    df = spark.createDataFrame([(t, t) for t in texts], "d string, `s.t` string")
+    plain = F.coalesce(*[F.to_date(F.try_to_timestamp(F.trim("d"), F.lit(f))) for f in DATE_FORMATS])
+    got = df.select("d", C.parse_date("d").cast("string").alias("a"), plain.cast("string").alias("b")).collect()
+    assert [tuple(r) for r in got if r["a"] != r["b"]] == [("2-Jan-70", "1970-01-02", "2070-01-02")]  # short years after 2068 go back a century
+    assert sum(re.search(_shape(f), "not a date") is not None for f in DATE_FORMATS) == 0
+    schema = T.StructType([T.StructField("d", T.DateType()), T.StructField("s.t", T.StringType()), T.StructField("new", T.LongType())])
+    typed, counts = conform_counted(df, schema)
+    assert typed.select(F.col("d").cast("string"), "`s.t`", "new").collect() == C.conform(df, schema).select(F.col("d").cast("string"), "`s.t`", "new").collect()
+    aggs = lambda c: [x.alias(f"n{i}") for i, x in enumerate(c.values())]
+    assert typed.agg(*aggs(counts)).first() == df.agg(*aggs(C.cast_failures(df, schema))).first()
+    from strata.sinks.tables import observe
+
+    out = observe(typed, *aggs(counts))[0].select("d")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp") in (len(DATE_FORMATS), len(DATE_FORMATS) + 2)  # the short-year format stands three times

@@ -1,4 +1,5 @@
 import io
+import re
 import json
 import zipfile
 
@@ -138,6 +139,50 @@ def test_workbook_date_cells():
     assert list(iter_rows(out.getvalue()))[1] == ["2024-01-02"]
 
 
+def test_plain_sheets_read_as_by_the_xml_parser(monkeypatch):
+    import random
+
+    from strata.sources import xlsx
+
+    def by_parser(data):
+        with monkeypatch.context() as m:
+            m.setattr(xlsx, "_PLAIN_ROW", re.compile("(?!)"))
+            return list(iter_rows(data))
+
+    rng = random.Random(7)
+    plain, odd = [None, "", "a", "  b ", "é漢", 1, 2.5, True], ["x&y", "<t>", "]]>", "l\nm"]
+    for values in (plain, plain + odd):
+        for n in (0, 1, 30, 3000):
+            rows = [[rng.choice(values) for _ in range(rng.randint(0, 5))] for _ in range(n)]
+            data = workbook_bytes(["a", "b"], rows)
+            assert list(iter_rows(data)) == by_parser(data)
+            text = [[("TRUE" if v else "FALSE") if isinstance(v, bool) else v if v is None else str(v) for v in r] for r in rows]
+            for r in text:
+                while r and r[-1] is None:
+                    r.pop()
+            assert list(iter_rows(data))[1:] == text
+    # plain rows make no parser events: only the elements around them do
+    started = []
+    monkeypatch.setattr(xlsx._Sheet, "_start", lambda self, name, attributes: started.append(name))
+    data = workbook_bytes(["a", "b"], [["x", 1]] * 50)
+    assert len(list(iter_rows(data))) == 51 and len(started) == 2
+
+
+def test_a_sheet_that_stops_being_plain_gives_every_row_once():
+    rows = [[f"r{i}", "x" * 100] for i in range(2000)] + [["a&b", "z"]] + [["last", "w"]] * 3
+    assert list(iter_rows(workbook_bytes(["a", "b"], rows)))[1:] == rows
+    cut = workbook_bytes(["a"], [["x"]] * 20)
+    with zipfile.ZipFile(io.BytesIO(cut)) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = parts["xl/worksheets/sheet1.xml"].replace(b"</sheetData>", b"")
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for n, b in parts.items():
+            z.writestr(n, b)
+    with pytest.raises(SyntaxError):
+        list(iter_rows(out.getvalue()))
+
+
 def test_collection_reader_needs_its_connector(spark):
     from strata.sources.databases import ConnectorMissingError, collection_options, read_collection
 
