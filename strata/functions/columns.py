@@ -85,11 +85,13 @@ def parse_date(col: ColumnOrName, formats: Sequence[str] = DATE_FORMATS) -> Colu
     """Text to DATE by the first format that accepts it; a value no format
     accepts becomes NULL (never raises, also under ANSI mode). Blanks around
     the text are ignored. A format is tried only on text of its shape: a failed
-    try costs an exception."""
+    try costs an exception. ISO days are cast."""
     c = F.trim(_c(col).cast("string"))
 
     def one(fmt: str) -> Column:
         day = F.when(c.rlike(_shape(fmt)), F.to_date(F.try_to_timestamp(c, F.lit(fmt))))
+        if fmt == "yyyy-MM-dd":
+            day = F.when(c.rlike(r"\A[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\z"), c.try_cast("date")).otherwise(day)
         if re.search(r"(?<!y)yy(?!y)", fmt):
             day = F.when(F.year(day) > 2000 + LAST_SHORT_YEAR, F.to_date(F.add_months(day, -1200))).otherwise(day)
         return day
@@ -244,14 +246,20 @@ def _typed(src: Column, have: T.DataType, want: T.DataType, date_formats: Sequen
     if isinstance(want, T.DateType) and isinstance(have, T.StringType):
         return parse_date(src, date_formats)
     if isinstance(want, T.DecimalType):
-        return to_money(src, want.precision, want.scale)
+        money = to_money(src, want.precision, want.scale)
+        whole = want.precision - want.scale
+        if not isinstance(have, T.StringType) or not 1 <= whole <= 20 or want.scale > 18:
+            return money
+        # digits that fit need no rounding
+        fits = rf"^-?[0-9]{{1,{whole}}}(\.[0-9]{{1,{want.scale}}})?$" if want.scale else rf"^-?[0-9]{{1,{whole}}}$"
+        return F.when(src.rlike(fits), src.try_cast(want)).otherwise(money)
     return src.try_cast(want)
 
 
 def lost_cell(src: Column, typed: Column) -> Column:
     """Whether a cell holds a value that typing made NULL; NULL, blank, ``NaN`` and the like are missing, not lost."""
     text = F.lower(F.trim(src.cast("string")))
-    return src.isNotNull() & ~text.isin(*MISSING_TEXTS) & typed.isNull()
+    return typed.isNull() & src.isNotNull() & ~text.isin(*MISSING_TEXTS)
 
 
 def conform(
@@ -298,8 +306,8 @@ def cast_failures(
 def conform_counted(
     df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = DATE_FORMATS
 ) -> tuple[DataFrame, dict[str, Column]]:
-    """``conform`` and ``cast_failures`` with every cell typed once: the schema's fields, followed by the cells as
-    they were in columns of other names, and the aggregates over that frame."""
+    """``conform`` and ``cast_failures`` with every cell typed once: the schema's fields, followed by columns that
+    mark the cells which typing lost, and the aggregates over that frame."""
     types = {f.name: f.dataType for f in df.schema.fields}
     typed = [f for f in schema.fields if f.name in types and types[f.name] != f.dataType]
     stem = "__cell"
@@ -309,5 +317,5 @@ def conform_counted(
     wide = df.select("*", *[F.col(quote(n)).alias(c) for n, c in cells.items()])
     kept = [T.StructField(c, types[n]) for n, c in cells.items()]
     out = conform(wide, T.StructType([*schema.fields, *kept]), date_formats)
-    lost = {n: F.count_if(lost_cell(F.col(c), F.col(quote(n)))) for n, c in cells.items()}
-    return out, {f.name: lost.get(f.name, F.lit(0).cast("long")) for f in schema.fields}
+    out = out.select(*[F.col(quote(n)) for n in schema.names], *[lost_cell(F.col(c), F.col(quote(n))).alias(c) for n, c in cells.items()])
+    return out, {f.name: F.count_if(F.col(cells[f.name])) if f.name in cells else F.lit(0).cast("long") for f in schema.fields}

@@ -154,6 +154,10 @@ def test_cells_are_typed_once_and_formats_tried_by_shape(spark):
     assert typed.select(F.col("d").cast("string"), "`s.t`", "new").collect() == C.conform(df, schema).select(F.col("d").cast("string"), "`s.t`", "new").collect()
     aggs = lambda c: [x.alias(f"n{i}") for i, x in enumerate(c.values())]
     assert typed.agg(*aggs(counts)).first() == df.agg(*aggs(C.cast_failures(df, schema))).first()
+    amounts = ["1", "-1.5", "12.345", "1e3", "+7", " 8.10 ", "9999999999999999.99", "99999999999999999", "0.005", "1.", ".5", "NaN", "-0", "1\n", "1d", ""]
+    money = T.StructType([T.StructField("x", T.DecimalType(18, 2))])
+    sums = spark.createDataFrame([(a,) for a in amounts], "x string")
+    assert C.conform(sums, money).collect() == sums.select(C.to_money("x").alias("x")).collect()
     from strata.sinks.tables import observe
 
     out = observe(typed, *aggs(counts))[0].select("d")
