@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,15 @@ def stored(df: DataFrame, path: str | None = None, *partition: str) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Hand what a task has freed back to the system, at its end: workers are reused, so what their
+    allocators keep from one operator's tasks counts against the next one's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def free(stem: str, taken: Iterable[str]) -> str:
     """A column name from ``stem`` that is none of ``taken``, whatever their case."""
     held, name = {c.lower() for c in taken}, stem

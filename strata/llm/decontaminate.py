@@ -174,6 +174,8 @@ def _leaks_udf(held):
         for col in batches:
             rows = [[(i, *hit) for i, hit in sorted(found.items())] for found in match_column(col, held.value)]
             yield pa.array([[dict(zip(_HIT, r, strict=True)) for r in row] for row in rows], pa.list_(kind))
+            del col
+        common.release_memory()
 
     return leaks.asNondeterministic()
 

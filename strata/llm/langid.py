@@ -145,6 +145,8 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_
                 total = sums.setdefault(lang, np.zeros(FEATURES + 1, dtype=np.int64))
                 for both, _, _ in ngrams(b.column("text").take(pa.array(mine))):
                     total += np.bincount(both.ravel(), minlength=FEATURES + 1)
+            del b
+        common.release_memory()
         for lang, total in sums.items():
             f = np.flatnonzero(total[:FEATURES])
             f, c = np.append(f, FEATURES), np.append(total[f], docs[lang])  # the last entry: documents
@@ -179,6 +181,8 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_
                 mine = margins[[x == lang for x in langs]]
                 right = ((mine * m.codes[i]) > 0).sum(axis=0)
                 yield pa.RecordBatch.from_pydict({"i": [i] * len(right), "b": list(range(len(right))), "n": [len(mine)] * len(right), "ok": right.tolist()})
+            del b
+        common.release_memory()
 
     hits = sample.mapInArrow(judge, "i long, b long, n long, ok long").groupBy("i", "b").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok")).collect()
     reliable = np.ones(codes.shape)
@@ -201,6 +205,8 @@ def predict(model: LanguageModel, spark: SparkSession, text: Column) -> Column:
             yield pa.StructArray.from_arrays(
                 [names.cast(pa.string()), pa.array(score, pa.float64()), pa.array(score < AMBIGUOUS_BELOW)], ["lang_pred", "score", "ambiguous"]
             )
+            del col
+        common.release_memory()
 
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     none = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"))

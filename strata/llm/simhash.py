@@ -124,6 +124,8 @@ def fingerprint_udf(k: int = SHINGLE_WORDS, seed: int = SEED):
     def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for col in batches:
             yield pa.array(fingerprints(col, k, seed).view(np.int64))
+            del col
+        common.release_memory()
 
     return simhash.asNondeterministic()
 

@@ -37,8 +37,10 @@ SEQ_LEN = 2048
 BATCH_ROWS = 64
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Encoded words a worker keeps; beyond it only those met more than once stay.
-CACHE_BYTES = 128 << 20
+#: Encoded words a worker keeps while a task runs; beyond it only those met more than once stay.
+CACHE_BYTES = 64 << 20
+#: Of these, what it keeps between tasks, when other operators use the worker as well.
+RESTING_BYTES = 8 << 20
 _CALL_WORDS = 500
 _TAIL = r"([A-Za-z0-9])([.,;:!?]+)([\x09-\x0D ]|$)"
 _CASE_MATTERS = (b"\xcc", b"\xcd", b"<|")
@@ -114,10 +116,14 @@ class WordEncoder:
 
     def _shrink(self) -> None:
         """Keep the words met more than once since the last time; all, if that is none."""
-        words, hits = list(self.index), self.hits[: len(self.index)]
+        hits = self.hits[: len(self.index)]
         keep = np.flatnonzero(hits > 1)
-        if len(keep) > len(words) // 2:  # even these are many: only the more frequent half
+        if len(keep) > len(hits) // 2:  # even these are many: only the more frequent half
             keep = np.flatnonzero(hits > np.median(hits))
+        self._keep(keep)
+
+    def _keep(self, keep: np.ndarray) -> None:
+        words = list(self.index)
         ids, size = self._gather(keep)
         old = [words[i] for i in keep.tolist()]
         self.index = dict(zip(old, range(len(old)), strict=True))
@@ -126,6 +132,15 @@ class WordEncoder:
         self.first, self.size, self.hits = np.append(np.cumsum(size) - size, room), np.append(size, room), np.zeros(len(old) + len(room), np.int64)
         self.weight = sum(map(len, old)) + 160 * len(old) + 4 * len(ids)
 
+    def rest(self) -> None:
+        """Keep no more than ``RESTING_BYTES`` of words, the most frequent ones."""
+        if self.weight <= RESTING_BYTES:
+            return
+        n = len(self.index)
+        weights = np.fromiter(map(len, self.index), np.int64, n) + 160 + 4 * self.size[:n]
+        order = np.argsort(-self.hits[:n], kind="stable")
+        self._keep(np.sort(order[: np.searchsorted(np.cumsum(weights[order]), RESTING_BYTES, side="right")]))
+
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of words in a row, size of each) by their numbers."""
         size = self.size[at]
@@ -312,7 +327,11 @@ def write_token_files(
             w.write_table(index, max_chunksize=1 << 16)
         for end in ("docs", "arrow"):
             fs.move(f"{temp}.{end}", f"{name}.{end}")
-        yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(size)], "n_tokens": [int(size.sum())]})
+        total = int(size.sum())
+        yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(size)], "n_tokens": [total]})
+        del b, texts, off, ids, ends, ids_of, sizes, size, index, writer, sink
+        enc.rest()
+        common.release_memory()
 
     parts = common.cut(dealt.mapInArrow(store, "part long, n_docs long, n_tokens long"))
     return TokenFiles(path, parts)

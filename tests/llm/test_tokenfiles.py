@@ -48,6 +48,29 @@ def test_words_encode_like_whole_texts():
     assert enc.encode(arrow(["plain words here"]))[0].tolist() == tok.encode("plain words here", add_special_tokens=False).ids
 
 
+
+def test_workers_keep_few_words_between_tasks(spark):
+    """Workers are reused: after a task only the most frequent words stay, not all it met."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) + " often often" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    files = T.write_token_files(df, PATH)
+
+    def kept(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [e.weight for e in T._ENCODERS.values()]})
+
+    got = [r.n for r in spark.range(64).repartition(16).mapInArrow(kept, "n long").collect()]
+    assert all(n <= T.RESTING_BYTES for n in got)
+    assert sorted(tuple(r) for r in T.read_token_files(files).collect()) == plain(list(enumerate(texts)))
+    enc = T.WordEncoder(PATH)
+    before = enc.encode(pa.array(texts, pa.large_string()))
+    assert enc.weight > T.RESTING_BYTES
+    enc.rest()
+    assert 0 < enc.weight <= T.RESTING_BYTES and b"often" in enc.index
+    after = enc.encode(pa.array(texts, pa.large_string()))
+    assert all((x == y).all() for x, y in zip(before, after, strict=True))
+
+
 def test_round_trip(spark):
     rows = list(enumerate(odd_texts()))
     df = spark.createDataFrame([(d, t, "x") for d, t in reversed(rows)], "doc_id long, text string, part string")
