@@ -157,3 +157,33 @@ def test_query_scores_with_trigrams(spark, tmp_path):
     rows = [r for r in corpus() if r[0] is None or r[0] < 250]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     compare(E.queries()["op1_katz_scores"](spark, str(tmp_path)).collect(), rows, 3)
+
+
+@pytest.mark.parametrize(("order", "options"), [(1, {}), (3, {}), (3, {"tokens_per_bucket": 1200}), (4, {"tokens_per_bucket": 700, "split_share": 20})])
+def test_stored_model_scores_other_texts(spark, order, options):
+    """A model is read back from its tables for texts it has not seen."""
+    rows = corpus()
+    learn, other = [r for r in rows if r[0] is None or r[0] % 3], [r for r in rows if r[0] is not None and r[0] % 3 == 0]
+    other += [(900, "w0 unheard w0 w1 unheard unheard w2"), (900, None)]
+    frame = lambda x: spark.createDataFrame(x, "doc_id long, text string").repartition(2)
+    model, want = L.fit(L.encode_blocks(frame(learn)), order, **options), Plain([t for _, t in learn], order)
+    got = L.score(L.encode_blocks(frame(other)), model).select("id", "score").collect()
+    scores = lambda x: sorted(x, key=lambda r: (r[0], r[1]))
+    for g, w in zip(scores(map(tuple, got)), scores((d, want.score(t)) for d, t in other), strict=True):
+        assert g == pytest.approx(w, rel=1e-9, abs=1e-9)
+
+
+def test_files_left_per_token(spark):
+    """Trigrams that hardly repeat: what the model and the blocks' answers take is bounded, and what only the learning needs is gone."""
+    from pathlib import Path
+
+    from strata.session import checkpoint_root
+
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 20_000, 400))) for i in range(1000)]
+    root = Path(checkpoint_root(spark), "strata", "lm")
+    before = set(root.rglob("*.parquet"))
+    L.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), held_out=F.lit(False)).write.format("noop").mode("overwrite").save()
+    left = set(root.rglob("*.parquet")) - before
+    assert 0 < sum(f.stat().st_size for f in left) < 12 * 400 * len(rows)
+    assert not [f for f in left if f"kind={L.EVIDENCE}" in str(f) or "blocks" in f.relative_to(root).parts]
