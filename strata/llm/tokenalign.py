@@ -8,6 +8,9 @@ tokens are expanded to links, an A id and a B id each.
 Corpus-wide counts of id pairs go by blocks of documents: a block asks once for each of its pairs, so what
 is shuffled follows the distinct pairs of the blocks and not the links. Blocks are written before they are
 counted, so the pair numbers in them stay valid when a task runs again.
+
+A block is filled from slices of documents, encoded and aligned one after the other: a worker holds the arrays of
+one slice's tokens, and of its block the distinct pairs of each document.
 """
 
 from __future__ import annotations
@@ -22,19 +25,25 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import conf
+
 from . import common
 from .registry import query
-from .text import text_buffer
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 #: Text bytes in a block (or one longer text).
 BLOCK_BYTES = 2 << 20
+#: Text bytes encoded and aligned at a time (or one longer text): their token arrays are most of a worker's memory.
+SLICE_BYTES = 128 << 10
+#: Bytes of a batch that a worker gets when blocks are made (or one larger row).
+BATCH_BYTES = 4 << 20
 #: A pair of ids as one number: A above these bits, B below.
 B_BITS = 24
 
@@ -225,15 +234,17 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return _ALIGNERS[path_a, path_b]
 
 
-def _slices(b: pa.RecordBatch, block_bytes: int) -> Iterator[tuple[pa.Array, list[str]]]:
-    """(ids, texts) of a batch, a block of documents at a time; a null text is empty."""
-    texts = b.column("text").cast(pa.large_string()).fill_null("")
-    _, off = text_buffer(texts)
-    lo = 0
-    while lo < b.num_rows:
-        hi = min(b.num_rows, max(lo + 1, int(np.searchsorted(off, off[lo] + block_bytes, side="right")) - 1))
-        yield b.column("id").slice(lo, hi - lo), texts.slice(lo, hi - lo).to_pylist()
-        lo = hi
+def _slices(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[tuple[list[int | None], list[str], int]]:
+    """(ids, texts, bytes of the texts) of a slice of documents at a time; a null text is empty."""
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
+        off = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        lo = 0
+        while lo < b.num_rows:
+            hi = min(b.num_rows, max(lo + 1, int(np.searchsorted(off, off[lo] + slice_bytes, side="right")) - 1))
+            ids, texts = (b.column(c).slice(lo, hi - lo).to_pylist() for c in ("id", "text"))
+            yield ids, [t or "" for t in texts], int(off[hi] - off[lo])
+            lo = hi
 
 
 def _lists(values: np.ndarray, n: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -263,27 +274,58 @@ def align_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _aligner(*paths)
-        for b in batches:
-            for ids, texts in _slices(b, block_bytes):
-                x = tool.align(texts)
-                n = int(x.n_groups.sum())
-                sides = [_lists(x.ids[x.kind == k], np.bincount(x.group[x.kind == k], minlength=n), pa.int32()) for k in (0, 1)]
-                groups = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(x.n_groups)]), pa.int32()), pa.StructArray.from_arrays(sides, names=["a", "b"]))
-                yield pa.RecordBatch.from_arrays([ids, groups], names=["doc_id", "groups"])
+        for ids, texts, _ in _slices(batches, min(block_bytes, SLICE_BYTES)):
+            x = tool.align(texts)
+            n = int(x.n_groups.sum())
+            sides = [_lists(x.ids[x.kind == k], np.bincount(x.group[x.kind == k], minlength=n), pa.int32()) for k in (0, 1)]
+            groups = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(x.n_groups)]), pa.int32()), pa.StructArray.from_arrays(sides, names=["a", "b"]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), groups], names=["doc_id", "groups"])
+            del x, sides, groups
+        common.release_memory()
 
     return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, groups array<struct<a:array<int>,b:array<int>>>")
 
 
 _BLOCK = (
-    "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, digest array<string>, "
-    "pair array<long>, docs array<long>, held array<int>, at array<int>, times array<int>"
+    "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, digest string, at array<int>, times array<int>, "
+    "pair array<long>, docs array<long>"
 )
 
 
+class _Block:
+    """Rows of ``_BLOCK``, gathered slice by slice: a row per document, so that neither Spark's readers nor a shuffle hold a block
+    as one value. The first row has the block's pairs."""
+
+    def __init__(self):
+        self.bytes, self.parts = 0, []
+
+    def add(self, ids: list[int | None], x: Aligned, digests: list[str], size: int) -> None:
+        n = len(ids)
+        pair, at = np.unique(x.link_a << B_BITS | x.link_b, return_inverse=True)
+        once, times = np.unique(x.link_doc * max(len(pair), 1) + at, return_counts=True)
+        doc, at = np.divmod(once, max(len(pair), 1))
+        own = [x.n_a, x.n_b, x.n_groups, np.bincount(x.link_doc, minlength=n)]
+        self.parts.append((ids, own, digests, pair, np.bincount(doc, minlength=n), at.astype(np.int32), times.astype(np.int32)))
+        self.bytes += size
+
+    def rows(self, number: int) -> pa.RecordBatch:
+        ids, own, digests, pairs, held, ats, times = zip(*self.parts, strict=True)
+        ids, digests, held = [*chain.from_iterable(ids)], [*chain.from_iterable(digests)], np.concatenate(held)
+        pair, place = np.unique(np.concatenate(pairs), return_inverse=True)
+        first = np.cumsum([0, *map(len, pairs)])
+        at = np.concatenate([place[f + a] for f, a in zip(first, ats, strict=False)])
+        of_pair = np.zeros(len(ids), np.int64)
+        of_pair[0] = len(pair)
+        arrays = [pa.array(np.full(len(ids), number)), pa.array(ids, pa.int64()), *[pa.array(np.concatenate(c), pa.int64()) for c in zip(*own, strict=True)]]
+        arrays += [pa.array(digests, pa.string()), _lists(at, held, pa.int32()), _lists(np.concatenate(times), held, pa.int32())]
+        arrays += [_lists(pair, of_pair, pa.int64()), _lists(np.bincount(at, minlength=len(pair)), of_pair, pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _BLOCK.split(", ")])
+
+
 @dataclass(frozen=True)
 class LinkTables:
-    """``blocks``: the documents' own figures and, per document, its ``held`` distinct pairs: their place ``at`` in the block's ``pair``
-    and how many ``times`` each is linked. ``counts``: (pair, a_id, b_id, docs, best) over all documents; ``best`` is the
+    """``blocks``: a row per document, with its own figures and its distinct pairs: their place ``at`` in the block's ``pair``
+    and how many ``times`` each is linked; ``pair`` and the pairs' ``docs`` stand in a block's first row. ``counts``: (pair, a_id, b_id, docs, best) over all documents; ``best`` is the
     highest count of the A id."""
 
     blocks: DataFrame
@@ -297,34 +339,27 @@ def link_tables(
     paths = _paths(path_a, path_b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, number = _aligner(*paths), TaskContext.get().partitionId() << 32
-        for b in batches:
-            for ids, texts in _slices(b, block_bytes):
-                x, n = tool.align(texts), len(texts)
-                pair, at = np.unique(x.link_a << B_BITS | x.link_b, return_inverse=True)
-                once, times = np.unique(x.link_doc * max(len(pair), 1) + at, return_counts=True)
-                doc, at = np.divmod(once, max(len(pair), 1))
-                cols = [x.n_a, x.n_b, x.n_groups, np.bincount(x.link_doc, minlength=n)]
-                arrays = [_one(ids, pa.int64()), *[_one(c, pa.int64()) for c in cols], _one(tool.digests(x, n), pa.string())]
-                arrays += [_one(pair, pa.int64()), _one(np.bincount(at, minlength=len(pair)), pa.int64())]
-                arrays += [_one(np.bincount(doc, minlength=n), pa.int32()), _one(at, pa.int32()), _one(times, pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *arrays], names=[f.split()[0] for f in _BLOCK.split(", ")])
-                number += 1
-
-    blocks = common.stored(_texts(docs, id_col, text_col).mapInArrow(run, _BLOCK))
+        tool, number, block = _aligner(*paths), TaskContext.get().partitionId() << 32, _Block()
+        for ids, texts, size in _slices(batches, min(block_bytes, SLICE_BYTES)):
+            if block.parts and block.bytes + size > block_bytes:
+                yield block.rows(number)
+                number, block = number + 1, _Block()
+            x = tool.align(texts)
+            block.add(ids, x, tool.digests(x, len(ids)), size)
+            del x
+        if block.parts:
+            yield block.rows(number)
+        del block
+        common.release_memory()
+
+    with conf(docs.sparkSession, **{"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        blocks = common.stored(_texts(docs, id_col, text_col).mapInArrow(run, _BLOCK))
     seen = blocks.select(F.explode(F.arrays_zip("pair", "docs")).alias("x")).groupBy(F.col("x.pair").alias("pair")).agg(F.sum("x.docs").alias("docs"))
     seen = common.stored(seen.withColumn("a_id", F.shiftright("pair", B_BITS)).withColumn("b_id", F.col("pair").bitwiseAND(F.lit((1 << B_BITS) - 1))))
     best = seen.groupBy("a_id").agg(F.max("docs").alias("best"))
     return LinkTables(blocks, common.cut(seen.join(best, "a_id").select("pair", "a_id", "b_id", "docs", "best")))
 
 
-def _one(values, kind: pa.DataType) -> pa.Array:
-    """A column of one row that holds all values as a list."""
-    if not isinstance(values, pa.Array):
-        values = pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(kind))
-
-
 def link_scores(tables: LinkTables) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), one row per document."""
     asked = tables.blocks.select("block", F.posexplode("pair").alias("place", "pair"))
@@ -332,17 +367,17 @@ def link_scores(tables: LinkTables) -> DataFrame:
     out = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
     def finish(block: pa.Table, answer: pa.Table) -> pa.Table:
-        one = {name: block.column(name)[0].values for name in block.column_names if name != "block"}
-        held, at, times = (one[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("held", "at", "times"))
         place = answer.column("place").to_numpy()
-        n, is_best = np.zeros(len(one["pair"]), np.int64), np.zeros(len(one["pair"]), np.int64)
+        n, is_best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         n[place], is_best[place] = answer.column("n").to_numpy(), answer.column("is_best").to_numpy()
+        held = pc.list_value_length(block.column("at")).to_numpy()
+        at, times = (pc.list_flatten(block.column(c)).to_numpy() for c in ("at", "times"))
         ends = np.concatenate([[0], np.cumsum(held)])
         total = [np.diff(np.concatenate([[0], np.cumsum(times * x[at])])[ends]) for x in (is_best, n)]
         names = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
-        return pa.table([*[one[c] for c in names], *map(pa.array, total), one["digest"]], names=[*names, "n_best", "count_sum", "groups_sha256"])
+        return pa.table([*block.select(names).columns, *map(pa.array, total), block.column("digest")], names=[*names, "n_best", "count_sum", "groups_sha256"])
 
-    return tables.blocks.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(finish, out)
+    return tables.blocks.drop("pair", "docs").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(finish, out)
 
 
 @query("op12_token_alignment")

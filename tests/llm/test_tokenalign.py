@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -152,3 +154,55 @@ def test_frame_cases(spark, aligner):
     empty = spark.createDataFrame([], schema)
     assert T.link_scores(T.link_tables(empty)).count() == 0 and T.align_documents(empty).count() == 0
     assert {r.doc_id: len(r.groups) for r in T.align_documents(df).collect()}[1] == 0
+
+
+def block_rows(monkeypatch, batches):
+    """What a task that makes blocks yields for its batches, in this process."""
+    from contextlib import nullcontext
+    from types import SimpleNamespace
+
+    task = []
+    monkeypatch.setattr(T.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 3))
+    monkeypatch.setattr(T, "_texts", lambda *_: SimpleNamespace(mapInArrow=lambda f, _: task.append(f)))
+    monkeypatch.setattr(T, "conf", lambda *_, **__: nullcontext(), raising=False)
+    monkeypatch.setattr(T.common, "stored", lambda _: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        T.link_tables(SimpleNamespace(sparkSession=None))
+    return task[0](iter(batches))
+
+
+def batch_of(texts):
+    return pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+
+
+def some_texts(n_bytes, seed=5):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(5000)]
+    return [" ".join(rng.choices(words, k=500)) for _ in range(n_bytes // 3200)]
+
+
+def test_worker_holds_a_slice_and_its_block(aligner, monkeypatch):
+    texts = some_texts(3 << 20)
+    batch = batch_of(texts)
+    for _ in block_rows(monkeypatch, [batch_of(texts[:2])]):  # the encoders are there
+        pass
+    tracemalloc.start()
+    rows, largest = 0, 0
+    for b in block_rows(monkeypatch, [batch]):
+        held = tracemalloc.get_traced_memory()[1]
+        rows += b.num_rows
+        largest = max(largest, b.nbytes / b.num_rows)
+    tracemalloc.stop()
+    assert held < 64 << 20  # 347 MB when a block was aligned at once
+    assert rows == len(texts) and largest < 64 << 10  # a block was one row before
+
+
+def test_slices_and_batches_do_not_show_in_blocks(aligner, monkeypatch):
+    texts = [*strange_texts(200, seed=4), None, "", *some_texts(1 << 18)]
+    whole = [b.to_pylist() for b in block_rows(monkeypatch, [batch_of(texts)])]
+    assert len(whole) == 1 and len(whole[0]) == len(texts) and {r["block"] for r in whole[0]} == {3 << 32}
+    assert [len(r["pair"]) > 0 for r in whole[0]] == [True] + [False] * (len(texts) - 1)
+    monkeypatch.setattr(T, "SLICE_BYTES", 500)
+    batch = batch_of(texts)
+    parts = [batch.slice(i, 7) for i in range(0, len(texts), 7)]
+    assert [b.to_pylist() for b in block_rows(monkeypatch, parts)] == whole
